@@ -88,6 +88,36 @@ def window_entropy(values: Column, n_bins: int = ENTROPY_BINS) -> Column:
     return F.when(std < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-total)
 
 
+def window_entropy_cols(vals: list[Column], n_bins: int = ENTROPY_BINS) -> Column:
+    """Same entropy as :func:`window_entropy`, but over the window's values given as
+    separate (nullable) columns -- e.g. ``lag(x, 0..w-1)`` -- so the whole
+    expression is scalar arithmetic that whole-stage codegen compiles."""
+    present = [v.isNotNull() for v in vals]
+    n = sum((F.when(p, F.lit(1.0)).otherwise(F.lit(0.0)) for p in present[1:]),
+            F.when(present[0], F.lit(1.0)).otherwise(F.lit(0.0)))
+    mn = F.least(*vals)
+    mx = F.greatest(*vals)
+    total = sum((F.coalesce(v, F.lit(0.0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0.0)))
+    mean = total / n
+    sq = [F.when(p, (v - mean) * (v - mean)).otherwise(F.lit(0.0)) for v, p in zip(vals, present)]
+    var_pop = sum(sq[1:], sq[0]) / n
+    std = F.sqrt(var_pop)
+    step = (mx - mn) / F.lit(float(n_bins))
+
+    def below(edge):
+        flags = [F.when(v < edge, F.lit(1.0)).otherwise(F.lit(0.0)) for v in vals]
+        return sum(flags[1:], flags[0])
+
+    cuts = [F.lit(0.0)] + [below(mn + F.lit(float(k)) * step) for k in range(1, n_bins)] + [n]
+    terms = []
+    for k in range(n_bins):
+        cnt = cuts[k + 1] - cuts[k]
+        p = cnt / n
+        terms.append(F.when(cnt > 0, p * F.log(p + F.lit(ENTROPY_LOG_EPS))).otherwise(F.lit(0.0)))
+    tot = sum(terms[1:], terms[0])
+    return F.when(std < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-tot)
+
+
 def _count_below(values: Column, edge: Column) -> Column:
     return F.size(F.filter(values, lambda x: x < edge))
 

@@ -33,9 +33,9 @@ from fleetlens.functions.columns import (
     ewma_tail_rows,
     min_periods,
     safe_div,
-    window_entropy,
 )
-from fleetlens.session import broadcast_if_small, reliable_checkpoint
+from fleetlens.functions.columns import ENTROPY_LOG_EPS, ENTROPY_STD_FLOOR
+from fleetlens.session import broadcast_if_small, materialize
 
 # Fixed values that must equal the reference's for equal results.
 KEY_LABEL_COLS = ["unit_id", "cycle", "rul", "failure_label"]
@@ -103,7 +103,7 @@ def assign_cycle(
     order: Sequence[str],
     cycle: str = "cycle",
     partitions: int | None = None,
-    broadcast_rows: int = 2_000_000,
+    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Number each unit's rows 1..n by ``order`` (which must be unique per unit).
 
@@ -112,7 +112,8 @@ def assign_cycle(
     contiguous ranges, each row gets its position inside its range partition, and
     a small ``(partition, unit)`` table (at most units + partitions rows) turns
     that into the position inside the unit.  The sorted, numbered rows are
-    checkpointed so both uses see the same range bounds, even after executor loss.
+    written to the checkpoint folder so both uses see the same range bounds, even
+    after executor loss.
     """
     spark = df.sparkSession
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -123,7 +124,7 @@ def assign_cycle(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    ranged = reliable_checkpoint(ranged)
+    ranged = materialize(ranged, "cycle")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     ranged = ranged.withColumn("_loc", local)
 
@@ -139,7 +140,12 @@ def assign_cycle(
     per = per.join(F.broadcast(pid_off), "_pid").withColumn("_gstart", F.col("_off") + F.col("_first"))
     ustart = per.groupBy(unit).agg(F.min("_gstart").alias("_ustart"))
     base = per.join(ustart, unit).select("_pid", unit, (F.col("_off") - F.col("_ustart")).alias("_base"))
-    base = broadcast_if_small(base, broadcast_rows)
+    # `base` has at most units + partitions rows; AQE measures it after its
+    # aggregate stage and broadcasts it only when it is below the broadcast
+    # threshold, otherwise the join shuffles on (partition, unit), which has no
+    # hot key.  ``broadcast_rows`` forces an explicit counted check instead.
+    if broadcast_rows:
+        base = broadcast_if_small(base, broadcast_rows)
     out = ranged.join(base, ["_pid", unit]).withColumn(
         cycle, (F.col("_base") + F.col("_loc") + F.lit(1)).cast("int")
     )
@@ -225,13 +231,59 @@ def _slopes(sensors, trend_window, w, cycle):
     return out
 
 
-def _entropies(sensors, window, w):
+def _entropy_lags(sensors, window, w):
+    """W10 inputs: the window's values as lag(x, 0..window-1) columns plus the
+    non-null count; the entropy itself is finished by :func:`_entropy_stages`."""
     frame = w.rowsBetween(-(window - 1), 0)
-    m = window // 2
-    return [
-        (f"{s}_entropy_{window}", min_periods(s, frame, m, window_entropy(F.collect_list(F.col(s)).over(frame))))
-        for s in sensors
-    ]
+    out = []
+    for s in sensors:
+        out.append((f"_ec_{s}", F.count(F.col(s)).over(frame)))
+        out += [(f"_ev{k}_{s}", F.lag(F.col(s), k).over(w)) for k in range(1, window)]
+    return out
+
+
+def _entropy_stages(df: DataFrame, sensors, window, keep) -> DataFrame:
+    """Finish W10 in three projections (moments, bin counts, entropy) so every
+    intermediate is computed once and the stages stay scalar and codegen-friendly."""
+    if not sensors:
+        return df
+    vals = {s: [F.col(s)] + [F.col(f"_ev{k}_{s}") for k in range(1, window)] for s in sensors}
+    st1 = []
+    for s in sensors:
+        v = vals[s]
+        ones = [F.when(x.isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for x in v]
+        tot = [F.coalesce(x, F.lit(0.0)) for x in v]
+        st1 += [
+            sum(ones[1:], ones[0]).alias(f"_en_{s}"),
+            (sum(tot[1:], tot[0]) / sum(ones[1:], ones[0])).alias(f"_em_{s}"),
+            F.least(*v).alias(f"_elo_{s}"),
+            F.greatest(*v).alias(f"_ehi_{s}"),
+        ]
+    df = df.select("*", *st1)
+    st2 = []
+    for s in sensors:
+        v = vals[s]
+        mean, n, lo, hi = F.col(f"_em_{s}"), F.col(f"_en_{s}"), F.col(f"_elo_{s}"), F.col(f"_ehi_{s}")
+        sq = [F.when(x.isNotNull(), (x - mean) * (x - mean)).otherwise(F.lit(0.0)) for x in v]
+        st2.append((F.sqrt(sum(sq[1:], sq[0]) / n)).alias(f"_esd_{s}"))
+        step = (hi - lo) / F.lit(4.0)
+        for k in (1, 2, 3):
+            edge = lo + F.lit(float(k)) * step
+            flags = [F.when(x < edge, F.lit(1.0)).otherwise(F.lit(0.0)) for x in v]
+            st2.append(sum(flags[1:], flags[0]).alias(f"_eb{k}_{s}"))
+    df = df.select("*", *st2)
+    out = []
+    for s in sensors:
+        n = F.col(f"_en_{s}")
+        cuts = [F.lit(0.0), F.col(f"_eb1_{s}"), F.col(f"_eb2_{s}"), F.col(f"_eb3_{s}"), n]
+        terms = []
+        for k in range(4):
+            cnt = cuts[k + 1] - cuts[k]
+            p = cnt / n
+            terms.append(F.when(cnt > 0, p * F.log(p + F.lit(ENTROPY_LOG_EPS))).otherwise(F.lit(0.0)))
+        ent = F.when(F.col(f"_esd_{s}") < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-sum(terms[1:], terms[0]))
+        out.append(F.when(F.col(f"_ec_{s}") >= F.lit(window // 2), ent).alias(f"{s}_entropy_{window}"))
+    return df.select(*keep, *out)
 
 
 def _ewma_local(sensors, spans, w, cycle, seg_rows):
@@ -380,7 +432,7 @@ def temporal_features(
     fams += _diffs(sensors, diffs, w)
     ewma_local = _ewma_local(sensors, spans, w, cycle, size)
     slope = _slopes(sensors, trend_window, w, cycle) if trend_window else []
-    ent = _entropies(entropy_sensors, entropy_window, w)
+    ent = _entropy_lags(entropy_sensors, entropy_window, w)
     if cross is True:
         cr = cross_sensor_columns(base_cols)
     elif isinstance(cross, dict):
@@ -407,9 +459,10 @@ def temporal_features(
         + [n for n, _ in fams]
         + ewm_names
         + [n for n, _ in slope]
-        + [n for n, _ in ent]
     )
-    return staged.select(*ordered, *[e.alias(n) for n, e in cr])
+    ent_names = [f"{s}_entropy_{entropy_window}" for s in entropy_sensors]
+    staged = _entropy_stages(staged, list(entropy_sensors), entropy_window, ordered)
+    return staged.select(*ordered, *ent_names, *[e.alias(n) for n, e in cr])
 
 
 def fill_gaps(
@@ -423,20 +476,23 @@ def fill_gaps(
 ) -> DataFrame:
     """Forward fill, then back fill, per unit in cycle order.
 
-    Inside a segment: ``last/first(ignorenulls)`` over the prefix/suffix frame;
-    across segments: the last (first) non-null value of every earlier (later)
-    segment, from a small per-segment table.  ``direction='forward'`` avoids the
-    look-ahead of back filling (needed for streams).
+    Inside a segment both fills are *running* frames (back fill runs over the
+    reversed order), which Spark evaluates incrementally; across segments the
+    last (first) non-null value of every earlier (later) segment comes from a
+    small per-segment table.  Columns the schema proves non-null are passed
+    through untouched.  ``direction='forward'`` avoids the look-ahead of back
+    filling (needed for streams).
     """
-    cols = [c for c in (columns if columns is not None else df.columns) if c not in (unit, cycle)]
+    nullable = {f.name for f in df.schema.fields if f.nullable}
+    wanted = columns if columns is not None else df.columns
+    cols = [c for c in wanted if c not in (unit, cycle) and c in nullable]
     if not cols:
         return df
     base_cols = df.columns
     pos = F.col(cycle) - F.lit(1)
     tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
-    w = _seg_window(unit, cycle)
-    prefix = w.rowsBetween(Window.unboundedPreceding, 0)
-    suffix = w.rowsBetween(0, Window.unboundedFollowing)
+    run_fwd = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).asc()).rowsBetween(Window.unboundedPreceding, 0)
+    run_bwd = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).desc()).rowsBetween(Window.unboundedPreceding, 0)
     do_back = direction in ("both", "backward")
     do_fwd = direction in ("both", "forward")
 
@@ -461,16 +517,17 @@ def fill_gaps(
             )
     carry = edges.select(*carry_cols)
     joined = tagged.join(carry, [unit, _SEG], "left")
-    out = []
-    for i, c in enumerate(cols):
-        e = F.col(c)
-        if do_fwd:
-            e = F.coalesce(e, F.last(F.col(c), ignorenulls=True).over(prefix), F.col(f"_pl{i}"))
-        if do_back:
-            e = F.coalesce(e, F.first(F.col(c), ignorenulls=True).over(suffix), F.col(f"_nf{i}"))
-        out.append(e.alias(c))
-    fill_set = set(cols)
-    return joined.select(*[c for c in base_cols if c not in fill_set], *out).select(*base_cols)
+    if do_fwd:
+        joined = joined.select(
+            *[c for c in joined.columns if c not in cols],
+            *[F.coalesce(F.last(F.col(c), ignorenulls=True).over(run_fwd), F.col(f"_pl{i}")).alias(c) for i, c in enumerate(cols)],
+        )
+    if do_back:
+        joined = joined.select(
+            *[c for c in joined.columns if c not in cols],
+            *[F.coalesce(F.col(c), F.last(F.col(c), ignorenulls=True).over(run_bwd), F.col(f"_nf{i}")).alias(c) for i, c in enumerate(cols)],
+        )
+    return joined.select(*base_cols)
 
 
 def feature_matrix(

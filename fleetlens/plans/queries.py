@@ -137,6 +137,12 @@ def q_scaled_values(spark, sf_dir):
 
 @lru_cache(maxsize=1)
 def registry():
+    from fleetlens.plans.analytics_queries import REGISTRY as ANALYTICS
+
+    return {**_series_registry(), **ANALYTICS}
+
+
+def _series_registry():
     return {
         "rolling_mean": q_rolling("mean"),
         "rolling_std": q_rolling("std"),
@@ -159,7 +165,12 @@ def registry():
 
 def oracles():
     from fleetlens.plans import oracle_sql as O
+    from fleetlens.plans.analytics_sql import ORACLES
+
+    return {**_series_oracles(O), **{k: f() for k, f in ORACLES.items()}}
+
 
+def _series_oracles(O):
     return {
         "rolling_mean": O.q_rolling("mean"),
         "rolling_std": O.q_rolling("std"),

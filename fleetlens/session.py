@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,18 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
+
+    One job (a DataFrame checkpoint computes its input twice unless cached); the
+    files live in shared storage, so a lost executor costs a re-read, not a
+    recomputation, and every later use sees exactly the same rows."""
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/fleetlens-{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:
     """Broadcast hint only behind a checked row count; otherwise a shuffle join.
 
