@@ -401,6 +401,7 @@ def temporal_features(
     entropy_window: int = ENTROPY_WINDOW,
     cross: bool | dict = True,
     seg_rows: int | None = None,
+    keep_segment: bool = False,
 ) -> DataFrame:
     """Every feature family in one pass over ``(unit, segment)`` windows.
 
@@ -461,6 +462,8 @@ def temporal_features(
         + [n for n, _ in slope]
     )
     ent_names = [f"{s}_entropy_{entropy_window}" for s in entropy_sensors]
+    if keep_segment:
+        ordered = ordered + [_SEG]
     staged = _entropy_stages(staged, list(entropy_sensors), entropy_window, ordered)
     return staged.select(*ordered, *ent_names, *[e.alias(n) for n, e in cr])
 
@@ -485,12 +488,17 @@ def fill_gaps(
     """
     nullable = {f.name for f in df.schema.fields if f.nullable}
     wanted = columns if columns is not None else df.columns
-    cols = [c for c in wanted if c not in (unit, cycle) and c in nullable]
+    cols = [c for c in wanted if c not in (unit, cycle, _SEG) and c in nullable]
     if not cols:
         return df
     base_cols = df.columns
-    pos = F.col(cycle) - F.lit(1)
-    tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
+    if _SEG in df.columns:
+        # segments of the feature stage: the data is already hash-partitioned by
+        # (unit, segment), so the join and the windows below add no shuffle
+        tagged = df
+    else:
+        pos = F.col(cycle) - F.lit(1)
+        tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
     run_fwd = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).asc()).rowsBetween(Window.unboundedPreceding, 0)
     run_bwd = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).desc()).rowsBetween(Window.unboundedPreceding, 0)
     do_back = direction in ("both", "backward")
@@ -498,11 +506,12 @@ def fill_gaps(
 
     edge_aggs = []
     for i, c in enumerate(cols):
-        present = F.col(c).isNotNull()
+        # max_by / min_by skip rows whose ordering is NULL: last / first non-null value
+        at = F.when(F.col(c).isNotNull(), F.col(cycle))
         if do_fwd:
-            edge_aggs.append(F.max(F.when(present, F.struct(F.col(cycle), F.col(c).alias("v"))))["v"].alias(f"_l{i}"))
+            edge_aggs.append(F.max_by(F.col(c), at).alias(f"_l{i}"))
         if do_back:
-            edge_aggs.append(F.min(F.when(present, F.struct(F.col(cycle), F.col(c).alias("v"))))["v"].alias(f"_f{i}"))
+            edge_aggs.append(F.min_by(F.col(c), at).alias(f"_f{i}"))
     edges = tagged.groupBy(unit, _SEG).agg(*edge_aggs)
     sw = Window.partitionBy(unit).orderBy(_SEG)
     carry_cols = [unit, _SEG]
@@ -538,14 +547,21 @@ def feature_matrix(
     cycle: str = "cycle",
     fill: str = "both",
     drop_incomplete: bool = True,
+    materialize_features: bool = False,
     **feature_params,
 ) -> DataFrame:
     """Features (W1-W13) -> forward/back fill per unit (W14/W15) -> drop rows
     with any missing value (P6).  Units shorter than the longest requirement lose
     rows exactly as in the reference (trap T1); ``drop_incomplete=False`` keeps them."""
-    feats = temporal_features(df, sensors, unit=unit, cycle=cycle, **feature_params)
+    feats = temporal_features(df, sensors, unit=unit, cycle=cycle, keep_segment=True, **feature_params)
+    if fill != "none" and materialize_features:
+        # the fill reads the features twice (per-segment edges + the rows):
+        # write them once to the checkpoint folder instead of computing every
+        # window twice
+        feats = materialize(feats, "features")
     if fill != "none":
-        feats = fill_gaps(feats, unit=unit, cycle=cycle, direction=fill, seg_rows=feature_params.get("seg_rows") or 4096)
+        feats = fill_gaps(feats, unit=unit, cycle=cycle, direction=fill)
+    feats = feats.drop(_SEG)
     return feats.na.drop("any") if drop_incomplete else feats
 
 
