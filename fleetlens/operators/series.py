@@ -255,7 +255,7 @@ def _entropy_stages(df: DataFrame, sensors, window, keep) -> DataFrame:
         tot = [F.coalesce(x, F.lit(0.0)) for x in v]
         st1 += [
             sum(ones[1:], ones[0]).alias(f"_en_{s}"),
-            (sum(tot[1:], tot[0]) / sum(ones[1:], ones[0])).alias(f"_em_{s}"),
+            F.try_divide(sum(tot[1:], tot[0]), sum(ones[1:], ones[0])).alias(f"_em_{s}"),
             F.least(*v).alias(f"_elo_{s}"),
             F.greatest(*v).alias(f"_ehi_{s}"),
         ]
@@ -265,7 +265,7 @@ def _entropy_stages(df: DataFrame, sensors, window, keep) -> DataFrame:
         v = vals[s]
         mean, n, lo, hi = F.col(f"_em_{s}"), F.col(f"_en_{s}"), F.col(f"_elo_{s}"), F.col(f"_ehi_{s}")
         sq = [F.when(x.isNotNull(), (x - mean) * (x - mean)).otherwise(F.lit(0.0)) for x in v]
-        st2.append((F.sqrt(sum(sq[1:], sq[0]) / n)).alias(f"_esd_{s}"))
+        st2.append(F.sqrt(F.try_divide(sum(sq[1:], sq[0]), n)).alias(f"_esd_{s}"))
         step = (hi - lo) / F.lit(4.0)
         for k in (1, 2, 3):
             edge = lo + F.lit(float(k)) * step
@@ -279,7 +279,7 @@ def _entropy_stages(df: DataFrame, sensors, window, keep) -> DataFrame:
         terms = []
         for k in range(4):
             cnt = cuts[k + 1] - cuts[k]
-            p = cnt / n
+            p = F.try_divide(cnt, n)
             terms.append(F.when(cnt > 0, p * F.log(p + F.lit(ENTROPY_LOG_EPS))).otherwise(F.lit(0.0)))
         ent = F.when(F.col(f"_esd_{s}") < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-sum(terms[1:], terms[0]))
         out.append(F.when(F.col(f"_ec_{s}") >= F.lit(window // 2), ent).alias(f"{s}_entropy_{window}"))
