@@ -194,6 +194,29 @@ def q_batch_counts(spark, sf_dir):
     return SC.batch_response(_predictions(spark, sf_dir))
 
 
+# ── payload ingest ─────────────────────────────────────────────────────────
+
+
+def _payload(spark, sf_dir):
+    from fleetlens.sources import ingest as I
+
+    s = event_series(spark, sf_dir)
+    reqs = I.parse_requests(I.requests_from_series(s, EVENT_SENSORS), sensors=EVENT_SENSORS)
+    return I.flatten_requests(reqs, sensors=EVENT_SENSORS)
+
+
+def q_payload_flatten(spark, sf_dir):
+    valid, _ = _payload(spark, sf_dir)
+    return rounded(valid.drop("request_id"))
+
+
+def q_payload_quarantine(spark, sf_dir):
+    from fleetlens.sources import ingest as I
+
+    _, quarantine = _payload(spark, sf_dir)
+    return I.quarantine_summary(quarantine, EVENT_SENSORS)
+
+
 REGISTRY = {
     "unit_lifetimes": q_unit_lifetimes,
     "lifetime_summary": q_lifetime_summary,
@@ -221,4 +244,6 @@ REGISTRY = {
     "true_state": q_true_state,
     "fleet_summary": q_fleet_summary,
     "batch_counts": q_batch_counts,
+    "payload_flatten": q_payload_flatten,
+    "payload_quarantine": q_payload_quarantine,
 }

@@ -383,6 +383,29 @@ def q_batch_counts() -> str:
     return f"WITH {SERIES_CTE}{LABELS_CTE}{SCORED_CTE}{_pred_cte()}\nSELECT count(*) AS total_engines, {counts} FROM pred"
 
 
+def q_payload_flatten() -> str:
+    return (
+        f"WITH {SERIES_CTE}\n"
+        "SELECT CAST(unit_id AS VARCHAR) AS unit_id, CAST(10 AS BIGINT) AS use_last_n, CAST((cycle - 1) % 100 AS INTEGER) AS pos,\n"
+        f"       {rd('value')} AS value, {rd('k')} AS k, -0.0006 + 0.0 AS op_setting_1, 0.0004 + 0.0 AS op_setting_2,\n"
+        "       100.0 + 0.0 AS op_setting_3, CAST(cycle AS BIGINT) AS cycle FROM series"
+    )
+
+
+def q_payload_quarantine() -> str:
+    rules = ["malformed_request", "no_readings", "use_last_n_out_of_range", "missing_value", "missing_k", "cycle_below_1"]
+    parts = [
+        "SELECT 'malformed_request' AS rule, CAST(0 AS BIGINT) AS violations",
+        "SELECT 'no_readings', CAST(0 AS BIGINT)",
+        "SELECT 'use_last_n_out_of_range', CAST(0 AS BIGINT)",
+        "SELECT 'missing_value', CAST(count(*) FILTER (WHERE value IS NULL) AS BIGINT) FROM series",
+        "SELECT 'missing_k', CAST(count(*) FILTER (WHERE k IS NULL) AS BIGINT) FROM series",
+        "SELECT 'cycle_below_1', CAST(count(*) FILTER (WHERE cycle < 1) AS BIGINT) FROM series",
+    ]
+    assert len(parts) == len(rules)
+    return f"WITH {SERIES_CTE}\n" + "\nUNION ALL\n".join(parts)
+
+
 ORACLES = {
     "unit_lifetimes": q_unit_lifetimes,
     "lifetime_summary": q_lifetime_summary,
@@ -410,4 +433,6 @@ ORACLES = {
     "true_state": q_true_state,
     "fleet_summary": q_fleet_summary,
     "batch_counts": q_batch_counts,
+    "payload_flatten": q_payload_flatten,
+    "payload_quarantine": q_payload_quarantine,
 }
