@@ -217,6 +217,68 @@ def q_payload_quarantine(spark, sf_dir):
     return I.quarantine_summary(quarantine, EVENT_SENSORS)
 
 
+# ── training (rows-only checks: model scores are not SQL) ──────────────────
+
+# Registered training checks run the reference's quick-mode fold count with tree
+# counts / iterations scaled down, so the check stays bounded; the library
+# defaults (scale=1.0, 5 folds) are the reference's settings.
+TRAIN_SCALE = 0.05
+TRAIN_FOLDS = 3
+# folds follow the reference's row order (units one after another, trap T6)
+TRAIN_ORDER = "unit_id"
+
+
+def _featured(spark, sf_dir):
+    from fleetlens.operators.series import feature_matrix
+    from fleetlens.session import materialize
+
+    s = event_series(spark, sf_dir).select("unit_id", "cycle", "ts", *EVENT_SENSORS)
+    fm = feature_matrix(L.add_failure_label(L.add_rul(s)), EVENT_SENSORS)
+    # several model fits read it: write it once (the reference persists it too)
+    return materialize(fm, "featured")
+
+
+def q_train_leaderboard(spark, sf_dir):
+    from fleetlens.plans import training as TR
+
+    fm = _featured(spark, sf_dir)
+    feats = [c for c in fm.columns if c not in ("unit_id", "cycle", "ts", "rul", "failure_label")]
+    return TR.leaderboard(spark, fm, TR.classifier_specs(TRAIN_SCALE), "failure_label", features=feats, folds=TRAIN_FOLDS, order=TRAIN_ORDER)
+
+
+def q_regressor_leaderboard(spark, sf_dir):
+    from fleetlens.plans import training as TR
+
+    fm = _featured(spark, sf_dir)
+    feats = [c for c in fm.columns if c not in ("unit_id", "cycle", "ts", "rul", "failure_label")]
+    return TR.leaderboard(spark, fm, TR.regressor_specs(TRAIN_SCALE), "rul", features=feats, folds=TRAIN_FOLDS, order=TRAIN_ORDER)
+
+
+def _champions(spark, sf_dir):
+    from fleetlens.plans import training as TR
+
+    fm = _featured(spark, sf_dir)
+    feats = [c for c in fm.columns if c not in ("unit_id", "cycle", "ts", "rul", "failure_label")]
+    train = fm.where(F.col("ts") < _ts(DRIFT_SPLIT_TS))
+    clf = TR.fit_champion(train, TR.classifier_specs(TRAIN_SCALE)[0], "failure_label", feats)
+    reg = TR.fit_champion(train, TR.regressor_specs(TRAIN_SCALE)[1], "rul", feats)
+    return fm, clf, reg
+
+
+def q_score_fleet(spark, sf_dir):
+    from fleetlens.plans import training as TR
+
+    fm, clf, reg = _champions(spark, sf_dir)
+    return rounded(TR.score_fleet(fm.where(F.col("ts") >= _ts(DRIFT_SPLIT_TS)), clf, reg))
+
+
+def q_feature_importance(spark, sf_dir):
+    from fleetlens.plans import training as TR
+
+    _, clf, _ = _champions(spark, sf_dir)
+    return rounded(TR.feature_importance(spark, clf))
+
+
 REGISTRY = {
     "unit_lifetimes": q_unit_lifetimes,
     "lifetime_summary": q_lifetime_summary,
@@ -246,4 +308,8 @@ REGISTRY = {
     "batch_counts": q_batch_counts,
     "payload_flatten": q_payload_flatten,
     "payload_quarantine": q_payload_quarantine,
+    "train_leaderboard": q_train_leaderboard,
+    "regressor_leaderboard": q_regressor_leaderboard,
+    "score_fleet": q_score_fleet,
+    "feature_importance": q_feature_importance,
 }
