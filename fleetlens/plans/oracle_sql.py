@@ -245,3 +245,23 @@ def q_scaled_values() -> str:
         std = f"(SELECT stddev_pop({s}) FROM series WHERE ts < {SPLIT_TS})"
         cols.append(rnd(f"({s} - {mean}) / (CASE WHEN {std} IS NULL OR {std} = 0 THEN 1.0 ELSE {std} END)", s))
     return f"WITH {SERIES_CTE}\nSELECT unit_id, cycle, {', '.join(cols)} FROM series"
+
+
+def q_stream_accuracy() -> str:
+    correct = "CAST((CAST(value / (value + 20.0) >= 0.5 AS INTEGER) = CAST(event_type = 'error' AS INTEGER)) AS DOUBLE)"
+    return (
+        "SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,\n"
+        f"       count(*) AS n, {rd(f'avg({correct})')} AS accuracy\n"
+        "FROM events WHERE ts IS NOT NULL GROUP BY 1, 2"
+    )
+
+
+def q_stream_score() -> str:
+    feats = rolling_exprs("mean", ["value"], [10]) + ewma_exprs(["value"], [10]) + lag_exprs(["k"], [1])
+    inner = ",\n       ".join(f"{e} AS {n}" for n, e in feats)
+    fwd = lambda c: f"COALESCE({c}, last({c} IGNORE NULLS) OVER (PARTITION BY unit_id ORDER BY cycle ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
+    outer = ", ".join(rnd(fwd(n), n) for n, _ in feats)
+    return (
+        f"WITH {SERIES_CTE},\nf AS (SELECT unit_id, cycle, value, {inner} FROM series)\n"
+        f"SELECT unit_id, cycle, {outer}, {rd('value / (value + 20.0)')} AS score FROM f"
+    )

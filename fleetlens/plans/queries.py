@@ -138,8 +138,9 @@ def q_scaled_values(spark, sf_dir):
 @lru_cache(maxsize=1)
 def registry():
     from fleetlens.plans.analytics_queries import REGISTRY as ANALYTICS
+    from fleetlens.streaming.queries import REGISTRY as STREAMS
 
-    return {**_series_registry(), **ANALYTICS}
+    return {**_series_registry(), **ANALYTICS, **STREAMS}
 
 
 def _series_registry():
@@ -167,7 +168,11 @@ def oracles():
     from fleetlens.plans import oracle_sql as O
     from fleetlens.plans.analytics_sql import ORACLES
 
-    return {**_series_oracles(O), **{k: f() for k, f in ORACLES.items()}}
+    out = {**_series_oracles(O), **{k: f() for k, f in ORACLES.items()}}
+    out["stream_drift"] = out["drift_events"]
+    out["stream_accuracy"] = O.q_stream_accuracy()
+    out["stream_score"] = O.q_stream_score()
+    return out
 
 
 def _series_oracles(O):
