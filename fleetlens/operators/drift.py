@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import PSI_BINS, PSI_EPS, ROUND_DIGITS, ks_asymptotic_pvalue
-from fleetlens.plans.prefix import exact_quantiles, prefix_sums
+from fleetlens.plans.prefix import exact_quantiles, prefix_sums, quantiles_from_ranked
 
 # Fixed values that must equal the reference's for equal results.
 PSI_THRESHOLD = 0.2
@@ -71,25 +71,28 @@ def _sides(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
     return both.join(counts.select("feature"), "feature", "left_semi"), counts
 
 
-def psi(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
-    """M2: population stability index per feature.
-
-    Edges = exact deciles of baseline ∪ current (outer edges widened by eps);
-    bins half-open, last closed; shares of 0 replaced by eps;
-    PSI = sum((cur - base) * ln(cur / base)).  Duplicate edges are allowed (tied
-    data), which is why the counts use ``value < edge`` comparisons rather than
-    a bucketizer."""
+def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: int = 64):
+    """One row per (feature, distinct value) with per-side counts and their
+    running totals in value order (two-level prefix sums), plus per-feature
+    sample sizes.  PSI edges and the KS distance both read this one table."""
     both, counts = _sides(baseline_long, current_long)
+    distinct = both.groupBy("feature", "value").agg(
+        F.count_if(F.col("side") == "b").alias("cb"), F.count_if(F.col("side") == "c").alias("cc")
+    ).withColumn("ca", F.col("cb") + F.col("cc"))
+    return prefix_sums(distinct, ["feature"], "value", ["cb", "cc", "ca"], buckets=buckets), counts
+
+
+def psi_from_ranked(run: DataFrame, counts: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
     probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = exact_quantiles(both, ["feature"], "value", probs)
-    # inner edges only: the outer ones (min - eps, max + eps) bound every value
-    binned = both.join(edges, "feature")
+    edges = quantiles_from_ranked(run, ["feature"], "value", "ca", "cum_ca", "tot_ca", probs)
+    # inner edges only: the outer ones (min - eps, max + eps) bound every value.
+    # counts below an edge, per side, from the distinct-value table
     aggs = []
     for k in range(1, n_bins):
-        e = F.col(f"q_{k}")
-        aggs.append(F.count_if((F.col("side") == "b") & (F.col("value") < e)).alias(f"b{k}"))
-        aggs.append(F.count_if((F.col("side") == "c") & (F.col("value") < e)).alias(f"c{k}"))
-    below = binned.groupBy("feature").agg(*aggs).join(counts, "feature")
+        below = F.col("value") < F.col(f"q_{k}")
+        aggs.append(F.sum(F.when(below, F.col("cb")).otherwise(F.lit(0))).alias(f"b{k}"))
+        aggs.append(F.sum(F.when(below, F.col("cc")).otherwise(F.lit(0))).alias(f"c{k}"))
+    below = run.join(edges, "feature").groupBy("feature").agg(*aggs).join(counts, "feature")
     terms = []
     for k in range(n_bins):
         def cnt(side, k=k):
@@ -105,25 +108,38 @@ def psi(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = PSI_BIN
     return below.select("feature", sum(terms[1:], terms[0]).alias("psi"), "n_base", "n_cur")
 
 
+def ks_from_ranked(run: DataFrame, counts: DataFrame) -> DataFrame:
+    gap = F.abs(F.col("cum_cb") / F.col("tot_cb") - F.col("cum_cc") / F.col("tot_cc"))
+    ks = run.groupBy("feature").agg(F.max(gap).alias("ks_stat")).join(counts, "feature")
+    return ks.withColumn("ks_pvalue", ks_asymptotic_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur")))
+
+
+def psi(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
+    """M2: population stability index per feature.
+
+    Edges = exact deciles of baseline ∪ current (outer edges widened by eps);
+    bins half-open, last closed; shares of 0 replaced by eps;
+    PSI = sum((cur - base) * ln(cur / base)).  Duplicate edges are allowed (tied
+    data), which is why the counts use ``value < edge`` comparisons rather than
+    a bucketizer."""
+    run, counts = ranked_values(baseline_long, current_long)
+    return psi_from_ranked(run, counts, n_bins, eps)
+
+
 def ks_statistic(baseline_long: DataFrame, current_long: DataFrame, buckets: int = 64) -> DataFrame:
     """M3: two-sample KS distance sup|F_base - F_cur| per feature.
 
     Reduced to distinct values with per-side counts, then two-level running sums
     of both counts in value order; the supremum is attained at a data value."""
-    both, counts = _sides(baseline_long, current_long)
-    distinct = both.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == "b").alias("cb"), F.count_if(F.col("side") == "c").alias("cc")
-    )
-    run = prefix_sums(distinct, ["feature"], "value", ["cb", "cc"], buckets=buckets)
-    gap = F.abs(F.col("cum_cb") / F.col("tot_cb") - F.col("cum_cc") / F.col("tot_cc"))
-    return run.groupBy("feature").agg(F.max(gap).alias("ks_stat")).join(counts, "feature")
+    run, counts = ranked_values(baseline_long, current_long, buckets)
+    return ks_from_ranked(run, counts).drop("ks_pvalue")
 
 
 def ks_test(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
     """M3 + M4: KS statistic and two-sided asymptotic p-value (Kolmogorov series
     with n_eff = n1*n2/(n1+n2); decision D8)."""
-    ks = ks_statistic(baseline_long, current_long)
-    return ks.withColumn("ks_pvalue", ks_asymptotic_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur")))
+    run, counts = ranked_values(baseline_long, current_long)
+    return ks_from_ranked(run, counts)
 
 
 def drift_report(
@@ -136,8 +152,9 @@ def drift_report(
     """M5, M6, M8: one row per feature with PSI, KS statistic and p-value, the
     three flags (decided before rounding), values rounded to 5 decimals, and the
     three-band PSI reading."""
-    p = psi(baseline_long, current_long).select("feature", "psi")
-    k = ks_test(baseline_long, current_long).select("feature", "ks_stat", "ks_pvalue")
+    run, counts = ranked_values(baseline_long, current_long)
+    p = psi_from_ranked(run, counts).select("feature", "psi")
+    k = ks_from_ranked(run, counts).select("feature", "ks_stat", "ks_pvalue")
     r = p.join(k, "feature")
     psi_drift = F.col("psi") > F.lit(psi_threshold)
     ks_drift = F.col("ks_pvalue") < F.lit(ks_alpha)
@@ -202,3 +219,42 @@ def shift(df: DataFrame, features: Sequence[str], strength: float = 2.5) -> Data
     for c in features:
         out = out.withColumn(c, F.col(c) + F.lit(strength) * F.col(f"_sd_{c}"))
     return out.drop("_g", *[f"_sd_{c}" for c in features])
+
+
+def accuracy_by_window(
+    df: DataFrame, *, ts: str = "ts", label: str = "label", score: str = "score", threshold: float = 0.5, window: str = "1 day"
+) -> DataFrame:
+    """M11 (batch twin of the X3 stream): rows and share of correct decisions per
+    event-time window -- a grouped aggregate, no global ordering."""
+    correct = ((F.col(score) >= F.lit(threshold)).cast("int") == F.col(label).cast("int")).cast("double")
+    return (
+        df.groupBy(F.window(ts, window).alias("w"))
+        .agg(F.count(F.lit(1)).alias("n"), F.avg(correct).alias("accuracy"))
+        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "accuracy")
+    )
+
+
+def rolling_accuracy(
+    df: DataFrame,
+    n: int = 50,
+    *,
+    alert_below: float = 0.8,
+    unit: str = "unit_id",
+    cycle: str = "cycle",
+    label: str = "label",
+    score: str = "score",
+    threshold: float = 0.5,
+) -> DataFrame:
+    """Per unit, accuracy over its last ``n`` scored cycles (segmented
+    rolling window, so a hot unit is split) and an alert when it drops below
+    ``alert_below``."""
+    from fleetlens.operators.series import temporal_features
+
+    correct = ((F.col(score) >= F.lit(threshold)).cast("int") == F.col(label).cast("int")).cast("double")
+    base = df.select(unit, cycle, correct.alias("correct"))
+    feats = temporal_features(
+        base, ["correct"], unit=unit, cycle=cycle, windows=(n,), stats=("mean",), lags=(), diffs=(), spans=(),
+        trend_window=None, entropy_sensors=[], cross=False,
+    )
+    acc = F.col(f"correct_roll_mean_{n}")
+    return feats.select(unit, cycle, acc.alias("rolling_accuracy"), (acc < F.lit(alert_below)).alias("accuracy_alert"))

@@ -112,3 +112,11 @@ def prepare(
         return add_failure_label(df, horizon=horizon)
 
     return _one(train, None), (_one(test, test_truth) if test is not None else None), params
+
+
+def placeholder_labels(df: DataFrame, rul: str = "rul", label: str = "failure_label") -> DataFrame:
+    """P10: when no scaler/labels are available (scoring payloads), add constant
+    ``rul`` = 0 and ``failure_label`` = 0 so the feature layout matches training.
+    Existing columns are kept."""
+    add = {c: F.lit(0) for c in (rul, label) if c not in df.columns}
+    return df.withColumns(add) if add else df

@@ -279,6 +279,47 @@ def q_feature_importance(spark, sf_dir):
     return rounded(TR.feature_importance(spark, clf))
 
 
+def q_accuracy_monitor(spark, sf_dir):
+    s = scored(spark, sf_dir)
+    out = D.accuracy_by_window(s)
+    return rounded(out.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "n", "accuracy"))
+
+
+def q_rolling_accuracy(spark, sf_dir):
+    return rounded(D.rolling_accuracy(scored(spark, sf_dir), 20))
+
+
+def q_drift_check(spark, sf_dir):
+    """M12 on payloads built from events after the split, against a baseline
+    of the feature matrix before it (monitored: non-rolling, non-lag features)."""
+    from fleetlens.operators.series import feature_matrix, monitor_features
+    from fleetlens.plans.drift_check import drift_check
+    from fleetlens.sources import ingest as I
+
+    s = event_series(spark, sf_dir)
+    split = F.col("ts") < _ts(DRIFT_SPLIT_TS)
+    train = s.where(split).select("unit_id", "cycle", *EVENT_SENSORS)
+    params = L.fit_scaler(train, EVENT_SENSORS)
+    base_fm = feature_matrix(L.placeholder_labels(L.apply_scaler(train, params)), EVENT_SENSORS)
+    feats = monitor_features(base_fm)
+    from fleetlens.session import materialize
+
+    baseline = materialize(D.to_long(base_fm, feats), "check-baseline")  # the stored baseline
+    cur = S_renumber(s.where(~split))
+    reqs = I.parse_requests(I.requests_from_series(cur, EVENT_SENSORS), sensors=EVENT_SENSORS)
+    valid, _ = I.flatten_requests(reqs, sensors=EVENT_SENSORS)
+    summary, report = drift_check(valid, params, baseline, EVENT_SENSORS, feats)
+    return rounded(report)
+
+
+def S_renumber(df):
+    from fleetlens.operators.series import assign_cycle
+
+    return assign_cycle(df.drop("cycle"), "unit_id", ["ts", "event_id"])
+
+
 REGISTRY = {
     "unit_lifetimes": q_unit_lifetimes,
     "lifetime_summary": q_lifetime_summary,
@@ -308,6 +349,9 @@ REGISTRY = {
     "batch_counts": q_batch_counts,
     "payload_flatten": q_payload_flatten,
     "payload_quarantine": q_payload_quarantine,
+    "accuracy_monitor": q_accuracy_monitor,
+    "rolling_accuracy": q_rolling_accuracy,
+    "drift_check": q_drift_check,
     "train_leaderboard": q_train_leaderboard,
     "regressor_leaderboard": q_regressor_leaderboard,
     "score_fleet": q_score_fleet,

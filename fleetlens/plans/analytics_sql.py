@@ -406,6 +406,26 @@ def q_payload_quarantine() -> str:
     return f"WITH {SERIES_CTE}\n" + "\nUNION ALL\n".join(parts)
 
 
+def q_accuracy_monitor() -> str:
+    correct = "CAST((CAST(score >= 0.5 AS INTEGER) = CAST(label AS INTEGER)) AS DOUBLE)"
+    return with_processed(
+        "SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,\n"
+        f"       count(*) AS n, {rd(f'avg({correct})')} AS accuracy FROM scored WHERE ts IS NOT NULL GROUP BY 1, 2",
+        scored=True,
+    )
+
+
+def q_rolling_accuracy() -> str:
+    correct = "CAST((CAST(score >= 0.5 AS INTEGER) = CAST(label AS INTEGER)) AS DOUBLE)"
+    w = "(PARTITION BY unit_id ORDER BY cycle ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+    acc = f"CASE WHEN count(c) OVER {w} >= 10 THEN avg(c) OVER {w} END"
+    return with_processed(
+        f"SELECT unit_id, cycle, {rd(acc)} AS rolling_accuracy, ({acc}) < 0.8 AS accuracy_alert\n"
+        f"FROM (SELECT unit_id, cycle, {correct} AS c FROM scored)",
+        scored=True,
+    )
+
+
 ORACLES = {
     "unit_lifetimes": q_unit_lifetimes,
     "lifetime_summary": q_lifetime_summary,
@@ -435,4 +455,6 @@ ORACLES = {
     "batch_counts": q_batch_counts,
     "payload_flatten": q_payload_flatten,
     "payload_quarantine": q_payload_quarantine,
+    "accuracy_monitor": q_accuracy_monitor,
+    "rolling_accuracy": q_rolling_accuracy,
 }

@@ -77,30 +77,28 @@ def prefix_sums(
     return out.drop("_g0") if ungrouped else out
 
 
-def exact_quantiles(
-    df: DataFrame,
+def quantiles_from_ranked(
+    ranked: DataFrame,
     group: Sequence[str],
     value: str,
+    count: str,
+    cum: str,
+    total: str,
     probs: Sequence[float],
-    *,
-    buckets: int = 64,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation (numpy's default, Spark's
-    ``percentile``) per group, without gathering a group into one task.
+    """Exact linear-interpolation quantiles from a distinct-value table that
+    already carries per-value counts and inclusive running counts.
 
-    Returns one row per group with ``q_<i>`` columns, in the order of ``probs``.
-    """
+    Every value row tests whether it holds the floor / ceil rank of each
+    requested quantile (0-based ranks ``[cum - count, cum)``); the few hits are
+    aggregated per (group, quantile).  Returns one row per group with ``q_<i>``."""
     group = list(group)
-    vals = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sums(vals, group, value, ["_c"], buckets=buckets)
-    # rows [cum - c, cum) of the sorted sample hold this value (0-based ranks)
-    ranked = ranked.select(*group, value, (F.col("cum__c") - F.col("_c")).alias("_r0"), F.col("cum__c").alias("_r1"), F.col("tot__c").alias("_n"))
+    base = ranked.select(*group, value, (F.col(cum) - F.col(count)).alias("_r0"), F.col(cum).alias("_r1"), F.col(total).alias("_n"))
     reqs = []
     for i, p in enumerate(probs):
         h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(p))
         reqs.append(F.struct(F.lit(i).alias("i"), F.floor(h).cast("long").alias("lo"), F.ceil(h).cast("long").alias("hi"), h.alias("h")))
-    # every value row tests whether it holds the lo / hi rank of each requested quantile
-    hits = ranked.select(*group, value, "_r0", "_r1", F.explode(F.array(*reqs)).alias("_q"))
+    hits = base.select(*group, value, "_r0", "_r1", F.explode(F.array(*reqs)).alias("_q"))
     hits = hits.select(
         *group,
         F.col("_q.i").alias("_i"),
@@ -113,6 +111,24 @@ def exact_quantiles(
         F.first("_h").alias("_h"), F.first("_lo").alias("_lo"), F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi")
     )
     q = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
-    per_q = per_q.select(*group, "_i", q.alias("_qv"))
-    out = per_q.groupBy(*group).pivot("_i", list(range(len(probs)))).agg(F.first("_qv"))
+    out = per_q.select(*group, "_i", q.alias("_qv")).groupBy(*group).pivot("_i", list(range(len(probs)))).agg(F.first("_qv"))
     return out.select(*group, *[F.col(str(i)).alias(f"q_{i}") for i in range(len(probs))])
+
+
+def exact_quantiles(
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    *,
+    buckets: int = 64,
+) -> DataFrame:
+    """Exact quantiles with linear interpolation (numpy's default, Spark's
+    ``percentile``) per group, without gathering a group into one task.
+
+    Returns one row per group with ``q_<i>`` columns, in the order of ``probs``.
+    """
+    group = list(group)
+    vals = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_sums(vals, group, value, ["_c"], buckets=buckets)
+    return quantiles_from_ranked(ranked, group, value, "_c", "cum__c", "tot__c", probs)

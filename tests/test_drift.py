@@ -102,3 +102,32 @@ def test_prefix_sums_and_quantiles_against_numpy(spark):
         v = pdf[pdf.g == r["g"]]["v"].values
         for i, p in enumerate([0.0, 0.1, 0.5, 0.93, 1.0]):
             assert abs(r[f"q_{i}"] - np.percentile(v, p * 100)) < 1e-12
+
+
+def test_accuracy_monitors(spark):
+    rows = [(1, c, 1 if c % 4 == 0 else 0, 0.9 if c <= 20 else 0.1) for c in range(1, 41)]
+    df = spark.createDataFrame(rows, "unit_id long, cycle int, label int, score double")
+    got = D.rolling_accuracy(df, 10, alert_below=0.5).orderBy("cycle").collect()
+    assert got[3]["rolling_accuracy"] is None  # below min_periods (5)
+    assert got[9]["rolling_accuracy"] == sum(1 for c in range(1, 11) if c % 4 == 0) / 10
+    assert got[-1]["accuracy_alert"] is False and got[15]["accuracy_alert"] is True
+
+
+def test_drift_check_composition(spark):
+    import json
+
+    from fleetlens.operators import labels as L
+    from fleetlens.plans.drift_check import drift_check
+    from fleetlens.sources import ingest as I
+
+    rng = np.random.default_rng(9)
+    base = pd.DataFrame({"unit_id": 1, "cycle": np.arange(1, 201), "a": rng.normal(0, 1, 200), "b": rng.normal(5, 1, 200)})
+    params = L.fit_scaler(spark.createDataFrame(base), ["a", "b"])
+    baseline = D.to_long(L.apply_scaler(spark.createDataFrame(base[["a", "b"]]), params), ["a", "b"])
+    readings = [{"a": float(x), "b": float(y)} for x, y in zip(rng.normal(3, 1, 40), rng.normal(5, 1, 40))]
+    payloads = spark.createDataFrame([(0, json.dumps({"readings": readings})), (1, json.dumps({"readings": readings[:5]}))], "request_id long, payload string")
+    valid, _ = I.flatten_requests(I.parse_requests(payloads, sensors=["a", "b"]), sensors=["a", "b"])
+    summary, report = drift_check(valid, params, baseline, ["a", "b"], ["a", "b"], windows=(5,), lags=(1,), spans=(5,))
+    rows = {r["feature"]: r for r in report.collect()}
+    assert rows["a"]["drifted"] and set(rows) == {"a", "b"}
+    assert summary.collect()[0]["total_features"] == 2

@@ -90,3 +90,21 @@ def test_feature_catalog_overlapping_families(spark):
     assert got["Original sensors"] == 1
     assert got["Rate of change"] == 2  # temp_diff_50_30 is also a cross-sensor feature
     assert got["Cross-sensor"] == 2
+
+
+def test_placeholder_labels_and_monitor_subset(spark):
+    from fleetlens.operators.series import monitor_features
+
+    df = spark.createDataFrame([(1, 1, 2.0, 3.0, 4.0)], "unit_id long, cycle int, a double, a_roll_mean_5 double, a_lag_1 double")
+    out = L.placeholder_labels(df)
+    r = out.collect()[0]
+    assert r["rul"] == 0 and r["failure_label"] == 0
+    assert monitor_features(out) == ["a"]
+
+
+def test_sample_units(spark):
+    from fleetlens.sources.ingest import sample_units
+
+    df = _units(spark, {5: 3, 1: 2, 9: 4, 2: 1})
+    got = sample_units(df, 2).toPandas()
+    assert sorted(got["unit_id"].unique()) == [1, 2] and len(got) == 3
