@@ -479,13 +479,17 @@ def fill_gaps(
 ) -> DataFrame:
     """Forward fill, then back fill, per unit in cycle order.
 
-    Inside a segment both fills are *running* frames (back fill runs over the
-    reversed order), which Spark evaluates incrementally; across segments the
-    last (first) non-null value of every earlier (later) segment comes from a
-    small per-segment table.  Columns the schema proves non-null are passed
-    through untouched.  ``direction='forward'`` avoids the look-ahead of back
-    filling (needed for streams).
+    Forward fill is a running ``last(ignorenulls)`` frame.  After it, only a
+    unit's leading gap is still empty, and back filling that gap takes the unit's
+    first non-null value: a whole-partition ``first(ignorenulls)`` in the same
+    window (same sort).  Across segments, the last (first) non-null value of
+    every earlier (later) segment comes from a small per-segment table.  Columns
+    the schema proves non-null are passed through untouched.
+    ``direction='forward'`` avoids the look-ahead of back filling (needed for
+    streams); ``'both'`` is the reference's forward-then-back fill.
     """
+    if direction not in ("both", "forward"):
+        raise ValueError("direction must be 'both' or 'forward'")
     nullable = {f.name for f in df.schema.fields if f.nullable}
     wanted = columns if columns is not None else df.columns
     cols = [c for c in wanted if c not in (unit, cycle, _SEG) and c in nullable]
@@ -499,8 +503,9 @@ def fill_gaps(
     else:
         pos = F.col(cycle) - F.lit(1)
         tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
-    run_fwd = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).asc()).rowsBetween(Window.unboundedPreceding, 0)
-    run_bwd = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    seg_order = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).asc())
+    run_fwd = seg_order.rowsBetween(Window.unboundedPreceding, 0)
+    whole = seg_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     do_back = direction in ("both", "backward")
     do_fwd = direction in ("both", "forward")
 
@@ -526,16 +531,18 @@ def fill_gaps(
             )
     carry = edges.select(*carry_cols)
     joined = tagged.join(carry, [unit, _SEG], "left")
-    if do_fwd:
-        joined = joined.select(
-            *[c for c in joined.columns if c not in cols],
-            *[F.coalesce(F.last(F.col(c), ignorenulls=True).over(run_fwd), F.col(f"_pl{i}")).alias(c) for i, c in enumerate(cols)],
-        )
-    if do_back:
-        joined = joined.select(
-            *[c for c in joined.columns if c not in cols],
-            *[F.coalesce(F.col(c), F.last(F.col(c), ignorenulls=True).over(run_bwd), F.col(f"_nf{i}")).alias(c) for i, c in enumerate(cols)],
-        )
+    filled = []
+    for i, c in enumerate(cols):
+        e = F.col(c)
+        if do_fwd:
+            e = F.coalesce(e, F.last(F.col(c), ignorenulls=True).over(run_fwd), F.col(f"_pl{i}"))
+        if do_back:
+            # after a forward fill only a unit's leading gap is still empty, and the
+            # next value for any row of it is the first non-null value of the unit:
+            # this segment's (one whole-partition frame, same sort) or a later one's
+            e = F.coalesce(e, F.first(F.col(c), ignorenulls=True).over(whole), F.col(f"_nf{i}"))
+        filled.append(e.alias(c))
+    joined = joined.select(*[c for c in joined.columns if c not in cols], *filled)
     return joined.select(*base_cols)
 
 
