@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import PSI_BINS, PSI_EPS, ROUND_DIGITS, ks_asymptotic_pvalue
 from fleetlens.plans.prefix import exact_quantiles, prefix_sums, quantiles_from_ranked
+from fleetlens.session import materialize
 
 # Fixed values that must equal the reference's for equal results.
 PSI_THRESHOLD = 0.2
@@ -74,12 +75,24 @@ def _sides(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
 def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: int = 64):
     """One row per (feature, distinct value) with per-side counts and their
     running totals in value order (two-level prefix sums), plus per-feature
-    sample sizes.  PSI edges and the KS distance both read this one table."""
-    both, counts = _sides(baseline_long, current_long)
-    distinct = both.groupBy("feature", "value").agg(
-        F.count_if(F.col("side") == "b").alias("cb"), F.count_if(F.col("side") == "c").alias("cc")
-    ).withColumn("ca", F.col("cb") + F.col("cc"))
-    return prefix_sums(distinct, ["feature"], "value", ["cb", "cc", "ca"], buckets=buckets), counts
+    sample sizes (P8, P9 filters applied).  PSI edges and the KS distance both
+    read this one table.
+
+    The raw samples are aggregated once; the distinct-value table and its ranks
+    are written to the checkpoint folder, because every consumer prunes other
+    columns and Spark would otherwise recompute the whole chain per consumer."""
+    b = baseline_long.select("feature", "value", F.lit(1).alias("cb"), F.lit(0).alias("cc"))
+    c = current_long.select("feature", "value", F.lit(0).alias("cb"), F.lit(1).alias("cc"))
+    distinct = b.unionByName(c).groupBy("feature", "value").agg(
+        F.sum("cb").cast("long").alias("cb"), F.sum("cc").cast("long").alias("cc")
+    )
+    distinct = materialize(distinct, "drift-values")
+    counts = distinct.groupBy("feature").agg(F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur")).where(
+        (F.col("n_base") > 0) & (F.col("n_cur") >= MIN_CURRENT_VALUES)
+    )
+    kept = distinct.join(counts.select("feature"), "feature", "left_semi").withColumn("ca", F.col("cb") + F.col("cc"))
+    run = materialize(prefix_sums(kept, ["feature"], "value", ["cb", "cc", "ca"], buckets=buckets), "drift-ranks")
+    return run, counts
 
 
 def psi_from_ranked(run: DataFrame, counts: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:

@@ -34,7 +34,7 @@ def prefix_sums(
     *,
     descending: bool = False,
     buckets: int = 64,
-    accuracy: int = 10_000,
+    accuracy: int = 1_000,
 ) -> DataFrame:
     """Add ``cum_<v>`` (inclusive running sum of ``v`` in ``order`` within ``group``)
     and ``tot_<v>`` (group total) for every ``v`` in ``values``.
@@ -128,7 +128,10 @@ def exact_quantiles(
 
     Returns one row per group with ``q_<i>`` columns, in the order of ``probs``.
     """
+    from fleetlens.session import materialize
+
     group = list(group)
     vals = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sums(vals, group, value, ["_c"], buckets=buckets)
+    # the distinct-value table feeds three branches of the rank computation: write it once
+    ranked = prefix_sums(materialize(vals, "quantile-values"), group, value, ["_c"], buckets=buckets)
     return quantiles_from_ranked(ranked, group, value, "_c", "cum__c", "tot__c", probs)
