@@ -554,7 +554,7 @@ def feature_matrix(
     cycle: str = "cycle",
     fill: str = "both",
     drop_incomplete: bool = True,
-    materialize_features: bool = False,
+    materialize_features: bool = True,
     **feature_params,
 ) -> DataFrame:
     """Features (W1-W13) -> forward/back fill per unit (W14/W15) -> drop rows
@@ -562,9 +562,10 @@ def feature_matrix(
     rows exactly as in the reference (trap T1); ``drop_incomplete=False`` keeps them."""
     feats = temporal_features(df, sensors, unit=unit, cycle=cycle, keep_segment=True, **feature_params)
     if fill != "none" and materialize_features:
-        # the fill reads the features twice (per-segment edges + the rows):
-        # write them once to the checkpoint folder instead of computing every
-        # window twice
+        # the fill reads the features twice (per-segment edges + the rows).
+        # Recomputing means running every window function twice (the costliest
+        # per-row work here); writing once to the checkpoint folder costs one
+        # shuffle of the wide rows instead, and also cuts the lineage.
         feats = materialize(feats, "features")
     if fill != "none":
         feats = fill_gaps(feats, unit=unit, cycle=cycle, direction=fill)
