@@ -31,7 +31,6 @@ from fleetlens.functions.columns import (
     ewma_decay,
     ewma_max_exponent_rows,
     ewma_tail_rows,
-    min_periods,
     safe_div,
 )
 from fleetlens.functions.columns import ENTROPY_LOG_EPS, ENTROPY_STD_FLOOR
@@ -169,10 +168,6 @@ def segment(df: DataFrame, cycle: str, seg_rows: int, halo: int) -> DataFrame:
     )
 
 
-def _seg_window(unit: str, cycle: str):
-    return Window.partitionBy(unit, _SEG).orderBy(cycle)
-
-
 def choose_seg_rows(seg_rows: int | None, halo: int, spans: Sequence[float]) -> int:
     """Segment length: large enough to amortise the halo, small enough that the
     EWMA power weights r^-q stay finite inside a segment."""
@@ -185,60 +180,91 @@ def choose_seg_rows(seg_rows: int | None, halo: int, spans: Sequence[float]) ->
 # ── feature families (expressions over the segment window) ─────────────────
 
 
-def _rolling(sensors, windows, stats, w):
+# Expressions are written as SQL text and parsed once by the JVM: a feature
+# build has hundreds of window expressions, and building them Column by Column
+# costs several JVM round trips each on the driver.
+
+
+def _q(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def _d(x: float) -> str:
+    return f"{float(x)!r}D"
+
+
+class _Spec:
+    """SQL window specs over (unit, segment) ordered by cycle."""
+
+    def __init__(self, unit: str, cycle: str):
+        self.unit, self.cycle = unit, cycle
+        self.base = f"PARTITION BY {_q(unit)}, {_q(_SEG)} ORDER BY {_q(cycle)}"
+
+    def ordered(self) -> str:
+        return f"({self.base})"
+
+    def trailing(self, n: int) -> str:
+        return f"({self.base} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+    def prefix(self) -> str:
+        return f"({self.base} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+    def whole(self) -> str:
+        return f"({self.base} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+
+
+def _guard(s: str, frame: str, m: int, value: str) -> str:
+    """pandas ``min_periods``: ``value`` only where the frame holds >= m non-null values."""
+    return f"CASE WHEN count({_q(s)}) OVER {frame} >= {m} THEN {value} END"
+
+
+_ROLL_AGG = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max", "skew": "skewness"}
+
+
+def _rolling(sensors, windows, stats, sp: _Spec):
     out = []
     for s in sensors:
         for n in windows:
-            frame = w.rowsBetween(-(n - 1), 0)
+            frame = sp.trailing(n)
             m = max(n // 2, 1)
-            c = F.col(s)
             for st in stats:
-                if st == "mean":
-                    e = min_periods(s, frame, m, F.avg(c).over(frame))
-                elif st == "std":
-                    e = F.coalesce(min_periods(s, frame, m, F.stddev_samp(c).over(frame)), F.lit(0.0))
-                elif st == "min":
-                    e = min_periods(s, frame, m, F.min(c).over(frame))
-                elif st == "max":
-                    e = min_periods(s, frame, m, F.max(c).over(frame))
-                elif st == "skew":
-                    e = min_periods(s, frame, m, F.skewness(c).over(frame))
-                else:
+                if st not in _ROLL_AGG:
                     raise ValueError(f"unknown rolling statistic {st}")
-                out.append((f"{s}_roll_{st}_{n}", e.cast("double")))
+                e = _guard(s, frame, m, f"CAST({_ROLL_AGG[st]}({_q(s)}) OVER {frame} AS DOUBLE)")
+                if st == "std":
+                    e = f"COALESCE({e}, 0.0D)"
+                out.append((f"{s}_roll_{st}_{n}", e))
     return out
 
 
-def _lags(sensors, lags, w):
-    return [(f"{s}_lag_{k}", F.lag(F.col(s), k).over(w)) for s in sensors for k in lags]
+def _lags(sensors, lags, sp: _Spec):
+    return [(f"{s}_lag_{k}", f"lag({_q(s)}, {k}) OVER {sp.ordered()}") for s in sensors for k in lags]
 
 
-def _diffs(sensors, steps, w):
+def _diffs(sensors, steps, sp: _Spec):
     return [
-        (f"{s}_diff_{k}", F.coalesce(F.col(s) - F.lag(F.col(s), k).over(w), F.lit(0.0)).cast("double"))
+        (f"{s}_diff_{k}", f"CAST(COALESCE({_q(s)} - lag({_q(s)}, {k}) OVER {sp.ordered()}, 0.0D) AS DOUBLE)")
         for s in sensors
         for k in steps
     ]
 
 
-def _slopes(sensors, trend_window, w, cycle):
-    frame = w.rowsBetween(-(trend_window - 1), 0)
+def _slopes(sensors, trend_window, sp: _Spec):
+    frame = sp.trailing(trend_window)
     out = []
     for s in sensors:
-        slope = F.regr_slope(F.col(s), F.col(cycle).cast("double")).over(frame)
-        e = F.coalesce(min_periods(s, frame, SLOPE_MIN_PERIODS, slope), F.lit(0.0))
-        out.append((f"{s}_slope_{trend_window}", e.cast("double")))
+        slope = f"regr_slope({_q(s)}, CAST({_q(sp.cycle)} AS DOUBLE)) OVER {frame}"
+        out.append((f"{s}_slope_{trend_window}", f"CAST(COALESCE({_guard(s, frame, SLOPE_MIN_PERIODS, slope)}, 0.0D) AS DOUBLE)"))
     return out
 
 
-def _entropy_lags(sensors, window, w):
+def _entropy_lags(sensors, window, sp: _Spec):
     """W10 inputs: the window's values as lag(x, 0..window-1) columns plus the
     non-null count; the entropy itself is finished by :func:`_entropy_stages`."""
-    frame = w.rowsBetween(-(window - 1), 0)
     out = []
     for s in sensors:
-        out.append((f"_ec_{s}", F.count(F.col(s)).over(frame)))
-        out += [(f"_ev{k}_{s}", F.lag(F.col(s), k).over(w)) for k in range(1, window)]
+        out.append((f"_ec_{s}", f"count({_q(s)}) OVER {sp.trailing(window)}"))
+        out += [(f"_ev{k}_{s}", f"lag({_q(s)}, {k}) OVER {sp.ordered()}") for k in range(1, window)]
     return out
 
 
@@ -247,114 +273,111 @@ def _entropy_stages(df: DataFrame, sensors, window, keep) -> DataFrame:
     intermediate is computed once and the stages stay scalar and codegen-friendly."""
     if not sensors:
         return df
-    vals = {s: [F.col(s)] + [F.col(f"_ev{k}_{s}") for k in range(1, window)] for s in sensors}
+    vals = {s: [_q(s)] + [_q(f"_ev{k}_{s}") for k in range(1, window)] for s in sensors}
     st1 = []
     for s in sensors:
         v = vals[s]
-        ones = [F.when(x.isNotNull(), F.lit(1.0)).otherwise(F.lit(0.0)) for x in v]
-        tot = [F.coalesce(x, F.lit(0.0)) for x in v]
+        n = " + ".join(f"CASE WHEN {x} IS NOT NULL THEN 1.0D ELSE 0.0D END" for x in v)
+        tot = " + ".join(f"COALESCE({x}, 0.0D)" for x in v)
         st1 += [
-            sum(ones[1:], ones[0]).alias(f"_en_{s}"),
-            F.try_divide(sum(tot[1:], tot[0]), sum(ones[1:], ones[0])).alias(f"_em_{s}"),
-            F.least(*v).alias(f"_elo_{s}"),
-            F.greatest(*v).alias(f"_ehi_{s}"),
+            f"({n}) AS {_q('_en_' + s)}",
+            f"try_divide({tot}, {n}) AS {_q('_em_' + s)}",
+            f"least({', '.join(v)}) AS {_q('_elo_' + s)}",
+            f"greatest({', '.join(v)}) AS {_q('_ehi_' + s)}",
         ]
-    df = df.select("*", *st1)
+    df = df.selectExpr("*", *st1)
     st2 = []
     for s in sensors:
         v = vals[s]
-        mean, n, lo, hi = F.col(f"_em_{s}"), F.col(f"_en_{s}"), F.col(f"_elo_{s}"), F.col(f"_ehi_{s}")
-        sq = [F.when(x.isNotNull(), (x - mean) * (x - mean)).otherwise(F.lit(0.0)) for x in v]
-        st2.append(F.sqrt(F.try_divide(sum(sq[1:], sq[0]), n)).alias(f"_esd_{s}"))
-        step = (hi - lo) / F.lit(4.0)
+        mean, n, lo, hi = (_q(f"_em_{s}"), _q(f"_en_{s}"), _q(f"_elo_{s}"), _q(f"_ehi_{s}"))
+        sq = " + ".join(f"CASE WHEN {x} IS NOT NULL THEN ({x} - {mean}) * ({x} - {mean}) ELSE 0.0D END" for x in v)
+        st2.append(f"sqrt(try_divide({sq}, {n})) AS {_q('_esd_' + s)}")
+        step = f"(({hi} - {lo}) / 4.0D)"
         for k in (1, 2, 3):
-            edge = lo + F.lit(float(k)) * step
-            flags = [F.when(x < edge, F.lit(1.0)).otherwise(F.lit(0.0)) for x in v]
-            st2.append(sum(flags[1:], flags[0]).alias(f"_eb{k}_{s}"))
-    df = df.select("*", *st2)
+            edge = f"({lo} + {_d(k)} * {step})"
+            flags = " + ".join(f"CASE WHEN {x} < {edge} THEN 1.0D ELSE 0.0D END" for x in v)
+            st2.append(f"({flags}) AS {_q(f'_eb{k}_{s}')}")
+    df = df.selectExpr("*", *st2)
     out = []
     for s in sensors:
-        n = F.col(f"_en_{s}")
-        cuts = [F.lit(0.0), F.col(f"_eb1_{s}"), F.col(f"_eb2_{s}"), F.col(f"_eb3_{s}"), n]
+        n = _q(f"_en_{s}")
+        cuts = ["0.0D", _q(f"_eb1_{s}"), _q(f"_eb2_{s}"), _q(f"_eb3_{s}"), n]
         terms = []
         for k in range(4):
-            cnt = cuts[k + 1] - cuts[k]
-            p = F.try_divide(cnt, n)
-            terms.append(F.when(cnt > 0, p * F.log(p + F.lit(ENTROPY_LOG_EPS))).otherwise(F.lit(0.0)))
-        ent = F.when(F.col(f"_esd_{s}") < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-sum(terms[1:], terms[0]))
-        out.append(F.when(F.col(f"_ec_{s}") >= F.lit(window // 2), ent).alias(f"{s}_entropy_{window}"))
-    return df.select(*keep, *out)
+            cnt = f"({cuts[k + 1]} - {cuts[k]})"
+            p = f"try_divide({cnt}, {n})"
+            terms.append(f"CASE WHEN {cnt} > 0 THEN {p} * ln({p} + {_d(ENTROPY_LOG_EPS)}) ELSE 0.0D END")
+        ent = f"CASE WHEN {_q('_esd_' + s)} < {_d(ENTROPY_STD_FLOOR)} THEN 0.0D ELSE -({' + '.join(terms)}) END"
+        out.append(f"CASE WHEN {_q('_ec_' + s)} >= {window // 2} THEN {ent} END AS {_q(f'{s}_entropy_{window}')}")
+    return df.selectExpr(*[_q(c) for c in keep], *out)
+
 
+def _qpos(cycle: str, seg_rows: int) -> str:
+    """Row offset inside its segment."""
+    return f"({_q(cycle)} - 1 - {_q(_SEG)} * {seg_rows})"
 
-def _ewma_local(sensors, spans, w, cycle, seg_rows):
+
+def _ewma_local(sensors, spans, sp: _Spec, seg_rows):
     """Inside-segment power sums over own rows; completed later by the carry."""
-    prefix = w.rowsBetween(Window.unboundedPreceding, 0)
-    q = F.col(cycle) - F.lit(1) - F.col(_SEG) * F.lit(seg_rows)
+    q = _qpos(sp.cycle, seg_rows)
     out = []
     for s in sensors:
-        x = F.col(s)
-        ok = F.col(_OWN) & x.isNotNull()
+        ok = f"{_q(_OWN)} AND {_q(s)} IS NOT NULL"
         for span in spans:
             r = ewma_decay(span)
             if r <= 0.0:
                 continue
-            up = F.pow(F.lit(r), -q)
-            down = F.pow(F.lit(r), q)
-            out.append((f"_en_{s}_{span}", down * F.coalesce(F.sum(F.when(ok, up * x)).over(prefix), F.lit(0.0))))
-            out.append((f"_ed_{s}_{span}", down * F.coalesce(F.sum(F.when(ok, up)).over(prefix), F.lit(0.0))))
+            up, down = f"pow({_d(r)}, -{q})", f"pow({_d(r)}, {q})"
+            out.append((f"_en_{s}_{span}", f"{down} * COALESCE(sum(CASE WHEN {ok} THEN {up} * {_q(s)} END) OVER {sp.prefix()}, 0.0D)"))
+            out.append((f"_ed_{s}_{span}", f"{down} * COALESCE(sum(CASE WHEN {ok} THEN {up} END) OVER {sp.prefix()}, 0.0D)"))
     return out
 
 
 def _ewma_carry(df: DataFrame, unit, cycle, sensors, spans, seg_rows) -> DataFrame:
     """Per (unit, segment): EWMA numerator/denominator carried in from all earlier
     segments, truncated where the weight falls below 1e-18."""
-    q = F.col(cycle) - F.lit(1) - F.col(_SEG) * F.lit(seg_rows)
+    q = _qpos(cycle, seg_rows)
     aggs = []
     for s in sensors:
-        x = F.col(s)
         for span in spans:
             r = ewma_decay(span)
             if r <= 0.0:
                 continue
-            wt = F.pow(F.lit(r), F.lit(seg_rows - 1) - q)
-            aggs.append(F.coalesce(F.sum(F.when(x.isNotNull(), wt * x)), F.lit(0.0)).alias(f"_tn_{s}_{span}"))
-            aggs.append(F.coalesce(F.sum(F.when(x.isNotNull(), wt)), F.lit(0.0)).alias(f"_td_{s}_{span}"))
+            wt = f"pow({_d(r)}, {seg_rows - 1} - {q})"
+            aggs.append(F.expr(f"COALESCE(sum(CASE WHEN {_q(s)} IS NOT NULL THEN {wt} * {_q(s)} END), 0.0D)").alias(f"_tn_{s}_{span}"))
+            aggs.append(F.expr(f"COALESCE(sum(CASE WHEN {_q(s)} IS NOT NULL THEN {wt} END), 0.0D)").alias(f"_td_{s}_{span}"))
     totals = df.where(F.col(_OWN)).groupBy(unit, _SEG).agg(*aggs)
-    cols = [unit, _SEG]
+    cols = [_q(unit), _q(_SEG)]
     for s in sensors:
         for span in spans:
             r = ewma_decay(span)
             if r <= 0.0:
                 continue
             back = int(math.ceil(ewma_tail_rows(span) / seg_rows)) + 1
-            frame = Window.partitionBy(unit).orderBy(_SEG).rowsBetween(-back, -1)
-            rc = r ** seg_rows
+            frame = f"(PARTITION BY {_q(unit)} ORDER BY {_q(_SEG)} ROWS BETWEEN {back} PRECEDING AND 1 PRECEDING)"
+            rc = r**seg_rows
             for kind in ("n", "d"):
-                hist = F.collect_list(F.struct(F.col(_SEG), F.col(f"_t{kind}_{s}_{span}").alias("v"))).over(frame)
+                hist = f"collect_list(named_struct('seg', {_q(_SEG)}, 'v', {_q(f'_t{kind}_{s}_{span}')})) OVER {frame}"
                 # Horner fold in segment order: carry = carry * r^seg_rows + total
-                folded = _horner(F.array_sort(hist), rc)
-                cols.append(folded.alias(f"_c{kind}_{s}_{span}"))
-    return totals.select(*cols)
-
-
-def _horner(items: Column, factor: float) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, e: acc * F.lit(factor) + e["v"])
+                folded = f"aggregate(array_sort({hist}), 0.0D, (acc, e) -> acc * {_d(rc)} + e.v)"
+                cols.append(f"{folded} AS {_q(f'_c{kind}_{s}_{span}')}")
+    return totals.selectExpr(*cols)
 
 
 def _ewma_finish(sensors, spans, cycle, seg_rows):
-    q = F.col(cycle) - F.lit(1) - F.col(_SEG) * F.lit(seg_rows)
+    q = _qpos(cycle, seg_rows)
     out = []
     for s in sensors:
         for span in spans:
             r = ewma_decay(span)
             name = f"{s}_ewm_{span}"
             if r <= 0.0:
-                out.append((name, F.col(s).cast("double")))
+                out.append((name, f"CAST({_q(s)} AS DOUBLE)"))
                 continue
-            k = F.pow(F.lit(r), q + F.lit(1))
-            num = F.col(f"_en_{s}_{span}") + k * F.coalesce(F.col(f"_cn_{s}_{span}"), F.lit(0.0))
-            den = F.col(f"_ed_{s}_{span}") + k * F.coalesce(F.col(f"_cd_{s}_{span}"), F.lit(0.0))
-            out.append((name, F.when(den > F.lit(0.0), num / den)))
+            k = f"pow({_d(r)}, {q} + 1)"
+            num = f"({_q(f'_en_{s}_{span}')} + {k} * COALESCE({_q(f'_cn_{s}_{span}')}, 0.0D))"
+            den = f"({_q(f'_ed_{s}_{span}')} + {k} * COALESCE({_q(f'_cd_{s}_{span}')}, 0.0D))"
+            out.append((name, f"CASE WHEN {den} > 0.0D THEN {num} / {den} END"))
     return out
 
 
@@ -425,15 +448,15 @@ def temporal_features(
     size = choose_seg_rows(seg_rows, halo, spans)
     base_cols = df.columns
     seg = segment(df, cycle, size, halo)
-    w = _seg_window(unit, cycle)
-
-    fams: list[tuple[str, Column]] = []
-    fams += _rolling(sensors, windows, stats, w)
-    fams += _lags(sensors, lags, w)
-    fams += _diffs(sensors, diffs, w)
-    ewma_local = _ewma_local(sensors, spans, w, cycle, size)
-    slope = _slopes(sensors, trend_window, w, cycle) if trend_window else []
-    ent = _entropy_lags(entropy_sensors, entropy_window, w)
+    sp = _Spec(unit, cycle)
+
+    fams: list[tuple[str, str]] = []
+    fams += _rolling(sensors, windows, stats, sp)
+    fams += _lags(sensors, lags, sp)
+    fams += _diffs(sensors, diffs, sp)
+    ewma_local = _ewma_local(sensors, spans, sp, size)
+    slope = _slopes(sensors, trend_window, sp) if trend_window else []
+    ent = _entropy_lags(entropy_sensors, entropy_window, sp)
     if cross is True:
         cr = cross_sensor_columns(base_cols)
     elif isinstance(cross, dict):
@@ -441,8 +464,8 @@ def temporal_features(
     else:
         cr = []
 
-    staged = seg.select(
-        *base_cols, _SEG, _OWN, *[e.alias(n) for n, e in fams + ewma_local + slope + ent]
+    staged = seg.selectExpr(
+        *[_q(c) for c in base_cols], _q(_SEG), _q(_OWN), *[f"{e} AS {_q(n)}" for n, e in fams + ewma_local + slope + ent]
     ).where(F.col(_OWN))
     ewm_names: list[str] = []
     if ewma_local:
@@ -450,22 +473,22 @@ def temporal_features(
         staged = staged.join(carry, [unit, _SEG], "left")
         fin = _ewma_finish(sensors, spans, cycle, size)
         ewm_names = [n for n, _ in fin]
-        staged = staged.select("*", *[e.alias(n) for n, e in fin])
+        staged = staged.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in fin])
     elif spans:
-        fin = [(f"{s}_ewm_{sp}", F.col(s).cast("double")) for s in sensors for sp in spans]
+        fin = [(f"{s}_ewm_{sp_}", f"CAST({_q(s)} AS DOUBLE)") for s in sensors for sp_ in spans]
         ewm_names = [n for n, _ in fin]
-        staged = staged.select("*", *[e.alias(n) for n, e in fin])
+        staged = staged.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in fin])
     ordered = (
         list(base_cols)
         + [n for n, _ in fams]
         + ewm_names
         + [n for n, _ in slope]
     )
-    ent_names = [f"{s}_entropy_{entropy_window}" for s in entropy_sensors]
     if keep_segment:
         ordered = ordered + [_SEG]
+    ent_names = [f"{s}_entropy_{entropy_window}" for s in entropy_sensors]
     staged = _entropy_stages(staged, list(entropy_sensors), entropy_window, ordered)
-    return staged.select(*ordered, *ent_names, *[e.alias(n) for n, e in cr])
+    return staged.select(*[F.col(_q(c)) for c in ordered], *[F.col(_q(c)) for c in ent_names], *[e.alias(n) for n, e in cr])
 
 
 def fill_gaps(
@@ -503,46 +526,35 @@ def fill_gaps(
     else:
         pos = F.col(cycle) - F.lit(1)
         tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
-    seg_order = Window.partitionBy(unit, _SEG).orderBy(F.col(cycle).asc())
-    run_fwd = seg_order.rowsBetween(Window.unboundedPreceding, 0)
-    whole = seg_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    do_back = direction in ("both", "backward")
-    do_fwd = direction in ("both", "forward")
-
+    sp = _Spec(unit, cycle)
+    do_back = direction == "both"
     edge_aggs = []
     for i, c in enumerate(cols):
         # max_by / min_by skip rows whose ordering is NULL: last / first non-null value
-        at = F.when(F.col(c).isNotNull(), F.col(cycle))
-        if do_fwd:
-            edge_aggs.append(F.max_by(F.col(c), at).alias(f"_l{i}"))
+        at = f"CASE WHEN {_q(c)} IS NOT NULL THEN {_q(cycle)} END"
+        edge_aggs.append(F.expr(f"max_by({_q(c)}, {at})").alias(f"_l{i}"))
         if do_back:
-            edge_aggs.append(F.min_by(F.col(c), at).alias(f"_f{i}"))
+            edge_aggs.append(F.expr(f"min_by({_q(c)}, {at})").alias(f"_f{i}"))
     edges = tagged.groupBy(unit, _SEG).agg(*edge_aggs)
-    sw = Window.partitionBy(unit).orderBy(_SEG)
-    carry_cols = [unit, _SEG]
+    base = f"PARTITION BY {_q(unit)} ORDER BY {_q(_SEG)}"
+    carry_cols = [_q(unit), _q(_SEG)]
     for i, _ in enumerate(cols):
-        if do_fwd:
-            carry_cols.append(
-                F.last(f"_l{i}", ignorenulls=True).over(sw.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_pl{i}")
-            )
+        carry_cols.append(f"last(`_l{i}`, true) OVER ({base} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS `_pl{i}`")
         if do_back:
-            carry_cols.append(
-                F.first(f"_f{i}", ignorenulls=True).over(sw.rowsBetween(1, Window.unboundedFollowing)).alias(f"_nf{i}")
-            )
-    carry = edges.select(*carry_cols)
+            carry_cols.append(f"first(`_f{i}`, true) OVER ({base} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS `_nf{i}`")
+    carry = edges.selectExpr(*carry_cols)
     joined = tagged.join(carry, [unit, _SEG], "left")
     filled = []
     for i, c in enumerate(cols):
-        e = F.col(c)
-        if do_fwd:
-            e = F.coalesce(e, F.last(F.col(c), ignorenulls=True).over(run_fwd), F.col(f"_pl{i}"))
+        e = f"COALESCE({_q(c)}, last({_q(c)}, true) OVER {sp.prefix()}, `_pl{i}`"
         if do_back:
             # after a forward fill only a unit's leading gap is still empty, and the
             # next value for any row of it is the first non-null value of the unit:
             # this segment's (one whole-partition frame, same sort) or a later one's
-            e = F.coalesce(e, F.first(F.col(c), ignorenulls=True).over(whole), F.col(f"_nf{i}"))
-        filled.append(e.alias(c))
-    joined = joined.select(*[c for c in joined.columns if c not in cols], *filled)
+            e += f", first({_q(c)}, true) OVER {sp.whole()}, `_nf{i}`"
+        filled.append(f"{e}) AS {_q(c)}")
+    keep = [_q(c) for c in joined.columns if c not in cols]
+    joined = joined.selectExpr(*keep, *filled)
     return joined.select(*base_cols)
 
 
