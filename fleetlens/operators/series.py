@@ -154,17 +154,17 @@ def assign_cycle(
 # ── segmentation ────────────────────────────────────────────────────────────
 
 
-def segment(df: DataFrame, cycle: str, seg_rows: int, halo: int) -> DataFrame:
-    """Tag rows with ``_seg`` = (cycle-1) div seg_rows and copy the last ``halo``
-    rows of each segment into the next one (``_own`` = false on the copies)."""
+def segment(df: DataFrame, cycle: str, seg_rows: int, halo: int, seg_col: str = "_seg", own_col: str = "_own") -> DataFrame:
+    """Tag rows with ``seg_col`` = (cycle-1) div seg_rows and copy the last ``halo``
+    rows of each segment into the next one (``own_col`` = false on the copies)."""
     if halo > seg_rows:
         raise ValueError("halo must not exceed seg_rows")
     pos = F.col(cycle) - F.lit(1)
     seg = F.floor(pos / F.lit(seg_rows)).cast("long")
     in_tail = (pos % F.lit(seg_rows)) >= F.lit(seg_rows - halo)
     targets = F.when(F.lit(halo > 0) & in_tail, F.array(seg, seg + 1)).otherwise(F.array(seg))
-    return df.select("*", F.posexplode(targets).alias("_copy", _SEG)).select(
-        *df.columns, _SEG, (F.col("_copy") == 0).alias(_OWN)
+    return df.select("*", F.posexplode(targets).alias("_copy", seg_col)).select(
+        *df.columns, seg_col, (F.col("_copy") == 0).alias(own_col)
     )
 
 
@@ -347,21 +347,27 @@ def _ewma_carry(df: DataFrame, unit, cycle, sensors, spans, seg_rows) -> DataFra
             aggs.append(F.expr(f"COALESCE(sum(CASE WHEN {_q(s)} IS NOT NULL THEN {wt} * {_q(s)} END), 0.0D)").alias(f"_tn_{s}_{span}"))
             aggs.append(F.expr(f"COALESCE(sum(CASE WHEN {_q(s)} IS NOT NULL THEN {wt} END), 0.0D)").alias(f"_td_{s}_{span}"))
     totals = df.where(F.col(_OWN)).groupBy(unit, _SEG).agg(*aggs)
-    cols = [_q(unit), _q(_SEG)]
+    backs = [int(math.ceil(ewma_tail_rows(span) / seg_rows)) + 1 for span in spans if ewma_decay(span) > 0.0]
+    halo = max(backs) if backs else 1
+    # the per-unit table of segments is itself cut into groups of SUPER_ROWS
+    # segments (halo: the `back` segments a carry reads), so no task holds all
+    # segments of a hot unit
+    totals = segment(totals.withColumn("_segp1", F.col(_SEG) + 1), "_segp1", max(SUPER_ROWS, halo), halo, "_sup", "_sown")
+    cols = [_q(unit), _q(_SEG), "`_sown`"]
     for s in sensors:
         for span in spans:
             r = ewma_decay(span)
             if r <= 0.0:
                 continue
             back = int(math.ceil(ewma_tail_rows(span) / seg_rows)) + 1
-            frame = f"(PARTITION BY {_q(unit)} ORDER BY {_q(_SEG)} ROWS BETWEEN {back} PRECEDING AND 1 PRECEDING)"
+            frame = f"(PARTITION BY {_q(unit)}, `_sup` ORDER BY {_q(_SEG)} ROWS BETWEEN {back} PRECEDING AND 1 PRECEDING)"
             rc = r**seg_rows
             for kind in ("n", "d"):
                 hist = f"collect_list(named_struct('seg', {_q(_SEG)}, 'v', {_q(f'_t{kind}_{s}_{span}')})) OVER {frame}"
                 # Horner fold in segment order: carry = carry * r^seg_rows + total
                 folded = f"aggregate(array_sort({hist}), 0.0D, (acc, e) -> acc * {_d(rc)} + e.v)"
                 cols.append(f"{folded} AS {_q(f'_c{kind}_{s}_{span}')}")
-    return totals.selectExpr(*cols)
+    return totals.selectExpr(*cols).where("_sown").drop("_sown")
 
 
 def _ewma_finish(sensors, spans, cycle, seg_rows):
@@ -491,6 +497,48 @@ def temporal_features(
     return staged.select(*[F.col(_q(c)) for c in ordered], *[F.col(_q(c)) for c in ent_names], *[e.alias(n) for n, e in cr])
 
 
+SUPER_ROWS = 1024  # segments per group in the per-unit carry tables
+
+
+def _segment_carry(edges: DataFrame, unit: str, n: int, do_back: bool) -> DataFrame:
+    """Per (unit, segment): the last non-null value of every column in earlier
+    segments (``_pl<i>``) and the first non-null in later ones (``_nf<i>``).
+
+    Two levels, so a hot unit's segments are not ordered in one task: running
+    frames inside groups of SUPER_ROWS segments, then the same over the (much
+    smaller) table of groups.  Only running frames are used -- the backward
+    carry runs over descending order -- because Spark re-evaluates frames that
+    reach UNBOUNDED FOLLOWING on every row."""
+    e = edges.withColumn("_sup", F.floor(F.col(_SEG) / F.lit(SUPER_ROWS)).cast("long"))
+    asc = f"(PARTITION BY {_q(unit)}, `_sup` ORDER BY {_q(_SEG)} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    desc = f"(PARTITION BY {_q(unit)}, `_sup` ORDER BY {_q(_SEG)} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    lvl1 = [_q(unit), _q(_SEG), "`_sup`"]
+    sup_aggs = []
+    for i in range(n):
+        lvl1.append(f"last(`_l{i}`, true) OVER {asc} AS `_a{i}`")
+        sup_aggs.append(F.expr(f"max_by(`_l{i}`, CASE WHEN `_l{i}` IS NOT NULL THEN {_q(_SEG)} END)").alias(f"_sl{i}"))
+        if do_back:
+            lvl1.append(f"last(`_f{i}`, true) OVER {desc} AS `_b{i}`")
+            sup_aggs.append(F.expr(f"min_by(`_f{i}`, CASE WHEN `_f{i}` IS NOT NULL THEN {_q(_SEG)} END)").alias(f"_sf{i}"))
+    inner = e.selectExpr(*lvl1)
+    sups = e.groupBy(unit, "_sup").agg(*sup_aggs)
+    sasc = f"(PARTITION BY {_q(unit)} ORDER BY `_sup` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    sdesc = f"(PARTITION BY {_q(unit)} ORDER BY `_sup` DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    lvl2 = [_q(unit), "`_sup`"]
+    for i in range(n):
+        lvl2.append(f"last(`_sl{i}`, true) OVER {sasc} AS `_c{i}`")
+        if do_back:
+            lvl2.append(f"last(`_sf{i}`, true) OVER {sdesc} AS `_d{i}`")
+    outer = sups.selectExpr(*lvl2)
+    both = inner.join(outer, [unit, "_sup"], "left")
+    out = [_q(unit), _q(_SEG)]
+    for i in range(n):
+        out.append(f"COALESCE(`_a{i}`, `_c{i}`) AS `_pl{i}`")
+        if do_back:
+            out.append(f"COALESCE(`_b{i}`, `_d{i}`) AS `_nf{i}`")
+    return both.selectExpr(*out)
+
+
 def fill_gaps(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -536,13 +584,7 @@ def fill_gaps(
         if do_back:
             edge_aggs.append(F.expr(f"min_by({_q(c)}, {at})").alias(f"_f{i}"))
     edges = tagged.groupBy(unit, _SEG).agg(*edge_aggs)
-    base = f"PARTITION BY {_q(unit)} ORDER BY {_q(_SEG)}"
-    carry_cols = [_q(unit), _q(_SEG)]
-    for i, _ in enumerate(cols):
-        carry_cols.append(f"last(`_l{i}`, true) OVER ({base} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS `_pl{i}`")
-        if do_back:
-            carry_cols.append(f"first(`_f{i}`, true) OVER ({base} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS `_nf{i}`")
-    carry = edges.selectExpr(*carry_cols)
+    carry = _segment_carry(edges, unit, len(cols), do_back)
     joined = tagged.join(carry, [unit, _SEG], "left")
     filled = []
     for i, c in enumerate(cols):

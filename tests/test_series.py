@@ -177,3 +177,27 @@ def test_segments_bound_task_size_for_a_hot_unit(spark):
     assert max(sizes) <= 500 + 29 and len(sizes) == 11
     own = [r["count"] for r in seg.where("_own").groupBy("unit_id", "_seg").count().collect()]
     assert sorted(own) == [500] * 10
+
+
+def test_two_level_carries_match_pandas(spark, pdf, sdf, monkeypatch):
+    """Tiny segments and groups: unit 2 (400 rows) has 100 segments of 4 rows,
+    the EWMA carry groups hold 27 segments (its halo), the fill groups 3, so
+    carries cross group borders."""
+    monkeypatch.setattr(S, "SUPER_ROWS", 3)
+    got = (
+        S.temporal_features(sdf, ["s1", "s2"], windows=[5], lags=[3], spans=[5], entropy_sensors=[], trend_window=None, cross=False, seg_rows=3)
+        .toPandas().sort_values(["unit_id", "cycle"]).reset_index(drop=True)
+    )
+    exp = RM.features(pdf, ["s1", "s2"], windows=[5], lags=[3], spans=[5], entropy_sensors=[])
+    exp = exp.sort_values(["unit_id", "cycle"]).reset_index(drop=True)
+    for c in [c for c in got.columns if "_ewm_" in c]:
+        ok, bad = _close(got[c], exp[c])
+        assert ok, (c, bad)
+    lagged = S.temporal_features(sdf, ["s2"], windows=[], lags=[3], diffs=[], spans=[], trend_window=None, entropy_sensors=[], cross=False)
+    filled = S.fill_gaps(lagged, seg_rows=5).toPandas().sort_values(["unit_id", "cycle"]).reset_index(drop=True)
+    base = pdf[["unit_id", "cycle", "s2"]].copy()
+    base["s2_lag_3"] = base.groupby("unit_id")["s2"].shift(3)
+    ref = RM.fill(base).sort_values(["unit_id", "cycle"]).reset_index(drop=True)
+    for c in ["s2", "s2_lag_3"]:
+        ok, bad = _close(filled[c], ref[c])
+        assert ok, (c, bad)
