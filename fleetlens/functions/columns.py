@@ -1,5 +1,6 @@
-"""Column-level helpers: every function returns a Spark ``Column`` built from
-built-in expressions, so it stays inside Catalyst and whole-stage codegen."""
+"""Column-level helpers and the fixed constants of the entropy, PSI and report
+rounding.  Every helper returns a Spark ``Column`` built from built-in
+expressions, so it stays inside Catalyst and whole-stage codegen."""
 
 from __future__ import annotations
 
@@ -32,11 +33,6 @@ def safe_div(num: str | Column, den: str | Column) -> Column:
     return F.try_divide(col_(num), col_(den))
 
 
-def min_periods(c: str | Column, frame, m: int, value: Column) -> Column:
-    """pandas ``min_periods``: ``value`` only where the frame holds >= m non-null values."""
-    return F.when(F.count(col_(c)).over(frame) >= F.lit(m), value)
-
-
 def ewma_decay(span: float) -> float:
     """pandas ``span`` parameterisation: alpha = 2/(span+1); returns 1 - alpha."""
     if span < 1:
@@ -60,68 +56,6 @@ def ewma_max_exponent_rows(span: float, max_log: float = 600.0) -> int:
     return max(1, int(max_log / math.log(1.0 / r)))
 
 
-def window_entropy(values: Column, n_bins: int = ENTROPY_BINS) -> Column:
-    """Histogram entropy of one window's values (an ARRAY<DOUBLE> of non-null values).
-
-    0 when the population std is below the floor; otherwise equal-width bins from
-    the window min to max (last bin closed) and -sum(p * ln(p + 1e-10)) over the
-    non-empty bins.  The bins are cut on the raw values: dividing by the std is a
-    positive rescale that does not move any value across a bin edge.
-    """
-    n = F.size(values)
-    mn = F.array_min(values)
-    mx = F.array_max(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n
-    var_pop = F.aggregate(values, F.lit(0.0), lambda a, x: a + (x - mean) * (x - mean)) / n
-    std = F.sqrt(var_pop)
-    step = (mx - mn) / F.lit(float(n_bins))
-    # number of values strictly below each inner edge; bin k holds below[k+1] - below[k]
-    below = [F.lit(0)] + [_count_below(values, mn + F.lit(float(k)) * step) for k in range(1, n_bins)] + [n]
-    terms = []
-    for k in range(n_bins):
-        cnt = below[k + 1] - below[k]
-        p = cnt / n
-        terms.append(F.when(cnt > 0, p * F.log(p + F.lit(ENTROPY_LOG_EPS))).otherwise(F.lit(0.0)))
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return F.when(std < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-total)
-
-
-def window_entropy_cols(vals: list[Column], n_bins: int = ENTROPY_BINS) -> Column:
-    """Same entropy as :func:`window_entropy`, but over the window's values given as
-    separate (nullable) columns -- e.g. ``lag(x, 0..w-1)`` -- so the whole
-    expression is scalar arithmetic that whole-stage codegen compiles."""
-    present = [v.isNotNull() for v in vals]
-    n = sum((F.when(p, F.lit(1.0)).otherwise(F.lit(0.0)) for p in present[1:]),
-            F.when(present[0], F.lit(1.0)).otherwise(F.lit(0.0)))
-    mn = F.least(*vals)
-    mx = F.greatest(*vals)
-    total = sum((F.coalesce(v, F.lit(0.0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0.0)))
-    mean = total / n
-    sq = [F.when(p, (v - mean) * (v - mean)).otherwise(F.lit(0.0)) for v, p in zip(vals, present)]
-    var_pop = sum(sq[1:], sq[0]) / n
-    std = F.sqrt(var_pop)
-    step = (mx - mn) / F.lit(float(n_bins))
-
-    def below(edge):
-        flags = [F.when(v < edge, F.lit(1.0)).otherwise(F.lit(0.0)) for v in vals]
-        return sum(flags[1:], flags[0])
-
-    cuts = [F.lit(0.0)] + [below(mn + F.lit(float(k)) * step) for k in range(1, n_bins)] + [n]
-    terms = []
-    for k in range(n_bins):
-        cnt = cuts[k + 1] - cuts[k]
-        p = cnt / n
-        terms.append(F.when(cnt > 0, p * F.log(p + F.lit(ENTROPY_LOG_EPS))).otherwise(F.lit(0.0)))
-    tot = sum(terms[1:], terms[0])
-    return F.when(std < F.lit(ENTROPY_STD_FLOOR), F.lit(0.0)).otherwise(-tot)
-
-
-def _count_below(values: Column, edge: Column) -> Column:
-    return F.size(F.filter(values, lambda x: x < edge))
-
-
 def ks_asymptotic_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
     """Two-sided Kolmogorov distribution tail Q(lambda) = 2 sum (-1)^(k-1) e^(-2 k^2 lambda^2)
     with lambda = D * sqrt(n1*n2/(n1+n2)), clipped to [0, 1]."""

@@ -55,17 +55,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and cut its lineage.
-
-    Used where a later step must see exactly the same rows and partition
-    layout twice (nondeterministic ids, sampled range bounds); survives the loss
-    of executors because the files live in shared storage.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
 
