@@ -82,6 +82,18 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES):
         i = j
 
 
+def run_hashes(text: np.ndarray, starts: np.ndarray, length: np.ndarray, prefixes=()):
+    """64-bit hashes of runs of bytes that follow one another; with ``prefixes`` also
+    those of each run's first k bytes, as (hashes, {k: hashes})."""
+    place = np.arange(len(text)) - np.repeat(starts, length)
+    with np.errstate(over="ignore"):
+        values = (text.astype(np.uint64) + np.uint64(1)) * _power_table(int(length.max()))[place]
+        whole = mix(np.add.reduceat(values, starts) + length.astype(np.uint64) * _BASE)
+        if not prefixes:
+            return whole
+        return whole, {k: mix(np.add.reduceat(np.where(place < k, values, np.uint64(0)), starts) + np.uint64(k)) for k in prefixes}
+
+
 class Words:
     """Words of a block of texts: ``doc`` (row of each word), ``hash`` and, where
     asked, the hashes of the words' first k bytes.  Words are runs of ``members``
@@ -106,12 +118,7 @@ class Words:
         begin = np.cumsum(inside)[at] - 1
         letters = LOWER[text[inside]]
         self.length = np.diff(np.append(begin, len(letters)))
-        place = np.arange(len(letters)) - np.repeat(begin, self.length)
-        with np.errstate(over="ignore"):
-            values = (letters.astype(np.uint64) + np.uint64(1)) * _power_table(int(self.length.max()))[place]
-            self.hash = mix(np.add.reduceat(values, begin) + self.length.astype(np.uint64) * _BASE)
-            for k in prefixes:
-                self.prefix[k] = mix(np.add.reduceat(np.where(place < k, values, np.uint64(0)), begin) + np.uint64(k))
+        self.hash, self.prefix = run_hashes(letters, begin, self.length, prefixes) if prefixes else (run_hashes(letters, begin, self.length), {})
 
     def counts(self) -> np.ndarray:
         return np.bincount(self.doc, minlength=self.n_docs)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import Scratch, documents
-from fleetlens.llm.tokens import ids_crc32, text_blocks, tokenizer
+from fleetlens.llm.tokens import ids_crc32, tokenizer
 
 MAX_TOKENS = 2048
 WORD_END_ID = 1
@@ -50,20 +50,19 @@ def _cut(path: str, end_id: int, max_tokens: int):
 
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for first, texts in text_blocks(batch.column(1).to_pylist()):
-                for i, ids in enumerate(tok.encode(texts)):
-                    ids = np.append(ids, np.uint32(end_id))
-                    at = 0
-                    for n in piece_lengths(len(ids), max_tokens):
-                        place = placed.get(n, 0)
-                        placed[n] = place + 1
-                        for c, v in zip(cols, (doc_ids[first + i], at, n, len(ids), ids[at : at + n], place)):
-                            c.append(v)
-                        at += n
-                    held += len(ids)
-                    if held >= full:
-                        yield flush()
-                        cols, held = [[] for _ in range(6)], 0
+            for doc, ids in zip(doc_ids, tok.encode_column(batch.column(1))):
+                ids = np.append(ids, np.uint32(end_id))
+                at = 0
+                for n in piece_lengths(len(ids), max_tokens):
+                    place = placed.get(n, 0)
+                    placed[n] = place + 1
+                    for c, v in zip(cols, (doc, at, n, len(ids), ids[at : at + n], place)):
+                        c.append(v)
+                    at += n
+                held += len(ids)
+                if held >= full:
+                    yield flush()
+                    cols, held = [[] for _ in range(6)], 0
         if cols[0]:
             yield flush()
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import Scratch, documents
-from fleetlens.llm.tokens import ids_crc32, text_blocks, tokenizer
+from fleetlens.llm.tokens import ids_crc32, tokenizer
 
 MAGIC = b"PFOR0001"
 BLOCK = 256
@@ -63,11 +63,19 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(out.T)
 
 
-def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """(block starts, blocks) of the ids; the last block is filled with its last id."""
-    if not len(ids):
-        return np.zeros(1, "<u8"), b""
-    ids = np.asarray(ids, dtype=np.uint32)
+def encode_ids(ids: np.ndarray, at_once: int = 1 << 20) -> tuple[np.ndarray, bytes]:
+    """(block starts, blocks) of the ids, ``at_once`` (whole blocks) at a time."""
+    starts, bodies, size = [np.zeros(1, "<u8")], [], 0
+    for i in range(0, len(ids), at_once):
+        ends, body = _encode_part(np.asarray(ids[i : i + at_once], dtype=np.uint32))
+        starts.append(ends + np.uint64(size))
+        bodies.append(body)
+        size += len(body)
+    return np.concatenate(starts).astype("<u8"), b"".join(bodies)
+
+
+def _encode_part(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """(block ends, blocks); the last block is filled with its last id."""
     n = -(-len(ids) // BLOCK)
     grid = np.concatenate([ids, np.full(n * BLOCK - len(ids), ids[-1], np.uint32)]).reshape(n, BLOCK)
     low = grid.min(axis=1)
@@ -79,7 +87,6 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
     heads = np.empty(n, dtype=_BLOCK_HEAD)
     heads["low"], heads["width"], heads["exceptions"] = low, width, exceptions
     size = _BLOCK_HEAD.itemsize + 32 * width.astype(np.int64) + 5 * exceptions
-    starts = np.concatenate([[0], np.cumsum(size)]).astype("<u8")
     packed: list = [b""] * n
     for w in np.unique(width[width > 0]):
         at = np.flatnonzero(width == w)
@@ -96,7 +103,7 @@ def encode_ids(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
         out += packed[b]
         out += place[e].tobytes()
         out += high[e].tobytes()
-    return starts, bytes(out)
+    return np.cumsum(size).astype(np.uint64), bytes(out)
 
 
 def decode_ids(starts: np.ndarray, body: bytes, n_ids: int) -> np.ndarray:
@@ -185,14 +192,13 @@ def _write_shards(folder: str, path: str, end_id: int, shard_ids: int):
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for first, texts in text_blocks(batch.column(1).to_pylist()):
-                for i, ids in enumerate(tok.encode(texts)):
-                    docs.append(names[first + i])
-                    held.append(np.append(ids, np.uint32(end_id)))
-                    size += len(ids) + 1
-                    if size >= shard_ids:
-                        yield close()
-                        docs, held, size, shard = [], [], 0, shard + 1
+            for doc, ids in zip(names, tok.encode_column(batch.column(1))):
+                docs.append(doc)
+                held.append(np.append(ids, np.uint32(end_id)))
+                size += len(ids) + 1
+                if size >= shard_ids:
+                    yield close()
+                    docs, held, size, shard = [], [], 0, shard + 1
         if docs:
             yield close()
 

@@ -15,26 +15,54 @@ from array import array
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from fleetlens.llm.common import SPACE_BYTES, blocks, byte_class, run_hashes, utf8_parts
 
 # Unicode White_Space, as the tokenizers' patterns see it (Python's \s has more).
 _WS = "\t-\r " + "".join(map(chr, [0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-#: Letters in every tokenizer's eyes; a run of them ends a chunk where white space or a
-#: common sign follows, and so does a run of such signs behind letters.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
-_SIGNS = ".,!?;:"
-CHUNK = re.compile(
-    rf"(?<=[^{_WS}])\n(?=[{_LETTERS}])|[{_WS}]*[{_LETTERS}]+(?=[{_WS}{_SIGNS}]|\Z)|(?<=[{_LETTERS}])[{_SIGNS}]+(?=[{_WS}]|\Z)|[{_WS}]*[^{_WS}]+|[{_WS}]+\Z"
-)
-#: One space at most, then letters or signs alone.
-_JOINABLE = re.compile(rf" ?[{_LETTERS}]+|[{_SIGNS}]+")
+CHUNK = re.compile(rf"[{_WS}]*[^{_WS}]+|[{_WS}]+\Z")
+#: One space at most, then letters or signs alone: one split part each.
+_JOINABLE = re.compile("( ?[A-Za-zÀ-ÖØ-öø-įı-ȿ]+|[.,!?;:]+)")
+#: Byte-level tokenizers write each byte as a sign: printable Latin-1 as itself, the
+#: others as the signs from U+0100 on, in order.  The line end stays, as a separator.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_SIGNS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)} | {10: 10}
+_SPACE = byte_class(SPACE_BYTES)
+_SIGN = byte_class(b".,!?;:")
+_ASCII_LETTER = byte_class([*range(65, 91), *range(97, 123)])
+#: Lead bytes of letters of two bytes (U+00C0 to U+023F, without the signs U+00D7 and
+#: U+00F7 and U+0130, whose lower case is two characters), and lead bytes under which non-ASCII white space may stand.
+_LEAD = byte_class(range(0xC3, 0xC9))
+_RARE = byte_class([0xC2, 0xE1, 0xE2, 0xE3])
 #: Chunks that are kept; beyond it the cache starts anew (ids stay the same).
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 1_500_000
+
+
+def chunk_starts(text: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """First bytes of the chunks of a block of texts that start at ``edges``."""
+    space = _SPACE[text]
+    lead = _LEAD[text]
+    after = np.append(text[1:], 0)
+    lead &= ~((text == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (text == 0xC4) & (after == 0xB0))
+    letter = _ASCII_LETTER[text] | lead
+    letter[1:] |= lead[:-1]
+    first = np.zeros(len(text), dtype=bool)
+    first[1:] = (space[1:] & ~space[:-1]) | (letter[:-1] & _SIGN[text[1:]])
+    # A lone line end between a non-space character and a letter
+    first[2:] |= (text[1:-1] == 10) & ~space[:-2] & letter[2:]
+    second = edges + 1
+    second = second[second < len(text)]
+    first[second] = (space[second] & ~space[second - 1]) | (letter[second - 1] & _SIGN[text[second]])
+    first[edges] = True
+    return np.flatnonzero(first)
 
 
 class ChunkTokenizer:
     """``path``: a tokenizers JSON file whose split never joins a non-space character
     with white space behind it, nor a letter with a sign behind it.  Special-token
-    strings in a text are ordinary text."""
+    strings in a text are ordinary text.  Chunks are known by a 64-bit hash of their
+    bytes: with 1,500,000 kept, one new chunk in 10^13 would be taken for another."""
 
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
@@ -43,72 +71,102 @@ class ChunkTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.limit = cache_chunks
-        # New chunks are encoded joined by a separator that has one id of its own.
-        self.separator, self.mark = None, None
-        for text in ("\n", " \x1e "):
-            ids = self._ids(text)
-            if len(ids) == 1 and self._ids(f"a{text}b") == [*self._ids("a"), *ids, *self._ids("b")]:
-                self.separator, self.mark = text, ids[0]
-                break
+        self.normal = self.library.normalizer
+        words = [" the", "word", " Été", "ß", ".", "?!", " naïve", "Ünique"]
+        self.direct = [self._ids(w) for w in words] == self._direct(words)
         self._clear()
 
     def _ids(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def _direct(self, words: list[str]) -> list[list[int]]:
+        """Ids of chunks that are one split part each: normaliser and merges only."""
+        if self.normal:
+            joined = self.normal.normalize_str(" ".join(w.lstrip(" ") for w in words)).replace(" ", "\n")
+        else:
+            joined = "\n".join(words)
+        merge = self.library.model.tokenize
+        return [[t.id for t in merge(w)] for w in joined.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS).split("\n")]
+
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.used = 0
+        self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.start, self.size = array("q"), array("q")
 
-    def _keep(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def _learn(self, chunks: list[str]) -> None:
+        """Append the ids of new chunks, in their order."""
+        match = _JOINABLE.fullmatch
+        plain = [i for i, c in enumerate(chunks) if match(c)] if self.direct else []
+        got: list = [None] * len(chunks)
+        if plain:
+            for i, ids in zip(plain, self._direct([chunks[i] for i in plain])):
+                got[i] = ids
+        rest = [i for i, ids in enumerate(got) if ids is None]
+        for i, e in zip(rest, self.library.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
+            got[i] = e.ids
+        ids = np.array(list(chain.from_iterable(got)), dtype=np.uint32)
+        sizes = np.array(list(map(len, got)), dtype=np.int64)
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.index.update(zip(chunks, range(len(self.start), len(self.start) + len(chunks))))
         self.start.extend((self.used + np.cumsum(sizes) - sizes).tolist())
         self.size.extend(sizes.tolist())
         self.used += len(ids)
 
-    def _one_by_one(self, chunks: list[str]) -> None:
-        got = [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
-        self._keep(chunks, np.array([i for ids in got for i in ids], dtype=np.uint32), np.array([len(ids) for ids in got], dtype=np.int64))
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if _JOINABLE.fullmatch(c)] if self.separator else []
-        for i in range(0, len(plain), 1 << 12):
-            part = plain[i : i + (1 << 12)]
-            ids = np.array(self.library.encode_batch_fast([self.separator.join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(part) - 1:
-                self._one_by_one(part)
-                continue
-            sizes = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
-            self._keep(part, ids[ids != self.mark], sizes)
-        if len(plain) < len(chunks):
-            joined = set(plain)
-            self._one_by_one([c for c in chunks if c not in joined])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids (uint32) of each text."""
-        parts = [CHUNK.findall(t) for t in texts]
-        if len(self.index) > self.limit:
+    def _rows_of(self, hashes: np.ndarray, at: np.ndarray, starts, length, text) -> np.ndarray:
+        """Cache rows of sorted hashes; unknown chunks are learnt."""
+        if len(self.keys) > self.limit:
             self._clear()
-        flat = list(chain.from_iterable(parts))
-        found = list(map(self.index.get, flat))
-        if None in found:
-            missing = [i for i, row in enumerate(found) if row is None]
-            self._learn(list({flat[i] for i in missing}))
-            for i in missing:
-                found[i] = self.index[flat[i]]
-        start, size = np.array(self.start), np.array(self.size)
-        rows = np.array(found, dtype=np.int64)
-        n = size[rows]
+        place = np.searchsorted(self.keys, hashes)
+        known = np.zeros(len(hashes), dtype=bool)
+        inside = place < len(self.keys)
+        known[inside] = self.keys[place[inside]] == hashes[inside]
+        new = np.flatnonzero(~known)
+        if len(new):
+            raw = text.tobytes()
+            spans = zip(starts[at[new]].tolist(), length[at[new]].tolist())
+            first = len(self.start)
+            self._learn([raw[s : s + n].decode("utf-8", "surrogatepass") for s, n in spans])
+            self.keys = np.insert(self.keys, place[new], hashes[new])
+            self.rows = np.insert(self.rows, place[new], np.arange(first, first + len(new)))
+            place = np.searchsorted(self.keys, hashes)
+        return self.rows[place]
+
+    def _block(self, data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
+        text, offs = data[offs[0] : offs[-1]], offs - offs[0]
+        edges = offs[:-1][np.diff(offs) > 0]
+        if not len(edges):
+            return [np.zeros(0, np.uint32)] * (len(offs) - 1)
+        starts = chunk_starts(text, edges)
+        length = np.diff(np.append(starts, len(text)))
+        hashes, at, row = np.unique(run_hashes(text, starts, length), return_index=True, return_inverse=True)
+        place = self._rows_of(hashes, at, starts, length, text)
+        n = np.array(self.size)[place]
+        begin = np.array(self.start)[place][row]
+        n = n[row]
         ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(start[rows] - (ends - n), n)]
-        last = np.concatenate([[0], ends])[np.cumsum([len(p) for p in parts])]
-        return np.split(ids, last[:-1])
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(begin - (ends - n), n)]
+        last = np.concatenate([[0], ends])[np.searchsorted(starts, offs[1:-1])]
+        return np.split(ids, last)
+
+    def encode_column(self, column) -> list[np.ndarray]:
+        """The ids (uint32) of each text of an Arrow string column; NULL is empty."""
+        data, offs = utf8_parts(column)
+        out: list[np.ndarray] = []
+        for i, j in blocks(offs):
+            part = self._block(data, offs[i : j + 1])
+            rare = _RARE[data[offs[i] : offs[j]]]
+            if rare.any():  # texts that may hold non-ASCII white space are cut by the pattern
+                places = np.unique(np.searchsorted(offs[i : j + 1], offs[i] + np.flatnonzero(rare), side="right") - 1)
+                for p in places.tolist():
+                    raw = data[offs[i + p] : offs[i + p + 1]].tobytes().decode("utf-8", "surrogatepass")
+                    got = self.library.encode_batch_fast(CHUNK.findall(raw), add_special_tokens=False)
+                    part[p] = np.array([x for e in got for x in e.ids], dtype=np.uint32)
+            out += part
+        return out
+
+    def encode(self, texts: list) -> list[np.ndarray]:
+        return self.encode_column(pa.array(texts, pa.large_string()))
 
 
 _loaded: dict[str, ChunkTokenizer] = {}
@@ -121,19 +179,6 @@ def tokenizer(path: str) -> ChunkTokenizer:
     return _loaded[path]
 
 
-def text_blocks(texts: list, limit: int = 1 << 20):
-    """(first row, texts) in runs of about ``limit`` characters; NULL is empty."""
-    run, first, size = [], 0, 0
-    for i, t in enumerate(texts):
-        run.append(t or "")
-        size += len(run[-1])
-        if size >= limit:
-            yield first, run
-            run, first, size = [], i + 1, 0
-    if run:
-        yield first, run
-
-
 def ids_crc32(ids: np.ndarray) -> int:
     """Unsigned crc32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4").tobytes())
