@@ -82,12 +82,13 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = WORD_END_ID, max_to
     scratch = Scratch(docs.sparkSession, "packing")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = scratch.save(rows.mapInArrow(_cut(tokenizer_path, end_id, max_tokens), _PIECES), "pieces")
-    # One row for each task and length (at most 12 a task), so this window is tiny
-    # beside the data; places within a task were counted where the pieces were cut.
+    # One row for each task and length: at most log2(max_tokens) + 1 a task, so this
+    # window is tiny beside the data and its result is broadcast (a million tasks give
+    # 12 million rows of 24 bytes).  Places within a task were counted at the cut.
     counts = pieces.groupBy("length", "part").agg((F.max("place") + 1).alias("n"))
     order = Window.orderBy(F.desc("length"), "part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
-    return pieces.join(bases, ["length", "part"]).select("doc_id", "start", F.col("length").cast("long").alias("length"), "doc_tokens", "ids", (F.col("base") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return pieces.join(F.broadcast(bases), ["length", "part"]).select("doc_id", "start", F.col("length").cast("long").alias("length"), "doc_tokens", "ids", (F.col("base") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
 def _digest(batches):
