@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from fleetlens.llm.embedding_dedup import q_embedding_dedup
+from fleetlens.llm.line_dedup import q_line_dedup
 from fleetlens.llm.packing import q_packing
 from fleetlens.llm.simhash import q_fingerprints
+from fleetlens.llm.substring_dedup import q_substring_dedup
 from fleetlens.llm.token_binary import q_token_binary
 
 QUERIES = {
     "op3_fingerprints": q_fingerprints,
+    "op4_line_dedup": q_line_dedup,
     "op5_packing": q_packing,
+    "op6_substring_dedup": q_substring_dedup,
+    "op9_embedding_dedup": q_embedding_dedup,
     "op10_token_binary": q_token_binary,
 }
 
