@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from fleetlens.llm.embedding_dedup import q_embedding_dedup
+from fleetlens.llm.fm_quality import q_quality
 from fleetlens.llm.line_dedup import q_line_dedup
 from fleetlens.llm.packing import q_packing
 from fleetlens.llm.simhash import q_fingerprints
+from fleetlens.llm.sp_tokenizer import q_sentencepiece
 from fleetlens.llm.substring_dedup import q_substring_dedup
 from fleetlens.llm.token_binary import q_token_binary
+from fleetlens.llm.toxicity_chain import q_toxicity
 
 QUERIES = {
+    "op1_quality": q_quality,
     "op3_fingerprints": q_fingerprints,
     "op4_line_dedup": q_line_dedup,
     "op5_packing": q_packing,
     "op6_substring_dedup": q_substring_dedup,
+    "op7_sentencepiece": q_sentencepiece,
+    "op8_toxicity": q_toxicity,
     "op9_embedding_dedup": q_embedding_dedup,
     "op10_token_binary": q_token_binary,
 }

@@ -58,36 +58,14 @@ def chunk_starts(text: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.flatnonzero(first)
 
 
-class ChunkTokenizer:
-    """``path``: a tokenizers JSON file whose split never joins a non-space character
-    with white space behind it, nor a letter with a sign behind it.  Special-token
-    strings in a text are ordinary text.  Chunks are known by a 64-bit hash of their
-    bytes: with 1,500,000 kept, one new chunk in 10^13 would be taken for another."""
+class ChunkCache:
+    """Ids of chunks, by a hash of their bytes.  ``starts`` cuts a block of texts into
+    chunks; ``chunk_ids`` gives the ids of a list of chunks."""
 
-    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.limit = cache_chunks
-        self.normal = self.library.normalizer
-        words = [" the", "word", " Été", "ß", ".", "?!", " naïve", "Ünique"]
-        self.direct = [self._ids(w) for w in words] == self._direct(words)
+    def __init__(self, starts, chunk_ids, limit: int = CACHE_CHUNKS):
+        self.starts, self.chunk_ids, self.limit = starts, chunk_ids, limit
         self._clear()
 
-    def _ids(self, text: str) -> list[int]:
-        return self.library.encode(text, add_special_tokens=False).ids
-
-    def _direct(self, words: list[str]) -> list[list[int]]:
-        """Ids of chunks that are one split part each: normaliser and merges only."""
-        if self.normal:
-            joined = self.normal.normalize_str(" ".join(w.lstrip(" ") for w in words)).replace(" ", "\n")
-        else:
-            joined = "\n".join(words)
-        merge = self.library.model.tokenize
-        return [[t.id for t in merge(w)] for w in joined.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS).split("\n")]
-
     def _clear(self) -> None:
         self.keys, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
@@ -95,15 +73,7 @@ class ChunkTokenizer:
 
     def _learn(self, chunks: list[str]) -> None:
         """Append the ids of new chunks, in their order."""
-        match = _JOINABLE.fullmatch
-        plain = [i for i, c in enumerate(chunks) if match(c)] if self.direct else []
-        got: list = [None] * len(chunks)
-        if plain:
-            for i, ids in zip(plain, self._direct([chunks[i] for i in plain])):
-                got[i] = ids
-        rest = [i for i, ids in enumerate(got) if ids is None]
-        for i, e in zip(rest, self.library.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
-            got[i] = e.ids
+        got = self.chunk_ids(chunks)
         ids = np.array(list(chain.from_iterable(got)), dtype=np.uint32)
         sizes = np.array(list(map(len, got)), dtype=np.int64)
         if self.used + len(ids) > len(self.flat):
@@ -132,12 +102,12 @@ class ChunkTokenizer:
             place = np.searchsorted(self.keys, hashes)
         return self.rows[place]
 
-    def _block(self, data: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
-        text, offs = data[offs[0] : offs[-1]], offs - offs[0]
+    def encode(self, text: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text of a block of bytes."""
         edges = offs[:-1][np.diff(offs) > 0]
         if not len(edges):
             return [np.zeros(0, np.uint32)] * (len(offs) - 1)
-        starts = chunk_starts(text, edges)
+        starts = self.starts(text, edges)
         length = np.diff(np.append(starts, len(text)))
         hashes, at, row = np.unique(run_hashes(text, starts, length), return_index=True, return_inverse=True)
         place = self._rows_of(hashes, at, starts, length, text)
@@ -149,12 +119,54 @@ class ChunkTokenizer:
         last = np.concatenate([[0], ends])[np.searchsorted(starts, offs[1:-1])]
         return np.split(ids, last)
 
+
+class ChunkTokenizer:
+    """``path``: a tokenizers JSON file whose split never joins a non-space character
+    with white space behind it, nor a letter with a sign behind it.  Special-token
+    strings in a text are ordinary text.  Chunks are known by a 64-bit hash of their
+    bytes: with 1,500,000 kept, one new chunk in 10^13 would be taken for another."""
+
+    def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        self.normal = self.library.normalizer
+        words = [" the", "word", " Été", "ß", ".", "?!", " naïve", "Ünique"]
+        self.direct = [self._ids(w) for w in words] == self._direct(words)
+        self.cache = ChunkCache(chunk_starts, self._chunk_ids, cache_chunks)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def _direct(self, words: list[str]) -> list[list[int]]:
+        """Ids of chunks that are one split part each: normaliser and merges only."""
+        if self.normal:
+            joined = self.normal.normalize_str(" ".join(w.lstrip(" ") for w in words)).replace(" ", "\n")
+        else:
+            joined = "\n".join(words)
+        merge = self.library.model.tokenize
+        return [[t.id for t in merge(w)] for w in joined.encode("utf-8").decode("latin-1").translate(_BYTE_SIGNS).split("\n")]
+
+    def _chunk_ids(self, chunks: list[str]) -> list[list[int]]:
+        match = _JOINABLE.fullmatch
+        plain = [i for i, c in enumerate(chunks) if match(c)] if self.direct else []
+        got: list = [None] * len(chunks)
+        if plain:
+            for i, ids in zip(plain, self._direct([chunks[i] for i in plain])):
+                got[i] = ids
+        rest = [i for i, ids in enumerate(got) if ids is None]
+        for i, e in zip(rest, self.library.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False)):
+            got[i] = e.ids
+        return got
+
     def encode_column(self, column) -> list[np.ndarray]:
         """The ids (uint32) of each text of an Arrow string column; NULL is empty."""
         data, offs = utf8_parts(column)
         out: list[np.ndarray] = []
         for i, j in blocks(offs):
-            part = self._block(data, offs[i : j + 1])
+            part = self.cache.encode(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
             rare = _RARE[data[offs[i] : offs[j]]]
             if rare.any():  # texts that may hold non-ASCII white space are cut by the pattern
                 places = np.unique(np.searchsorted(offs[i : j + 1], offs[i] + np.flatnonzero(rare), side="right") - 1)
