@@ -5,6 +5,7 @@ from __future__ import annotations
 from fleetlens.llm.embedding_dedup import q_embedding_dedup
 from fleetlens.llm.fm_quality import q_quality
 from fleetlens.llm.line_dedup import q_line_dedup
+from fleetlens.llm.ngram_join import q_ngram_join
 from fleetlens.llm.packing import q_packing
 from fleetlens.llm.simhash import q_fingerprints
 from fleetlens.llm.sp_tokenizer import q_sentencepiece
@@ -14,6 +15,7 @@ from fleetlens.llm.toxicity_chain import q_toxicity
 
 QUERIES = {
     "op1_quality": q_quality,
+    "op2_ngram_join": q_ngram_join,
     "op3_fingerprints": q_fingerprints,
     "op4_line_dedup": q_line_dedup,
     "op5_packing": q_packing,
