@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.session import ensure_checkpoint_dir
 
@@ -169,5 +170,30 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def carried(docs: DataFrame, drop: tuple[str, ...] = ("doc_id", "text")):
+    """The other columns of a table as one struct column, so their names clash with none."""
+    names = [c for c in docs.columns if c not in drop]
+    return (F.struct(*[docs[c] for c in names]) if names else F.struct(F.lit(None).cast("int").alias("_none"))).alias("carried")
+
+
+def restored(docs: DataFrame, answers: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, from doc_id, text and carried; n_chars is counted anew."""
+    other = {f.name: f.dataType for f in docs.schema.fields}
+    out = []
+    for c in docs.columns:
+        if c == "n_chars":
+            out.append(F.length("text").cast(other[c]).alias(c))
+        elif c in ("doc_id", "text"):
+            out.append(F.col(c).cast(other[c]).alias(c))
+        else:
+            out.append(F.col("carried").getField(c).alias(c))
+    return answers.select(*out)
+
+
+def row_hash():
+    """Rows equal in doc_id and text are one document; this names it."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Scratch, documents
+from fleetlens.llm.common import Scratch, carried, documents, row_hash
 
 THRESHOLD = 1
 MIN_CHARS = 20
@@ -102,8 +102,8 @@ def _letters_differ(a: str, b: str) -> Column:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("rank"), F.xxhash64("doc_id", "text").alias("rid"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(docs))
+    return rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("rank"), row_hash().alias("rid"), "carried")
 
 
 def _lines(rows: DataFrame, min_chars: int) -> DataFrame:
@@ -153,18 +153,18 @@ def repeated_lines(rows: DataFrame, scratch: Scratch, threshold: int = THRESHOLD
 
 
 def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """doc_id, text without its repeated lines, n_lines, n_removed, and row, a hash of
-    doc_id and original text.
+    """doc_id, text without its repeated lines, n_lines, n_removed, and carried, the
+    other columns.
 
     Rows equal in doc_id and text are one document, answered for each row; among other
     rows of one doc_id the smaller row hash is earlier; NULL doc_ids come last.  NULL
     texts stay NULL (0 lines), empty texts empty (1 line); lines shorter than
-    ``min_chars`` stay; further columns are not read; an empty table gives no rows."""
+    ``min_chars`` stay; an empty table gives no rows."""
     scratch = Scratch(docs.sparkSession, "lines")
     rows = _rows(docs)
     gone = repeated_lines(rows, scratch, threshold, min_chars)
     places = gone.groupBy("rid").agg(F.array_sort(F.collect_set("line_no")).alias("gone"))
-    joined = rows.select("rid", "doc_id", "text").join(places, "rid", "left")
+    joined = rows.select("rid", "doc_id", "text", "carried").join(places, "rid", "left")
     lines = F.expr("split(text, '\\n', -1)")
     # Kept lines are the slices between removed ones.
     kept = F.expr(
@@ -176,7 +176,7 @@ def dedup_lines(docs: DataFrame, threshold: int = THRESHOLD, min_chars: int = MI
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.col("rid").alias("row"),
+        "carried",
     )
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Scratch, Words, blocks, documents, mix, utf8_parts
+from fleetlens.llm.common import Scratch, Words, blocks, documents, mix, row_hash, utf8_parts
 from fleetlens.llm.components import components
 
 SHINGLE = 5
@@ -144,7 +144,7 @@ def _facts(shared):
                 ordered = (ranks[(tokens >> _SHIFT).astype(np.int64)] << _SHIFT) | (tokens & _LOW)
                 k = prefix_length(len(tokens))
                 prefixes.append(np.partition(ordered, k - 1)[:k].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "prefix"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), batch.column(2)], names=["doc_id", "n", "node", "prefix", "row"])
 
     return run
 
@@ -225,8 +225,8 @@ def _differ(df: DataFrame, column: str) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id reachable by links) of
-    every row.
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and row
+    (a hash of doc_id and text) of every row.
 
     Texts that are NULL or without words have no shingles and link with nothing.  Rows
     with a NULL doc_id link with nothing and have a NULL component_id.  Equal sets are
@@ -236,7 +236,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "ngrams")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranks = spark.sparkContext.broadcast(token_ranks(rows.select("text")))
-    facts = scratch.save(rows.mapInArrow(_facts(ranks), "doc_id long, n long, node long, prefix array<long>"), "facts")
+    facts = scratch.save(rows.withColumn("row", row_hash()).mapInArrow(_facts(ranks), "doc_id long, n long, node long, prefix array<long>, row long"), "facts")
     usable = facts.where("doc_id is not null and node is not null")
     sets = usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"))
 
@@ -289,10 +289,10 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     least = scratch.save(joined.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
     answers = scratch.save(joined.join(least, "component").select("node", "component_id"), "answers")
     # Equal sets may be many: both sides are plain tables, so their rows can be split.
-    linked_rows = usable.select("doc_id", "n", "node").join(answers, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = facts.where("doc_id is null or node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked_rows = usable.select("doc_id", "n", "node", "row").join(answers, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "row")
+    alone = facts.where("doc_id is null or node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "row")
     return linked_rows.unionByName(alone)
 
 
 def q_ngram_join(spark, sf_dir) -> DataFrame:
-    return similar_documents(documents(spark, sf_dir))
+    return similar_documents(documents(spark, sf_dir)).drop("row")

@@ -15,8 +15,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlens.llm.common import Scratch, documents
+from fleetlens.llm.common import Scratch, carried, documents, row_hash
 
 MIN_WORDS = 25
 UNIT = re.compile(r"(?:[^\n.!?]++|[.!?]++(?![ \t]))*+(?:[.!?]++[ \t]++|\n|\Z)")
@@ -74,35 +75,36 @@ def removed_spans(text: str, repeats: set[int], min_words: int) -> tuple[list[tu
 
 
 def _cut(min_words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("n_units", pa.int64()), ("row", pa.int64())])
+    spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                text = r["text"]
-                spans, n = removed_spans(text or "", set(r["places"] or ()), min_words)
+            texts, removed, counts = [], [], []
+            for text, places in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist()):
+                spans, n = removed_spans(text or "", set(places or ()), min_words)
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(text[at:a])
                     at = b
-                rows.append({"doc_id": r["doc_id"], "text": text if not spans else "".join([*kept, text[at:]]), "removed": [{"start": a, "end": b} for a, b in spans], "n_units": n, "row": r["rid"]})
-            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                texts.append("".join([*kept, text[at:]]) if spans else text)
+                removed.append([{"start": a, "end": b} for a, b in spans])
+                counts.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(removed, spans_type), pa.array(counts, pa.int64()), batch.column(2)], names=["doc_id", "text", "removed", "n_units", "carried"])
 
     return run
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text without its repeats, removed (array of start and end, code points of
-    the original text), n_units, and row, a hash of doc_id and original text.
+    the original text), n_units, and carried, the other columns.
 
     Ranks: the smaller doc_id keeps a unit, NULL doc_ids come last; rows that share a
     doc_id keep units that they share.  Rows equal in doc_id and text are one document,
-    answered for each row.  NULL texts stay NULL, empty texts empty; further columns
-    are not read; an empty table gives no rows."""
+    answered for each row.  NULL texts stay NULL, empty texts empty; an empty table
+    gives no rows."""
     scratch = Scratch(docs.sparkSession, "substring")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("rank"), F.xxhash64("doc_id", "text").alias("rid"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(docs))
+    rows = rows.select("doc_id", "text", "carried", F.coalesce("doc_id", F.lit(_LAST)).alias("rank"), row_hash().alias("rid"))
     found = rows.where("text != ''").select("rank", "rid", "text").mapInArrow(_unit_rows, "h long, g int, rank long, rid long, place int")
     # Counted before the shuffle, so a unit of a third of all documents costs a row a task
     shared = found.groupBy("h", "g").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first < last")
@@ -110,7 +112,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # Both sides are plain scans, so a frequent unit's rows can be split between tasks.
     repeats = found.join(shared, ["h", "g"]).where(F.col("rank") > F.col("first")).select("rid", "place")
     places = repeats.groupBy("rid").agg(F.collect_set("place").alias("places"))
-    return rows.join(places, "rid", "left").select("doc_id", "text", "rid", "places").mapInArrow(_cut(min_words), "doc_id long, text string, removed array<struct<start:long,end:long>>, n_units long, row long")
+    schema = T.StructType([*rows.select("doc_id", "text").schema.fields, *T._parse_datatype_string("removed array<struct<start:long,end:long>>, n_units long").fields, rows.schema["carried"]])
+    return rows.join(places, "rid", "left").select("doc_id", "text", "carried", "places").mapInArrow(_cut(min_words), schema)
 
 
 def q_substring_dedup(spark, sf_dir) -> DataFrame:

@@ -14,8 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlens.llm.common import ALNUM, Scratch, Words, blocks, documents, utf8_parts
+from fleetlens.llm.common import ALNUM, Scratch, Words, blocks, carried, documents, utf8_parts
 from fleetlens.llm.fm_quality import logistic
 from fleetlens.llm.labelled import held_out, labelled_sample
 
@@ -157,7 +158,7 @@ def _score(model, names):
                     p = _predict((bias, weights[c], u), row, column, n, extra)
                     scores[c].append(p)
                     extra = np.column_stack([extra, p])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:1], *batch.columns[2:], *(pa.array(np.concatenate(s) if s else np.zeros(0)) for s in scores)], names=[*(x for x in batch.schema.names if x != "text"), *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.concatenate(s) if s else np.zeros(0)) for s in scores)], names=[*batch.schema.names, *names])
 
     return run
 
@@ -172,16 +173,16 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, max_
 
 
 def score_toxicity(docs: DataFrame, model: dict, categories=CATEGORIES, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, row (a hash of doc_id and text), held_out, p_<category> of each category in
-    the chain's order, and toxic: whether the last one's is at least ``threshold``.
+    """doc_id, text, carried (the other columns), held_out, p_<category> of each category
+    in the chain's order, and toxic: whether the last one's is at least ``threshold``.
 
     Every row is answered; NULL and empty texts have no features and get the models'
-    base rates; further columns are not read."""
+    base rates; NULL doc_ids count as not held out."""
     context = docs.sparkSession.sparkContext
     names = [f"p_{c}" for c in categories]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("row"), held_out().alias("held_out"))
-    kinds = ", ".join(["doc_id long", "row long", "held_out boolean", *[f"{x} double" for x in names]])
-    scored = rows.mapInArrow(_score(context.broadcast(model), names), kinds)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), carried(docs), held_out().alias("held_out"))
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(x, T.DoubleType()) for x in names]])
+    scored = rows.mapInArrow(_score(context.broadcast(model), names), schema)
     return scored.withColumn("toxic", F.col(names[-1]) >= threshold)
 
 
@@ -193,4 +194,4 @@ def chain_labels(labels: DataFrame) -> DataFrame:
 def q_toxicity(spark, sf_dir) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = fit_toxicity(docs, chain_labels(spark.read.parquet(f"{sf_dir}/labels.parquet")))
-    return score_toxicity(docs, model).drop("row")
+    return score_toxicity(docs, model).drop("text", "carried")
