@@ -6,13 +6,18 @@ similarity is 0.8 or more, compared exactly (100 * intersection >= 80 * union).
 1. Tokens (shingle hashes) get a global order, rare ones first, from counts over all
    documents.  A set of n tokens can only reach the threshold with a set that holds one
    of its n - ceil(0.8 n) + 1 first tokens (its prefix) in its own prefix.
-2. Partition: documents that share a least prefix token are compared in short runs; the
-   documents found linked form a group (large groups are cut into blocks of about 64).
+2. Partition: documents that share a least prefix token are compared in short runs by
+   their signatures, and joined where the exact comparison finds them linked, too; they
+   form groups (large groups are cut into blocks of about 64).
 3. Matrix: for each token the groups whose union of prefixes holds it.
 4. Each document queries the matrix with its prefix.  The hits bound its overlap with
    a group: what the prefix misses, the union misses.  Only groups whose bound reaches
    the threshold are opened, and only groups outside the document's own are asked.
-5. Opened groups' members are compared exactly; links join the groups.
+5. Opened groups' members are compared by signature, those that may link exactly: first
+   the likeliest of each block, then all pairs whose groups are not joined yet.
+
+A signature is a bitmap of the parities of hashed tokens; with h different bits two sets
+share at most (|a| + |b| - h) / 2 tokens, so it rules out pairs and never loses one.
 
 Every pair of linked documents is either in one group or found by 4 and 5, so the
 components are exact.  Equal sets are one node from the start.
@@ -86,6 +91,30 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """Parities of the tokens' counts in W = 2^k >= max(64, n) bits."""
+    width = max(64, 1 << (len(tokens) - 1).bit_length())
+    return np.packbits(np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1, bitorder="little").tobytes()
+
+
+def shared_at_most(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> int:
+    """Bound on the common tokens of two sets, from (size, signature as uint64)."""
+    (n, x), (m, y) = a, b
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):  # the wider one folds to the other's width
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return min(n, m, (n + m - int(np.bitwise_count(x ^ y).sum())) // 2)
+
+
+def may_link(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> bool:
+    n, m = a[0], b[0]
+    if 100 * min(n, m) < PERCENT * max(n, m):
+        return False
+    both = shared_at_most(a, b)
+    return 100 * both >= PERCENT * (n + m - both)
+
+
 def _text_sets(column):
     """The set (sorted uint64) of each text of an Arrow column, in order."""
     data, offs = utf8_parts(column)
@@ -130,13 +159,14 @@ def _facts(shared):
     def run(batches):
         ranks, seen = shared.value, set()
         for batch in batches:
-            sizes, nodes, prefixes = [], [], []
+            sizes, nodes, prefixes, signatures = [], [], [], []
             for tokens in _text_sets(batch.column(1)):
                 sizes.append(len(tokens))
                 node = _node(tokens) if len(tokens) else None
                 nodes.append(node)
                 if node is None or node in seen:
                     prefixes.append(None)
+                    signatures.append(None)
                     continue
                 if len(seen) >= REMEMBERED:
                     seen.clear()
@@ -144,7 +174,8 @@ def _facts(shared):
                 ordered = (ranks[(tokens >> _SHIFT).astype(np.int64)] << _SHIFT) | (tokens & _LOW)
                 k = prefix_length(len(tokens))
                 prefixes.append(np.partition(ordered, k - 1)[:k].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), batch.column(2)], names=["doc_id", "n", "node", "prefix", "row"])
+                signatures.append(signature(tokens))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.binary()), batch.column(2)], names=["doc_id", "n", "node", "prefix", "signature", "row"])
 
     return run
 
@@ -167,9 +198,14 @@ def _pairs(found):
     return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
 
+def _signed(sizes, signatures):
+    return [(n, np.frombuffer(x, dtype=np.uint64)) for n, x in zip(sizes.to_pylist(), signatures.to_pylist())]
+
+
 def _runs(batches):
     """Rows come sorted by key, size and node.  Rows of one key are compared in runs of
-    ``BLOCK``, each run beginning with the last row of the one before it."""
+    ``BLOCK``, each beginning with the last row of the one before it; of pairs that may
+    link a spanning forest is told."""
     key, run = None, []
 
     def compare():
@@ -183,39 +219,64 @@ def _runs(batches):
         for i in range(1, len(run)):
             for j in range(i - 1, -1, -1):
                 a, b = root(i), root(j)
-                if a != b and linked(run[i][1], run[j][1]):
+                if a != b and may_link(run[i][1], run[j][1]):
                     tree[max(a, b)] = min(a, b)
                     found.append((run[i][0], run[j][0]))
         return found
 
     for batch in batches:
         found = []
-        for k, node, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _text_sets(batch.column(2))):
+        for k, node, signed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _signed(batch.column(2), batch.column(3))):
             if k != key or len(run) >= BLOCK:
                 found += compare()
                 run = [] if k != key else run[-1:]
                 key = k
-            run.append((node, tokens))
+            run.append((node, signed))
         yield _pairs(found)
     yield _pairs(compare())
 
 
 def _open(batches):
-    """Rows come sorted by block and side: members first, then the queries."""
+    """Rows come sorted by block and side: members first, then the queries.  Tells the
+    members that a query may link with; ``best``: the likeliest of them."""
     at, members = None, []
     for batch in batches:
-        found = []
-        for block, side, node, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), _text_sets(batch.column(3))):
+        found, best = [], []
+        for block, side, node, signed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), _signed(batch.column(3), batch.column(4))):
             if block != at:
                 at, members = block, []
             if side == 0:
-                members.append((node, tokens))
+                members.append((node, signed))
                 continue
-            for other, theirs in members:
-                if linked(tokens, theirs):
-                    found.append((node, other))  # the group's members are linked already
-                    break
-        yield _pairs(found)
+            near = [(shared_at_most(signed, theirs) / max(signed[0], theirs[0]), other) for other, theirs in members if may_link(signed, theirs)]
+            top = max(near, default=(0, 0))[1]
+            found += [(node, other) for _, other in near]
+            best += [other == top for _, other in near]
+        pairs = _pairs(found)
+        yield pa.RecordBatch.from_arrays([*pairs.columns, pa.array(best, pa.bool_())], names=["a", "b", "best"])
+
+
+def _exact(batches):
+    """The pairs of texts that link."""
+    for batch in batches:
+        keep = [linked(x, y) for x, y in zip(_text_sets(batch.column(2)), _text_sets(batch.column(3)))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, sets: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Of a table of pairs those whose texts link.  Only the texts in pairs are moved."""
+    pairs = scratch.save(pairs.select("a", "b").distinct(), f"{label}-pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = scratch.save(sets.select("node", F.col("rep").alias("doc_id")).join(nodes, "node"), f"{label}-wanted")
+    small = F.broadcast if wanted.count() <= BROADCAST_ROWS else (lambda x: x)
+    texts = rows.select("doc_id", "text").join(small(wanted), "doc_id").select("node", "text")
+    texts = scratch.save(texts.mapInArrow(_own_text, "node long, text string").dropDuplicates(["node"]), f"{label}-texts")
+    first = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    second = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(first, "a").join(second, "b").select("a", "b", "text_a", "text_b")
+    out = scratch.save(both.mapInArrow(_exact, "a long, b long"), f"{label}-links")
+    scratch.drop(f"{label}-texts", f"{label}-wanted", f"{label}-pairs")
+    return out
 
 
 def _differ(df: DataFrame, column: str) -> DataFrame:
@@ -236,30 +297,28 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "ngrams")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranks = spark.sparkContext.broadcast(token_ranks(rows.select("text")))
-    facts = scratch.save(rows.withColumn("row", row_hash()).mapInArrow(_facts(ranks), "doc_id long, n long, node long, prefix array<long>, row long"), "facts")
+    facts = scratch.save(rows.withColumn("row", row_hash()).mapInArrow(_facts(ranks), "doc_id long, n long, node long, prefix array<long>, signature binary, row long"), "facts")
     usable = facts.where("doc_id is not null and node is not null")
-    sets = usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"))
+    sets = scratch.save(usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.max("signature").alias("signature")), "sets")
 
     postings = usable.where("prefix is not null").select(F.explode("prefix").alias("token"), "node")
     shared = scratch.save(_differ(postings, "node"), "shared")
     keys = shared.groupBy("node").agg(F.min("token").alias("key1"), F.min(F.xxhash64("token")).alias("key2"))
-    chosen = scratch.save(keys.join(sets, "node"), "chosen")
-    small = F.broadcast if chosen.count() <= BROADCAST_ROWS else (lambda x: x)
-    texts = rows.join(small(chosen.select(F.col("rep").alias("doc_id"), "node")), "doc_id").select("node", "text")
-    texts = scratch.save(texts.mapInArrow(_own_text, "node long, text string"), "texts")
+    chosen = scratch.save(keys.join(sets, "node").select("node", "n", "signature", "key1", "key2"), "chosen")
 
     # 2. Partition: runs of documents that share a least token, in two orders of tokens
-    keyed = texts.join(chosen.select("node", "n", F.explode(F.array("key1", "key2")).alias("key")), "node")
+    keyed = chosen.select("node", "n", "signature", F.explode(F.array("key1", "key2")).alias("key"))
     ordered = keyed.repartitionByRange("key", "n", "node").sortWithinPartitions("key", "n", "node")
-    first = scratch.save(ordered.select("key", "node", "text").mapInArrow(_runs, "a long, b long"), "first")
-    similar = components(first, scratch, "first-links").withColumnRenamed("component", "grp")
-    members = chosen.select("node", "n").join(similar, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
+    alike = ordered.select("key", "node", "n", "signature").mapInArrow(_runs, "a long, b long")
+    first = _verified(alike, rows, sets, scratch, "first")
+    similar = components(first, scratch, "first-trees").withColumnRenamed("component", "grp")
+    members = chosen.select("node", "n", "signature").join(similar, "node", "left").withColumn("grp", F.coalesce("grp", "node"))
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     members = members.join(sizes, "grp").withColumn("block", F.xxhash64("grp", F.pmod(F.hash("node"), F.ceil(F.col("size") / BLOCK).cast("int"))))
-    members = scratch.save(members.select("node", "n", "grp", "size", "block"), "members")
+    members = scratch.save(members.select("node", "n", "signature", "grp", "size", "block"), "members")
 
     # 3. Matrix rows of the tokens that stand in more than one group
-    tagged = scratch.save(_differ(shared.join(members, "node"), "grp"), "tagged")
+    tagged = scratch.save(_differ(shared.join(members.drop("signature"), "node"), "grp"), "tagged")
     matrix = tagged.groupBy("token", "grp", "size", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     # 4. A pair of groups is asked once: by the smaller one's documents
     q, m = tagged.alias("q"), matrix.alias("m")
@@ -274,17 +333,27 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     bound = F.col("hits") + F.col("n") - (F.col("n") - need + 1)  # the prefix's misses are the union's
     opened = scratch.save(hits.where(bound >= need).select("node", "block"), "opened")
     # 5. Members and queries of a block meet; many queries are dealt to copies of it
-    copies = opened.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("copies"))
-    copies = scratch.save(copies, "copies")
-    asking = opened.join(copies, "block").select("block", F.pmod(F.hash("node"), F.col("copies")).alias("copy"), F.lit(1).alias("side"), "node")
-    asked_of = members.join(copies, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("side"), "node")
-    meeting = scratch.save(asking.unionByName(asked_of), "meeting").join(texts, "node").select(F.xxhash64("block", "copy").alias("place"), "side", "node", "text")
+    copies = scratch.save(opened.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("copies")), "copies")
+    asking = opened.join(copies, "block").join(members.select("node", "n", "signature"), "node")
+    asking = asking.select(F.xxhash64("block", F.pmod(F.hash("node"), F.col("copies"))).alias("place"), F.lit(1).alias("side"), "node", "n", "signature")
+    asked_of = members.join(copies, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "node", "n", "signature")
+    asked_of = asked_of.select(F.xxhash64("block", "copy").alias("place"), F.lit(0).alias("side"), "node", "n", "signature")
     # A place holds one copy of a block and some 256 queries, in one task
-    met = meeting.repartition("place").sortWithinPartitions("place", "side")
-    second = scratch.save(met.mapInArrow(_open, "a long, b long"), "second")
-
-    final = components(first.unionByName(second), scratch, "all-links")
-    joined = sets.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    met = asking.unionByName(asked_of).repartition("place").sortWithinPartitions("place", "side")
+    likely = scratch.save(met.mapInArrow(_open, "a long, b long, best boolean"), "likely")
+    second = _verified(likely.where("best"), rows, sets, scratch, "second")
+    links = first.unionByName(second)
+    final = components(links, scratch, "second-trees")
+    # What the likeliest members have not joined is compared in full.
+    tree = final.withColumnRenamed("component", "tree")
+    open_pairs = likely.where("not best")
+    for end in ("a", "b"):
+        open_pairs = open_pairs.join(tree.select(F.col("node").alias(end), F.col("tree").alias(f"tree_{end}")), end, "left").withColumn(f"tree_{end}", F.coalesce(f"tree_{end}", end))
+    rest = scratch.save(open_pairs.where("tree_a != tree_b").select("a", "b"), "rest")
+    if not rest.isEmpty():
+        links = links.unionByName(_verified(rest, rows, sets, scratch, "third"))
+        final = components(links, scratch, "all-trees")
+    joined = sets.select("node", "rep").join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     joined = scratch.save(joined, "joined")
     least = scratch.save(joined.groupBy("component").agg(F.min("rep").alias("component_id")), "least")
     answers = scratch.save(joined.join(least, "component").select("node", "component_id"), "answers")
