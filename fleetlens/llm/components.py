@@ -18,7 +18,7 @@ from fleetlens.llm.common import Scratch
 
 MAX_ROUNDS = 60
 #: Links that a task holds at once while it shrinks them.
-FOREST_LINKS = 1 << 20
+FOREST_LINKS = 1 << 17
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -61,13 +61,22 @@ def _shrink(batches):
         yield out()
 
 
+def _sign(edges: DataFrame) -> tuple:
+    """Count and order-free hash of a table of links, to see whether a round changed it."""
+    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hash")).first()
+    return row.n, row.hash
+
+
 def components(links: DataFrame, scratch: Scratch, label: str = "links") -> DataFrame:
     """(node, component) for every node of ``links`` (two long columns, no NULLs) that is
     not the least of its component; ``component`` is that least node."""
     a, b = links.columns[:2]
     pairs = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u != v")
-    edges = scratch.save(pairs.mapInArrow(_shrink, "u long, v long"), f"{label}-0")
-    sign = None
+    pairs = scratch.save(pairs, f"{label}-pairs")
+    tasks = 1 + pairs.count() // FOREST_LINKS  # tasks follow the links, each of a full forest
+    edges = scratch.save(pairs.coalesce(tasks).mapInArrow(_shrink, "u long, v long"), f"{label}-0")
+    scratch.drop(f"{label}-pairs")
+    sign = _sign(edges)
     for k in range(1, MAX_ROUNDS + 1):
         # Large star: u > v in every row
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -78,10 +87,8 @@ def components(links: DataFrame, scratch: Scratch, label: str = "links") -> Data
         down = scratch.save(large.groupBy("u").agg(F.min("v").alias("m")), f"{label}-{k}-n")
         small = large.join(down, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges_next = scratch.save(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), f"{label}-{k}")
-        row = edges_next.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("hash")).first()
         scratch.drop(f"{label}-{k - 1}", f"{label}-{k}-m", f"{label}-{k}-large", f"{label}-{k}-n")
-        edges = edges_next
-        if (row.n, row.hash) == sign:
+        edges, last, sign = edges_next, sign, _sign(edges_next)
+        if sign == last:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        sign = (row.n, row.hash)
     raise RuntimeError(f"components: not done after {MAX_ROUNDS} rounds")

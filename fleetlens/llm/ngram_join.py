@@ -14,7 +14,8 @@ similarity is 0.8 or more, compared exactly (100 * intersection >= 80 * union).
    a group: what the prefix misses, the union misses.  Only groups whose bound reaches
    the threshold are opened, and only groups outside the document's own are asked.
 5. Opened groups' members are compared by signature, those that may link exactly: first
-   the likeliest of each block, then all pairs whose groups are not joined yet.
+   the likeliest member of each group's block with the most hits; then, in the groups
+   that this has not joined, all members of all opened blocks.
 
 A signature is a bitmap of the parities of hashed tokens; with h different bits two sets
 share at most (|a| + |b| - h) / 2 tokens, so it rules out pairs and never loses one.
@@ -173,7 +174,7 @@ def _facts(shared):
                 seen.add(node)
                 ordered = (ranks[(tokens >> _SHIFT).astype(np.int64)] << _SHIFT) | (tokens & _LOW)
                 k = prefix_length(len(tokens))
-                prefixes.append(np.partition(ordered, k - 1)[:k].view(np.int64))
+                prefixes.append(np.sort(np.partition(ordered, k - 1)[:k]).view(np.int64))
                 signatures.append(signature(tokens))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.binary()), batch.column(2)], names=["doc_id", "n", "node", "prefix", "signature", "row"])
 
@@ -285,6 +286,20 @@ def _differ(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns({"_least": F.min(column).over(same), "_most": F.max(column).over(same)}).where("_least != _most").drop("_least", "_most")
 
 
+def _meeting(opened: DataFrame, members: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Queries (node, block) and the blocks' members by signature: the pairs a, b that may
+    link, and whether b is the query's best.  Many queries are dealt to copies of a block."""
+    copies = scratch.save(opened.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("copies")), f"{label}-copies")
+    facts = ["node", "n", "signature"]
+    asking = opened.select("node", "block").join(copies, "block").join(members.select(*facts), "node")
+    asking = asking.select(F.xxhash64("block", F.pmod(F.hash("node"), F.col("copies"))).alias("place"), F.lit(1).alias("side"), *facts)
+    asked_of = members.join(copies, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), *facts)
+    asked_of = asked_of.select(F.xxhash64("block", "copy").alias("place"), F.lit(0).alias("side"), *facts)
+    # A place holds one copy of a block and some 256 queries, in one task
+    met = asking.unionByName(asked_of).repartition("place").sortWithinPartitions("place", "side")
+    return met.mapInArrow(_open, "a long, b long, best boolean")
+
+
 def similar_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and row
     (a hash of doc_id and text) of every row.
@@ -301,7 +316,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     usable = facts.where("doc_id is not null and node is not null")
     sets = scratch.save(usable.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.max("signature").alias("signature")), "sets")
 
-    postings = usable.where("prefix is not null").select(F.explode("prefix").alias("token"), "node")
+    postings = usable.where("prefix is not null").select(F.posexplode("prefix").alias("pos", "token"), "node")
     shared = scratch.save(_differ(postings, "node"), "shared")
     keys = shared.groupBy("node").agg(F.min("token").alias("key1"), F.min(F.xxhash64("token")).alias("key2"))
     chosen = scratch.save(keys.join(sets, "node").select("node", "n", "signature", "key1", "key2"), "chosen")
@@ -319,37 +334,36 @@ def similar_documents(docs: DataFrame) -> DataFrame:
 
     # 3. Matrix rows of the tokens that stand in more than one group
     tagged = scratch.save(_differ(shared.join(members.drop("signature"), "node"), "grp"), "tagged")
-    matrix = tagged.groupBy("token", "grp", "size", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    # 4. A pair of groups is asked once: by the smaller one's documents
+    matrix = tagged.groupBy("token", "grp", "size", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+    # 4. A pair of groups is asked once: by the smaller one's documents.  At the first
+    # token that two sets share, what stands before it in either prefix is not shared,
+    # so the sets have at most n - pos tokens in common; a link needs 80 / 180 of both.
+    enough = PERCENT * (F.col("q.n") + F.col("m.low"))
     q, m = tagged.alias("q"), matrix.alias("m")
     asked = (
         (F.col("q.token") == F.col("m.token"))
         & (F.struct("q.size", "q.grp") < F.struct("m.size", "m.grp"))
         & (100 * F.col("m.high") >= PERCENT * F.col("q.n"))
         & (100 * F.col("q.n") >= PERCENT * F.col("m.low"))
+        & ((100 + PERCENT) * (F.col("q.n") - F.col("q.pos")) >= enough)
+        & ((100 + PERCENT) * F.col("m.rest") >= enough)
     )
-    hits = q.join(m, asked).groupBy(F.col("q.node").alias("node"), F.col("q.n").alias("n"), F.col("m.block").alias("block")).agg(F.count(F.lit(1)).alias("hits"))
+    hits = q.join(m, asked).groupBy(F.col("q.node").alias("node"), F.col("q.n").alias("n"), F.col("q.grp").alias("grp"), F.col("m.grp").alias("asked"), F.col("m.block").alias("block")).agg(F.count(F.lit(1)).alias("hits"))
     need = F.ceil(F.col("n") * PERCENT / 100)
     bound = F.col("hits") + F.col("n") - (F.col("n") - need + 1)  # the prefix's misses are the union's
-    opened = scratch.save(hits.where(bound >= need).select("node", "block"), "opened")
-    # 5. Members and queries of a block meet; many queries are dealt to copies of it
-    copies = scratch.save(opened.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("copies")), "copies")
-    asking = opened.join(copies, "block").join(members.select("node", "n", "signature"), "node")
-    asking = asking.select(F.xxhash64("block", F.pmod(F.hash("node"), F.col("copies"))).alias("place"), F.lit(1).alias("side"), "node", "n", "signature")
-    asked_of = members.join(copies, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "node", "n", "signature")
-    asked_of = asked_of.select(F.xxhash64("block", "copy").alias("place"), F.lit(0).alias("side"), "node", "n", "signature")
-    # A place holds one copy of a block and some 256 queries, in one task
-    met = asking.unionByName(asked_of).repartition("place").sortWithinPartitions("place", "side")
-    likely = scratch.save(met.mapInArrow(_open, "a long, b long, best boolean"), "likely")
+    opened = scratch.save(hits.where(bound >= need).drop("n"), "opened")
+    # 5. A third of all documents may be one group: its blocks are asked one at first
+    likeliest = opened.groupBy("node", "asked").agg(F.max(F.struct("hits", "block")).getField("block").alias("block"))
+    likely = scratch.save(_meeting(likeliest, members, scratch, "likely"), "likely")
     second = _verified(likely.where("best"), rows, sets, scratch, "second")
     links = first.unionByName(second)
     final = components(links, scratch, "second-trees")
-    # What the likeliest members have not joined is compared in full.
     tree = final.withColumnRenamed("component", "tree")
-    open_pairs = likely.where("not best")
-    for end in ("a", "b"):
-        open_pairs = open_pairs.join(tree.select(F.col("node").alias(end), F.col("tree").alias(f"tree_{end}")), end, "left").withColumn(f"tree_{end}", F.coalesce(f"tree_{end}", end))
-    rest = scratch.save(open_pairs.where("tree_a != tree_b").select("a", "b"), "rest")
+    apart = opened.select("node", "grp", "asked", "block")
+    for end in ("grp", "asked"):
+        apart = apart.join(tree.select(F.col("node").alias(end), F.col("tree").alias(f"tree_{end}")), end, "left").withColumn(f"tree_{end}", F.coalesce(f"tree_{end}", end))
+    apart = scratch.save(apart.where("tree_grp != tree_asked").select("node", "block"), "apart")
+    rest = scratch.save(_meeting(apart, members, scratch, "rest").join(likely.where("best").select("a", "b"), ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.unionByName(_verified(rest, rows, sets, scratch, "third"))
         final = components(links, scratch, "all-trees")
