@@ -3,6 +3,8 @@ buffers and tables written to the shared folder of the session."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -146,6 +148,16 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def trim() -> None:
+    """Give memory that numpy has freed back to the system at the end of a task: a
+    Python worker lives on beside the executor's heap."""
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 class Scratch:
     """Tables of one operator call, under the shared folder ``spark.checkpoint.dir``.
     A written table cuts the lineage: a lost executor costs a re-read."""

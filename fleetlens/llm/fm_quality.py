@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Scratch, Words, blocks, byte_class, documents, utf8_parts
+from fleetlens.llm.common import Scratch, Words, blocks, byte_class, documents, trim, utf8_parts
 from fleetlens.llm.labelled import held_out, labelled_sample
 
 #: Labelled documents that the machine is fitted on, at most.
@@ -140,6 +140,8 @@ def _train(batches):
         model = {"bias": bias, "w": w, "v": v, "mean": mean, "spread": spread}
     model = {k: np.asarray(x, dtype=np.float32 if k in ("w", "v") else np.float64) for k, x in model.items()}
     yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+    parts.clear()
+    trim()
 
 
 def _score(model):

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Scratch, Words, blocks, documents, mix, row_hash, utf8_parts
+from fleetlens.llm.common import Scratch, Words, blocks, documents, mix, row_hash, trim, utf8_parts
 from fleetlens.llm.components import components
 
 SHINGLE = 5
@@ -177,6 +177,7 @@ def _facts(shared):
                 prefixes.append(np.sort(np.partition(ordered, k - 1)[:k]).view(np.int64))
                 signatures.append(signature(tokens))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(signatures, pa.binary()), batch.column(2)], names=["doc_id", "n", "node", "prefix", "signature", "row"])
+        trim()
 
     return run
 

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Scratch, documents
+from fleetlens.llm.common import Scratch, documents, trim
 from fleetlens.llm.tokens import ids_crc32, tokenizer
 
 MAX_TOKENS = 2048
@@ -65,6 +65,7 @@ def _cut(path: str, end_id: int, max_tokens: int):
                     cols, held = [[] for _ in range(6)], 0
         if cols[0]:
             yield flush()
+        trim()
 
     return run
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import Scratch, documents
+from fleetlens.llm.common import Scratch, documents, trim
 from fleetlens.llm.tokens import ids_crc32, tokenizer
 
 MAGIC = b"PFOR0001"
@@ -201,6 +201,8 @@ def _write_shards(folder: str, path: str, end_id: int, shard_ids: int):
                     docs, held, size, shard = [], [], 0, shard + 1
         if docs:
             yield close()
+        del docs, held
+        trim()
 
     return run
 

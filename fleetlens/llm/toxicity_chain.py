@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlens.llm.common import ALNUM, Scratch, Words, blocks, carried, documents, utf8_parts
+from fleetlens.llm.common import ALNUM, Scratch, Words, blocks, carried, documents, trim, utf8_parts
 from fleetlens.llm.fm_quality import logistic
 from fleetlens.llm.labelled import held_out, labelled_sample
 
@@ -43,7 +43,7 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     shift = np.uint64(64 - DIM_BITS)
     doc = words.doc.astype(np.uint64) << np.uint64(DIM_BITS)
     found = np.unique(np.concatenate([doc | (words.prefix[k] >> shift) for k in BEGINNINGS]))
-    return (found >> np.uint64(DIM_BITS)).astype(np.int64), (found & np.uint64((1 << DIM_BITS) - 1)).astype(np.int64)
+    return (found >> np.uint64(DIM_BITS)).astype(np.int32), (found & np.uint64((1 << DIM_BITS) - 1)).astype(np.int32)
 
 
 def screened(row, column, n_columns, y) -> np.ndarray:
@@ -118,23 +118,30 @@ def _train(n_categories: int):
             data, offs = utf8_parts(batch.column(1))
             for i, j in blocks(offs):
                 row, column = features(data, offs[i : j + 1])
-                rows.append(row + n)
+                rows.append(row + np.int32(n))
                 columns.append(column)
                 n += j - i
             ids.append(batch.column(0).to_numpy())
             labels.append(np.column_stack([batch.column(2 + c).to_numpy() for c in range(n_categories)]).astype(np.float64))
+        row = column = used = None
         if not n:
             models, kept = [(-4.0, np.zeros(0), np.zeros(c)) for c in range(n_categories)], np.zeros(0, np.int64)
         else:
             row, column = np.concatenate(rows), np.concatenate(columns)
+            rows.clear()
+            columns.clear()
             kept = np.flatnonzero(np.bincount(column, minlength=1 << DIM_BITS) >= LEAST_DOCS)
-            place = np.full(1 << DIM_BITS, -1)
+            place = np.full(1 << DIM_BITS, -1, dtype=np.int32)
             place[kept] = np.arange(len(kept))
-            used = place[column] >= 0
+            column = place[column]
+            used = column >= 0
+            row, column = row[used], column[used]
             fold = np.concatenate(ids) % FOLDS
-            models = fit_chain(row[used], place[column[used]], len(kept), np.concatenate(labels), fold)
+            models = fit_chain(row, column, len(kept), np.concatenate(labels), fold)
         model = {"features": kept.astype(np.int32), "models": [(float(b), w.astype(np.float32), u) for b, w, u in models]}
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(model)], pa.binary())})
+        del row, column, used
+        trim()
 
     return run
 
