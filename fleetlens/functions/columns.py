@@ -56,17 +56,21 @@ def ewma_max_exponent_rows(span: float, max_log: float = 600.0) -> int:
     return max(1, int(max_log / math.log(1.0 / r)))
 
 
-def ks_asymptotic_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Column:
-    """Two-sided Kolmogorov distribution tail Q(lambda) = 2 sum (-1)^(k-1) e^(-2 k^2 lambda^2)
-    with lambda = D * sqrt(n1*n2/(n1+n2)), clipped to [0, 1]."""
-    en = F.sqrt((n1 * n2).cast("double") / (n1 + n2).cast("double"))
-    lam = d * en
+def ks_asymptotic_pvalue(d: Column, n1: Column, n2: Column, terms: int = 30) -> Column:
+    """Two-sided tail Q of the Kolmogorov distribution at lambda = D * sqrt(n1*n2/(n1+n2)).
+
+    Above 1.18 the alternating series 2 sum (-1)^(k-1) e^(-2 k^2 lambda^2); below it, where
+    that needs ever more terms, 1 - sqrt(2 pi)/lambda sum e^(-(2k-1)^2 pi^2 / (8 lambda^2)).
+    Either branch has converged after a few terms; Q goes to 1 as lambda goes to 0."""
+    lam = d * F.sqrt((n1 * n2).cast("double") / (n1 + n2).cast("double"))
     ks = F.sequence(F.lit(1), F.lit(terms))
-    series = F.aggregate(
+    far = F.aggregate(
         ks,
         F.lit(0.0),
-        lambda acc, k: acc
-        + F.when(k % 2 == 1, F.lit(1.0)).otherwise(F.lit(-1.0)) * F.exp(F.lit(-2.0) * k * k * lam * lam),
+        lambda acc, k: acc + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(F.lit(-2.0) * k * k * lam * lam),
+    )
+    near = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * F.aggregate(
+        ks, F.lit(0.0), lambda acc, k: acc + F.exp(-(2 * k - 1) * (2 * k - 1) * F.lit(math.pi**2 / 8) / (lam * lam))
     )
-    q = F.lit(2.0) * series
-    return F.when(lam <= F.lit(0.0), F.lit(1.0)).otherwise(F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0)))
+    q = F.when(lam <= F.lit(0.0), F.lit(1.0)).when(lam < F.lit(1.18), near).otherwise(far)
+    return F.least(F.greatest(q, F.lit(0.0)), F.lit(1.0))

@@ -60,18 +60,6 @@ def fit_baseline(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return moments.join(qs, "feature")
 
 
-def _sides(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
-    """Both samples in one long table, restricted to features present in the
-    baseline and with at least ``MIN_CURRENT_VALUES`` current values (P8, P9)."""
-    b = baseline_long.select("feature", "value", F.lit("b").alias("side"))
-    c = current_long.select("feature", "value", F.lit("c").alias("side"))
-    both = b.unionByName(c)
-    counts = both.groupBy("feature").agg(
-        F.count_if(F.col("side") == "b").alias("n_base"), F.count_if(F.col("side") == "c").alias("n_cur")
-    ).where((F.col("n_base") > 0) & (F.col("n_cur") >= MIN_CURRENT_VALUES))
-    return both.join(counts.select("feature"), "feature", "left_semi"), counts
-
-
 def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: int = 64):
     """One row per (feature, distinct value) with per-side counts and their
     running totals in value order (two-level prefix sums), plus per-feature

@@ -81,6 +81,9 @@ def apply_scaler(df: DataFrame, params: DataFrame | dict) -> DataFrame:
     for c in df.columns:
         if c in params:
             mean, scale = params[c]
+            if mean is None:  # a column without values stays so
+                cols.append(F.col(c).cast("double").alias(c))
+                continue
             cols.append(((F.col(c) - F.lit(float(mean))) / F.lit(float(scale))).alias(c))
         else:
             cols.append(F.col(c))

@@ -48,15 +48,11 @@ DEFAULT_TREND_WINDOW = 10
 SLOPE_MIN_PERIODS = 3
 ENTROPY_WINDOW = 10
 ENTROPY_SENSOR_COUNT = 4
-# (output name, numerator, denominator) and (output name, minuend, subtrahend)
-DEFAULT_RATIOS = (
-    ("pressure_ratio_30_2", "P30_HPC_outlet_pressure", "P2_fan_inlet_pressure"),
-)
-DEFAULT_DIFFERENCES = (
-    ("temp_diff_50_30", "T50_LPT_outlet_temp", "T30_HPC_outlet_temp"),
-)
-DEFAULT_RATIOS_2 = (
-    ("fan_core_speed_ratio", "Nf_fan_speed", "Nc_core_speed"),
+# Cross-sensor features in output order: (name, operation, first, second sensor).
+CROSS_FEATURES = (
+    ("pressure_ratio_30_2", "ratio", "P30_HPC_outlet_pressure", "P2_fan_inlet_pressure"),
+    ("temp_diff_50_30", "difference", "T50_LPT_outlet_temp", "T30_HPC_outlet_temp"),
+    ("fan_core_speed_ratio", "ratio", "Nf_fan_speed", "Nc_core_speed"),
 )
 
 _SEG = "_seg"
@@ -388,26 +384,15 @@ def _ewma_finish(sensors, spans, cycle, seg_rows):
 
 
 def cross_sensor_columns(
-    columns: Sequence[str],
-    ratios: Sequence[tuple[str, str, str]] = DEFAULT_RATIOS + DEFAULT_RATIOS_2,
-    differences: Sequence[tuple[str, str, str]] = DEFAULT_DIFFERENCES,
+    columns: Sequence[str], features: Sequence[tuple[str, str, str, str]] = CROSS_FEATURES
 ) -> list[tuple[str, Column]]:
-    """Ratio (zero denominator -> NULL) and difference features, each only
-    when both input columns exist.  Output order follows the reference: first
-    ratio, difference, second ratio."""
-    present = set(columns)
+    """Ratios (zero denominator -> NULL) and differences, in the table's order,
+    each only when both input columns exist."""
     out = []
-    ratio_list = list(ratios)
-    first, rest = ratio_list[:1], ratio_list[1:]
-    for name, a, b in first:
-        if a in present and b in present:
-            out.append((name, safe_div(F.col(a), F.col(b)).cast("double")))
-    for name, a, b in differences:
-        if a in present and b in present:
-            out.append((name, (F.col(a) - F.col(b)).cast("double")))
-    for name, a, b in rest:
-        if a in present and b in present:
-            out.append((name, safe_div(F.col(a), F.col(b)).cast("double")))
+    for name, operation, a, b in features:
+        if a in columns and b in columns:
+            value = safe_div(F.col(a), F.col(b)) if operation == "ratio" else F.col(a) - F.col(b)
+            out.append((name, value.cast("double")))
     return out
 
 
@@ -627,14 +612,18 @@ def feature_matrix(
     return feats.na.drop("any") if drop_incomplete else feats
 
 
-def last_n(df: DataFrame, n: int | Column = 10, *, unit: str = "unit_id", cycle: str = "cycle") -> DataFrame:
-    """The last ``n`` cycles of every unit (``n`` may be a per-row column).
+def last_n(df: DataFrame, n: int | Column = 10, *, unit: str = "unit_id", cycle: str = "cycle", salts: int = 64) -> DataFrame:
+    """The last ``n`` rows of every unit by ``cycle`` (``n`` may be a per-row column);
+    gaps do not matter and ties are broken by a hash of the row.
 
-    Uses the unit's max cycle from an aggregate (partial per task, so a hot unit
-    is fine) instead of a descending row_number over the whole unit."""
-    ends = df.groupBy(unit).agg(F.max(cycle).alias("_last"))
-    keep = F.col(cycle) > F.col("_last") - (n if isinstance(n, Column) else F.lit(n))
-    return df.join(ends, unit).where(keep).drop("_last")
+    Top-n in two steps: within (unit, salt) first, so a hot unit's rows are ranked in
+    many tasks, then within the unit over at most ``n * salts`` rows."""
+    keep = n if isinstance(n, Column) else F.lit(n)
+    hashed = df.withColumn("_tie", F.xxhash64(*df.columns)).withColumn("_salt", F.pmod(F.hash("_tie"), F.lit(salts)))
+    order = [F.desc(cycle), F.desc("_tie")]
+    near = hashed.withColumn("_rn", F.row_number().over(Window.partitionBy(unit, "_salt").orderBy(*order))).where(F.col("_rn") <= keep)
+    last = near.withColumn("_rn", F.row_number().over(Window.partitionBy(unit).orderBy(*order))).where(F.col("_rn") <= keep)
+    return last.drop("_rn", "_salt", "_tie")
 
 
 def last_value(df: DataFrame, value: str, *, unit: str = "unit_id", cycle: str = "cycle", alias: str | None = None):

@@ -141,7 +141,7 @@ def _ks_ctes() -> str:
         "ks_s AS (SELECT feature, max(abs(f1 - f2)) AS ks_stat FROM run GROUP BY feature),\n"
         "ks_l AS (SELECT feature, ks_stat, ks_stat * sqrt(CAST(n_base * n_cur AS DOUBLE) / CAST(n_base + n_cur AS DOUBLE)) AS lam\n"
         "         FROM ks_s JOIN cnt USING (feature)),\n"
-        f"ks_t AS (SELECT feature, ks_stat, CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(2.0 * {series}, 0.0), 1.0) END AS ks_pvalue FROM ks_l)"
+        f"ks_t AS (SELECT feature, ks_stat, CASE WHEN lam < 0.05 THEN 1.0 ELSE least(greatest(2.0 * {series}, 0.0), 1.0) END AS ks_pvalue FROM ks_l)"
     )
 
 

@@ -96,7 +96,7 @@ def q_rolling_entropy(spark, sf_dir):
 def q_cross_ratio(spark, sf_dir):
     base = readings(spark, sf_dir)
     cols = S.cross_sensor_columns(
-        base.columns, ratios=[("value_k_ratio", "value", "k")], differences=[("value_k_diff", "value", "k")]
+        base.columns, [("value_k_ratio", "ratio", "value", "k"), ("value_k_diff", "difference", "value", "k")]
     )
     return rounded(base.select("unit_id", "cycle", *[e.alias(n) for n, e in cols]))
 

@@ -58,6 +58,13 @@ def raw_schema() -> T.StructType:
     return T.StructType(fields)
 
 
+def _without_nan(df: DataFrame) -> DataFrame:
+    """NaN becomes NULL in every floating-point column (a short text line's missing
+    fields are NULL already)."""
+    kinds = (T.DoubleType, T.FloatType)
+    return df.select(*[F.when(~F.isnan(f.name), F.col(f.name)).alias(f.name) if isinstance(f.dataType, kinds) else F.col(f.name) for f in df.schema.fields])
+
+
 def read_readings(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """A reading table from Parquet, JSON lines or space-separated text
     (the public run-to-failure format: unit, cycle, 3 settings, 21 sensors).
@@ -66,15 +73,15 @@ def read_readings(spark: SparkSession, path: str, fmt: str = "parquet", schema:
         reader = spark.read
         if schema is not None:
             reader = reader.schema(schema)
-        return reader.parquet(path)
+        return _without_nan(reader.parquet(path))
     if fmt == "json":
-        return spark.read.schema(schema or raw_schema()).json(path)
+        return _without_nan(spark.read.schema(schema or raw_schema()).json(path))
     if fmt in ("text", "space"):
         lines = spark.read.text(path)
         parts = F.split(F.trim(F.col("value")), r"\s+")
         sch = schema or raw_schema()
-        cols = [parts.getItem(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(sch.fields)]
-        return lines.where(F.length(F.trim("value")) > 0).select(*cols)
+        cols = [F.get(parts, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(sch.fields)]
+        return _without_nan(lines.where(F.length(F.trim("value")) > 0).select(*cols))
     raise ValueError(f"unknown format {fmt}")
 
 
@@ -89,14 +96,15 @@ def read_rul_truth(spark: SparkSession, path: str, unit_col: str = "unit_id", ru
     """S3: remaining-life truth text (one integer per line, line number = unit).
 
     Lines are read split-parallel; their numbers come from the position in the
-    file (scan order id) turned dense by :func:`assign_cycle`, per file.  Blank
-    and non-numeric lines are skipped, as the trailing blanks of the format are."""
+    file (scan order id) turned dense by :func:`assign_cycle`, per file.  Every line
+    counts; blank and non-numeric ones are left out after numbering, so they do not
+    shift the units behind them."""
     lines = spark.read.text(path).select(
         F.input_file_name().alias("_file"),
         F.monotonically_increasing_id().alias("_pos"),
         F.regexp_extract(F.col("value"), r"^\s*(-?\d+)\s*$", 1).alias("_num"),
     )
-    numbered = assign_cycle(lines.where(F.col("_num") != ""), "_file", ["_pos"], cycle=unit_col)
+    numbered = assign_cycle(lines, "_file", ["_pos"], cycle=unit_col).where(F.col("_num") != "")
     return numbered.select(F.col(unit_col).cast("long").alias(unit_col), F.col("_num").cast("int").alias(rul_col), "_file")
 
 
@@ -184,13 +192,15 @@ def flatten_requests(
 
 def flatten_batch(batches: DataFrame, json_col: str = "payload", sensors: Sequence[str] = PAYLOAD_SENSORS, defaults: dict | None = None):
     """Batch payloads ``{"engines": [request, ...]}`` -> (valid readings,
-    quarantine); engines become requests with id (batch id, engine position)."""
-    parsed = batches.select(
-        F.monotonically_increasing_id().alias("batch_id"), F.from_json(F.col(json_col), batch_schema(sensors, defaults)).alias("b")
-    )
-    engines = parsed.select("batch_id", F.posexplode(F.coalesce(F.col("b.engines"), F.array())).alias("engine_pos", "req"))
-    requests = engines.select((F.col("batch_id") * F.lit(1 << 20) + F.col("engine_pos")).alias("request_id"), "req")
-    return flatten_requests(requests, sensors, defaults)
+    quarantine); engines become requests with id "batch:position", the batch id being the
+    column ``batch_id`` where there is one.  A batch that cannot be read is quarantined."""
+    ids = F.col("batch_id").cast("string") if "batch_id" in batches.columns else F.monotonically_increasing_id().cast("string")
+    parsed = batches.select(ids.alias("batch_id"), F.from_json(F.col(json_col), batch_schema(sensors, defaults)).alias("b"))
+    engines = parsed.select("batch_id", F.posexplode("b.engines").alias("engine_pos", "req"))
+    requests = engines.select(F.concat_ws(":", "batch_id", "engine_pos").alias("request_id"), "req")
+    valid, quarantine = flatten_requests(requests, sensors, defaults)
+    bad = parsed.where("b.engines is null").select(F.col("batch_id").alias("request_id"), F.lit(None).cast("int").alias("pos"), F.lit("malformed_batch").alias("rule"))
+    return valid, quarantine.unionByName(bad)
 
 
 def order_readings(valid: DataFrame, unit: str = "unit_id") -> DataFrame:

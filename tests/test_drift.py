@@ -131,3 +131,15 @@ def test_drift_check_composition(spark):
     rows = {r["feature"]: r for r in report.collect()}
     assert rows["a"]["drifted"] and set(rows) == {"a", "b"}
     assert summary.collect()[0]["total_features"] == 2
+
+
+def test_ks_pvalue_of_nearly_equal_samples_is_one(spark):
+    from pyspark.sql import functions as F
+
+    from fleetlens.functions.columns import ks_asymptotic_pvalue
+
+    rows = [(0.0, 1.0), (1e-6, 1.0), (0.005, 1.0), (0.5, 0.96394524), (1.0, 0.26999967), (1.18, 0.12345), (2.0, 0.00067093)]
+    df = spark.createDataFrame([(lam / 100.0, lam) for lam, _ in rows], "d double, lam double")
+    got = df.withColumn("p", ks_asymptotic_pvalue(F.col("d"), F.lit(20_000), F.lit(20_000))).orderBy("lam").collect()
+    for r, (lam, want) in zip(got, rows):
+        assert abs(r.p - want) < (1e-7 if lam != 1.18 else 5e-4), (lam, r.p)

@@ -201,3 +201,11 @@ def test_two_level_carries_match_pandas(spark, pdf, sdf, monkeypatch):
     for c in ["s2", "s2_lag_3"]:
         ok, bad = _close(filled[c], ref[c])
         assert ok, (c, bad)
+
+
+def test_last_n_counts_rows_with_gaps_and_ties(spark):
+    gaps = [(1, 2 * i + 1, float(i)) for i in range(200)]
+    ties = [(2, 1, float(i)) for i in range(50)]
+    df = spark.createDataFrame(gaps + ties, "unit_id int, cycle int, v double")
+    got = S.last_n(df, 10).groupBy("unit_id").agg(F.count("*").alias("n"), F.min("cycle").alias("lo")).orderBy("unit_id").collect()
+    assert [(r.n, r.lo) for r in got] == [(10, 381), (10, 1)]
