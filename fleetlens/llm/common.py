@@ -152,6 +152,7 @@ def trim() -> None:
     """Give memory that numpy has freed back to the system at the end of a task: a
     Python worker lives on beside the executor's heap."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # not glibc

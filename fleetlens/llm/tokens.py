@@ -36,7 +36,7 @@ _ASCII_LETTER = byte_class([*range(65, 91), *range(97, 123)])
 _LEAD = byte_class(range(0xC3, 0xC9))
 _RARE = byte_class([0xC2, 0xE1, 0xE2, 0xE3])
 #: Chunks that are kept; beyond it the cache starts anew (ids stay the same).
-CACHE_CHUNKS = 1_500_000
+CACHE_CHUNKS = 1_000_000
 
 
 def chunk_starts(text: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -124,7 +124,7 @@ class ChunkTokenizer:
     """``path``: a tokenizers JSON file whose split never joins a non-space character
     with white space behind it, nor a letter with a sign behind it.  Special-token
     strings in a text are ordinary text.  Chunks are known by a 64-bit hash of their
-    bytes: with 1,500,000 kept, one new chunk in 10^13 would be taken for another."""
+    bytes: with 1,000,000 kept, one new chunk in 10^13 would be taken for another."""
 
     def __init__(self, path: str, cache_chunks: int = CACHE_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks fill the cores

@@ -46,12 +46,21 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (found >> np.uint64(DIM_BITS)).astype(np.int32), (found & np.uint64((1 << DIM_BITS) - 1)).astype(np.int32)
 
 
+def tally(at: np.ndarray, values: np.ndarray, of: np.ndarray | None, size: int, step: int = 1 << 18) -> np.ndarray:
+    """Sums by ``at`` of values[of] (or of 1), a slice at a time, so no array of the
+    sample's features is made in a wider type."""
+    out = np.zeros(size)
+    for i in range(0, len(at), step):
+        out += np.bincount(at[i : i + step], weights=None if of is None else values[of[i : i + step]], minlength=size)
+    return out
+
+
 def screened(row, column, n_columns, y) -> np.ndarray:
     """Columns that stand in documents of one class far more often than chance lets:
     by ``LEAST_Z`` standard deviations of the count under an even draw."""
     share = y.mean()
-    docs = np.bincount(column, minlength=n_columns)
-    positive = np.bincount(column, weights=y[row], minlength=n_columns)
+    docs = tally(column, y, None, n_columns)
+    positive = tally(column, y, row, n_columns)
     spread = np.sqrt(np.maximum(docs * share * (1 - share) * (1 - docs / len(y)), 1e-9))
     return np.flatnonzero((docs >= LEAST_DOCS) & (np.abs(positive - docs * share) >= LEAST_Z * spread))
 
@@ -66,7 +75,7 @@ def fit_linear(row, column, n_columns, extra, y, decay=DECAY, epochs=EPOCHS, rat
     if not n or y.min() == y.max():
         return params[0][0], weights, params[2]
     kept = screened(row, column, n_columns, y)
-    place = np.full(n_columns, -1)
+    place = np.full(n_columns, -1, dtype=np.int32)
     place[kept] = np.arange(len(kept))
     used = place[column] >= 0
     row, column = row[used], place[column[used]]
@@ -87,7 +96,7 @@ def fit_linear(row, column, n_columns, extra, y, decay=DECAY, epochs=EPOCHS, rat
 
 def _predict(model, row, column, n, extra):
     bias, w, u = model
-    return logistic(bias + np.bincount(row, weights=w[column], minlength=n) + extra @ u)
+    return logistic(bias + tally(row, w, column, n) + extra @ u)
 
 
 def fit_chain(row, column, n_columns, labels: np.ndarray, fold: np.ndarray) -> list:
@@ -123,14 +132,14 @@ def _train(n_categories: int):
                 n += j - i
             ids.append(batch.column(0).to_numpy())
             labels.append(np.column_stack([batch.column(2 + c).to_numpy() for c in range(n_categories)]).astype(np.float64))
-        row = column = used = None
+        row = column = used = batch = data = offs = None
         if not n:
             models, kept = [(-4.0, np.zeros(0), np.zeros(c)) for c in range(n_categories)], np.zeros(0, np.int64)
         else:
             row, column = np.concatenate(rows), np.concatenate(columns)
             rows.clear()
             columns.clear()
-            kept = np.flatnonzero(np.bincount(column, minlength=1 << DIM_BITS) >= LEAST_DOCS)
+            kept = np.flatnonzero(tally(column, row, None, 1 << DIM_BITS, 1 << 20) >= LEAST_DOCS)
             place = np.full(1 << DIM_BITS, -1, dtype=np.int32)
             place[kept] = np.arange(len(kept))
             column = place[column]
@@ -166,6 +175,7 @@ def _score(model, names):
                     scores[c].append(p)
                     extra = np.column_stack([extra, p])
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.concatenate(s) if s else np.zeros(0)) for s in scores)], names=[*batch.schema.names, *names])
+        trim()
 
     return run
 
