@@ -167,7 +167,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE
     Scratch(docs.sparkSession, "quality")
     sample = labelled_sample(docs, labels, ["quality"], max_sample).select("doc_id", "text", F.col("quality").cast("double").alias("quality"))
     ordered = sample.repartition(1).sortWithinPartitions("doc_id")
-    return pickle.loads(ordered.mapInArrow(_train, "model binary").first()["model"])
+    fitted = ordered.mapInArrow(_train, "model binary").first()
+    if fitted is None:  # no labelled document, so no task
+        return next(pickle.loads(b.column(0)[0].as_py()) for b in _train(iter(())))
+    return pickle.loads(fitted["model"])
 
 
 def score_quality(docs: DataFrame, model: dict) -> DataFrame:

@@ -108,9 +108,12 @@ def backend(model: Model):
     from tokenizers import AddedToken, Tokenizer, decoders, models, normalizers
 
     if model.kind == UNIGRAM:
-        # Only normal and user-defined pieces are found in text; byte pieces stay for fallback.
+        # Only normal and user-defined pieces are found in text: the others get names from
+        # a private area of Unicode.  Byte pieces keep theirs, for the fallback, so a text
+        # with the letters "<0x41>" themselves may differ; ``parity`` tells.
         worst = min((s for _, s, k in model.pieces if k == NORMAL), default=0.0)
-        vocab = [(p, s if k in (NORMAL, USER_DEFINED) else worst - 100.0) for p, s, k in model.pieces]
+        found = (NORMAL, USER_DEFINED)
+        vocab = [(p if k in (*found, BYTE) else f"\U000F0000{i}", s if k in found else worst) for i, (p, s, k) in enumerate(model.pieces)]
         core = models.Unigram(vocab, model.unk_id, model.byte_fallback)
     else:
         ids = {p: i for i, (p, _, _) in enumerate(model.pieces)}

@@ -70,7 +70,7 @@ def fit_linear(row, column, n_columns, extra, y, decay=DECAY, epochs=EPOCHS, rat
     (bias, weights, weights of the extra columns)."""
     n = len(y)
     weights = np.zeros(n_columns)
-    share = np.clip(y.mean(), 0.5 / n, 1 - 0.5 / n) if n else 0.5
+    share = (y.sum() + 0.01) / (n + 0.02)  # within 0 and 1 for labels of one class, too
     params = [np.array([np.log(share / (1 - share))]), np.zeros(0), np.zeros(extra.shape[1])]
     if not n or y.min() == y.max():
         return params[0][0], weights, params[2]
@@ -186,7 +186,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, categories=CATEGORIES, max_
     Scratch(docs.sparkSession, "toxicity")
     sample = labelled_sample(docs, labels, list(categories), max_sample).select("doc_id", "text", *[F.col(c).cast("double").alias(c) for c in categories])
     ordered = sample.repartition(1).sortWithinPartitions("doc_id")
-    return pickle.loads(ordered.mapInArrow(_train(len(categories)), "model binary").first()["model"])
+    fitted = ordered.mapInArrow(_train(len(categories)), "model binary").first()
+    if fitted is None:  # no labelled document, so no task
+        return {"features": np.zeros(0, np.int32), "models": [(-4.0, np.zeros(0), np.zeros(c)) for c in range(len(categories))]}
+    return pickle.loads(fitted["model"])
 
 
 def score_toxicity(docs: DataFrame, model: dict, categories=CATEGORIES, threshold: float = THRESHOLD) -> DataFrame:
