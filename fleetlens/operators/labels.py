@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.session import broadcast_if_small
-
 # Fixed values that must equal the reference's for equal results.
 RUL_CAP = 125
 FAILURE_HORIZON = 30
 
+# cycles per join key of the remaining-life lookup
+RUL_SEGMENT = 4096
+
 
 def add_rul(
     df: DataFrame,
@@ -23,26 +24,30 @@ def add_rul(
     truth: DataFrame | None = None,
     truth_col: str = "rul",
     out: str = "rul",
-    broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """L1/L2: remaining life = last cycle of the unit - cycle (+ the unit's true
     remaining life after its last reading, when a truth table is given), capped.
 
-    The last cycle comes from a grouped aggregate (partial per task, so a hot unit
-    does not land in one task) joined back on the unit key; the per-unit table is
-    broadcast only when its checked size allows.
+    The last cycle comes from a grouped aggregate and is joined back on (unit, run of
+    ``RUL_SEGMENT`` cycles), so a hot unit's rows meet in many tasks when that table is
+    too large for AQE to broadcast.  Rows without a unit form one group of their own
+    and keep their place; rows without a cycle get a NULL.
     """
-    ends = df.groupBy(unit).agg(F.max(cycle).alias("_end"))
+    tagged = df.withColumn("_run", F.floor((F.col(cycle) - F.lit(1)) / F.lit(RUL_SEGMENT)))
+    runs = tagged.groupBy(F.col(unit).alias("_ru"), F.col("_run").alias("_rr")).agg(F.max(cycle).alias("_end"))
+    ends = runs.groupBy(F.col("_ru").alias(unit)).agg(F.max("_end").alias("_end"))
     if truth is not None:
         ends = ends.join(truth.select(unit, F.col(truth_col).alias("_truth")), unit, "left")
         extra = F.coalesce(F.col("_truth"), F.lit(0))
     else:
         extra = F.lit(0)
-    ends = broadcast_if_small(ends.select(unit, (F.col("_end") + extra).alias("_end")), broadcast_rows)
+    ends = ends.select(F.col(unit).alias("_eu"), (F.col("_end") + extra).alias("_end"))
+    keyed = runs.drop("_end").join(ends, F.col("_ru").eqNullSafe(F.col("_eu"))).drop("_eu")
     rul = F.col("_end") - F.col(cycle)
     if cap is not None:
         rul = F.least(rul, F.lit(cap))
-    return df.join(ends, unit).withColumn(out, rul.cast("int")).drop("_end")
+    joined = tagged.join(keyed, F.col(unit).eqNullSafe(F.col("_ru")) & F.col("_run").eqNullSafe(F.col("_rr")))
+    return joined.withColumn(out, rul.cast("int")).drop("_end", "_run", "_ru", "_rr")
 
 
 def add_failure_label(df: DataFrame, *, horizon: int = FAILURE_HORIZON, rul: str = "rul", out: str = "failure_label"):
@@ -55,13 +60,19 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     *population* std as scale and 1 where the std is 0 (sklearn's rule).
 
     The result is a tiny table (one row per column) meant to be stored (S9)."""
-    stack = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])
-        ).alias("kv")
-    ).select("kv.column", "kv.v")
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, mean double, scale double")
     # NaN -> NULL must already have happened at ingest; NULLs are skipped like sklearn's nan-aware fit
-    stats = stack.groupBy("column").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
+    wide = df.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column"), F.avg(F.col(c).cast("double")).alias("mean"), F.stddev_pop(F.col(c).cast("double")).alias("std")
+            ).alias(f"s{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
+    # one row, turned into one row per column
+    stats = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(columns))])).alias("s")).select("s.*")
     return stats.select(
         "column",
         "mean",

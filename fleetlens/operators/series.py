@@ -57,6 +57,7 @@ CROSS_FEATURES = (
 
 _SEG = "_seg"
 _OWN = "_own"
+_ROW = "_row"
 _MAX_LOG = 600.0
 
 
@@ -436,6 +437,21 @@ def temporal_features(
         + ([trend_window - 1] if trend_window else [])
         + ([entropy_window - 1] if entropy_sensors else [])
     )
+    if any(ewma_max_exponent_rows(span, _MAX_LOG) < halo for span in spans):
+        # frames longer than a segment in which the power weights stay finite: the
+        # weighted means get a pass of their own, over shorter segments
+        shared = dict(unit=unit, cycle=cycle, seg_rows=seg_rows)
+        weighted = temporal_features(
+            df, sensors, windows=(), lags=(), diffs=(), spans=spans, trend_window=None, entropy_sensors=[], cross=False, **shared
+        )
+        rest = temporal_features(
+            weighted, sensors, windows=windows, stats=stats, lags=lags, diffs=diffs, spans=(), trend_window=trend_window,
+            entropy_sensors=entropy_sensors, entropy_window=entropy_window, cross=cross, keep_segment=keep_segment, **shared
+        )
+        means = [c for c in weighted.columns if c not in df.columns]
+        other = [c for c in rest.columns if c not in weighted.columns]
+        before = len(sensors) * (len(windows) * len(stats) + len(lags) + len(diffs))
+        return rest.select(*[_q(c) for c in (*df.columns, *other[:before], *means, *other[before:])])
     size = choose_seg_rows(seg_rows, halo, spans)
     base_cols = df.columns
     seg = segment(df, cycle, size, halo)
@@ -455,7 +471,9 @@ def temporal_features(
     else:
         cr = []
 
-    staged = seg.selectExpr(
+    # an input that a join has left hashed by the unit alone would satisfy the windows:
+    # deal it by (unit, segment), so that a hot unit is split
+    staged = seg.repartition(unit, _SEG).selectExpr(
         *[_q(c) for c in base_cols], _q(_SEG), _q(_OWN), *[f"{e} AS {_q(n)}" for n, e in fams + ewma_local + slope + ent]
     ).where(F.col(_OWN))
     ewm_names: list[str] = []
@@ -594,11 +612,29 @@ def feature_matrix(
     fill: str = "both",
     drop_incomplete: bool = True,
     materialize_features: bool = True,
+    numbered: bool = False,
     **feature_params,
 ) -> DataFrame:
     """Features (W1-W13) -> forward/back fill per unit (W14/W15) -> drop rows
     with any missing value (P6).  Units shorter than the longest requirement lose
-    rows exactly as in the reference (trap T1); ``drop_incomplete=False`` keeps them."""
+    rows exactly as in the reference (trap T1); ``drop_incomplete=False`` keeps them.
+
+    Frames count rows in ``cycle`` order, whatever gaps, ties (broken by a hash of the
+    row) or first value ``cycle`` has; ``numbered=True`` says that it is already 1..n
+    without gaps in every unit (see :func:`assign_cycle`) and saves the numbering."""
+    if not numbered:
+        sensors = list(sensor_columns(df) if sensors is None else sensors)
+        hashed = df.withColumn("_tie", F.xxhash64(*df.columns))
+        rows = assign_cycle(hashed, unit, [cycle, "_tie"], cycle=_ROW).drop("_tie").select(*df.columns, _ROW)
+        kept = [c for c in df.columns if c not in (unit, cycle)]
+        feats = feature_matrix(
+            rows.withColumnRenamed(cycle, "_given"), sensors, unit=unit, cycle=_ROW, fill=fill, drop_incomplete=False,
+            materialize_features=materialize_features, numbered=True, **feature_params
+        )
+        made = [c for c in feats.columns if c not in (unit, "_given", _ROW, *kept)]
+        order = [_q("_given" if c == cycle else c) + " AS " + _q(c) for c in df.columns]
+        feats = feats.selectExpr(*order, *[_q(c) for c in made])
+        return feats.na.drop("any") if drop_incomplete else feats
     feats = temporal_features(df, sensors, unit=unit, cycle=cycle, keep_segment=True, **feature_params)
     if fill != "none" and materialize_features:
         # the fill reads the features twice (per-segment edges + the rows).

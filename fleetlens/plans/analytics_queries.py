@@ -233,7 +233,7 @@ def _featured(spark, sf_dir):
     from fleetlens.session import materialize
 
     s = event_series(spark, sf_dir).select("unit_id", "cycle", "ts", *EVENT_SENSORS)
-    fm = feature_matrix(L.add_failure_label(L.add_rul(s)), EVENT_SENSORS)
+    fm = feature_matrix(L.add_failure_label(L.add_rul(s)), EVENT_SENSORS, numbered=True)
     # several model fits read it: write it once (the reference persists it too)
     return materialize(fm, "featured")
 
@@ -260,8 +260,9 @@ def _champions(spark, sf_dir):
     fm = _featured(spark, sf_dir)
     feats = [c for c in fm.columns if c not in ("unit_id", "cycle", "ts", "rul", "failure_label")]
     train = fm.where(F.col("ts") < _ts(DRIFT_SPLIT_TS))
-    clf = TR.fit_champion(train, TR.classifier_specs(TRAIN_SCALE)[0], "failure_label", feats)
-    reg = TR.fit_champion(train, TR.regressor_specs(TRAIN_SCALE)[1], "rul", feats)
+    # refitted at full settings
+    clf = TR.fit_champion(train, TR.classifier_specs()[0], "failure_label", feats)
+    reg = TR.fit_champion(train, TR.regressor_specs()[1], "rul", feats)
     return fm, clf, reg
 
 
@@ -296,24 +297,37 @@ def q_drift_check(spark, sf_dir):
     of the feature matrix before it (monitored: non-rolling, non-lag features)."""
     from fleetlens.operators.series import feature_matrix, monitor_features
     from fleetlens.plans.drift_check import drift_check
-    from fleetlens.sources import ingest as I
 
     s = event_series(spark, sf_dir)
     split = F.col("ts") < _ts(DRIFT_SPLIT_TS)
     train = s.where(split).select("unit_id", "cycle", *EVENT_SENSORS)
     params = L.fit_scaler(train, EVENT_SENSORS)
-    base_fm = feature_matrix(L.placeholder_labels(L.apply_scaler(train, params)), EVENT_SENSORS)
+    base_fm = feature_matrix(L.placeholder_labels(L.apply_scaler(train, params)), EVENT_SENSORS, numbered=True)
     feats = monitor_features(base_fm)
     from fleetlens.session import materialize
 
     baseline = materialize(D.to_long(base_fm, feats), "check-baseline")  # the stored baseline
-    cur = S_renumber(s.where(~split))
-    reqs = I.parse_requests(I.requests_from_series(cur, EVENT_SENSORS), sensors=EVENT_SENSORS)
-    valid, _ = I.flatten_requests(reqs, sensors=EVENT_SENSORS)
-    summary, report = drift_check(valid, params, baseline, EVENT_SENSORS, feats)
+    valid = _check_readings(s.where(~split))
+    _, report, _ = drift_check(valid, params, baseline, EVENT_SENSORS, feats)
     return rounded(report)
 
 
+def q_drift_check_rejected(spark, sf_dir):
+    """The requests that the drift check refuses."""
+    from fleetlens.plans.drift_check import short_requests
+
+    late = event_series(spark, sf_dir).where(F.col("ts") >= _ts(DRIFT_SPLIT_TS))
+    return short_requests(_check_readings(late))
+
+
+def _check_readings(series):
+    from fleetlens.sources import ingest as I
+
+    reqs = I.parse_requests(I.requests_from_series(S_renumber(series), EVENT_SENSORS), sensors=EVENT_SENSORS)
+    valid, _ = I.flatten_requests(reqs, sensors=EVENT_SENSORS)
+    return valid
+
+
 def S_renumber(df):
     from fleetlens.operators.series import assign_cycle
 
@@ -352,6 +366,7 @@ REGISTRY = {
     "accuracy_monitor": q_accuracy_monitor,
     "rolling_accuracy": q_rolling_accuracy,
     "drift_check": q_drift_check,
+    "drift_check_rejected": q_drift_check_rejected,
     "train_leaderboard": q_train_leaderboard,
     "regressor_leaderboard": q_regressor_leaderboard,
     "score_fleet": q_score_fleet,

@@ -19,6 +19,12 @@ from fleetlens.sources.ingest import order_readings
 MIN_READINGS = 30
 
 
+def short_requests(readings: DataFrame, min_readings: int = MIN_READINGS) -> DataFrame:
+    """The requests with too few readings for a drift check."""
+    sizes = readings.groupBy("request_id").agg(F.count(F.lit(1)).alias("readings"))
+    return sizes.where(F.col("readings") < min_readings).select("request_id", F.lit("too_few_readings").alias("rule"), "readings")
+
+
 def drift_check(
     readings: DataFrame,
     scaler_params: DataFrame | dict,
@@ -28,19 +34,20 @@ def drift_check(
     *,
     min_readings: int = MIN_READINGS,
     **feature_params,
-) -> tuple[DataFrame, DataFrame]:
-    """Returns (summary, report).  ``readings`` are the valid rows of
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Returns (summary, report, rejected).  ``readings`` are the valid rows of
     :func:`fleetlens.sources.ingest.flatten_requests`; every request is its own
     series (unit 'unknown' when none is given, trap T3) ordered by (cycle,
-    position).  Requests with fewer than ``min_readings`` rows are left out."""
-    sizes = readings.groupBy("request_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_readings)
-    ok = readings.join(sizes.select("request_id"), "request_id", "left_semi")
+    position).  Requests with fewer than ``min_readings`` rows are refused: ``rejected``
+    has one row (request_id, rule, readings) for each."""
+    short = short_requests(readings, min_readings)
+    ok = readings.join(short.select("request_id"), "request_id", "left_anti")
     ordered = order_readings(ok)
     series = ordered.withColumn("series_id", F.concat_ws("|", F.col("request_id").cast("string"), F.col("unit_id").cast("string")))
     scaled = L.apply_scaler(series.select("series_id", "cycle", *sensors), scaler_params)
-    fm = S.feature_matrix(L.placeholder_labels(scaled), list(sensors), unit="series_id", cycle="cycle", **feature_params)
+    fm = S.feature_matrix(L.placeholder_labels(scaled), list(sensors), unit="series_id", cycle="cycle", numbered=True, **feature_params)
     # the report reads the features several times (edges, ranks, counts): write once
     fm = materialize(fm, "check-features")
     cols = list(features) if features is not None else [c for c in fm.columns if c not in ("series_id", "cycle", "rul", "failure_label")]
     report = D.drift_report(baseline_long, D.to_long(fm, cols))
-    return D.drift_summary(report), report
+    return D.drift_summary(report), report, short

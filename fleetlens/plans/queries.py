@@ -110,7 +110,7 @@ def q_ffill_bfill(spark, sf_dir):
 
 
 def q_feature_matrix(spark, sf_dir):
-    fm = S.feature_matrix(processed(spark, sf_dir), EVENT_SENSORS)
+    fm = S.feature_matrix(processed(spark, sf_dir), EVENT_SENSORS, numbered=True)
     return rounded(fm)
 
 
@@ -169,7 +169,17 @@ def oracles():
     from fleetlens.plans.analytics_sql import ORACLES
 
     out = {**_series_oracles(O), **{k: f() for k, f in ORACLES.items()}}
-    out["stream_drift"] = out["drift_events"]
+    # a request holds up to 100 readings of a unit that carry both sensors
+    out["drift_check_rejected"] = """
+        WITH late AS (
+            SELECT user_id, value, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+                   row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place
+            FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00' AND user_id IS NOT NULL)
+        SELECT user_id * 1048576 + (place - 1) // 100 AS request_id, 'too_few_readings' AS rule, count(*) AS readings
+        FROM late WHERE value IS NOT NULL AND k IS NOT NULL
+        GROUP BY 1 HAVING count(*) < 30"""
+    # one file makes one micro-batch
+    out["stream_drift"] = f"SELECT 0 AS batch_id, r.* FROM ({out['drift_events']}) r"
     out["stream_accuracy"] = O.q_stream_accuracy()
     out["stream_score"] = O.q_stream_score()
     return out

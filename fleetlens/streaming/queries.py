@@ -64,10 +64,10 @@ def q_stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     current = _stream_readings(events_stream(spark, sf_dir)).where(F.col("ts") >= split)
     run = _run_dir(spark, "drift")
     J.start_drift(current, baseline, EVENT_SENSORS, f"{run}/out", f"{run}/checkpoint").awaitTermination()
-    rep = J.latest_per_key(spark, f"{run}/out", ["feature"])
     from fleetlens.plans.queries import rounded
 
-    return rounded(rep)
+    # the report of every micro-batch
+    return rounded(spark.read.parquet(f"{run}/out"))
 
 
 def _score_fixed(df: DataFrame) -> DataFrame:

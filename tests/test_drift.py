@@ -127,10 +127,11 @@ def test_drift_check_composition(spark):
     readings = [{"a": float(x), "b": float(y)} for x, y in zip(rng.normal(3, 1, 40), rng.normal(5, 1, 40))]
     payloads = spark.createDataFrame([(0, json.dumps({"readings": readings})), (1, json.dumps({"readings": readings[:5]}))], "request_id long, payload string")
     valid, _ = I.flatten_requests(I.parse_requests(payloads, sensors=["a", "b"]), sensors=["a", "b"])
-    summary, report = drift_check(valid, params, baseline, ["a", "b"], ["a", "b"], windows=(5,), lags=(1,), spans=(5,))
+    summary, report, rejected = drift_check(valid, params, baseline, ["a", "b"], ["a", "b"], windows=(5,), lags=(1,), spans=(5,))
     rows = {r["feature"]: r for r in report.collect()}
     assert rows["a"]["drifted"] and set(rows) == {"a", "b"}
     assert summary.collect()[0]["total_features"] == 2
+    assert [tuple(r) for r in rejected.collect()] == [(1, "too_few_readings", 5)]
 
 
 def test_ks_pvalue_of_nearly_equal_samples_is_one(spark):

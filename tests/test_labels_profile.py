@@ -108,3 +108,9 @@ def test_sample_units(spark):
     df = _units(spark, {5: 3, 1: 2, 9: 4, 2: 1})
     got = sample_units(df, 2).toPandas()
     assert sorted(got["unit_id"].unique()) == [1, 2] and len(got) == 3
+
+
+def test_rul_keeps_rows_without_a_unit(spark):
+    df = spark.createDataFrame([(1, 1), (1, 9000), (None, 3), (None, 5)], "unit_id long, cycle int")
+    got = {(r.unit_id, r.cycle): r.rul for r in L.add_rul(df, cap=None).collect()}
+    assert got == {(1, 1): 8999, (1, 9000): 0, (None, 3): 2, (None, 5): 0}

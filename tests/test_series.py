@@ -209,3 +209,50 @@ def test_last_n_counts_rows_with_gaps_and_ties(spark):
     df = spark.createDataFrame(gaps + ties, "unit_id int, cycle int, v double")
     got = S.last_n(df, 10).groupBy("unit_id").agg(F.count("*").alias("n"), F.min("cycle").alias("lo")).orderBy("unit_id").collect()
     assert [(r.n, r.lo) for r in got] == [(10, 381), (10, 1)]
+
+
+def test_feature_matrix_counts_rows_whatever_the_cycle_values(spark, pdf):
+    kw = dict(windows=WINDOWS, lags=LAGS, spans=SPANS, cross=False)
+    one = pdf[pdf.unit_id == 1]
+    dense = S.feature_matrix(spark.createDataFrame(one), ["s1"], numbered=True, **kw).orderBy("cycle").toPandas()
+    odd = one.assign(cycle=one.cycle * 2 + 7)
+    got = S.feature_matrix(spark.createDataFrame(odd), ["s1"], seg_rows=31, **kw).orderBy("cycle").toPandas()
+    assert list(got.columns) == list(dense.columns) and len(got) == len(dense) > 0
+    assert (got["cycle"] == dense["cycle"] * 2 + 7).all()
+    for c in dense.columns.drop("cycle"):
+        ok, bad = _close(got[c], dense[c], 1e-9)
+        assert ok, (c, bad)
+    tied = S.feature_matrix(spark.createDataFrame(one.assign(cycle=1)), ["s1"], drop_incomplete=False, **kw).toPandas()
+    assert len(tied) == len(one) and (tied["cycle"] == 1).all()
+
+
+def test_weighted_mean_stays_finite_beside_long_windows(spark):
+    x = [float((i * 37) % 101) for i in range(3000)]
+    df = spark.createDataFrame([(1, i + 1, v) for i, v in enumerate(x)], "unit_id long, cycle int, s double")
+    got = S.temporal_features(df, ["s"], windows=(2000,), lags=(1,), diffs=(), spans=(5,), cross=False).orderBy("cycle").toPandas()
+    want = pd.Series(x).ewm(span=5).mean()
+    assert np.allclose(got["s_ewm_5"], want, rtol=1e-9)
+    assert np.allclose(got["s_roll_mean_2000"][1999:], pd.Series(x).rolling(2000).mean()[1999:])
+    names = list(got.columns)
+    assert names.index("s_lag_1") < names.index("s_ewm_5") < names.index("s_slope_10")
+
+
+def test_hot_unit_is_dealt_by_segment_under_the_windows(spark):
+    from pyspark.sql import functions as F
+
+    from fleetlens.operators import labels as L
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(20000).select(F.lit(7).alias("unit_id"), (F.col("id") + 1).cast("int").alias("cycle"), F.rand(1).alias("s"))
+        out = S.temporal_features(L.add_rul(df, cap=None), ["s"], windows=(5,), lags=(), diffs=(), spans=(), trend_window=None,
+                                  entropy_sensors=[], cross=False, seg_rows=500)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        under = plan[plan.index("Window ") :]
+        first = under[under.index("Exchange") :].split("\n")[0]
+        assert "_seg" in first, plan
+        rows = out.select("unit_id", "cycle", "rul").where("rul <> 20000 - cycle").count()
+        assert rows == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

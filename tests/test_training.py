@@ -29,6 +29,8 @@ def test_classifier_leaderboard_and_champion(spark):
     for r in board:
         assert 0.0 <= r["roc_auc"] <= 1.0 and 0.0 <= r["f1"] <= 1.0
     assert board[0]["roc_auc"] > 0.8  # the label is learnable
+    ranked = spark.createDataFrame([("gbt_xgb_like", 1), ("random_forest", 2)], "name string, rank int")
+    assert TR.select_champion(ranked, TR.classifier_specs()).name == "gbt_xgb_like"
     model = TR.fit_champion(df, TR.classifier_specs(0.05)[0], "failure_label", FEATS)
     imp = TR.feature_importance(spark, model).collect()
     assert imp[0]["feature"] == "f0" and abs(sum(r["importance"] for r in imp) - 1.0) < 1e-9
