@@ -161,11 +161,12 @@ def _facts(shared):
         ranks, seen = shared.value, set()
         for batch in batches:
             sizes, nodes, prefixes, signatures = [], [], [], []
-            for tokens in _text_sets(batch.column(1)):
+            for doc_id, tokens in zip(batch.column(0).to_pylist(), _text_sets(batch.column(1))):
                 sizes.append(len(tokens))
                 node = _node(tokens) if len(tokens) else None
                 nodes.append(node)
-                if node is None or node in seen:
+                # Rows with a NULL doc_id are dropped, so none may stand for its set.
+                if doc_id is None or node is None or node in seen:
                     prefixes.append(None)
                     signatures.append(None)
                     continue
