@@ -1,13 +1,15 @@
 """Embedding near-dedup by sorted projection passes.
 
 In each pass a vector's key is the signs of 63 random projections; vectors are ordered
-by key, so near vectors tend to stand near each other.  Each is compared with the next
-``window`` ones, and pairs of a cosine of ``threshold`` or more are verified in double
-precision; the pairs of all passes are united to components.  The number of passes
-follows the number of vectors (see ``passes_for``).
-
-The window bounds the neighbours, not the links: inside a component all vectors are
-compared with one another in blocks, so links beyond the window are counted too.
+by key, so near vectors tend to stand near each other.  All vectors that share a key's
+leading bits (a run, see ``bits_for``) are compared: runs of up to ``window`` vectors in
+a window over the order, longer ones block by block, so a dense topic is searched as
+whole as a sparse one.  Pairs of a cosine of ``threshold`` or more are verified in
+double precision; the pairs of all passes are united to components.  The number of
+passes follows the number of vectors (see ``passes_for``).
+
+Inside a component all vectors are compared with one another in blocks, so links that
+no pass brought together are counted too.
 """
 
 from __future__ import annotations
@@ -20,24 +22,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import Scratch
-from fleetlens.llm.components import components
+from fleetlens.llm.components import components, forest
 
 THRESHOLD = 0.95
 WINDOW = 32
 BITS = 63
-#: Chance with which the passes together bring a pair at the threshold into a window.
+#: Chance with which the passes together bring a pair at the threshold into one run.
 TARGET = 0.99
-#: Vectors in a block of the comparison inside components.
+#: Vectors in a block of the comparison inside components and long runs.
 BLOCK = 1024
+#: Long runs (24 bytes each) up to which their table is broadcast.
+BROADCAST_ROWS = 1_000_000
 SEED = 20_240_601
 
 
+def bits_for(n: int, window: int = WINDOW) -> int:
+    """Leading bits that leave about a window of evenly spread vectors."""
+    return min(BITS, max(0, math.ceil(math.log2(max(n, 1) / window))))
+
+
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, target: float = TARGET) -> int:
-    """Passes so that a pair at the threshold shares, in one of them, the log2(n / window)
-    leading bits that leave about a window of vectors: each bit agrees with chance
-    1 - angle / pi."""
-    bits = max(0.0, math.log2(max(n, 1) / window))
-    once = (1 - math.acos(threshold) / math.pi) ** bits
+    """Passes so that a pair at the threshold shares, in one of them, the leading bits of
+    a run: each bit agrees with chance 1 - angle / pi, however dense the vectors stand."""
+    once = (1 - math.acos(threshold) / math.pi) ** bits_for(n, window)
     return max(2, math.ceil(math.log(1 - target) / math.log(max(1e-9, 1 - min(once, 1 - 1e-9)))))
 
 
@@ -85,7 +92,7 @@ def _keys(passes: int):
                     signs = units @ planes[dim][:, p * BITS : (p + 1) * BITS] > 0
                     key = signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([p * 65536 + dim % 65536] * len(rows), pa.int32()), pa.array(key, pa.int64()), pa.array([ids[i] for i in rows], pa.int64()), pa.array([blobs[i] for i in rows], pa.binary())],
+                        [pa.array([p << 32 | dim] * len(rows), pa.int64()), pa.array(key, pa.int64()), pa.array([ids[i] for i in rows], pa.int64()), pa.array([blobs[i] for i in rows], pa.binary())],
                         names=["list", "key", "node", "vector"],
                     )
 
@@ -94,22 +101,18 @@ def _keys(passes: int):
 
 def _neighbours(threshold: float, window: int):
     """Rows come sorted by list and key; a batch is compared with the ``window`` rows
-    before it, too.  (A window ends where a range partition does; other passes cut
-    elsewhere, and links inside components are counted whole.)"""
+    before it, too.  A partition holds whole runs, so its edges cut none."""
 
     def run(batches):
         lists, nodes, blobs = np.zeros(0, np.int64), np.zeros(0, np.int64), []
         for batch in batches:
             fresh = len(nodes)
-            lists = np.concatenate([lists, batch.column(0).to_numpy().astype(np.int64)])
+            lists = np.concatenate([lists, batch.column(0).to_numpy()])
             nodes = np.concatenate([nodes, batch.column(2).to_numpy()])
             blobs += batch.column(3).to_pylist()
             a, b = [], []
             for kind in np.unique(lists):
                 at = np.flatnonzero(lists == kind)
-                sizes = {len(blobs[i]) for i in at}
-                if len(sizes) > 1:  # lengths that agree modulo 65,536
-                    continue
                 units = _unit([blobs[i] for i in at])
                 for step in range(1, min(window, len(at) - 1) + 1):
                     near = np.flatnonzero(np.einsum("ij,ij->i", units[:-step], units[step:]) >= threshold)
@@ -123,6 +126,26 @@ def _neighbours(threshold: float, window: int):
     return run
 
 
+def _run_links(threshold: float):
+    """A forest of the near pairs of one block of a long run with another, or itself."""
+
+    def run(key, table):
+        rows = table.filter(table["side"].to_numpy() == 0)
+        columns = table.filter(table["side"].to_numpy() == 1)
+        columns = columns if key[2].as_py() != key[3].as_py() else rows
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if rows.num_rows and columns.num_rows:
+            x, y = (_unit(t["vector"].to_pylist()) for t in (rows, columns))
+            left, right = np.nonzero(x @ y.T >= threshold)
+            a, b = rows["node"].to_numpy()[left], columns["node"].to_numpy()[right]
+            a, b = a[a != b], b[a != b]
+            if len(a):
+                a, b = forest(a, b)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def _block_links(threshold: float):
     """Links of each vector of a block of rows with a block of columns."""
 
@@ -154,12 +177,23 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, window: int =
     # One row for equal vectors, under the least id (and a hash, should ids repeat)
     distinct = usable.groupBy("vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     distinct = scratch.save(distinct.withColumn("node", F.xxhash64("vector", "least")), "distinct")
-    passes = passes_for(distinct.count(), threshold, window)
-
-    keyed = distinct.select("node", "vector").mapInArrow(_keys(passes), "list int, key long, node long, vector binary")
-    ordered = keyed.repartitionByRange("list", "key", "node").sortWithinPartitions("list", "key", "node")
-    found = ordered.mapInArrow(_neighbours(threshold, window), "a long, b long")
-    joined = scratch.save(components(found, scratch, "found"), "components")
+    n = distinct.count()
+    passes, bits = passes_for(n, threshold, window), bits_for(n, window)
+
+    keyed = distinct.select("node", "vector").mapInArrow(_keys(passes), "list long, key long, node long, vector binary")
+    keyed = keyed.withColumn("run", F.shiftright("key", BITS - bits) if bits else F.lit(0).cast("long"))
+    long_runs = scratch.save(keyed.groupBy("list", "run").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > window), "long-runs")
+    small = F.broadcast if long_runs.count() <= BROADCAST_ROWS else (lambda x: x)
+    # Runs within the window: a run lies in one range partition, its vectors in one window
+    short = keyed.join(small(long_runs.select("list", "run")), ["list", "run"], "left_anti")
+    ordered = short.repartitionByRange("list", "run").sortWithinPartitions("list", "key", "node")
+    found = ordered.select("list", "key", "node", "vector").mapInArrow(_neighbours(threshold, window), "a long, b long")
+    # Longer runs: each pair of blocks of a run once, so a task holds two blocks
+    parts = keyed.join(small(long_runs), ["list", "run"]).withColumn("n_blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", F.pmod(F.hash("node"), F.col("n_blocks")))
+    parts = parts.select("list", "run", "node", "vector", "own", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other"))
+    parts = parts.select("list", "run", F.least("own", "other").alias("row_block"), F.greatest("own", "other").alias("column_block"), (F.col("own") > F.col("other")).cast("int").alias("side"), "node", "vector")
+    dense = parts.groupBy("list", "run", "row_block", "column_block").applyInArrow(_run_links(threshold), "a long, b long")
+    joined = scratch.save(components(found.unionByName(dense), scratch, "found"), "components")
 
     # Inside components: blocks of rows by blocks of columns, both of about ``block``
     # vectors of the component, so a task holds two blocks whatever the component's size.
