@@ -1,12 +1,13 @@
 """Phrase collocations by set-oriented relational mining (SETM).
 
-Occurrences are relations of (piece, pos, item), sorted by piece and position.  The
-relation of pairs is a merge join of the words' relation with itself, one position on:
-a piece lies in one text, so this join needs no shuffle and is made where the text is
-read.  Each round then counts its groups, keeps those that are frequent, and semi-joins
-the persisted relation to them before Spark's merge join on (piece, adjacent position)
-extends it by a word.  A frequent phrase of k + 1 words is two frequent phrases of k
-words one position apart, so only their occurrences are joined.
+The occurrences of a length are a relation of (place, item) in sorted runs: a place
+counts the words of a run of texts and leaves one out between pieces, so places sort by
+piece and position, and neighbours in a piece differ by one.  A run holds whole texts,
+so the merge join of a relation with itself, one place on, needs no shuffle.  Each
+round counts the joined groups, keeps those that are frequent, semi-joins the groups'
+occurrences to them and persists what is left as the next length's relation.  A
+frequent phrase of k + 1 words is two frequent phrases of k words one place apart, so
+only their occurrences are joined.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ MAX_WORDS = 4
 COVERED = 80
 TOP = 2000
 SCALE = 2_000_000
-#: Frequent phrases are broadcast only after a count of at most this many (16 to 24
-#: bytes each); beyond it the same joins shuffle.
+#: Frequent groups are sent to every task only after a count of at most this many (16 to
+#: 24 bytes each); beyond it occurrences are joined with them in Spark, by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of a Parquet row group of a relation.
+ROW_GROUP = 16 << 20
+#: Occurrences that are counted together in a task.
+FLUSH = 1 << 22
 #: Each language's candidates are ranked in this many parts before their best are.
 PARTS = 64
 
@@ -89,34 +94,183 @@ def _count_words(batches):
     trim()
 
 
-def adjacent(piece: np.ndarray, pos: np.ndarray) -> np.ndarray:
-    """Merge join of a relation sorted by (piece, pos) with itself one position on: the
-    rows that have a successor, which is then the next row."""
-    return np.flatnonzero((piece[1:] == piece[:-1]) & (pos[1:] == pos[:-1] + 1))
+def places(piece: np.ndarray) -> np.ndarray:
+    """Places of the words of a run: one on within a piece, two on into the next."""
+    steps = np.ones(len(piece), dtype=np.int64)
+    steps[1:] += piece[1:] != piece[:-1]
+    return np.cumsum(steps)
 
 
-def _pair_words(by_name: bool):
+def merge_join(place: np.ndarray) -> np.ndarray:
+    """Rows of a sorted run that have a neighbour one place on, which is the next row."""
+    return np.flatnonzero(place[1:] == place[:-1] + 1)
+
+
+class GroupTable:
+    """Groups (left, right, id) sorted by both, to semi-join pairs with."""
+
+    def __init__(self, lefts: np.ndarray, rights: np.ndarray, ids: np.ndarray):
+        self.lefts, place = np.unique(lefts, return_inverse=True)
+        self.rights, other = np.unique(rights, return_inverse=True)
+        # places in both lists give one number a group, in the order of the table
+        self.keys, self.ids = place * len(self.rights) + other, ids
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ids of pairs, -1 where they are no group of the table."""
+        if not len(self.ids):
+            return np.full(len(left), -1)
+        i = np.minimum(np.searchsorted(self.lefts, left), len(self.lefts) - 1)
+        j = np.minimum(np.searchsorted(self.rights, right), len(self.rights) - 1)
+        key = i * len(self.rights) + j
+        row = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.lefts[i] == left) & (self.rights[j] == right) & (self.keys[row] == key), self.ids[row], -1)
+
+
+def _run_batch(run: int, place: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
+    """A sorted run as one row; places are stored as steps, which are mostly 1."""
+    ends = pa.array([0, len(place)], pa.int32())
+    steps = np.diff(place, prepend=0).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array([run], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(steps)), pa.ListArray.from_arrays(ends, pa.array(item.astype(np.int64)))], names=["run", "steps", "items"])
+
+
+_RUNS = "run long, steps array<int>, items array<long>"
+
+
+def _runs(batch):
+    """(run, places, items) of the rows of a batch of runs."""
+    for i in range(len(batch)):
+        steps, items = batch.column(1)[i].values, batch.column(2)[i].values
+        yield batch.column(0)[i].as_py(), np.cumsum(steps.to_numpy(zero_copy_only=False).astype(np.int64)), items.to_numpy(zero_copy_only=False)
+
+
+def _text_runs(batches):
+    """(run, places, words, salts, languages) of texts; a run's number has its task's above."""
+    run = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for words, salts, langs in _batch_blocks(batch):
+            yield run, places(words.piece), words, salts, langs
+            run += 1
+
+
+def _with_neighbour(place: np.ndarray) -> np.ndarray:
+    joined = np.zeros(len(place) + 1, dtype=bool)
+    at = merge_join(place)
+    joined[at] = joined[at + 1] = True
+    return joined[:-1]
+
+
+def _word_runs(table):
+    """Relation of the frequent words that have a frequent neighbour."""
+
     def run(batches):
-        # Pieces are numbered within the task, whose number takes the upper bits.
-        base = TaskContext.get().partitionId() << 40
+        keys, ids = table.value
+        for number, place, words, salts, _ in _text_runs(batches):
+            key = _keys(words, salts)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1) if len(keys) else np.zeros(0, np.int64)
+            known = np.flatnonzero(keys[at] == key) if len(keys) else at
+            keep = known[_with_neighbour(place[known])]
+            if len(keep):
+                yield _run_batch(number, place[keep], ids[at[keep]])
+        trim()
+
+    return run
+
+
+def _word_rows(by_name: bool):
+    """The same occurrences as rows, for a join in Spark."""
+
+    def run(batches):
+        for number, place, words, salts, langs in _text_runs(batches):
+            head = [pa.array(np.full(len(place), number)), pa.array(place)]
+            if by_name:
+                every = np.arange(len(place))
+                yield pa.RecordBatch.from_arrays([*head, langs.take(pa.array(words.row)), words.strings(every).cast(pa.string())], names=["run", "place", "lang", "word"])
+            else:
+                yield pa.RecordBatch.from_arrays([*head, pa.array(_keys(words, salts))], names=["run", "place", "key"])
+        trim()
+
+    return run
+
+
+def _count_pairs(batches):
+    """Partial counts of joined groups, summed over runs up to FLUSH occurrences."""
+    held, size = [], 0
+
+    def flush():
+        left, right = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((right, left))
+        left, right = left[order], right[order]
+        first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
+        counts = np.diff(np.append(first, len(left)))
+        return pa.RecordBatch.from_arrays([pa.array(left[first]), pa.array(right[first]), pa.array(counts)], names=["left", "right", "a"])
+
+    for batch in batches:
+        for _, place, items in _runs(batch):
+            at = merge_join(place)
+            held.append((items[at], items[at + 1]))
+            size += len(at)
+            if size >= FLUSH:
+                yield flush()
+                held, size = [], 0
+    if size:
+        yield flush()
+    del held
+    trim()
+
+
+def _extend(table):
+    """The relation of the frequent groups: merge join, then semi-join."""
+
+    def run(batches):
+        known = GroupTable(*table.value)
         for batch in batches:
-            for words, salts, langs in _batch_blocks(batch):
-                at = adjacent(words.piece, words.pos)
-                place = [pa.array(base + words.piece[at]), pa.array(words.pos[at].astype(np.int32))]
-                base += int(words.piece[-1]) + 1 if len(words.piece) else 0
-                if by_name:
-                    columns = [langs.take(pa.array(words.row[at])), words.strings(at).cast(pa.string()), words.strings(at + 1).cast(pa.string())]
-                    yield pa.RecordBatch.from_arrays([*place, *columns], names=["piece", "pos", "lang", "word", "next"])
-                else:
-                    keys = _keys(words, salts)
-                    yield pa.RecordBatch.from_arrays([*place, pa.array(keys[at]), pa.array(keys[at + 1])], names=["piece", "pos", "key", "next"])
+            for number, place, items in _runs(batch):
+                at = merge_join(place)
+                ids = known.find(items[at], items[at + 1])
+                keep = np.flatnonzero(ids >= 0)
+                if len(keep):
+                    yield _run_batch(number, place[at[keep]], ids[keep])
         trim()
 
     return run
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if df.count() <= rows else df
+def _pair_rows(batches):
+    for batch in batches:
+        for number, place, items in _runs(batch):
+            at = merge_join(place)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), number)), pa.array(place[at]), pa.array(items[at]), pa.array(items[at + 1])], names=["run", "place", "left", "right"])
+    trim()
+
+
+def _as_runs(rows: DataFrame) -> DataFrame:
+    """Rows (run, place, id) as sorted runs again; a run is at most a block of texts."""
+    run = rows.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("place", "id"))).alias("r"))
+    steps = "transform(r, (x, i) -> cast(x.place - if(i = 0, 0, r[i - 1].place) as int))"
+    return run.select("run", F.expr(steps).alias("steps"), F.expr("transform(r, x -> x.id)").alias("items"))
+
+
+def _save_runs(scratch: Scratch, relation: DataFrame, name: str) -> DataFrame:
+    """Persist a relation; its rows are long, so row groups are kept small."""
+    relation.write.option("parquet.block.size", ROW_GROUP).parquet(scratch.path(name))
+    return scratch.spark.read.schema(_RUNS).parquet(scratch.path(name))
+
+
+def _numbered(scratch: Scratch, df: DataFrame, name: str, rows: int) -> tuple[DataFrame, bool]:
+    """Save with an id for each row; the ids of a small table are dense.  Also whether
+    the table is small enough to be sent to every task."""
+    saved = scratch.save(df, f"{name}-counted")
+    small = saved.count() <= rows
+    saved = saved.coalesce(1) if small else saved
+    return scratch.save(saved.withColumn("id", F.monotonically_increasing_id()), name), small
+
+
+def _send(df: DataFrame, *columns: str):
+    """A small table as sorted arrays in every task."""
+    got = df.select(*columns).toArrow()
+    arrays = [got.column(c).to_numpy(zero_copy_only=False) for c in columns]
+    order = np.lexsort(arrays[-2::-1])
+    return df.sparkSession.sparkContext.broadcast(tuple(a[order] for a in arrays))
 
 
 def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, covered: int = COVERED, broadcast_rows: int = BROADCAST_ROWS, by_name: bool | None = None) -> DataFrame:
@@ -133,28 +287,27 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
     counted = texts.mapInArrow(_count_words, "key long, lang string, word string, n long").groupBy("key", "lang", "word").agg(F.sum("n").alias("n"))
     vocabulary = scratch.save(counted, "vocabulary")
     totals = scratch.save(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    ids = F.monotonically_increasing_id()
-    words = scratch.save(vocabulary.where(F.col("n") >= min_count).withColumn("id", ids), "words")
+    words, small = _numbered(scratch, vocabulary.where(F.col("n") >= min_count), "words", broadcast_rows)
     if by_name is None:
         by_name = not vocabulary.groupBy("key").count().where("count > 1").isEmpty()
 
-    # Relation of pairs of frequent words, sorted by (piece, pos) as the texts are read
     if by_name:
-        pairs = texts.mapInArrow(_pair_words(True), "piece long, pos int, lang string, word string, next string")
-        left, right = words.select("lang", "word", F.col("id").alias("left")), words.select("lang", F.col("word").alias("next"), F.col("id").alias("right"))
-        pairs = pairs.join(_small(left, broadcast_rows), ["lang", "word"]).join(_small(right, broadcast_rows), ["lang", "next"])
+        rows = texts.mapInArrow(_word_rows(True), "run long, place long, lang string, word string")
+        relation = _as_runs(rows.join(words.select("lang", "word", "id"), ["lang", "word"]))
+    elif small:
+        relation = texts.mapInArrow(_word_runs(_send(words, "key", "id")), _RUNS)
     else:
-        pairs = texts.mapInArrow(_pair_words(False), "piece long, pos int, key long, next long")
-        left, right = words.select("key", F.col("id").alias("left")), words.select(F.col("key").alias("next"), F.col("id").alias("right"))
-        pairs = pairs.join(_small(left, broadcast_rows), "key").join(_small(right, broadcast_rows), "next")
-    relation = scratch.save(pairs.select("piece", "pos", "left", "right"), "relation-2")
+        rows = texts.mapInArrow(_word_rows(False), "run long, place long, key long")
+        relation = _as_runs(rows.join(words.select("key", "id"), "key"))
+    relation = _save_runs(scratch, relation, "relation-1")
+    scratch.drop("vocabulary", "words-counted")
 
     # first[j - 1] and rest[j - 1]: occurrences of the phrase's first and last j words
     shorter = words.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("tail"), F.col("n").alias("a"), F.array().cast("array<long>").alias("first"), F.array().cast("array<long>").alias("rest"))
     levels = []
     for k in range(2, max_words + 1):
-        groups = relation.groupBy("left", "right").agg(F.count(F.lit(1)).alias("a")).where(F.col("a") >= min_count)
-        groups = scratch.save(groups.withColumn("id", ids), f"groups-{k}")
+        groups = relation.mapInArrow(_count_pairs, "left long, right long, a long").groupBy("left", "right").agg(F.sum("a").alias("a"))
+        groups, small = _numbered(scratch, groups.where(F.col("a") >= min_count), f"groups-{k}", broadcast_rows)
         one = shorter.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"), F.col("a").alias("a_left"), F.col("first").alias("f"))
         other = shorter.select(F.col("id").alias("right"), "tail", F.col("a").alias("a_right"), F.col("rest").alias("s"))
         level = groups.join(one, "left").join(other, "right").select(
@@ -163,12 +316,13 @@ def mine_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
         shorter = scratch.save(level, f"phrases-{k}")
         levels.append(shorter)
         if k < max_words:
-            # Semi-join to the frequent groups, then merge join by piece and adjacent position
-            kept = relation.join(_small(groups.select("left", "right", "id"), broadcast_rows), ["left", "right"]).select("piece", "pos", "id")
-            kept = scratch.save(kept, f"frequent-{k}")
-            here = kept.select("piece", (F.col("pos") + 1).alias("pos"), F.col("id").alias("left"))
-            relation = here.hint("merge").join(kept.withColumnRenamed("id", "right"), ["piece", "pos"]).select("piece", (F.col("pos") - 1).alias("pos"), "left", "right")
-            relation = scratch.save(relation, f"relation-{k + 1}")
+            if small:
+                longer = relation.mapInArrow(_extend(_send(groups, "left", "right", "id")), _RUNS)
+            else:
+                rows = relation.mapInArrow(_pair_rows, "run long, place long, left long, right long")
+                longer = _as_runs(rows.join(groups.select("left", "right", "id"), ["left", "right"]))
+            relation = _save_runs(scratch, longer, f"relation-{k}")
+            scratch.drop(f"relation-{k - 1}", f"groups-{k}-counted")
 
     out = None
     for k, level in zip(range(2, max_words + 1), levels):
