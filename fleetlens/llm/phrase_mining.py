@@ -30,9 +30,9 @@ SCALE = 2_000_000
 #: 24 bytes each); beyond it occurrences are joined with them in Spark, by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bytes of a Parquet row group of a relation.
-ROW_GROUP = 16 << 20
+ROW_GROUP = 4 << 20
 #: Occurrences that are counted together in a task.
-FLUSH = 1 << 22
+FLUSH = 1 << 20
 #: Each language's candidates are ranked in this many parts before their best are.
 PARTS = 64
 
@@ -192,28 +192,39 @@ def _word_rows(by_name: bool):
     return run
 
 
-def _count_pairs(batches):
-    """Partial counts of joined groups, summed over runs up to FLUSH occurrences."""
-    held, size = [], 0
-
-    def flush():
-        left, right = (np.concatenate(x) for x in zip(*held))
+def _counted(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    width = int(right.max()) + 1
+    if (int(left.max()) + 1) * width < 1 << 63:  # one number a pair, sorted in place
+        key = left * width + right
+        key.sort()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        counts = np.diff(np.append(first, len(key)))
+        left, right = np.divmod(key[first], width)
+    else:
         order = np.lexsort((right, left))
         left, right = left[order], right[order]
         first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1])))
         counts = np.diff(np.append(first, len(left)))
-        return pa.RecordBatch.from_arrays([pa.array(left[first]), pa.array(right[first]), pa.array(counts)], names=["left", "right", "a"])
+        left, right = left[first], right[first]
+    return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(counts)], names=["left", "right", "a"])
 
+
+def _count_pairs(batches):
+    """Partial counts of joined groups, summed over runs up to FLUSH occurrences."""
+    held, size = [], 0
     for batch in batches:
         for _, place, items in _runs(batch):
             at = merge_join(place)
+            if not len(at):
+                continue
             held.append((items[at], items[at + 1]))
             size += len(at)
             if size >= FLUSH:
-                yield flush()
+                left, right = (np.concatenate(x) for x in zip(*held))
                 held, size = [], 0
+                yield _counted(left, right)
     if size:
-        yield flush()
+        yield _counted(*(np.concatenate(x) for x in zip(*held)))
     del held
     trim()
 
