@@ -40,12 +40,12 @@ def ewma_decay(span: float) -> float:
     return 1.0 - 2.0 / (span + 1.0)
 
 
-def ewma_tail_rows(span: float, tol: float = 1e-18) -> int:
-    """Rows after which an observation's EWMA weight falls below ``tol``."""
+def ewma_reach_rows(span: float) -> int:
+    """Rows after which an observation's weight r^rows is 0.0 in a double."""
     r = ewma_decay(span)
     if r <= 0.0:
         return 1
-    return int(math.ceil(math.log(tol) / math.log(r))) + 1
+    return int(math.ceil(745.2 / -math.log(r))) + 1
 
 
 def ewma_max_exponent_rows(span: float, max_log: float = 600.0) -> int:

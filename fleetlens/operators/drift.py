@@ -3,8 +3,10 @@ two-sample Kolmogorov-Smirnov test, per-feature report and fleet summary.
 
 All features are handled in *one* job over a long ``(feature, side, value)``
 table.  Grouping is by feature, so every group is large by construction; only
-algebraic aggregates (counts, sums, moments) and the two-level rank tool are
-used, never a collect of a feature's values into one task.
+algebraic aggregates (counts, sums, moments), selection by rank brackets (PSI,
+quantiles) and the sample-sorted rank tool (KS) are used, never a collect of a
+feature's values into one task.  A baseline that many samples are held against is
+stored ranked (:mod:`fleetlens.operators.baseline`).
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import PSI_BINS, PSI_EPS, ROUND_DIGITS, ks_asymptotic_pvalue
-from fleetlens.plans.prefix import exact_quantiles, prefix_sums, quantiles_from_ranked
+from fleetlens.functions.ks_exact import EXACT_MAX, ks_exact_pvalue
+from fleetlens.plans.prefix import ACCURACY, exact_quantiles, prefix_sums, quantiles_from_ranked, rank_ladder
 from fleetlens.session import materialize
 
 # Fixed values that must equal the reference's for equal results.
@@ -60,45 +63,57 @@ def fit_baseline(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return moments.join(qs, "feature")
 
 
-def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: int = 64):
+def _both_sides(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
+    b = baseline_long.select("feature", "value", F.lit(1).cast("long").alias("cb"), F.lit(0).cast("long").alias("cc"))
+    c = current_long.select("feature", "value", F.lit(0).cast("long").alias("cb"), F.lit(1).cast("long").alias("cc"))
+    return b.unionByName(c)
+
+
+def sample_sizes(counted: DataFrame) -> DataFrame:
+    """Per feature n_base and n_cur, of features that can be compared."""
+    sizes = counted.groupBy("feature").agg(F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur"))
+    return sizes.where((F.col("n_base") > 0) & (F.col("n_cur") >= MIN_CURRENT_VALUES))
+
+
+def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: int | None = None):
     """One row per (feature, distinct value) with per-side counts and their
-    running totals in value order (two-level prefix sums), plus per-feature
+    running totals in value order (sample-sorted prefix sums), plus per-feature
     sample sizes (P8, P9 filters applied).  PSI edges and the KS distance both
     read this one table.
 
     The raw samples are aggregated once; the distinct-value table and its ranks
     are written to the checkpoint folder, because every consumer prunes other
     columns and Spark would otherwise recompute the whole chain per consumer."""
-    b = baseline_long.select("feature", "value", F.lit(1).alias("cb"), F.lit(0).alias("cc"))
-    c = current_long.select("feature", "value", F.lit(0).alias("cb"), F.lit(1).alias("cc"))
-    distinct = b.unionByName(c).groupBy("feature", "value").agg(
-        F.sum("cb").cast("long").alias("cb"), F.sum("cc").cast("long").alias("cc")
-    )
+    distinct = _both_sides(baseline_long, current_long).groupBy("feature", "value").agg(F.sum("cb").alias("cb"), F.sum("cc").alias("cc"))
     distinct = materialize(distinct, "drift-values")
-    counts = distinct.groupBy("feature").agg(F.sum("cb").alias("n_base"), F.sum("cc").alias("n_cur")).where(
-        (F.col("n_base") > 0) & (F.col("n_cur") >= MIN_CURRENT_VALUES)
-    )
+    counts = sample_sizes(distinct)
     kept = distinct.join(counts.select("feature"), "feature", "left_semi").withColumn("ca", F.col("cb") + F.col("cc"))
     run = materialize(prefix_sums(kept, ["feature"], "value", ["cb", "cc", "ca"], buckets=buckets), "drift-ranks")
     return run, counts
 
 
+def psi_edges(n_bins: int = PSI_BINS) -> list[float]:
+    return [i / n_bins for i in range(n_bins + 1)]
+
+
 def psi_from_ranked(run: DataFrame, counts: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    edges = quantiles_from_ranked(run, ["feature"], "value", "ca", "cum_ca", "tot_ca", probs)
-    # inner edges only: the outer ones (min - eps, max + eps) bound every value.
-    # counts below an edge, per side, from the distinct-value table
+    """PSI from per-value counts and running counts of both sides.  ``run`` needs to hold
+    the values at and beside each edge only: what lies below an edge is the running count
+    in front of the first value that is not."""
+    edges = quantiles_from_ranked(run, ["feature"], "value", "ca", "cum_ca", "tot_ca", psi_edges(n_bins))
+    # inner edges only: the outer ones (min - eps, max + eps) bound every value
     aggs = []
     for k in range(1, n_bins):
-        below = F.col("value") < F.col(f"q_{k}")
-        aggs.append(F.sum(F.when(below, F.col("cb")).otherwise(F.lit(0))).alias(f"b{k}"))
-        aggs.append(F.sum(F.when(below, F.col("cc")).otherwise(F.lit(0))).alias(f"c{k}"))
+        above = F.col("value") >= F.col(f"q_{k}")
+        aggs.append(F.min(F.when(above, F.col("cum_cb") - F.col("cb"))).alias(f"b{k}"))
+        aggs.append(F.min(F.when(above, F.col("cum_cc") - F.col("cc"))).alias(f"c{k}"))
     below = run.join(edges, "feature").groupBy("feature").agg(*aggs).join(counts, "feature")
     terms = []
     for k in range(n_bins):
         def cnt(side, k=k):
-            hi = F.col(f"n_{'base' if side == 'b' else 'cur'}") if k == n_bins - 1 else F.col(f"{side}{k + 1}")
-            lo = F.lit(0) if k == 0 else F.col(f"{side}{k}")
+            total = F.col(f"n_{'base' if side == 'b' else 'cur'}")
+            hi = total if k == n_bins - 1 else F.coalesce(F.col(f"{side}{k + 1}"), total)
+            lo = F.lit(0) if k == 0 else F.coalesce(F.col(f"{side}{k}"), total)
             return hi - lo
 
         pb = cnt("b") / F.greatest(F.col("n_base"), F.lit(1))
@@ -109,38 +124,55 @@ def psi_from_ranked(run: DataFrame, counts: DataFrame, n_bins: int = PSI_BINS, e
     return below.select("feature", sum(terms[1:], terms[0]).alias("psi"), "n_base", "n_cur")
 
 
-def ks_from_ranked(run: DataFrame, counts: DataFrame) -> DataFrame:
-    gap = F.abs(F.col("cum_cb") / F.col("tot_cb") - F.col("cum_cc") / F.col("tot_cc"))
-    ks = run.groupBy("feature").agg(F.max(gap).alias("ks_stat")).join(counts, "feature")
-    return ks.withColumn("ks_pvalue", ks_asymptotic_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur")))
+def ks_from_ranked(run: DataFrame, counts: DataFrame, method: str = "auto") -> DataFrame:
+    """KS distance and p-value; the distance is also taken just before each value, so
+    ``run`` may leave out values that only one side has between those of the other."""
+    at = F.abs(F.col("cum_cb") / F.col("tot_cb") - F.col("cum_cc") / F.col("tot_cc"))
+    before = F.abs((F.col("cum_cb") - F.col("cb")) / F.col("tot_cb") - (F.col("cum_cc") - F.col("cc")) / F.col("tot_cc"))
+    ks = run.groupBy("feature").agg(F.max(F.greatest(at, before)).alias("ks_stat")).join(counts, "feature")
+    return ks.withColumn("ks_pvalue", ks_pvalue(F.col("ks_stat"), F.col("n_base"), F.col("n_cur"), method))
 
 
-def psi(baseline_long: DataFrame, current_long: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS) -> DataFrame:
+def ks_pvalue(d: Column, n1: Column, n2: Column, method: str = "auto") -> Column:
+    """M4: two-sided p-value.  ``auto``: exact where both samples have at most EXACT_MAX
+    values, else asymptotic; or one of the two by name (D8)."""
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError("method must be 'auto', 'exact' or 'asymptotic'")
+    if method == "asymptotic":
+        return ks_asymptotic_pvalue(d, n1, n2)
+    exact = ks_exact_pvalue(d, n1, n2)
+    return exact if method == "exact" else F.when(F.greatest(n1, n2) <= EXACT_MAX, exact).otherwise(ks_asymptotic_pvalue(d, n1, n2))
+
+
+def psi(
+    baseline_long: DataFrame, current_long: DataFrame, n_bins: int = PSI_BINS, eps: float = PSI_EPS, *, accuracy: int = ACCURACY, whole_rows: int = 4 * ACCURACY
+) -> DataFrame:
     """M2: population stability index per feature.
 
     Edges = exact deciles of baseline ∪ current (outer edges widened by eps);
     bins half-open, last closed; shares of 0 replaced by eps;
     PSI = sum((cur - base) * ln(cur / base)).  Duplicate edges are allowed (tied
     data), which is why the counts use ``value < edge`` comparisons rather than
-    a bucketizer."""
-    run, counts = ranked_values(baseline_long, current_long)
-    return psi_from_ranked(run, counts, n_bins, eps)
+    a bucketizer.  Edges are selected, not sorted out: see ``rank_ladder``."""
+    ladder = rank_ladder(_both_sides(baseline_long, current_long), ["feature"], "value", ["cb", "cc"], psi_edges(n_bins), accuracy=accuracy, whole_rows=whole_rows)
+    counts = sample_sizes(ladder)
+    kept = ladder.join(counts.select("feature"), "feature", "left_semi").withColumn("ca", F.col("cb") + F.col("cc"))
+    return psi_from_ranked(prefix_sums(kept, ["feature"], "value", ["cb", "cc", "ca"]), counts, n_bins, eps)
 
 
-def ks_statistic(baseline_long: DataFrame, current_long: DataFrame, buckets: int = 64) -> DataFrame:
+def ks_statistic(baseline_long: DataFrame, current_long: DataFrame, buckets: int | None = None) -> DataFrame:
     """M3: two-sample KS distance sup|F_base - F_cur| per feature.
 
     Reduced to distinct values with per-side counts, then two-level running sums
     of both counts in value order; the supremum is attained at a data value."""
     run, counts = ranked_values(baseline_long, current_long, buckets)
-    return ks_from_ranked(run, counts).drop("ks_pvalue")
+    return ks_from_ranked(run, counts, "asymptotic").drop("ks_pvalue")
 
 
-def ks_test(baseline_long: DataFrame, current_long: DataFrame) -> DataFrame:
-    """M3 + M4: KS statistic and two-sided asymptotic p-value (Kolmogorov series
-    with n_eff = n1*n2/(n1+n2); decision D8)."""
+def ks_test(baseline_long: DataFrame, current_long: DataFrame, method: str = "auto") -> DataFrame:
+    """M3 + M4: KS statistic and two-sided p-value (:func:`ks_pvalue`)."""
     run, counts = ranked_values(baseline_long, current_long)
-    return ks_from_ranked(run, counts)
+    return ks_from_ranked(run, counts, method)
 
 
 def drift_report(
@@ -149,13 +181,23 @@ def drift_report(
     *,
     psi_threshold: float = PSI_THRESHOLD,
     ks_alpha: float = KS_ALPHA,
+    method: str = "auto",
 ) -> DataFrame:
     """M5, M6, M8: one row per feature with PSI, KS statistic and p-value, the
     three flags (decided before rounding), values rounded to 5 decimals, and the
-    three-band PSI reading."""
+    three-band PSI reading.  Raises ValueError where the baseline holds no value."""
+    if baseline_long.isEmpty():
+        raise ValueError("the drift baseline holds no value: fit it first")
     run, counts = ranked_values(baseline_long, current_long)
+    return report_from_ranked(run, counts, psi_threshold=psi_threshold, ks_alpha=ks_alpha, method=method)
+
+
+def report_from_ranked(
+    run: DataFrame, counts: DataFrame, *, psi_threshold: float = PSI_THRESHOLD, ks_alpha: float = KS_ALPHA, method: str = "auto"
+) -> DataFrame:
+    """The drift report of ranked values (see :func:`drift_report`)."""
     p = psi_from_ranked(run, counts).select("feature", "psi")
-    k = ks_from_ranked(run, counts).select("feature", "ks_stat", "ks_pvalue")
+    k = ks_from_ranked(run, counts, method).select("feature", "ks_stat", "ks_pvalue")
     r = p.join(k, "feature")
     psi_drift = F.col("psi") > F.lit(psi_threshold)
     ks_drift = F.col("ks_pvalue") < F.lit(ks_alpha)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from fleetlens.functions.columns import (
     ewma_decay,
     ewma_max_exponent_rows,
-    ewma_tail_rows,
+    ewma_reach_rows,
     safe_div,
 )
 from fleetlens.functions.columns import ENTROPY_LOG_EPS, ENTROPY_STD_FLOOR
@@ -58,6 +58,10 @@ CROSS_FEATURES = (
 _SEG = "_seg"
 _OWN = "_own"
 _ROW = "_row"
+_CTX = "_ctx"
+# The unit as a one-field struct: structs of NULL are equal, so rows without a unit are
+# one series in joins as they are in windows.
+_KEY = "_key_of_unit_id"
 _MAX_LOG = 600.0
 
 
@@ -109,7 +113,7 @@ def assign_cycle(
     a small ``(partition, unit)`` table (at most units + partitions rows) turns
     that into the position inside the unit.  The sorted, numbered rows are
     written to the checkpoint folder so both uses see the same range bounds, even
-    after executor loss.
+    after executor loss.  Rows without a unit are one series and keep their place.
     """
     spark = df.sparkSession
     n_part = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -122,9 +126,9 @@ def assign_cycle(
     )
     ranged = materialize(ranged, "cycle")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    ranged = ranged.withColumn("_loc", local)
+    ranged = ranged.withColumn("_loc", local).withColumn(_KEY, F.struct(unit))
 
-    per = ranged.groupBy("_pid", unit).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
+    per = ranged.groupBy("_pid", _KEY).agg(F.count(F.lit(1)).alias("_n"), F.min("_loc").alias("_first"))
     per_pid = per.groupBy("_pid").agg(F.sum("_n").alias("_pn"))
     # one row per partition: a window without partitioning is bounded by `partitions`
     pid_off = per_pid.select(
@@ -134,18 +138,18 @@ def assign_cycle(
         ).alias("_off"),
     )
     per = per.join(F.broadcast(pid_off), "_pid").withColumn("_gstart", F.col("_off") + F.col("_first"))
-    ustart = per.groupBy(unit).agg(F.min("_gstart").alias("_ustart"))
-    base = per.join(ustart, unit).select("_pid", unit, (F.col("_off") - F.col("_ustart")).alias("_base"))
+    ustart = per.groupBy(_KEY).agg(F.min("_gstart").alias("_ustart"))
+    base = per.join(ustart, _KEY).select("_pid", _KEY, (F.col("_off") - F.col("_ustart")).alias("_base"))
     # `base` has at most units + partitions rows; AQE measures it after its
     # aggregate stage and broadcasts it only when it is below the broadcast
     # threshold, otherwise the join shuffles on (partition, unit), which has no
     # hot key.  ``broadcast_rows`` forces an explicit counted check instead.
     if broadcast_rows:
         base = broadcast_if_small(base, broadcast_rows)
-    out = ranged.join(base, ["_pid", unit]).withColumn(
+    out = ranged.join(base, ["_pid", _KEY]).withColumn(
         cycle, (F.col("_base") + F.col("_loc") + F.lit(1)).cast("int")
     )
-    return out.drop("_pid", "_mid", "_loc", "_base")
+    return out.select(*[_q(c) for c in dict.fromkeys([*df.columns, cycle])])
 
 
 # ── segmentation ────────────────────────────────────────────────────────────
@@ -158,7 +162,7 @@ def segment(df: DataFrame, cycle: str, seg_rows: int, halo: int, seg_col: str =
         raise ValueError("halo must not exceed seg_rows")
     pos = F.col(cycle) - F.lit(1)
     seg = F.floor(pos / F.lit(seg_rows)).cast("long")
-    in_tail = (pos % F.lit(seg_rows)) >= F.lit(seg_rows - halo)
+    in_tail = F.pmod(pos, F.lit(seg_rows)) >= F.lit(seg_rows - halo)
     targets = F.when(F.lit(halo > 0) & in_tail, F.array(seg, seg + 1)).otherwise(F.array(seg))
     return df.select("*", F.posexplode(targets).alias("_copy", seg_col)).select(
         *df.columns, seg_col, (F.col("_copy") == 0).alias(own_col)
@@ -314,74 +318,104 @@ def _qpos(cycle: str, seg_rows: int) -> str:
     return f"({_q(cycle)} - 1 - {_q(_SEG)} * {seg_rows})"
 
 
+# EWMA (W8): sum r^(t-i) x_i / sum r^(t-i) over the readings up to t.  Numerator and
+# denominator are held relative to the last reading m, as (m, n, d) with
+# n = sum r^(m-i) x_i: between readings both decay alike, so the mean needs no more, and
+# d >= 1 whatever gap precedes t.  Two such states, A before B, merge to
+# (m_B, n_A r^(m_B-m_A) + n_B, d_A r^(m_B-m_A) + d_B), which is associative: sums inside a
+# segment, a merge over segments, and one more merge per row.
+
+
 def _ewma_local(sensors, spans, sp: _Spec, seg_rows):
-    """Inside-segment power sums over own rows; completed later by the carry."""
+    """Inside-segment parts over own rows: the last reading's cycle and power sums."""
     q = _qpos(sp.cycle, seg_rows)
     out = []
     for s in sensors:
         ok = f"{_q(_OWN)} AND {_q(s)} IS NOT NULL"
+        if spans:
+            out.append((f"_wm_{s}", f"last(CASE WHEN {ok} THEN CAST({_q(sp.cycle)} AS BIGINT) END, true) OVER {sp.prefix()}"))
         for span in spans:
             r = ewma_decay(span)
             if r <= 0.0:
+                out.append((f"_wn_{s}_{span}", f"last(CASE WHEN {ok} THEN CAST({_q(s)} AS DOUBLE) END, true) OVER {sp.prefix()}"))
                 continue
-            up, down = f"pow({_d(r)}, -{q})", f"pow({_d(r)}, {q})"
-            out.append((f"_en_{s}_{span}", f"{down} * COALESCE(sum(CASE WHEN {ok} THEN {up} * {_q(s)} END) OVER {sp.prefix()}, 0.0D)"))
-            out.append((f"_ed_{s}_{span}", f"{down} * COALESCE(sum(CASE WHEN {ok} THEN {up} END) OVER {sp.prefix()}, 0.0D)"))
+            up = f"pow({_d(r)}, -{q})"
+            out.append((f"_wn_{s}_{span}", f"sum(CASE WHEN {ok} THEN {up} * {_q(s)} END) OVER {sp.prefix()}"))
+            out.append((f"_wd_{s}_{span}", f"sum(CASE WHEN {ok} THEN {up} END) OVER {sp.prefix()}"))
     return out
 
 
-def _ewma_carry(df: DataFrame, unit, cycle, sensors, spans, seg_rows) -> DataFrame:
-    """Per (unit, segment): EWMA numerator/denominator carried in from all earlier
-    segments, truncated where the weight falls below 1e-18."""
+def _ewma_names(sensors, spans) -> list[tuple[str, float]]:
+    return [(s, span) for s in sensors for span in spans]
+
+
+def _ewma_carry(df: DataFrame, cycle, sensors, spans, seg_rows, state: DataFrame | None) -> DataFrame:
+    """Per (unit, segment): the merged state of all earlier segments as ``_pl<i>``.
+
+    A segment's own state is merged with those of the segments before it as far as a
+    weight can reach before it is 0.0 in a double; the state carried into a segment is
+    that of the last earlier segment with a reading, however far back it lies."""
     q = _qpos(cycle, seg_rows)
+    names = _ewma_names(sensors, spans)
+    own = df.where(F.col(_OWN))
     aggs = []
     for s in sensors:
+        at = f"CASE WHEN {_q(s)} IS NOT NULL THEN CAST({_q(cycle)} AS BIGINT) END"
+        aggs.append(F.expr(f"max({at})").alias(f"_m_{s}"))
         for span in spans:
             r = ewma_decay(span)
             if r <= 0.0:
+                aggs.append(F.expr(f"CAST(max_by({_q(s)}, {at}) AS DOUBLE)").alias(f"_tn_{s}_{span}"))
                 continue
-            wt = f"pow({_d(r)}, {seg_rows - 1} - {q})"
-            aggs.append(F.expr(f"COALESCE(sum(CASE WHEN {_q(s)} IS NOT NULL THEN {wt} * {_q(s)} END), 0.0D)").alias(f"_tn_{s}_{span}"))
-            aggs.append(F.expr(f"COALESCE(sum(CASE WHEN {_q(s)} IS NOT NULL THEN {wt} END), 0.0D)").alias(f"_td_{s}_{span}"))
-    totals = df.where(F.col(_OWN)).groupBy(unit, _SEG).agg(*aggs)
-    backs = [int(math.ceil(ewma_tail_rows(span) / seg_rows)) + 1 for span in spans if ewma_decay(span) > 0.0]
-    halo = max(backs) if backs else 1
-    # the per-unit table of segments is itself cut into groups of SUPER_ROWS
-    # segments (halo: the `back` segments a carry reads), so no task holds all
-    # segments of a hot unit
-    totals = segment(totals.withColumn("_segp1", F.col(_SEG) + 1), "_segp1", max(SUPER_ROWS, halo), halo, "_sup", "_sown")
-    cols = [_q(unit), _q(_SEG), "`_sown`"]
-    for s in sensors:
-        for span in spans:
-            r = ewma_decay(span)
-            if r <= 0.0:
-                continue
-            back = int(math.ceil(ewma_tail_rows(span) / seg_rows)) + 1
-            frame = f"(PARTITION BY {_q(unit)}, `_sup` ORDER BY {_q(_SEG)} ROWS BETWEEN {back} PRECEDING AND 1 PRECEDING)"
-            rc = r**seg_rows
-            for kind in ("n", "d"):
-                hist = f"collect_list(named_struct('seg', {_q(_SEG)}, 'v', {_q(f'_t{kind}_{s}_{span}')})) OVER {frame}"
-                # Horner fold in segment order: carry = carry * r^seg_rows + total
-                folded = f"aggregate(array_sort({hist}), 0.0D, (acc, e) -> acc * {_d(rc)} + e.v)"
-                cols.append(f"{folded} AS {_q(f'_c{kind}_{s}_{span}')}")
-    return totals.selectExpr(*cols).where("_sown").drop("_sown")
-
-
-def _ewma_finish(sensors, spans, cycle, seg_rows):
-    q = _qpos(cycle, seg_rows)
-    out = []
-    for s in sensors:
-        for span in spans:
-            r = ewma_decay(span)
-            name = f"{s}_ewm_{span}"
-            if r <= 0.0:
-                out.append((name, f"CAST({_q(s)} AS DOUBLE)"))
-                continue
-            k = f"pow({_d(r)}, {q} + 1)"
-            num = f"({_q(f'_en_{s}_{span}')} + {k} * COALESCE({_q(f'_cn_{s}_{span}')}, 0.0D))"
-            den = f"({_q(f'_ed_{s}_{span}')} + {k} * COALESCE({_q(f'_cd_{s}_{span}')}, 0.0D))"
-            out.append((name, f"CASE WHEN {den} > 0.0D THEN {num} / {den} END"))
-    return out
+            up = f"CASE WHEN {_q(s)} IS NOT NULL THEN pow({_d(r)}, -{q}) END"
+            aggs.append(F.expr(f"sum({up} * {_q(s)})").alias(f"_tn_{s}_{span}"))
+            aggs.append(F.expr(f"sum({up})").alias(f"_td_{s}_{span}"))
+    sums = own.groupBy(_KEY, _SEG).agg(*aggs)
+    states = []
+    for i, (s, span) in enumerate(names):
+        r = ewma_decay(span)
+        scale = f"pow({_d(r)}, `_m_{s}` - 1 - {_q(_SEG)} * {seg_rows})" if r > 0.0 else "1.0D"
+        d = f"{scale} * `_td_{s}_{span}`" if r > 0.0 else "1.0D"
+        states.append(f"CASE WHEN `_m_{s}` IS NOT NULL THEN named_struct('m', `_m_{s}`, 'n', {scale} * `_tn_{s}_{span}`, 'd', {d}) END AS `_s{i}`")
+    totals = sums.selectExpr(_q(_KEY), _q(_SEG), *states)
+    if state is not None:
+        # what came before the first row, as one more segment before the unit's first
+        first = totals.groupBy(_KEY).agg((F.min(_SEG) - 1).alias(_SEG))
+        given = state.select(F.col(_KEY), *[F.col(f"_s{i}") for i in range(len(names))])
+        totals = totals.unionByName(given.join(first, _KEY).select(*totals.columns))
+    back = max(int(math.ceil(ewma_reach_rows(span) / seg_rows)) + 1 for span in spans)
+    # the per-unit table of segments is itself cut into groups of SUPER_ROWS segments
+    # (halo: the `back` segments a merge reads), so no task holds all of a hot unit's
+    totals = segment(totals.withColumn("_segp1", F.col(_SEG) + 2), "_segp1", max(SUPER_ROWS, back), back, "_sup", "_sown")
+    cols = [_q(_KEY), _q(_SEG), "`_sown`"]
+    for i, (s, span) in enumerate(names):
+        reach = int(math.ceil(ewma_reach_rows(span) / seg_rows)) + 1
+        frame = f"(PARTITION BY {_q(_KEY)}, `_sup` ORDER BY {_q(_SEG)} ROWS BETWEEN {reach} PRECEDING AND CURRENT ROW)"
+        seen = f"collect_list(CASE WHEN `_s{i}` IS NOT NULL THEN named_struct('m', `_s{i}`.m, 'n', `_s{i}`.n, 'd', `_s{i}`.d) END) OVER {frame}"
+        fade = f"pow({_d(max(ewma_decay(span), 0.0))}, e.m - acc.m)"
+        merge = f"CASE WHEN acc.m IS NULL THEN e ELSE named_struct('m', e.m, 'n', e.n + {fade} * acc.n, 'd', e.d + {fade} * acc.d) END"
+        zero = "named_struct('m', CAST(NULL AS BIGINT), 'n', CAST(NULL AS DOUBLE), 'd', CAST(NULL AS DOUBLE))"
+        cols.append(f"CASE WHEN `_s{i}` IS NOT NULL THEN aggregate(array_sort({seen}), {zero}, (acc, e) -> {merge}) END AS `_l{i}`")
+    merged = totals.selectExpr(*cols).where("_sown").drop("_sown")
+    return _segment_carry(merged, _KEY, len(names), False)
+
+
+def _ewma_finish(sensors, spans, seg_rows):
+    """(name, expression) of the means, and of the state columns m, n and d behind them."""
+    means, state = [], []
+    for i, (s, span) in enumerate(_ewma_names(sensors, spans)):
+        r = ewma_decay(span)
+        m, carry = _q(f"_wm_{s}"), f"`_pl{i}`"
+        here = f"pow({_d(r)}, {m} - 1 - {_q(_SEG)} * {seg_rows})" if r > 0.0 else "1.0D"
+        fade = f"pow({_d(max(r, 0.0))}, {m} - {carry}.m)"
+        parts = {}
+        for kind in ("n", "d"):
+            raw = _q(f"_w{kind}_{s}_{span}") if r > 0.0 or kind == "n" else "1.0D"
+            parts[kind] = f"CASE WHEN {m} IS NULL THEN {carry}.{kind} WHEN {carry}.m IS NULL THEN {here} * {raw} ELSE {here} * {raw} + {fade} * {carry}.{kind} END"
+        means.append((f"{s}_ewm_{span}", f"try_divide({parts['n']}, {parts['d']})"))
+        latest = f"COALESCE({m}, {carry}.m)"
+        state.append((f"_s{i}", f"CASE WHEN {latest} IS NOT NULL THEN named_struct('m', {latest}, 'n', {parts['n']}, 'd', {parts['d']}) END"))
+    return means, state
 
 
 def cross_sensor_columns(
@@ -414,9 +448,12 @@ def temporal_features(
     trend_window: int | None = DEFAULT_TREND_WINDOW,
     entropy_sensors: Sequence[str] | None = None,
     entropy_window: int = ENTROPY_WINDOW,
-    cross: bool | dict = True,
+    cross: bool | Sequence[tuple[str, str, str, str]] | dict = True,
     seg_rows: int | None = None,
     keep_segment: bool = False,
+    context: DataFrame | None = None,
+    ewma_state: DataFrame | None = None,
+    keep_state: bool = False,
 ) -> DataFrame:
     """Every feature family in one pass over ``(unit, segment)`` windows.
 
@@ -424,6 +461,14 @@ def temporal_features(
     family order (rolling, lag, diff, ewm, slope, entropy, cross).  No filling or
     dropping is done here (see :func:`fill_gaps`, :func:`feature_matrix`).
     ``cycle`` must be dense 1..n per unit (see :func:`assign_cycle`).
+
+    ``cross`` takes further features as (name, "ratio" or "difference", first, second)
+    rows, or as {"ratios": [(name, first, second)], "differences": [...]}.
+
+    A series can go on where an earlier call ended: ``context`` holds the rows (unit,
+    cycle, sensors) just before ``df``'s, which frames and lags read but which are not
+    returned, and ``ewma_state`` what ``keep_state=True`` gave on the unit's last row
+    (``_s0``, ``_s1``, ... by sensor and span, beside the unit).
     """
     sensors = list(sensor_columns(df) if sensors is None else sensors)
     if entropy_sensors is None:
@@ -442,11 +487,11 @@ def temporal_features(
         # weighted means get a pass of their own, over shorter segments
         shared = dict(unit=unit, cycle=cycle, seg_rows=seg_rows)
         weighted = temporal_features(
-            df, sensors, windows=(), lags=(), diffs=(), spans=spans, trend_window=None, entropy_sensors=[], cross=False, **shared
+            df, sensors, windows=(), lags=(), diffs=(), spans=spans, trend_window=None, entropy_sensors=[], cross=False, ewma_state=ewma_state, keep_state=keep_state, **shared
         )
         rest = temporal_features(
             weighted, sensors, windows=windows, stats=stats, lags=lags, diffs=diffs, spans=(), trend_window=trend_window,
-            entropy_sensors=entropy_sensors, entropy_window=entropy_window, cross=cross, keep_segment=keep_segment, **shared
+            entropy_sensors=entropy_sensors, entropy_window=entropy_window, cross=cross, keep_segment=keep_segment, context=context, **shared
         )
         means = [c for c in weighted.columns if c not in df.columns]
         other = [c for c in rest.columns if c not in weighted.columns]
@@ -454,8 +499,12 @@ def temporal_features(
         return rest.select(*[_q(c) for c in (*df.columns, *other[:before], *means, *other[before:])])
     size = choose_seg_rows(seg_rows, halo, spans)
     base_cols = df.columns
-    seg = segment(df, cycle, size, halo)
-    sp = _Spec(unit, cycle)
+    rows = df.withColumn(_CTX, F.lit(False))
+    if context is not None:
+        before = context.select(unit, cycle, *sensors).withColumn(_CTX, F.lit(True))
+        rows = rows.unionByName(before, allowMissingColumns=True)
+    seg = segment(rows.withColumn(_KEY, F.struct(unit)), cycle, size, halo).withColumn(_OWN, F.col(_OWN) & ~F.col(_CTX))
+    sp = _Spec(_KEY, cycle)
 
     fams: list[tuple[str, str]] = []
     fams += _rolling(sensors, windows, stats, sp)
@@ -467,26 +516,27 @@ def temporal_features(
     if cross is True:
         cr = cross_sensor_columns(base_cols)
     elif isinstance(cross, dict):
-        cr = cross_sensor_columns(base_cols, cross.get("ratios", ()), cross.get("differences", ()))
+        wanted = [(n, "ratio", a, b) for n, a, b in cross.get("ratios", ())] + [(n, "difference", a, b) for n, a, b in cross.get("differences", ())]
+        cr = cross_sensor_columns(base_cols, wanted)
     else:
-        cr = []
+        cr = cross_sensor_columns(base_cols, cross) if cross else []
 
     # an input that a join has left hashed by the unit alone would satisfy the windows:
     # deal it by (unit, segment), so that a hot unit is split
-    staged = seg.repartition(unit, _SEG).selectExpr(
-        *[_q(c) for c in base_cols], _q(_SEG), _q(_OWN), *[f"{e} AS {_q(n)}" for n, e in fams + ewma_local + slope + ent]
+    staged = seg.repartition(_KEY, _SEG).selectExpr(
+        *[_q(c) for c in base_cols], _q(_KEY), _q(_SEG), _q(_OWN), *[f"{e} AS {_q(n)}" for n, e in fams + ewma_local + slope + ent]
     ).where(F.col(_OWN))
     ewm_names: list[str] = []
+    state_names: list[str] = []
     if ewma_local:
-        carry = _ewma_carry(seg, unit, cycle, sensors, spans, size)
-        staged = staged.join(carry, [unit, _SEG], "left")
-        fin = _ewma_finish(sensors, spans, cycle, size)
-        ewm_names = [n for n, _ in fin]
-        staged = staged.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in fin])
-    elif spans:
-        fin = [(f"{s}_ewm_{sp_}", f"CAST({_q(s)} AS DOUBLE)") for s in sensors for sp_ in spans]
-        ewm_names = [n for n, _ in fin]
-        staged = staged.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in fin])
+        if ewma_state is not None:
+            ewma_state = ewma_state.withColumn(_KEY, F.struct(unit))
+        carry = _ewma_carry(seg, cycle, sensors, spans, size, ewma_state)
+        staged = staged.join(carry, [_KEY, _SEG], "left")
+        means, state = _ewma_finish(sensors, spans, size)
+        ewm_names = [n for n, _ in means]
+        state_names = [n for n, _ in state] if keep_state else []
+        staged = staged.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in means + (state if keep_state else [])])
     ordered = (
         list(base_cols)
         + [n for n, _ in fams]
@@ -495,6 +545,7 @@ def temporal_features(
     )
     if keep_segment:
         ordered = ordered + [_SEG]
+    ordered = ordered + state_names
     ent_names = [f"{s}_entropy_{entropy_window}" for s in entropy_sensors]
     staged = _entropy_stages(staged, list(entropy_sensors), entropy_window, ordered)
     return staged.select(*[F.col(_q(c)) for c in ordered], *[F.col(_q(c)) for c in ent_names], *[e.alias(n) for n, e in cr])
@@ -550,6 +601,7 @@ def fill_gaps(
     cycle: str = "cycle",
     direction: str = "both",
     seg_rows: int = 4096,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Forward fill, then back fill, per unit in cycle order.
 
@@ -560,7 +612,8 @@ def fill_gaps(
     every earlier (later) segment comes from a small per-segment table.  Columns
     the schema proves non-null are passed through untouched.
     ``direction='forward'`` avoids the look-ahead of back filling (needed for
-    streams); ``'both'`` is the reference's forward-then-back fill.
+    streams); ``'both'`` is the reference's forward-then-back fill.  ``initial`` holds,
+    beside the unit, the last non-null values before its first row here.
     """
     if direction not in ("both", "forward"):
         raise ValueError("direction must be 'both' or 'forward'")
@@ -577,7 +630,8 @@ def fill_gaps(
     else:
         pos = F.col(cycle) - F.lit(1)
         tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
-    sp = _Spec(unit, cycle)
+    tagged = tagged.withColumn(_KEY, F.struct(unit))
+    sp = _Spec(_KEY, cycle)
     do_back = direction == "both"
     edge_aggs = []
     for i, c in enumerate(cols):
@@ -586,9 +640,17 @@ def fill_gaps(
         edge_aggs.append(F.expr(f"max_by({_q(c)}, {at})").alias(f"_l{i}"))
         if do_back:
             edge_aggs.append(F.expr(f"min_by({_q(c)}, {at})").alias(f"_f{i}"))
-    edges = tagged.groupBy(unit, _SEG).agg(*edge_aggs)
-    carry = _segment_carry(edges, unit, len(cols), do_back)
-    joined = tagged.join(carry, [unit, _SEG], "left")
+    edges = tagged.groupBy(_KEY, _SEG).agg(*edge_aggs)
+    carry = _segment_carry(edges, _KEY, len(cols), do_back)
+    if initial is not None:
+        known = [c for c in cols if c in initial.columns]
+        given = initial.select(F.struct(unit).alias(_KEY), *[F.col(c).alias(f"_i{cols.index(c)}") for c in known])
+        # joined to the segments' table, which has no hot unit's rows
+        carry = carry.join(given, _KEY, "left")
+        for c in known:
+            i = cols.index(c)
+            carry = carry.withColumn(f"_pl{i}", F.coalesce(f"_pl{i}", f"_i{i}")).drop(f"_i{i}")
+    joined = tagged.join(carry, [_KEY, _SEG], "left")
     filled = []
     for i, c in enumerate(cols):
         e = f"COALESCE({_q(c)}, last({_q(c)}, true) OVER {sp.prefix()}, `_pl{i}`"

@@ -80,6 +80,9 @@ def ewma_exprs(sensors=SENSORS, spans=SPANS):
     for s in sensors:
         for sp in spans:
             r = repr(ewma_decay(sp))
+            if sp == 1:  # no weight but the last reading's
+                out.append((f"{s}_ewm_{sp}", f"last({s} IGNORE NULLS) OVER {PREFIX_W}"))
+                continue
             num = f"sum(power({r}, -cycle) * {s}) OVER {PREFIX_W}"
             den = f"sum(CASE WHEN {s} IS NOT NULL THEN power({r}, -cycle) END) OVER {PREFIX_W}"
             out.append((f"{s}_ewm_{sp}", f"({num}) / NULLIF({den}, 0)"))
@@ -96,7 +99,7 @@ def slope_exprs(sensors=SENSORS, n=TREND):
 def entropy_exprs(sensors=SENSORS, n=ENT_W):
     out = []
     for s in sensors:
-        lst = f"list({s}) OVER {frame(n)}"
+        lst = f"list({s}) FILTER (WHERE {s} IS NOT NULL) OVER {frame(n)}"
         out.append((f"_l_{s}", lst))
         out.append((f"_c_{s}", f"count({s}) OVER {frame(n)}"))
     return out
@@ -256,12 +259,34 @@ def q_stream_accuracy() -> str:
     )
 
 
+def all_features(sensors) -> list:
+    """Every family but the entropy, in column order: per sensor and window the four
+    rolling statistics, then lags, differences, weighted means and slopes."""
+    by_name = dict(e for st in ("mean", "std", "min", "max") for e in rolling_exprs(st, sensors))
+    rolling = [(n, by_name[n]) for s in sensors for w in WINDOWS for st in ("mean", "std", "min", "max") for n in [f"{s}_roll_{st}_{w}"]]
+    return rolling + lag_exprs(sensors) + diff_exprs(sensors) + ewma_exprs(sensors) + slope_exprs(sensors)
+
+
+SPARSE_CTE = """,
+sparse AS (SELECT *, CASE WHEN is_error = 1 THEN value END AS error_value FROM series)"""
+
+
 def q_stream_score() -> str:
-    feats = rolling_exprs("mean", ["value"], [10]) + ewma_exprs(["value"], [10]) + lag_exprs(["k"], [1])
-    inner = ",\n       ".join(f"{e} AS {n}" for n, e in feats)
-    fwd = lambda c: f"COALESCE({c}, last({c} IGNORE NULLS) OVER (PARTITION BY unit_id ORDER BY cycle ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
-    outer = ", ".join(rnd(fwd(n), n) for n, _ in feats)
+    sensors = ["value", "error_value"]
+    feats = all_features(sensors)
+    inner = ",\n       ".join(f"{e} AS {n}" for n, e in feats + entropy_exprs(sensors))
+    ent = [(f"{s}_entropy_{ENT_W}", entropy_finish(s)) for s in sensors]
+    staged = ", ".join([n for n, _ in feats] + [f"{e} AS {n}" for n, e in ent])
+    fwd = lambda c: f"last({c} IGNORE NULLS) OVER (PARTITION BY unit_id ORDER BY cycle ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    outer = ", ".join(rnd(fwd(n), n) for n in [*sensors, *[n for n, _ in feats], *[n for n, _ in ent]])
+    last = fwd("value")
     return (
-        f"WITH {SERIES_CTE},\nf AS (SELECT unit_id, cycle, value, {inner} FROM series)\n"
-        f"SELECT unit_id, cycle, {outer}, {rd('value / (value + 20.0)')} AS score FROM f"
+        f"WITH {SERIES_CTE}{SPARSE_CTE},\nf AS (SELECT unit_id, cycle, value, error_value, {inner} FROM sparse),\n"
+        f"g AS (SELECT unit_id, cycle, value, error_value, {staged} FROM f)\n"
+        f"SELECT unit_id, CAST(cycle AS BIGINT) AS cycle, {outer}, {rd(f'{last} / ({last} + 20.0)')} AS score FROM g"
     )
+
+
+def q_sparse_ewma() -> str:
+    cols = ",\n       ".join(rnd(e, n) for n, e in ewma_exprs(["error_value"], [1, 5, 20]))
+    return f"WITH {SERIES_CTE}{SPARSE_CTE}\nSELECT unit_id, cycle, {cols} FROM sparse"

@@ -1,30 +1,46 @@
-"""Two-level prefix sums over a total order inside groups.
+"""Prefix sums over a total order inside groups, and exact quantiles by selection.
 
-Global-order statistics (KS distance, exact quantiles, ROC AUC with ties,
-average precision, Youden's threshold) need running totals over all values of a
-group in sorted order.  A window ``PARTITION BY group ORDER BY value`` would put a
-whole group -- e.g. every value of one feature -- into one task.  Here:
+Global-order statistics (KS distance, ROC AUC with ties, average precision, Youden's
+threshold) need running totals over all values of a group in sorted order.  A window
+``PARTITION BY group ORDER BY value`` would put a whole group -- e.g. every value of one
+feature -- into one task.  Here:
 
 1. the input is first reduced to one row per (group, value) by the caller (a
    partial-aggregated groupBy, so one value holding a third of the rows costs
    nothing extra);
-2. approximate quantiles of the value per group (mergeable sketches) cut each
-   group into ``buckets`` value ranges;
-3. per-(group, bucket) totals -> running totals over the few buckets of a group
-   (a tiny table) -> exclusive bucket offsets;
-4. running sums inside each (group, bucket) window + the bucket offset.
-
-The result is exact (bucketing only decides which task does the work), and each
-window task holds about 1/buckets of a group.
+2. its rows are counted, and a sample sort deals them by (group, value) into ranges of
+   about ``range_rows``: Spark takes the splitters from the rows themselves, so the
+   number of ranges grows with the data;
+3. totals per (group, range) -> running totals over a group's ranges (one row per range)
+   -> exclusive offsets;
+4. running sums inside each (group, range) window + the offset.
+
+The result is exact (ranges only decide which task does the work).
+
+Quantiles need no order of all values: a sketch bounds each requested rank by a narrow
+bracket, one aggregate counts what lies between the brackets and lists the values inside
+them, and only that list is ranked.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Distinct rows of one range of the sample sort.
+RANGE_ROWS = 65_536
+#: Groups that are broadcast beside their brackets, after a count.
+BROADCAST_GROUPS = 10_000
+#: 1 / the rank error of the sketch that brackets quantiles.
+ACCURACY = 10_000
+
+
+def range_count(rows: int, range_rows: int = RANGE_ROWS) -> int:
+    return max(1, math.ceil(rows / range_rows))
+
 
 def prefix_sums(
     df: DataFrame,
@@ -33,32 +49,37 @@ def prefix_sums(
     values: Sequence[str],
     *,
     descending: bool = False,
-    buckets: int = 64,
-    accuracy: int = 1_000,
+    buckets: int | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``cum_<v>`` (inclusive running sum of ``v`` in ``order`` within ``group``)
     and ``tot_<v>`` (group total) for every ``v`` in ``values``.
 
-    ``order`` must be unique within a group (aggregate to distinct values first).
-    ``descending=True`` accumulates from the largest value down.
+    ``order`` must be unique within a group (aggregate to distinct values first), and
+    ``df`` cheap to read more than once.  ``descending=True`` accumulates from the
+    largest value down.  ``buckets`` sets the number of ranges; by default it follows
+    the counted rows.
     """
+    from fleetlens.session import materialize
+
     group = list(group)
-    ungrouped = not group
-    if ungrouped:  # one global group: a constant key keeps every step an equi-join
-        df = df.withColumn("_g0", F.lit(0))
-        group = ["_g0"]
     key = F.col(order) if not descending else -F.col(order)
     keyed = df.withColumn("_key", key.cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    # one row per group (#groups x buckets doubles); AQE broadcasts it when small
-    bounds = keyed.groupBy(*group).agg(F.percentile_approx("_key", probs, accuracy).alias("_bounds"))
-    keyed = keyed.join(bounds, group, "left")
-    keyed = keyed.withColumn(
-        "_bucket", F.size(F.filter(F.coalesce(F.col("_bounds"), F.array()), lambda b: b < F.col("_key")))
-    ).drop("_bounds")
-
+    n = buckets or range_count(df.count(), range_rows)
+    if n == 1:  # few rows: one window a group
+        gw = Window.partitionBy(*group)
+        lw = gw.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
+        return keyed.select(
+            *[c for c in df.columns], *[F.sum(v).over(gw).alias(f"tot_{v}") for v in values], *[F.sum(v).over(lw).alias(f"cum_{v}") for v in values]
+        )
+    ungrouped = not group
+    if ungrouped:  # one global group: a constant key keeps every step an equi-join
+        keyed, group = keyed.withColumn("_g0", F.lit(0)), ["_g0"]
+    ranged = keyed.repartitionByRange(n, *group, "_key").withColumn("_bucket", F.spark_partition_id())
+    # written once: totals and running sums must see the same ranges
+    ranged = materialize(ranged, "ranges")
     part = group + ["_bucket"]
-    totals = keyed.groupBy(*part).agg(*[F.sum(v).alias(f"_bt_{v}") for v in values])
+    totals = ranged.groupBy(*part).agg(*[F.sum(v).alias(f"_bt_{v}") for v in values])
     gw = Window.partitionBy(*group).orderBy("_bucket")
     offsets = totals.select(
         *part,
@@ -68,7 +89,8 @@ def prefix_sums(
         ],
         *[F.sum(f"_bt_{v}").over(Window.partitionBy(*group)).alias(f"tot_{v}") for v in values],
     )
-    joined = keyed.join(offsets, part, "left")
+    # a row per (group, range); AQE measures it and broadcasts it when small
+    joined = ranged.join(offsets, part)
     lw = Window.partitionBy(*part).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
     out = joined.select(
         *[c for c in joined.columns if not c.startswith("_off_") and c not in ("_key", "_bucket")],
@@ -90,29 +112,60 @@ def quantiles_from_ranked(
     already carries per-value counts and inclusive running counts.
 
     Every value row tests whether it holds the floor / ceil rank of each
-    requested quantile (0-based ranks ``[cum - count, cum)``); the few hits are
-    aggregated per (group, quantile).  Returns one row per group with ``q_<i>``."""
+    requested quantile (0-based ranks ``[cum - count, cum)``); one aggregate keeps the
+    hits.  Returns one row per group with ``q_<i>``."""
     group = list(group)
-    base = ranked.select(*group, value, (F.col(cum) - F.col(count)).alias("_r0"), F.col(cum).alias("_r1"), F.col(total).alias("_n"))
-    reqs = []
+    first, n = F.col(cum) - F.col(count), F.col(total)
+    aggs = [F.max(total).alias("_n")]
+    place = lambda p, n: (n - F.lit(1)).cast("double") * F.lit(float(p))
     for i, p in enumerate(probs):
-        h = (F.col("_n") - F.lit(1)).cast("double") * F.lit(float(p))
-        reqs.append(F.struct(F.lit(i).alias("i"), F.floor(h).cast("long").alias("lo"), F.ceil(h).cast("long").alias("hi"), h.alias("h")))
-    hits = base.select(*group, value, "_r0", "_r1", F.explode(F.array(*reqs)).alias("_q"))
-    hits = hits.select(
-        *group,
-        F.col("_q.i").alias("_i"),
-        F.col("_q.h").alias("_h"),
-        F.col("_q.lo").alias("_lo"),
-        F.when((F.col("_q.lo") >= F.col("_r0")) & (F.col("_q.lo") < F.col("_r1")), F.col(value)).alias("_vlo"),
-        F.when((F.col("_q.hi") >= F.col("_r0")) & (F.col("_q.hi") < F.col("_r1")), F.col(value)).alias("_vhi"),
-    ).where(F.col("_vlo").isNotNull() | F.col("_vhi").isNotNull())
-    per_q = hits.groupBy(*group, "_i").agg(
-        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"), F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi")
-    )
-    q = F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))
-    out = per_q.select(*group, "_i", q.alias("_qv")).groupBy(*group).pivot("_i", list(range(len(probs)))).agg(F.first("_qv"))
-    return out.select(*group, *[F.col(str(i)).alias(f"q_{i}") for i in range(len(probs))])
+        for name, rank in (("lo", F.floor(place(p, n))), ("hi", F.ceil(place(p, n)))):
+            aggs.append(F.max(F.when((rank >= first) & (rank < F.col(cum)), F.col(value))).alias(f"_{name}{i}"))
+    hits = ranked.groupBy(*group).agg(*aggs)
+    out = []
+    for i, p in enumerate(probs):
+        h = place(p, F.col("_n"))
+        out.append((F.col(f"_lo{i}") + (h - F.floor(h)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(f"q_{i}"))
+    return hits.select(*group, *out)
+
+
+def rank_ladder(
+    df: DataFrame, group: Sequence[str], value: str, counts: Sequence[str], probs: Sequence[float], *, accuracy: int = ACCURACY, whole_rows: int = 4 * ACCURACY
+) -> DataFrame:
+    """The part of the distinct values that the quantiles ``probs`` can fall on.
+
+    One row per (group, value) inside a bracket around a quantile, and one row for all
+    values between two brackets (``value`` is their least), each with the sums of
+    ``counts``; so running sums over the ladder give the exact rank of every listed
+    value.  A quantile sketch with rank error n / accuracy sets the brackets two errors
+    to each side, so the ranks lie inside whatever the values; groups of at most
+    ``whole_rows`` rows are listed whole.  Two scans and no order of all values; about
+    4 / accuracy of the values are listed for each quantile.  A row is one
+    value; ``counts`` are 0 or 1 (such as which sample it belongs to).
+    """
+    from fleetlens.session import materialize
+
+    group = list(group)
+    eps = 2.0 / accuracy
+    asked = [min(max(p + side * eps, 0.0), 1.0) for p in probs for side in (-1, 1)]
+    sketch = df.groupBy(*group).agg(F.percentile_approx(value, asked, accuracy).alias("_b"), F.count(F.lit(1)).alias("_n"))
+    ends = [F.when(F.col("_n") > whole_rows, F.col("_b")[i]).otherwise(F.lit(math.inf if i % 2 else -math.inf)).alias(f"_b{i}") for i in range(len(asked))]
+    brackets = materialize(sketch.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], *ends), "brackets")
+    if brackets.count() <= BROADCAST_GROUPS:
+        brackets = F.broadcast(brackets)
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    v = F.col(value)
+    inside = F.lit(False)
+    below = F.lit(0)
+    for i in range(0, len(asked), 2):
+        inside = inside | v.between(F.col(f"_b{i}"), F.col(f"_b{i + 1}"))
+        below = below + (v > F.col(f"_b{i + 1}")).cast("int")
+    tagged = df.join(brackets, on).select(*group, value, *counts, below.alias("_gap"), F.when(inside, v).alias("_exact"))
+    ladder = tagged.groupBy(*group, "_gap", "_exact").agg(F.min(value).alias(value), *[F.sum(c).alias(c) for c in counts])
+    return materialize(ladder.drop("_gap", "_exact"), "ladder")
 
 
 def exact_quantiles(
@@ -121,17 +174,18 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     *,
-    buckets: int = 64,
+    buckets: int | None = None,
+    accuracy: int = ACCURACY,
+    whole_rows: int = 4 * ACCURACY,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (numpy's default, Spark's
-    ``percentile``) per group, without gathering a group into one task.
+    ``percentile``) per group, by selection: only the values around the asked ranks are
+    ranked, whatever the number of distinct values.
 
     Returns one row per group with ``q_<i>`` columns, in the order of ``probs``.
     """
-    from fleetlens.session import materialize
-
     group = list(group)
-    vals = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    # the distinct-value table feeds three branches of the rank computation: write it once
-    ranked = prefix_sums(materialize(vals, "quantile-values"), group, value, ["_c"], buckets=buckets)
+    ones = df.where(F.col(value).isNotNull()).withColumn("_c", F.lit(1).cast("long"))
+    ladder = rank_ladder(ones, group, value, ["_c"], probs, accuracy=accuracy, whole_rows=whole_rows)
+    ranked = prefix_sums(ladder, group, value, ["_c"], buckets=buckets)
     return quantiles_from_ranked(ranked, group, value, "_c", "cum__c", "tot__c", probs)

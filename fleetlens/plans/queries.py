@@ -85,6 +85,18 @@ def q_ewma(spark, sf_dir):
     return _family(spark, sf_dir, lambda c: "_ewm_" in c, **_params(spans=S.DEFAULT_SPANS))
 
 
+def sparse_readings(spark, sf_dir):
+    """Readings of one kind of event only, so most cycles are gaps."""
+    s = series(spark, sf_dir)
+    return s.select("unit_id", "cycle", F.when(F.col("is_error") == 1, F.col("value")).alias("error_value"))
+
+
+def q_sparse_ewma(spark, sf_dir):
+    """W8 over gaps and many short segments."""
+    feats = S.temporal_features(sparse_readings(spark, sf_dir), ["error_value"], cross=False, seg_rows=8, **_params(spans=(1, 5, 20)))
+    return rounded(feats.drop("error_value"))
+
+
 def q_trend_slope(spark, sf_dir):
     return _family(spark, sf_dir, lambda c: "_slope_" in c, **_params(trend_window=S.DEFAULT_TREND_WINDOW))
 
@@ -152,6 +164,7 @@ def _series_registry():
         "lag_features": q_lag_features,
         "rate_of_change": q_rate_of_change,
         "ewma": q_ewma,
+        "sparse_ewma": q_sparse_ewma,
         "trend_slope": q_trend_slope,
         "rolling_entropy": q_rolling_entropy,
         "cross_ratio": q_cross_ratio,
@@ -194,6 +207,7 @@ def _series_oracles(O):
         "lag_features": O.q_lags(),
         "rate_of_change": O.q_diffs(),
         "ewma": O.q_ewma(),
+        "sparse_ewma": O.q_sparse_ewma(),
         "trend_slope": O.q_slope(),
         "rolling_entropy": O.q_entropy(),
         "cross_ratio": O.q_cross(),

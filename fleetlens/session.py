@@ -64,7 +64,20 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{root}/fleetlens-{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialize` wrote, once nothing that is
+    still to run reads them.  Other tables are left alone."""
+    path = getattr(df, "_written_at", None)
+    if path is None:
+        return
+    sc = df.sparkSession.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:

@@ -1,17 +1,18 @@
 """Structured Streaming jobs.
 
-* X1 :func:`start_scoring` -- score arriving readings.  Each micro-batch is joined
-  with the stored *tail* of every unit it touches (the rows rolling windows, lags
-  and the truncated EWMA need), features are built with forward fill only (the
-  future is unknown), and only the new rows are emitted.
+* X1 :class:`ScoringJob` -- score arriving readings with state per unit: the raw rows
+  that frames and lags still need, the last non-null value of every column and the
+  weighted sums of the EWMAs.  The state of a unit has a bounded size, so a micro-batch
+  reads no history, and no gap is too long for it.  Rows wait until the watermark has
+  passed them, so rows that come out of order within the delay are numbered in order;
+  rows behind what was already scored go to a table of their own.
 * X2 :func:`start_drift` -- drift report of each micro-batch against a stored
-  baseline (long ``(feature, value)`` table).
+  baseline summary (see ``operators/baseline.py``), read and never ranked again.
 * X3 :func:`start_accuracy` -- rolling accuracy per event-time window with a
   watermark; late rows beyond the watermark are dropped by Spark.
 
-Sinks are ``foreachBatch`` writers appending Parquet under the reliable
-checkpoint folder, keyed by batch id, so a restarted query (same checkpoint
-location) rewrites the same batch idempotently.
+Sinks are ``foreachBatch`` writers with one folder per batch id in shared storage, so a
+restarted query (same checkpoint location) rewrites the same batch idempotently.
 """
 
 from __future__ import annotations
@@ -22,14 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.functions.columns import ewma_tail_rows
 from fleetlens.operators import drift as D
 from fleetlens.operators import series as S
+from fleetlens.session import discard, materialize
+from fleetlens.streaming.state import StateTable, read_version, versions, write_version
 
-
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    # one folder per batch id: a replayed batch overwrites its own output only
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+AVAILABLE_NOW = {"availableNow": True}
 
 
 def latest_per_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -66,14 +65,14 @@ def accuracy_stream(
     )
 
 
-def start_accuracy(stream: DataFrame, out_path: str, checkpoint: str, **kw) -> StreamingQuery:
+def start_accuracy(stream: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None, **kw) -> StreamingQuery:
     """Run X3 with update output mode; the sink keeps every batch's updates."""
     agg = accuracy_stream(stream, **kw)
     return (
         agg.writeStream.outputMode("update")
-        .foreachBatch(lambda df, bid: _write_batch(df, out_path, bid))
+        .foreachBatch(lambda df, bid: write_version(df, out_path, bid))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
@@ -86,111 +85,160 @@ def start_drift(stream: DataFrame, baseline_long: DataFrame, features: Sequence[
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
         report = D.drift_report(baseline_long, D.to_long(df, features))
-        _write_batch(report, out_path, batch_id)
+        write_version(report, out_path, batch_id)
 
     return (
         stream.writeStream.foreachBatch(per_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
 
-# ── X1: scoring with stored history ─────────────────────────────────────────
+# ── X1: scoring with state per unit ─────────────────────────────────────────
 
 
-def history_rows_needed(windows: Sequence[int], lags: Sequence[int], diffs: Sequence[int], spans: Sequence[float], trend_window: int | None, entropy_window: int) -> int:
-    """Rows of stored history a new row needs for exact features: the longest
-    bounded frame, and the rows after which an EWMA weight is below 1e-18."""
+def frame_rows_needed(windows: Sequence[int], lags: Sequence[int], diffs: Sequence[int], trend_window: int | None, entropy_window: int) -> int:
+    """Rows before a new one that its bounded frames, lags and differences read."""
     need = [0] + [w - 1 for w in windows] + list(lags) + list(diffs) + [entropy_window - 1]
     if trend_window:
         need.append(trend_window - 1)
-    need += [ewma_tail_rows(s) for s in spans]
     return max(need)
 
 
-def score_micro_batch(
-    batch: DataFrame,
-    history: DataFrame | None,
-    sensors: Sequence[str],
-    scorer: Callable[[DataFrame], DataFrame],
-    *,
-    unit: str = "unit_id",
-    order: Sequence[str] = ("cycle",),
-    feature_params: dict | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Features and scores for the rows of one micro-batch.
-
-    ``history`` holds earlier readings with their dense per-unit ``cycle``.  New
-    rows are numbered after the unit's last stored cycle (in ``order``), the
-    last :func:`history_rows_needed` stored rows of the touched units are joined
-    in, the feature families run with forward fill only (the future is unknown),
-    and only new rows are scored.  Returns (scored new rows, rows to append to
-    the history)."""
-    params = dict(feature_params or {})
-    need = history_rows_needed(
-        params.get("windows", S.DEFAULT_WINDOWS), params.get("lags", S.DEFAULT_LAGS), params.get("diffs", S.DEFAULT_DIFFS),
-        params.get("spans", S.DEFAULT_SPANS), params.get("trend_window", S.DEFAULT_TREND_WINDOW), S.ENTROPY_WINDOW,
-    )
-    order = list(order)
-    ranked = S.assign_cycle(batch.select(unit, *order, *sensors), unit, order, cycle="_rank")
-    if history is not None:
-        last = history.groupBy(unit).agg(F.max("cycle").alias("_last"))
-        ranked = ranked.join(last, unit, "left").withColumn("cycle", (F.coalesce("_last", F.lit(0)) + F.col("_rank")).cast("int"))
-        touched = ranked.select(unit).distinct()
-        tail = (
-            history.join(touched, unit, "left_semi")
-            .join(last, unit)
-            .where(F.col("cycle") > F.col("_last") - F.lit(need))
-            .select(unit, "cycle", *sensors)
-            .withColumn("_new", F.lit(False))
+class ScoringJob:
+    """Features and scores of a stream of readings, the same rows as the batch
+    features (forward fill only: the future is unknown) over all readings in order.
+
+    ``delay`` is an SQL expression that is subtracted from the largest first ``order``
+    column seen (such as ``INTERVAL 1 HOUR`` or ``5``): rows up to there are scored, later
+    ones wait.  None scores each row with its batch.  A row whose order is not behind
+    its unit's last scored one, or that has no order, goes to ``<state_path>/late``.
+    ``scorer`` gets the unit, ``cycle`` (the row's number in its unit), ``order``, the
+    sensors and all features; its result is written under ``out_path``.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sensors: Sequence[str],
+        scorer: Callable[[DataFrame], DataFrame],
+        state_path: str,
+        out_path: str,
+        *,
+        unit: str = "unit_id",
+        order: Sequence[str] = ("cycle",),
+        delay: str | None = None,
+        feature_params: dict | None = None,
+        compact_every: int = 16,
+    ):
+        self.spark, self.sensors, self.scorer = spark, list(sensors), scorer
+        self.state_path, self.out_path = state_path, out_path
+        self.unit, self.order, self.delay = unit, list(order), delay
+        self.params = dict(feature_params or {})
+        self.need = frame_rows_needed(
+            self.params.get("windows", S.DEFAULT_WINDOWS), self.params.get("lags", S.DEFAULT_LAGS), self.params.get("diffs", S.DEFAULT_DIFFS),
+            self.params.get("trend_window", S.DEFAULT_TREND_WINDOW), self.params.get("entropy_window", S.ENTROPY_WINDOW),
         )
-        both = tail.unionByName(ranked.select(unit, "cycle", *sensors, F.lit(True).alias("_new")))
-    else:
-        ranked = ranked.withColumn("cycle", F.col("_rank"))
-        both = ranked.select(unit, "cycle", *sensors, F.lit(True).alias("_new"))
-    feats = S.temporal_features(both, list(sensors), unit=unit, cycle="cycle", cross=False, **params)
-    fill_cols = [c for c in feats.columns if c not in (unit, "cycle", "_new")]
-    filled = S.fill_gaps(feats, fill_cols, unit=unit, cycle="cycle", direction="forward")
-    scored = scorer(filled.where(F.col("_new")).drop("_new"))
-    return scored, ranked.select(unit, "cycle", *order, *sensors)
+        self.units = StateTable(spark, f"{state_path}/units", unit, compact_every)
+
+    # the number of the row in its unit may clash with an order column of that name
+    @property
+    def cycle(self) -> str:
+        return "cycle" if "cycle" not in self.order else "row_number"
+
+    def start(self, stream: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+        writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+        return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
+
+    def drain(self) -> None:
+        """Score the rows that still wait, once the stream has ended."""
+        done = versions(self.spark, f"{self.state_path}/clock")
+        waiting = read_version(self.spark, f"{self.state_path}/waiting", done[-1] + 1) if done else None
+        if waiting is not None:
+            self.process(waiting.limit(0), done[-1] + 1, release_all=True)
+
+    def process(self, batch: DataFrame, batch_id: int, release_all: bool = False) -> None:
+        state_at = lambda kind: f"{self.state_path}/{kind}"
+        columns = [self.unit, *self.order, *self.sensors]
+        arrived = batch.select(*columns)
+        waiting = read_version(self.spark, state_at("waiting"), batch_id)
+        clock = read_version(self.spark, state_at("clock"), batch_id)
+        first = self.order[0]
+        # written once: an external batch may not be read alike twice, and its rows
+        # feed the clock, the late table, the waiting rows and the features
+        rows = arrived if waiting is None else arrived.unionByName(waiting.select(*columns))
+        rows = materialize(rows.withColumn("_key", F.struct(self.unit)), "stream-rows")
+        seen = rows.agg(F.max(first).alias("high"))
+        high = materialize(seen if clock is None else seen.unionByName(clock.select("high")).agg(F.max("high").alias("high")), "stream-clock")
+
+        state = self.units.read(batch_id, rows.select("_key").distinct())
+        if state is not None:
+            state = materialize(state, "stream-state")
+        order = F.struct(*self.order)
+        placed = rows
+        if state is not None:
+            last = state.select(F.struct(self.unit).alias("_key"), "last_order", "last_cycle")
+            placed = placed.join(last, "_key", "left")
+        else:
+            placed = placed.withColumn("last_order", F.lit(None).cast(rows.select(order.alias("o")).schema["o"].dataType)).withColumn("last_cycle", F.lit(None).cast("long"))
+        late = F.coalesce(order <= F.col("last_order"), F.lit(False)) | F.col(first).isNull()
+        ready = ~late
+        if self.delay is not None and not release_all:
+            placed = placed.withColumn("_g", F.lit(0)).join(F.broadcast(high.withColumn("_g", F.lit(0))), "_g")  # one row
+            ready = ready & (F.col(first) <= F.col("high") - F.expr(self.delay))
+        placed = placed.withColumn("_fate", F.when(late, "late").when(ready, "ready").otherwise("waiting"))
+        placed = materialize(placed.select(*columns, "_key", "last_cycle", "_fate"), "stream-placed")
+
+        self._score(placed.where("_fate = 'ready'"), state, batch_id)
+        write_version(placed.where("_fate = 'late'").select(*columns), state_at("late"), batch_id)
+        write_version(placed.where("_fate = 'waiting'").select(*columns), state_at("waiting"), batch_id)
+        write_version(high, state_at("clock"), batch_id)
+        for used in (rows, high, placed, *([state] if state is not None else [])):
+            discard(used)
+
+    def _score(self, ready: DataFrame, state: DataFrame | None, batch_id: int) -> None:
+        unit, cycle, sensors = self.unit, self.cycle, self.sensors
+        ranked = S.assign_cycle(ready, unit, self.order, cycle="_rank")
+        rows = ranked.select(unit, (F.coalesce("last_cycle", F.lit(0)) + F.col("_rank")).cast("long").alias(cycle), *self.order, *sensors)
+        context = ewma_state = before = None
+        spans = self.params.get("spans", S.DEFAULT_SPANS)
+        states = [f"_s{i}" for i in range(len(sensors) * len(spans))]
+        if state is not None:
+            context = state.select(unit, F.explode("tail").alias("_t")).select(unit, "_t.*")
+            ewma_state = state.select(unit, "ewma.*") if states else None
+            before = state.select(unit, "filled.*")
+        feats = S.temporal_features(rows, sensors, unit=unit, cycle=cycle, cross=False, context=context, ewma_state=ewma_state, keep_state=bool(states), **self.params)
+        fill = [c for c in feats.columns if c not in (unit, cycle, *self.order, *states)]
+        filled = materialize(S.fill_gaps(feats, fill, unit=unit, cycle=cycle, direction="forward", initial=before), "stream-features")
+        write_version(self.scorer(filled.drop(*states)), self.out_path, batch_id)
+
+        parts = {"last_order": F.struct(*self.order), "filled": F.struct(*fill)}
+        if states:
+            parts["ewma"] = F.struct(*states)
+        key = F.struct(unit).alias("_key")
+        last = filled.groupBy(key).agg(F.max(cycle).alias("last_cycle"), F.max_by(F.struct(*[v.alias(k) for k, v in parts.items()]), cycle).alias("_v"))
+        raw = rows.select(unit, cycle, *sensors)
+        if context is not None:
+            raw = raw.unionByName(context.select(unit, cycle, *sensors))
+        kept = S.last_n(raw, max(self.need, 1), unit=unit, cycle=cycle)
+        # at most `need` rows a unit
+        tail = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(cycle, *sensors))).alias("tail"))
+        fresh = last.join(tail, "_key").select(f"_key.{unit}", "last_cycle", "_v.*", "tail")
+        self.units.upsert(fresh, batch_id)
+        discard(filled)
 
 
 def start_scoring(
     stream: DataFrame,
     sensors: Sequence[str],
     scorer: Callable[[DataFrame], DataFrame],
-    history_path: str,
+    state_path: str,
     out_path: str,
     checkpoint: str,
     *,
-    unit: str = "unit_id",
-    order: Sequence[str] = ("cycle",),
-    feature_params: dict | None = None,
+    trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Run X1: score each micro-batch with stored history, then append the
-    batch's numbered readings to the history table."""
-    spark = stream.sparkSession
-
-    def per_batch(df: DataFrame, batch_id: int) -> None:
-        history = None
-        if _exists(spark, history_path):
-            # a replayed batch must not see its own rows as history
-            history = spark.read.parquet(history_path).where(F.col("batch_id") < F.lit(batch_id)).drop("batch_id")
-        scored, appended = score_micro_batch(df, history, sensors, scorer, unit=unit, order=order, feature_params=feature_params)
-        _write_batch(appended, history_path, batch_id)
-        _write_batch(scored, out_path, batch_id)
-
-    return (
-        stream.writeStream.foreachBatch(per_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    """Run X1 (:class:`ScoringJob`)."""
+    return ScoringJob(stream.sparkSession, sensors, scorer, state_path, out_path, **options).start(stream, checkpoint, trigger)

@@ -4,6 +4,7 @@ query stops).  Each run writes under its own folder of the checkpoint root."""
 
 from __future__ import annotations
 
+import datetime
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,12 @@ from fleetlens.session import ensure_checkpoint_dir, materialize
 from fleetlens.sources.tables import DRIFT_SPLIT_TS, EVENT_SENSORS, event_series
 from fleetlens.streaming import jobs as J
 
-STREAM_FEATURES = dict(windows=(10,), stats=("mean",), lags=(1,), diffs=(), spans=(10,), trend_window=None, entropy_sensors=[])
+# readings of one kind of event only: a sensor with long gaps
+STREAM_SENSORS = ["value", "error_value"]
+#: The events arrive in this many slices of time ...
+SLICES = 2
+#: ... and every so many by a slice late.
+LATE_EVERY = 20
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -71,22 +77,33 @@ def q_stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _score_fixed(df: DataFrame) -> DataFrame:
-    return df.select(
-        "unit_id", "cycle", "value_roll_mean_10", "value_ewm_10", "k_lag_1",
-        (F.col("value") / (F.col("value") + F.lit(20.0))).alias("score"),
-    )
+    return df.drop("ts", "event_id").withColumn("score", F.col("value") / (F.col("value") + F.lit(20.0)))
 
 
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features (forward fill only) and the fixed score for arriving readings,
-    with per-unit history kept between micro-batches."""
-    stream = _stream_readings(events_stream(spark, sf_dir))
+    """Every feature (forward fill only) and the fixed score of arriving readings.
+
+    The events come in SLICES slices of time, one run of the stream each, and every
+    LATE_EVERY-th event comes a slice late; the watermark waits as long."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("ts is not null")
+    start, end = events.agg(F.min("ts"), F.max("ts")).first()
     run = _run_dir(spark, "score")
-    q = J.start_scoring(
-        stream, EVENT_SENSORS, _score_fixed, f"{run}/history", f"{run}/out", f"{run}/checkpoint",
-        order=("ts", "event_id"), feature_params=STREAM_FEATURES,
+    if start is None:
+        start = end = datetime.datetime(2000, 1, 1)
+    width = max((end - start).total_seconds() / SLICES, 1.0)
+    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6) - F.lit(start.replace(tzinfo=datetime.timezone.utc).timestamp())
+    late = (F.pmod(F.xxhash64("event_id"), F.lit(LATE_EVERY)) == 0).cast("int")
+    slices = events.withColumn("_slice", F.least(F.floor(seconds / F.lit(width)) + late, F.lit(SLICES - 1)))
+    job = J.ScoringJob(
+        spark, STREAM_SENSORS, _score_fixed, f"{run}/state", f"{run}/out", order=("ts", "event_id"),
+        delay=f"INTERVAL '{int(width) + 1}' SECOND", feature_params=dict(entropy_sensors=STREAM_SENSORS), compact_every=2,
     )
-    q.awaitTermination()
+    for i in range(SLICES):
+        slices.where(F.col("_slice") == i).drop("_slice").write.mode("append").parquet(f"{run}/source")
+        stream = _stream_readings(spark.readStream.schema(events.schema).parquet(f"{run}/source"))
+        stream = stream.withColumn("error_value", F.when(F.col("label") == 1, F.col("value")))
+        job.start(stream, f"{run}/checkpoint").awaitTermination()
+    job.drain()
     from fleetlens.plans.queries import rounded
 
     return rounded(spark.read.parquet(f"{run}/out").drop("batch_id"))
