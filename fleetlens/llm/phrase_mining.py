@@ -29,6 +29,8 @@ SCALE = 2_000_000
 #: Frequent groups are sent to every task only after a count of at most this many (16 to
 #: 24 bytes each); beyond it occurrences are joined with them in Spark, by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: Occurrences of a relation in one row, unless a piece has more.
+ROW_ITEMS = 1 << 14
 #: Bytes of a Parquet row group of a relation.
 ROW_GROUP = 4 << 20
 #: Occurrences that are counted together in a task.
@@ -127,10 +129,15 @@ class GroupTable:
 
 
 def _run_batch(run: int, place: np.ndarray, item: np.ndarray) -> pa.RecordBatch:
-    """A sorted run as one row; places are stored as steps, which are mostly 1."""
-    ends = pa.array([0, len(place)], pa.int32())
+    """A sorted run as rows of about ROW_ITEMS occurrences, cut where no neighbours are
+    parted; places are stored as steps, which are mostly 1."""
+    gaps = np.flatnonzero(place[1:] != place[:-1] + 1) + 1
+    near = np.searchsorted(gaps, np.arange(ROW_ITEMS, len(place), ROW_ITEMS))
+    starts = np.unique(np.append(0, gaps[near[near < len(gaps)]]))
     steps = np.diff(place, prepend=0).astype(np.int32)
-    return pa.RecordBatch.from_arrays([pa.array([run], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(steps)), pa.ListArray.from_arrays(ends, pa.array(item.astype(np.int64)))], names=["run", "steps", "items"])
+    steps[starts] = place[starts]
+    ends = pa.array(np.append(starts, len(place)), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(starts), run)), pa.ListArray.from_arrays(ends, pa.array(steps)), pa.ListArray.from_arrays(ends, pa.array(item.astype(np.int64)))], names=["run", "steps", "items"])
 
 
 _RUNS = "run long, steps array<int>, items array<long>"
