@@ -216,6 +216,14 @@ def report_from_ranked(
     )
 
 
+def alert_level() -> Column:
+    """The alert by the share of drifted features (drifted_features, total_features)."""
+    share = F.col("drifted_features") / F.greatest(F.col("total_features"), F.lit(1))
+    return F.when(share > F.lit(ALERT_LEVELS[0][0]), F.lit(ALERT_LEVELS[0][1])).when(
+        share > F.lit(ALERT_LEVELS[1][0]), F.lit(ALERT_LEVELS[1][1])
+    ).when(F.col("drifted_features") > 0, F.lit(ALERT_WATCH)).otherwise(F.lit(ALERT_OK))
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """M7: totals, flag counts, mean of the rounded PSI and the alert level.
     An empty report gives zeros and OK."""
@@ -226,17 +234,13 @@ def drift_summary(report: DataFrame) -> DataFrame:
         F.count_if(F.col("ks_drift")).alias("ks_drifted"),
         F.coalesce(F.avg("psi"), F.lit(0.0)).alias("avg_psi"),
     )
-    share = F.col("drifted_features") / F.greatest(F.col("total_features"), F.lit(1))
-    level = F.when(share > F.lit(ALERT_LEVELS[0][0]), F.lit(ALERT_LEVELS[0][1])).when(
-        share > F.lit(ALERT_LEVELS[1][0]), F.lit(ALERT_LEVELS[1][1])
-    ).when(F.col("drifted_features") > 0, F.lit(ALERT_WATCH)).otherwise(F.lit(ALERT_OK))
     return agg.select(
         "total_features",
         "drifted_features",
         "psi_drifted",
         "ks_drifted",
         round_half_away(F.col("avg_psi"), ROUND_DIGITS).alias("avg_psi"),
-        level.alias("alert_level"),
+        alert_level().alias("alert_level"),
     )
 
 

@@ -315,6 +315,32 @@ def q_drift_check(spark, sf_dir):
     return rounded(report)
 
 
+def q_drift_check_details(spark, sf_dir):
+    """M12 by request: the scaled sensors of every request against one stored baseline
+    (PSI and KS do not depend on the scale)."""
+    from fleetlens.operators.baseline import store_baseline
+    from fleetlens.plans.drift_check import drift_check_requests
+    from fleetlens.session import scratch_path
+
+    s = event_series(spark, sf_dir)
+    split = F.col("ts") < _ts(DRIFT_SPLIT_TS)
+    params = L.fit_scaler(s.where(split), EVENT_SENSORS)
+    early = L.apply_scaler(s.where(split).select("unit_id", "cycle", *EVENT_SENSORS), params)
+    baseline = store_baseline(D.to_long(early, EVENT_SENSORS), scratch_path(spark, "check-baseline"))
+    none = dict(windows=(), lags=(), diffs=(), spans=(), trend_window=None, entropy_sensors=[], cross=False)
+    responses, _ = drift_check_requests(_check_readings(s.where(~split)), params, baseline, EVENT_SENSORS, method=KS_METHOD, **none)
+    rows = responses.select("*", F.explode("details").alias("d")).select("request_id", "alert_level", "total_features", "drifted_features", "avg_psi", "d.*")
+    return rounded(rows)
+
+
+def q_ks_exact(spark, sf_dir):
+    """M4 in exact mode: each unit's readings before the split against those after it."""
+    s = event_series(spark, sf_dir).where("value is not null")
+    split = F.col("ts") < _ts(DRIFT_SPLIT_TS)
+    long = s.select(F.col("unit_id").cast("string").alias("feature"), "value", split.alias("early"))
+    return rounded(D.ks_test(long.where("early").drop("early"), long.where("not early").drop("early")))
+
+
 def q_drift_check_rejected(spark, sf_dir):
     """The requests that the drift check refuses."""
     from fleetlens.plans.drift_check import short_requests
@@ -369,7 +395,9 @@ REGISTRY = {
     "accuracy_monitor": q_accuracy_monitor,
     "rolling_accuracy": q_rolling_accuracy,
     "drift_check": q_drift_check,
+    "drift_check_details": q_drift_check_details,
     "drift_check_rejected": q_drift_check_rejected,
+    "ks_exact": q_ks_exact,
     "train_leaderboard": q_train_leaderboard,
     "regressor_leaderboard": q_regressor_leaderboard,
     "score_fleet": q_score_fleet,

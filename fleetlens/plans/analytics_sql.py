@@ -210,6 +210,62 @@ def q_drift_events() -> str:
     return _drift_with(_ev_long(), series_needed=True) + f"\nSELECT {REPORT_COLS} FROM report"
 
 
+def q_stream_drift() -> str:
+    """The report of each of two micro-batches against the same baseline."""
+    middle = "TIMESTAMP '2024-01-23 00:00:00'"
+    parts = []
+    for i, cond in enumerate((f"ts < {middle}", f"(ts < {SPLIT_TS} OR ts >= {middle})")):
+        body = _drift_with(_ev_long().replace("AND ts IS NOT NULL", f"AND {cond}"), series_needed=True)
+        parts.append(f"SELECT {i} AS batch_id, r.* FROM ({body}\nSELECT {REPORT_COLS} FROM report) r")
+    return "\nUNION ALL\n".join(parts)
+
+
+def q_drift_check_details() -> str:
+    """Every request of at least 30 readings against all readings before the split."""
+    requests = (
+        "late AS (SELECT user_id * 1048576 + (place - 1) // 100 AS request_id, value, k FROM (\n"
+        "  SELECT unit_id AS user_id, value, k, row_number() OVER (PARTITION BY unit_id ORDER BY ts, event_id) AS place\n"
+        f"  FROM series WHERE ts >= {SPLIT_TS} AND unit_id IS NOT NULL) WHERE value IS NOT NULL AND k IS NOT NULL),\n"
+        "ok AS (SELECT request_id FROM late GROUP BY 1 HAVING count(*) >= 30),\n"
+        "base AS (" + " UNION ALL ".join(f"SELECT '{c}' AS f, {c} AS value FROM series WHERE ts < {SPLIT_TS} AND {c} IS NOT NULL" for c in EV_FEATURES) + "),\n"
+        "mine AS (" + " UNION ALL ".join(f"SELECT request_id, '{c}' AS f, {c} AS value FROM late JOIN ok USING (request_id)" for c in EV_FEATURES) + "),\n"
+        "long AS (SELECT request_id || '|' || f AS feature, value, true AS is_base FROM ok CROSS JOIN base\n"
+        "         UNION ALL SELECT request_id || '|' || f, value, false FROM mine)"
+    )
+    return (
+        _drift_with(requests, series_needed=True)
+        + ",\nparts AS (SELECT CAST(split_part(feature, '|', 1) AS BIGINT) AS request_id, split_part(feature, '|', 2) AS f, psi, ks_pvalue, drifted FROM report),\n"
+        + "levels AS (SELECT request_id, lv.* FROM (SELECT DISTINCT request_id FROM parts) q, LATERAL ("
+        + SUMMARY_SELECT
+        + " FROM (SELECT psi, drifted, false AS psi_drift, false AS ks_drift FROM parts p WHERE p.request_id = q.request_id)) lv)\n"
+        + f"SELECT request_id, alert_level, total_features, drifted_features, {rd('avg_psi')} AS avg_psi, f AS feature, {rd('psi')} AS psi, {rd('ks_pvalue')} AS ks_pvalue, drifted\n"
+        + "FROM parts JOIN levels USING (request_id)"
+    )
+
+
+def q_ks_exact() -> str:
+    """The lattice walk of the exact two-sample test, one step of all tests at a time."""
+    return (
+        f"WITH RECURSIVE {SERIES_CTE},\n"
+        f"long AS (SELECT CAST(unit_id AS VARCHAR) AS feature, value, ts < {SPLIT_TS} AS is_base FROM series WHERE value IS NOT NULL)"
+        + BOTH
+        + _ks_ctes()
+        + ",\ntests AS (SELECT feature, ks_stat, n_base, n_cur, round(ks_stat * lcm(n_base, n_cur)) AS h, lcm(n_base, n_cur) AS whole FROM ks_s JOIN cnt USING (feature)),\n"
+        "walk AS (\n"
+        "  SELECT feature, 0::BIGINT AS i, 0::BIGINT AS j, 1.0::DOUBLE AS u FROM tests\n"
+        "  UNION ALL\n"
+        "  SELECT feature, i, j, sum(u) AS u FROM (\n"
+        "    SELECT w.feature, w.i + s.di AS i, w.j + s.dj AS j, n_base, n_cur, h, whole,\n"
+        "           w.u * (CASE WHEN s.di = 1 THEN n_base - w.i ELSE n_cur - w.j END) / (n_base + n_cur - w.i - w.j) AS u\n"
+        "    FROM walk w JOIN tests t ON t.feature = w.feature CROSS JOIN (VALUES (1, 0), (0, 1)) AS s(di, dj)\n"
+        "    WHERE w.i + s.di <= n_base AND w.j + s.dj <= n_cur)\n"
+        "  WHERE abs(i * (whole // n_base) - j * (whole // n_cur)) < h GROUP BY feature, i, j),\n"
+        "stay AS (SELECT w.feature, w.u FROM walk w JOIN tests t ON t.feature = w.feature AND w.i = t.n_base AND w.j = t.n_cur)\n"
+        f"SELECT feature, {rd('ks_stat')} AS ks_stat, CAST(n_base AS BIGINT) AS n_base, CAST(n_cur AS BIGINT) AS n_cur, {rd('CASE WHEN h <= 0 THEN 1.0 ELSE 1.0 - COALESCE(u, 0.0) END')} AS ks_pvalue\n"
+        "FROM tests LEFT JOIN stay USING (feature)"
+    )
+
+
 def q_drift_scenarios() -> str:
     normal = _drift_with(_li_long()) + "\n" + SUMMARY_SELECT.replace("SELECT ", "SELECT 'normal' AS scenario, ", 1) + " FROM report"
     shifted_long = (
@@ -441,6 +497,9 @@ ORACLES = {
     "drift_topk": q_drift_topk,
     "drift_scenarios": q_drift_scenarios,
     "drift_events": q_drift_events,
+    "drift_check_details": q_drift_check_details,
+    "ks_exact": q_ks_exact,
+    "stream_drift": q_stream_drift,
     "confusion": q_confusion,
     "class_metrics": q_class_metrics,
     "roc_auc": q_roc_auc,

@@ -191,8 +191,6 @@ def oracles():
         SELECT user_id * 1048576 + (place - 1) // 100 AS request_id, 'too_few_readings' AS rule, count(*) AS readings
         FROM late WHERE value IS NOT NULL AND k IS NOT NULL
         GROUP BY 1 HAVING count(*) < 30"""
-    # one file makes one micro-batch
-    out["stream_drift"] = f"SELECT 0 AS batch_id, r.* FROM ({out['drift_events']}) r"
     out["stream_accuracy"] = O.q_stream_accuracy()
     out["stream_score"] = O.q_stream_score()
     return out

@@ -55,14 +55,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder name under the reliable checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
 
     One job (a DataFrame checkpoint computes its input twice unless cached); the
     files live in shared storage, so a lost executor costs a re-read, not a
     recomputation, and every later use sees exactly the same rows."""
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/fleetlens-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_at = path

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.operators import drift as D
 from fleetlens.operators import series as S
+from fleetlens.operators.baseline import StoredBaseline, drift_against
 from fleetlens.session import discard, materialize
 from fleetlens.streaming.state import StateTable, read_version, versions, write_version
 
@@ -80,12 +81,15 @@ def start_accuracy(stream: DataFrame, out_path: str, checkpoint: str, trigger: d
 # ── X2: drift per micro-batch ───────────────────────────────────────────────
 
 
-def start_drift(stream: DataFrame, baseline_long: DataFrame, features: Sequence[str], out_path: str, checkpoint: str) -> StreamingQuery:
-    """Run X2: every micro-batch's drift report against the stored baseline."""
+def start_drift(
+    stream: DataFrame, baseline: StoredBaseline, out_path: str, checkpoint: str, features: Sequence[str] | None = None, trigger: dict | None = None, **options
+) -> StreamingQuery:
+    """Run X2: every micro-batch's drift report against the stored baseline, of all its
+    features unless some are named."""
+    names = list(features) if features is not None else baseline.names()
 
     def per_batch(df: DataFrame, batch_id: int) -> None:
-        report = D.drift_report(baseline_long, D.to_long(df, features))
-        write_version(report, out_path, batch_id)
+        write_version(drift_against(baseline, D.to_long(df, names), **options), out_path, batch_id)
 
     return (
         stream.writeStream.foreachBatch(per_batch)

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import nan_to_null
 from fleetlens.operators import drift as D
-from fleetlens.session import ensure_checkpoint_dir, materialize
+from fleetlens.operators.baseline import store_baseline
+from fleetlens.session import ensure_checkpoint_dir
 from fleetlens.sources.tables import DRIFT_SPLIT_TS, EVENT_SENSORS, event_series
 from fleetlens.streaming import jobs as J
 
 # readings of one kind of event only: a sensor with long gaps
 STREAM_SENSORS = ["value", "error_value"]
+DRIFT_MIDDLE_TS = "2024-01-23 00:00:00"
 #: The events arrive in this many slices of time ...
 SLICES = 2
 #: ... and every so many by a slice late.
@@ -62,14 +64,17 @@ def q_stream_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings from the split on, streamed, against the stored baseline of
-    the readings before it."""
-    split = F.lit(DRIFT_SPLIT_TS).cast("timestamp_ntz")
-    series = event_series(spark, sf_dir)
-    baseline = materialize(D.to_long(series.where(F.col("ts") < split), EVENT_SENSORS), "baseline")
-    current = _stream_readings(events_stream(spark, sf_dir)).where(F.col("ts") >= split)
+    """Readings from the split on, in two micro-batches, against the stored baseline
+    of the readings before it."""
+    split, middle = (F.lit(t).cast("timestamp_ntz") for t in (DRIFT_SPLIT_TS, DRIFT_MIDDLE_TS))
     run = _run_dir(spark, "drift")
-    J.start_drift(current, baseline, EVENT_SENSORS, f"{run}/out", f"{run}/checkpoint").awaitTermination()
+    series = event_series(spark, sf_dir)
+    baseline = store_baseline(D.to_long(series.where(F.col("ts") < split), EVENT_SENSORS), f"{run}/baseline")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    for part in ((F.col("ts") >= split) & (F.col("ts") < middle), F.col("ts") >= middle):
+        events.where(part).write.mode("append").parquet(f"{run}/source")
+        current = _stream_readings(spark.readStream.schema(events.schema).parquet(f"{run}/source"))
+        J.start_drift(current, baseline, f"{run}/out", f"{run}/checkpoint", method="asymptotic").awaitTermination()
     from fleetlens.plans.queries import rounded
 
     # the report of every micro-batch
