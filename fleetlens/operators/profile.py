@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fleetlens.plans.prefix import exact_quantiles
@@ -79,35 +79,18 @@ def label_balance(df: DataFrame, *, split: str = "split", label: str = "failure_
     )
 
 
-def data_checks(
-    df: DataFrame,
-    *,
-    unit: str = "unit_id",
-    cycle: str = "cycle",
-    raw_columns: Sequence[str] = (),
-    required: Sequence[str] = (),
-    label: str | None = "failure_label",
-    rul: str | None = "rul",
-    rul_cap: int = 125,
-) -> DataFrame:
-    """A10: one row per rule with its violation count (0 = passes).
-
-    Rules: missing values in raw columns, units whose first cycle is not 1,
-    required columns absent, infinite numeric values, missing unit id, labels
-    outside {0,1}, a label class absent, remaining life outside [0, cap].
-    Row rules are ``count_if`` terms of one aggregate; the per-unit rule is a
-    grouped aggregate (partial per task)."""
-    numeric = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-    row_rules = {
-        "missing_raw_values": sum((F.col(c).isNull().cast("long") for c in raw_columns), F.lit(0)) if raw_columns else F.lit(0),
-        "infinite_values": sum(
-            (F.when(F.col(c).isin(float("inf"), float("-inf")), F.lit(1)).otherwise(F.lit(0)) for c in numeric), F.lit(0)
-        )
-        if numeric
-        else F.lit(0),
-        "missing_unit_id": F.col(unit).isNull().cast("long"),
-    }
-    aggs = [F.sum(e).cast("long").alias(k) for k, e in row_rules.items()]
+def _row_rules(df: DataFrame, unit: str, raw_columns: Sequence[str], label: str | None, rul: str | None, rul_cap: int) -> list:
+    """The rules that look at one row at a time, as aggregates."""
+    floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+    missing = lambda c: F.col(c).isNull() | F.isnan(c) if c in floats else F.col(c).isNull()
+    endless = lambda c: F.coalesce(F.col(c).isin(float("inf"), float("-inf")), F.lit(False))
+    each = lambda tests: sum((t.cast("long") for t in tests), F.lit(0).cast("long"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    aggs = [
+        total(each(missing(c) for c in raw_columns)).alias("missing_raw_values"),
+        total(each(endless(c) for c in sorted(floats))).alias("infinite_values"),
+        F.count_if(F.col(unit).isNull()).alias("missing_unit_id"),
+    ]
     if label:
         aggs += [
             F.count_if(~F.col(label).isin(0, 1) | F.col(label).isNull()).alias("label_not_binary"),
@@ -116,10 +99,14 @@ def data_checks(
         ]
     if rul:
         aggs.append(F.count_if((F.col(rul) < 0) | (F.col(rul) > rul_cap)).alias("rul_out_of_range"))
-    row = df.agg(*aggs)
-    first = df.groupBy(unit).agg(F.min(cycle).alias("_m")).agg(F.count_if(F.col("_m") != 1).alias("first_cycle_not_1"))
-    checks = row.withColumn("_g", F.lit(0)).join(first.withColumn("_g", F.lit(0)), "_g").drop("_g")
-    missing_required = len([c for c in required if c not in df.columns])
+    return aggs
+
+
+def _first_cycles(df: DataFrame, unit: str, cycle: str) -> DataFrame:
+    return df.groupBy(unit).agg(F.min(cycle).alias("_m")).agg(F.count_if(F.col("_m") != 1).alias("first_cycle_not_1"))
+
+
+def _check_rows(checks: DataFrame, missing_required: int, label: str | None) -> DataFrame:
     checks = checks.withColumn("required_columns_missing", F.lit(missing_required).cast("long"))
     if label:
         checks = checks.withColumn(
@@ -130,6 +117,54 @@ def data_checks(
     return checks.selectExpr(f"stack({len(names)}, {args}) AS (check_name, violations)")
 
 
+def data_checks(
+    df: DataFrame,
+    *,
+    unit: str = "unit_id",
+    cycle: str = "cycle",
+    raw_columns: Sequence[str] = (),
+    required: Sequence[str] = (),
+    label: str | None = "failure_label",
+    rul: str | None = "rul",
+    rul_cap: int = 125,
+) -> DataFrame:
+    """A10: one row per rule with its violation count (0 = passes).
+
+    Rules: missing values (NULL or NaN) in raw columns, units whose first cycle is not 1,
+    required columns absent, infinite numeric values, missing unit id, labels
+    outside {0,1}, a label class absent, remaining life outside [0, cap].
+    Row rules are terms of one aggregate; the per-unit rule is a
+    grouped aggregate (partial per task)."""
+    row = df.agg(*_row_rules(df, unit, raw_columns, label, rul, rul_cap))
+    checks = row.withColumn("_g", F.lit(0)).join(_first_cycles(df, unit, cycle).withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return _check_rows(checks, len([c for c in required if c not in df.columns]), label)
+
+
+def write_checked(
+    df: DataFrame,
+    path: str,
+    *,
+    unit: str = "unit_id",
+    cycle: str = "cycle",
+    raw_columns: Sequence[str] = (),
+    required: Sequence[str] = (),
+    label: str | None = "failure_label",
+    rul: str | None = "rul",
+    rul_cap: int = 125,
+    mode: str = "overwrite",
+) -> DataFrame:
+    """S4 and A10 in one job: write the table as Parquet, and the counts of
+    :func:`data_checks` with it.  The row rules are observed metrics of the write, so the
+    rows are read once; the rule on a unit's first cycle reads two stored columns."""
+    spark = df.sparkSession
+    watch = Observation()
+    df.observe(watch, *_row_rules(df, unit, raw_columns, label, rul, rul_cap)).write.mode(mode).parquet(path)
+    counts = spark.createDataFrame([watch.get])  # one row
+    first = _first_cycles(spark.read.parquet(path), unit, cycle)
+    checks = counts.withColumn("_g", F.lit(0)).join(first.withColumn("_g", F.lit(0)), "_g").drop("_g")
+    return _check_rows(checks, len([c for c in required if c not in df.columns]), label)
+
+
 def feature_catalog(spark, feature_names: Sequence[str]) -> DataFrame:
     """Features per family (name patterns overlap), count and first example;
     empty families are left out.  Works on the feature *names* (schema metadata)."""

@@ -63,6 +63,7 @@ _CTX = "_ctx"
 # one series in joins as they are in windows.
 _KEY = "_key_of_unit_id"
 _MAX_LOG = 600.0
+SEG, KEY = _SEG, _KEY
 
 
 # ── column selection (P1-P5) ────────────────────────────────────────────────
@@ -169,6 +170,12 @@ def segment(df: DataFrame, cycle: str, seg_rows: int, halo: int, seg_col: str =
     )
 
 
+def with_segments(df: DataFrame, *, unit: str = "unit_id", cycle: str = "cycle", seg_rows: int = 4096) -> DataFrame:
+    """The keys that per-segment work is partitioned by, as columns KEY and SEG."""
+    pos = F.col(cycle) - F.lit(1)
+    return df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long")).withColumn(_KEY, F.struct(unit))
+
+
 def choose_seg_rows(seg_rows: int | None, halo: int, spans: Sequence[float]) -> int:
     """Segment length: large enough to amortise the halo, small enough that the
     EWMA power weights r^-q stay finite inside a segment."""
@@ -619,18 +626,17 @@ def fill_gaps(
         raise ValueError("direction must be 'both' or 'forward'")
     nullable = {f.name for f in df.schema.fields if f.nullable}
     wanted = columns if columns is not None else df.columns
-    cols = [c for c in wanted if c not in (unit, cycle, _SEG) and c in nullable]
+    cols = [c for c in wanted if c not in (unit, cycle, _SEG, _KEY) and c in nullable]
     if not cols:
         return df
     base_cols = df.columns
-    if _SEG in df.columns:
-        # segments of the feature stage: the data is already hash-partitioned by
-        # (unit, segment), so the join and the windows below add no shuffle
-        tagged = df
+    if _SEG not in df.columns:
+        tagged = with_segments(df, unit=unit, cycle=cycle, seg_rows=seg_rows)
+    elif _KEY not in df.columns:  # the feature stage's own segments
+        tagged = df.withColumn(_KEY, F.struct(unit))
     else:
-        pos = F.col(cycle) - F.lit(1)
-        tagged = df.withColumn(_SEG, F.floor(pos / F.lit(seg_rows)).cast("long"))
-    tagged = tagged.withColumn(_KEY, F.struct(unit))
+        # a table stored by (unit, segment): the windows below add no exchange
+        tagged = df
     sp = _Spec(_KEY, cycle)
     do_back = direction == "both"
     edge_aggs = []

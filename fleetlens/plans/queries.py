@@ -150,9 +150,10 @@ def q_scaled_values(spark, sf_dir):
 @lru_cache(maxsize=1)
 def registry():
     from fleetlens.plans.analytics_queries import REGISTRY as ANALYTICS
+    from fleetlens.plans.store_queries import REGISTRY as STORED
     from fleetlens.streaming.queries import REGISTRY as STREAMS
 
-    return {**_series_registry(), **ANALYTICS, **STREAMS}
+    return {**_series_registry(), **ANALYTICS, **STORED, **STREAMS}
 
 
 def _series_registry():
@@ -180,8 +181,9 @@ def _series_registry():
 def oracles():
     from fleetlens.plans import oracle_sql as O
     from fleetlens.plans.analytics_sql import ORACLES
+    from fleetlens.plans.store_sql import ORACLES as STORED
 
-    out = {**_series_oracles(O), **{k: f() for k, f in ORACLES.items()}}
+    out = {**_series_oracles(O), **{k: f() for k, f in {**ORACLES, **STORED}.items()}}
     # a request holds up to 100 readings of a unit that carry both sensors
     out["drift_check_rejected"] = """
         WITH late AS (

@@ -38,6 +38,7 @@ DEFAULT_CYCLE = 1
 USE_LAST_N_DEFAULT = 10
 USE_LAST_N_RANGE = (1, 100)
 DEFAULT_UNIT_ID = "unknown"
+BATCH_ENGINES_RANGE = (1, 1000)
 # Remaining sensor channels of the public run-to-failure files (Saxena et al., 2008),
 # after the 14 named above, in file order.
 EXTRA_RAW_SENSORS = [
@@ -193,13 +194,18 @@ def flatten_requests(
 def flatten_batch(batches: DataFrame, json_col: str = "payload", sensors: Sequence[str] = PAYLOAD_SENSORS, defaults: dict | None = None):
     """Batch payloads ``{"engines": [request, ...]}`` -> (valid readings,
     quarantine); engines become requests with id "batch:position", the batch id being the
-    column ``batch_id`` where there is one.  A batch that cannot be read is quarantined."""
+    column ``batch_id`` where there is one.  A batch that cannot be read, has no engine or
+    more than 1,000 is quarantined whole."""
     ids = F.col("batch_id").cast("string") if "batch_id" in batches.columns else F.monotonically_increasing_id().cast("string")
     parsed = batches.select(ids.alias("batch_id"), F.from_json(F.col(json_col), batch_schema(sensors, defaults)).alias("b"))
-    engines = parsed.select("batch_id", F.posexplode("b.engines").alias("engine_pos", "req"))
+    lo, hi = BATCH_ENGINES_RANGE
+    n = F.size("b.engines")
+    rule = F.when(F.col("b.engines").isNull(), "malformed_batch").when(n < lo, "empty_batch").when(n > hi, "too_many_engines")
+    judged = parsed.withColumn("_rule", rule)
+    engines = judged.where("_rule is null").select("batch_id", F.posexplode("b.engines").alias("engine_pos", "req"))
     requests = engines.select(F.concat_ws(":", "batch_id", "engine_pos").alias("request_id"), "req")
     valid, quarantine = flatten_requests(requests, sensors, defaults)
-    bad = parsed.where("b.engines is null").select(F.col("batch_id").alias("request_id"), F.lit(None).cast("int").alias("pos"), F.lit("malformed_batch").alias("rule"))
+    bad = judged.where("_rule is not null").select(F.col("batch_id").alias("request_id"), F.lit(None).cast("int").alias("pos"), F.col("_rule").alias("rule"))
     return valid, quarantine.unionByName(bad)
 
 
