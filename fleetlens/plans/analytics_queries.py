@@ -76,6 +76,7 @@ def q_data_checks(spark, sf_dir):
 # p-values of large tables: asymptotic at every scale factor (unit_drift has the exact
 # mode, which the library takes by itself for samples of up to 10,000 values)
 KS_METHOD = "asymptotic"
+SLICE_MONTHS = ("1998-01", "1998-05", "1998-09")
 
 
 def _li_sides(spark, sf_dir):
@@ -132,6 +133,18 @@ def q_drift_scenarios(spark, sf_dir):
     return rounded(D.compare_scenarios({"normal": normal, "shifted": shifted}))
 
 
+def q_drift_slices(spark, sf_dir):
+    """M10 on real slices: the months of 1998 one by one against all earlier shipments,
+    whose stored baseline is probed for each."""
+    from fleetlens.operators.baseline import drift_against, store_baseline
+    from fleetlens.session import scratch_path
+
+    base, cur = _li_sides(spark, sf_dir)
+    stored = store_baseline(D.to_long(base, LINEITEM_FEATURES), scratch_path(spark, "slice-baseline"))
+    slices = {m: cur.where(F.date_format("l_shipdate", "yyyy-MM") == m) for m in SLICE_MONTHS}
+    return rounded(D.compare_scenarios({m: drift_against(stored, D.to_long(s, LINEITEM_FEATURES), method=KS_METHOD) for m, s in slices.items()}))
+
+
 def q_drift_events(spark, sf_dir):
     s = event_series(spark, sf_dir)
     split = F.col("ts") < _ts(DRIFT_SPLIT_TS)
@@ -201,11 +214,24 @@ def q_batch_counts(spark, sf_dir):
 # ── payload ingest ─────────────────────────────────────────────────────────
 
 
+def requests_from_series(series: DataFrame, sensors, block: int = 100, use_last_n: int = 10) -> DataFrame:
+    """JSON request payloads built from a reading table: one request per unit and
+    block of ``block`` consecutive cycles (so no request outgrows the payload
+    limit and no group is unbounded)."""
+    blk = F.floor((F.col("cycle") - F.lit(1)) / F.lit(block)).cast("long")
+    reading = F.struct(F.col("cycle").cast("long").alias("cycle"), *[F.col(s) for s in sensors])
+    grouped = series.groupBy("unit_id", blk.alias("block")).agg(F.sort_array(F.collect_list(reading)).alias("readings"))
+    payload = F.to_json(
+        F.struct(F.col("unit_id").cast("string").alias("unit_id"), F.col("readings"), F.lit(use_last_n).alias("use_last_n"))
+    )
+    return grouped.select((F.col("unit_id") * F.lit(1 << 20) + F.col("block")).alias("request_id"), payload.alias("payload"))
+
+
 def _payload(spark, sf_dir):
     from fleetlens.sources import ingest as I
 
     s = event_series(spark, sf_dir)
-    reqs = I.parse_requests(I.requests_from_series(s, EVENT_SENSORS), sensors=EVENT_SENSORS)
+    reqs = I.parse_requests(requests_from_series(s, EVENT_SENSORS), sensors=EVENT_SENSORS)
     return I.flatten_requests(reqs, sensors=EVENT_SENSORS)
 
 
@@ -380,7 +406,7 @@ def q_drift_check_rejected(spark, sf_dir):
 def _check_readings(series):
     from fleetlens.sources import ingest as I
 
-    reqs = I.parse_requests(I.requests_from_series(S_renumber(series), EVENT_SENSORS), sensors=EVENT_SENSORS)
+    reqs = I.parse_requests(requests_from_series(S_renumber(series), EVENT_SENSORS), sensors=EVENT_SENSORS)
     valid, _ = I.flatten_requests(reqs, sensors=EVENT_SENSORS)
     return valid
 
@@ -405,6 +431,7 @@ REGISTRY = {
     "drift_summary": q_drift_summary,
     "drift_topk": q_drift_topk,
     "drift_scenarios": q_drift_scenarios,
+    "drift_slices": q_drift_slices,
     "drift_events": q_drift_events,
     "confusion": q_confusion,
     "class_metrics": q_class_metrics,

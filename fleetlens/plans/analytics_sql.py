@@ -266,6 +266,14 @@ def q_ks_exact() -> str:
     )
 
 
+def q_drift_slices() -> str:
+    parts = []
+    for m in ("1998-01", "1998-05", "1998-09"):
+        month = _li_long().replace("AND l_shipdate IS NOT NULL", f"AND (l_shipdate < {LI_SPLIT} OR strftime(l_shipdate, '%Y-%m') = '{m}')")
+        parts.append(f"SELECT * FROM ({_drift_with(month)}\n" + SUMMARY_SELECT.replace("SELECT ", f"SELECT '{m}' AS scenario, ", 1) + " FROM report)")
+    return "\nUNION ALL\n".join(parts)
+
+
 def q_drift_scenarios() -> str:
     normal = _drift_with(_li_long()) + "\n" + SUMMARY_SELECT.replace("SELECT ", "SELECT 'normal' AS scenario, ", 1) + " FROM report"
     shifted_long = (
@@ -496,6 +504,7 @@ ORACLES = {
     "drift_summary": q_drift_summary,
     "drift_topk": q_drift_topk,
     "drift_scenarios": q_drift_scenarios,
+    "drift_slices": q_drift_slices,
     "drift_events": q_drift_events,
     "drift_check_details": q_drift_check_details,
     "ks_exact": q_ks_exact,

@@ -150,7 +150,26 @@ def q_checked_write(spark, sf_dir):
     return P.write_checked(dirty, scratch_path(spark, "checked"), raw_columns=EVENT_SENSORS, required=[*EVENT_SENSORS, "pressure"])
 
 
+def q_payload_dirty(spark, sf_dir):
+    """S6-S8 on faulty requests: truncated ones, ones without readings or with a
+    ``use_last_n`` out of range, and readings without a sensor or with cycle 0."""
+    s = series(spark, sf_dir)
+    block = F.floor((F.col("cycle") - 1) / 100).alias("block")
+    reading = F.struct(F.when(F.col("k") != 9, F.col("cycle").cast("long")).otherwise(F.lit(0)).alias("cycle"), "value", F.when(F.col("k") != 5, F.col("k")).alias("k"))
+    sent = s.groupBy("unit_id", block).agg(F.collect_list(reading).alias("readings"))
+    unit = F.col("unit_id")
+    body = F.struct(
+        unit.cast("string").alias("unit_id"), F.when(unit % 11 != 0, F.col("readings")).otherwise(F.slice("readings", 1, 0)).alias("readings"),
+        F.when(unit % 7 != 0, F.lit(10)).otherwise(F.lit(500)).alias("use_last_n"),
+    )
+    text = F.to_json(body)
+    requests = sent.select((unit * F.lit(1 << 20) + F.col("block")).alias("request_id"), F.when(unit % 13 != 0, text).otherwise(F.substring(text, 1, 10)).alias("payload"))
+    _, quarantine = I.flatten_requests(I.parse_requests(requests, sensors=EVENT_SENSORS), sensors=EVENT_SENSORS)
+    return I.quarantine_summary(quarantine, EVENT_SENSORS)
+
+
 REGISTRY = {
+    "payload_dirty": q_payload_dirty,
     "text_readings": q_text_readings,
     "sampled_units": q_sampled_units,
     "rul_truth": q_rul_truth,

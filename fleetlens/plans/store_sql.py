@@ -92,7 +92,19 @@ def q_checked_write() -> str:
     return "WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)\n" + "\nUNION ALL\n".join(parts)
 
 
+def q_payload_dirty() -> str:
+    whole, sent = "unit_id % 13 <> 0", "unit_id % 13 <> 0 AND unit_id % 11 <> 0 AND unit_id % 7 <> 0"
+    rules = {
+        "malformed_request": "blocks WHERE unit_id % 13 = 0", "no_readings": f"blocks WHERE {whole} AND unit_id % 11 = 0",
+        "use_last_n_out_of_range": f"blocks WHERE {whole} AND unit_id % 7 = 0", "missing_value": f"series WHERE {sent} AND value IS NULL",
+        "missing_k": f"series WHERE {sent} AND (k = 5 OR k IS NULL)", "cycle_below_1": f"series WHERE {sent} AND k = 9",
+    }
+    parts = [f"SELECT '{rule}' AS rule, count(*) AS violations FROM {rows}" for rule, rows in rules.items()]
+    return f"WITH {SERIES_CTE},\nblocks AS (SELECT DISTINCT unit_id, (cycle - 1) // 100 AS block FROM series)\n" + "\nUNION ALL\n".join(parts)
+
+
 ORACLES = {
+    "payload_dirty": q_payload_dirty,
     "text_readings": q_text_readings,
     "sampled_units": q_sampled_units,
     "rul_truth": q_rul_truth,

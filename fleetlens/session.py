@@ -70,18 +70,42 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_at = path
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return out
 
 
+_written: dict[str, list[str]] = {}
+
+
+def discard_all(spark: SparkSession, keep: tuple[str, ...] = ("series", "leaderboard")) -> int:
+    """Delete the tables that :func:`materialize` wrote in this application, but those of
+    the labels ``keep``, which are read again; for the end of a run, when no result that
+    reads the others is still to be computed.  Returns how many."""
+    application = spark.sparkContext.applicationId
+    kept = [p for p in _written.get(application, []) if any(f"/fleetlens-{label}-" in p for label in keep)]
+    gone = [p for p in _written.get(application, []) if p not in kept]
+    for path in gone:
+        _delete(spark, path)
+    _written[application] = kept
+    return len(gone)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a table that :func:`materialize` wrote, once nothing that is
     still to run reads them.  Other tables are left alone."""
     path = getattr(df, "_written_at", None)
     if path is None:
         return
-    sc = df.sparkSession.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    _delete(df.sparkSession, path)
+    written = _written.get(df.sparkSession.sparkContext.applicationId, [])
+    if path in written:
+        written.remove(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 2_000_000) -> DataFrame:

@@ -223,16 +223,3 @@ def quarantine_summary(quarantine: DataFrame, sensors: Sequence[str] = PAYLOAD_S
     counts = quarantine.groupBy("rule").agg(F.count(F.lit(1)).alias("violations"))
     names = quarantine.sparkSession.createDataFrame([(r,) for r in rules], "rule string")  # fixed rule list
     return F.broadcast(names).join(counts, "rule", "left").select("rule", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
-
-
-def requests_from_series(series: DataFrame, sensors: Sequence[str], block: int = 100, use_last_n: int = USE_LAST_N_DEFAULT) -> DataFrame:
-    """JSON request payloads built from a reading table: one request per unit and
-    block of ``block`` consecutive cycles (so no request outgrows the payload
-    limit and no group is unbounded)."""
-    blk = F.floor((F.col("cycle") - F.lit(1)) / F.lit(block)).cast("long")
-    reading = F.struct(F.col("cycle").cast("long").alias("cycle"), *[F.col(s) for s in sensors])
-    grouped = series.groupBy("unit_id", blk.alias("block")).agg(F.sort_array(F.collect_list(reading)).alias("readings"))
-    payload = F.to_json(
-        F.struct(F.col("unit_id").cast("string").alias("unit_id"), F.col("readings"), F.lit(use_last_n).alias("use_last_n"))
-    )
-    return grouped.select((F.col("unit_id") * F.lit(1 << 20) + F.col("block")).alias("request_id"), payload.alias("payload"))

@@ -39,7 +39,15 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_SERIES_TABLES: dict[tuple[str, str], DataFrame] = {}
+_SERIES_TABLES: dict[tuple, DataFrame] = {}
+
+
+def table_version(spark: SparkSession, path: str) -> tuple:
+    """(files, bytes, latest change) of a table's folder or file."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return len(found), sum(f.getLen() for f in found), max((f.getModificationTime() for f in found), default=0)
 
 
 def event_series(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFrame:
@@ -48,8 +56,8 @@ def event_series(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFr
     Numbering writes a table to the checkpoint folder (see ``assign_cycle``);
     with ``reuse`` every later job of the same application reads that table
     instead of numbering again -- the series view is built once, like the
-    reference's processed table."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    reference's processed table -- until the files of the table change."""
+    key = (spark.sparkContext.applicationId, sf_dir, table_version(spark, f"{sf_dir}/events.parquet"))
     if reuse and key in _SERIES_TABLES:
         return _SERIES_TABLES[key]
     out = materialize(assign_cycle(event_readings(spark, sf_dir), "unit_id", ["ts", "event_id"]), "series")
