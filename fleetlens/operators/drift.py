@@ -87,9 +87,10 @@ def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: in
     distinct = _both_sides(baseline_long, current_long).groupBy("feature", "value").agg(F.sum("cb").alias("cb"), F.sum("cc").alias("cc"))
     distinct = materialize(distinct, "drift-values")
     counts = sample_sizes(distinct)
-    kept = distinct.join(counts.select("feature"), "feature", "left_semi").withColumn("ca", F.col("cb") + F.col("cc"))
-    run = materialize(prefix_sums(kept, ["feature"], "value", ["cb", "cc", "ca"], buckets=buckets), "drift-ranks")
-    return run, counts
+    # features that cannot be compared leave with the join to their counts
+    run = prefix_sums(distinct, ["feature"], "value", ["cb", "cc"], buckets=buckets)
+    both = [(F.col(f"{p}cb") + F.col(f"{p}cc")).alias(f"{p}ca") for p in ("", "cum_", "tot_")]
+    return materialize(run.select("*", *both), "drift-ranks"), counts
 
 
 def psi_edges(n_bins: int = PSI_BINS) -> list[float]:

@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import (
@@ -407,7 +407,7 @@ def _ewma_carry(df: DataFrame, cycle, sensors, spans, seg_rows, state: DataFrame
     return _segment_carry(merged, _KEY, len(names), False)
 
 
-def _ewma_finish(sensors, spans, seg_rows):
+def _ewma_finish(sensors, spans, seg_rows, carried: bool):
     """(name, expression) of the means, and of the state columns m, n and d behind them."""
     means, state = [], []
     for i, (s, span) in enumerate(_ewma_names(sensors, spans)):
@@ -418,9 +418,12 @@ def _ewma_finish(sensors, spans, seg_rows):
         parts = {}
         for kind in ("n", "d"):
             raw = _q(f"_w{kind}_{s}_{span}") if r > 0.0 or kind == "n" else "1.0D"
+            if not carried:  # one segment a unit
+                parts[kind] = f"CASE WHEN {m} IS NOT NULL THEN {here} * {raw} END"
+                continue
             parts[kind] = f"CASE WHEN {m} IS NULL THEN {carry}.{kind} WHEN {carry}.m IS NULL THEN {here} * {raw} ELSE {here} * {raw} + {fade} * {carry}.{kind} END"
         means.append((f"{s}_ewm_{span}", f"try_divide({parts['n']}, {parts['d']})"))
-        latest = f"COALESCE({m}, {carry}.m)"
+        latest = f"COALESCE({m}, {carry}.m)" if carried else m
         state.append((f"_s{i}", f"CASE WHEN {latest} IS NOT NULL THEN named_struct('m', {latest}, 'n', {parts['n']}, 'd', {parts['d']}) END"))
     return means, state
 
@@ -461,6 +464,7 @@ def temporal_features(
     context: DataFrame | None = None,
     ewma_state: DataFrame | None = None,
     keep_state: bool = False,
+    longest: int | None = None,
 ) -> DataFrame:
     """Every feature family in one pass over ``(unit, segment)`` windows.
 
@@ -476,6 +480,9 @@ def temporal_features(
     cycle, sensors) just before ``df``'s, which frames and lags read but which are not
     returned, and ``ewma_state`` what ``keep_state=True`` gave on the unit's last row
     (``_s0``, ``_s1``, ... by sensor and span, beside the unit).
+
+    ``longest`` is the largest ``cycle``, if it is known: where it lies in a unit's first
+    segment nothing is carried between segments.
     """
     sensors = list(sensor_columns(df) if sensors is None else sensors)
     if entropy_sensors is None:
@@ -492,7 +499,7 @@ def temporal_features(
     if any(ewma_max_exponent_rows(span, _MAX_LOG) < halo for span in spans):
         # frames longer than a segment in which the power weights stay finite: the
         # weighted means get a pass of their own, over shorter segments
-        shared = dict(unit=unit, cycle=cycle, seg_rows=seg_rows)
+        shared = dict(unit=unit, cycle=cycle, seg_rows=seg_rows, longest=longest)
         weighted = temporal_features(
             df, sensors, windows=(), lags=(), diffs=(), spans=spans, trend_window=None, entropy_sensors=[], cross=False, ewma_state=ewma_state, keep_state=keep_state, **shared
         )
@@ -538,9 +545,11 @@ def temporal_features(
     if ewma_local:
         if ewma_state is not None:
             ewma_state = ewma_state.withColumn(_KEY, F.struct(unit))
-        carry = _ewma_carry(seg, cycle, sensors, spans, size, ewma_state)
-        staged = staged.join(carry, [_KEY, _SEG], "left")
-        means, state = _ewma_finish(sensors, spans, size)
+        carried = longest is None or longest > size or ewma_state is not None
+        if carried:
+            carry = _ewma_carry(seg, cycle, sensors, spans, size, ewma_state)
+            staged = staged.join(carry, [_KEY, _SEG], "left")
+        means, state = _ewma_finish(sensors, spans, size, carried)
         ewm_names = [n for n, _ in means]
         state_names = [n for n, _ in state] if keep_state else []
         staged = staged.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in means + (state if keep_state else [])])
@@ -609,6 +618,7 @@ def fill_gaps(
     direction: str = "both",
     seg_rows: int = 4096,
     initial: DataFrame | None = None,
+    longest: int | None = None,
 ) -> DataFrame:
     """Forward fill, then back fill, per unit in cycle order.
 
@@ -620,7 +630,8 @@ def fill_gaps(
     the schema proves non-null are passed through untouched.
     ``direction='forward'`` avoids the look-ahead of back filling (needed for
     streams); ``'both'`` is the reference's forward-then-back fill.  ``initial`` holds,
-    beside the unit, the last non-null values before its first row here.
+    beside the unit, the last non-null values before its first row here.  ``longest`` is
+    the largest ``cycle``, if known: within one segment nothing is carried.
     """
     if direction not in ("both", "forward"):
         raise ValueError("direction must be 'both' or 'forward'")
@@ -639,6 +650,12 @@ def fill_gaps(
         tagged = df
     sp = _Spec(_KEY, cycle)
     do_back = direction == "both"
+    if longest is not None and longest <= seg_rows and initial is None:
+        filled = []
+        for c in cols:
+            e = f"{_q(c)}, last({_q(c)}, true) OVER {sp.prefix()}"
+            filled.append(f"COALESCE({e}{f', first({_q(c)}, true) OVER {sp.whole()}' if do_back else ''}) AS {_q(c)}")
+        return tagged.selectExpr(*[_q(c) for c in tagged.columns if c not in cols], *filled).select(*base_cols)
     edge_aggs = []
     for i, c in enumerate(cols):
         # max_by / min_by skip rows whose ordering is NULL: last / first non-null value
@@ -703,15 +720,25 @@ def feature_matrix(
         order = [_q("_given" if c == cycle else c) + " AS " + _q(c) for c in df.columns]
         feats = feats.selectExpr(*order, *[_q(c) for c in made])
         return feats.na.drop("any") if drop_incomplete else feats
-    feats = temporal_features(df, sensors, unit=unit, cycle=cycle, keep_segment=True, **feature_params)
+    longest = feature_params.pop("longest", None)
+    feats = temporal_features(df, sensors, unit=unit, cycle=cycle, keep_segment=True, longest=longest, **feature_params)
+    gaps = None
     if fill != "none" and materialize_features:
         # the fill reads the features twice (per-segment edges + the rows).
         # Recomputing means running every window function twice (the costliest
         # per-row work here); writing once to the checkpoint folder costs one
-        # shuffle of the wide rows instead, and also cuts the lineage.
-        feats = materialize(feats, "features")
-    if fill != "none":
-        feats = fill_gaps(feats, unit=unit, cycle=cycle, direction=fill)
+        # shuffle of the wide rows instead, and also cuts the lineage.  The write also
+        # counts: columns without a gap are not filled, and where every unit ends in
+        # its first segment nothing is carried.
+        seen = Observation()
+        some = [c for c in feats.columns if c not in (unit, cycle, _SEG)]
+        counts = [F.count_if(F.col(_q(c)).isNull()).alias(f"_{i}") for i, c in enumerate(some)]
+        feats = materialize(feats.observe(seen, F.max(_SEG).alias("_last"), *counts), "features")
+        got = seen.get
+        gaps = [c for i, c in enumerate(some) if got[f"_{i}"]]
+        longest = 1 if got["_last"] in (None, 0) else None
+    if fill != "none" and gaps != []:
+        feats = fill_gaps(feats, gaps, unit=unit, cycle=cycle, direction=fill, longest=longest if gaps is not None else None)
     feats = feats.drop(_SEG)
     return feats.na.drop("any") if drop_incomplete else feats
 

@@ -60,12 +60,12 @@ def prefix_sums(
     largest value down.  ``buckets`` sets the number of ranges; by default it follows
     the counted rows.
     """
-    from fleetlens.session import materialize
+    from fleetlens.session import counted_rows, materialize
 
     group = list(group)
     key = F.col(order) if not descending else -F.col(order)
     keyed = df.withColumn("_key", key.cast("double"))
-    n = buckets or range_count(df.count(), range_rows)
+    n = buckets or range_count(counted_rows(df), range_rows)
     if n == 1:  # few rows: one window a group
         gw = Window.partitionBy(*group)
         lw = gw.orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
@@ -143,7 +143,7 @@ def rank_ladder(
     4 / accuracy of the values are listed for each quantile.  A row is one
     value; ``counts`` are 0 or 1 (such as which sample it belongs to).
     """
-    from fleetlens.session import materialize
+    from fleetlens.session import counted_rows, materialize
 
     group = list(group)
     eps = 2.0 / accuracy
@@ -151,7 +151,7 @@ def rank_ladder(
     sketch = df.groupBy(*group).agg(F.percentile_approx(value, asked, accuracy).alias("_b"), F.count(F.lit(1)).alias("_n"))
     ends = [F.when(F.col("_n") > whole_rows, F.col("_b")[i]).otherwise(F.lit(math.inf if i % 2 else -math.inf)).alias(f"_b{i}") for i in range(len(asked))]
     brackets = materialize(sketch.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], *ends), "brackets")
-    if brackets.count() <= BROADCAST_GROUPS:
+    if counted_rows(brackets) <= BROADCAST_GROUPS:
         brackets = F.broadcast(brackets)
     same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
     on = same[0]

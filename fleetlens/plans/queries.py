@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from fleetlens.operators import labels as L
 from fleetlens.operators import series as S
-from fleetlens.sources.tables import DRIFT_SPLIT_TS, EVENT_SENSORS, event_series
+from fleetlens.sources.tables import DRIFT_SPLIT_TS, EVENT_SENSORS, event_series, longest_series
 
 R = 6
 
@@ -51,7 +51,7 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _family(spark, sf_dir, pick, **params) -> DataFrame:
     base = readings(spark, sf_dir)
-    feats = S.temporal_features(base, EVENT_SENSORS, cross=False, **params)
+    feats = S.temporal_features(base, EVENT_SENSORS, cross=False, longest=longest_series(spark, sf_dir), **params)
     return rounded(feats.select("unit_id", "cycle", *[c for c in feats.columns if pick(c)]))
 
 
@@ -117,12 +117,12 @@ def q_ffill_bfill(spark, sf_dir):
     base = readings(spark, sf_dir)
     lagged = S.temporal_features(base, EVENT_SENSORS, cross=False, **_params(lags=S.DEFAULT_LAGS))
     lag_cols = [c for c in lagged.columns if "_lag_" in c]
-    filled = S.fill_gaps(lagged.select("unit_id", "cycle", *lag_cols))
+    filled = S.fill_gaps(lagged.select("unit_id", "cycle", *lag_cols), longest=longest_series(spark, sf_dir))
     return rounded(filled)
 
 
 def q_feature_matrix(spark, sf_dir):
-    fm = S.feature_matrix(processed(spark, sf_dir), EVENT_SENSORS, numbered=True)
+    fm = S.feature_matrix(processed(spark, sf_dir), EVENT_SENSORS, numbered=True, longest=longest_series(spark, sf_dir))
     return rounded(fm)
 
 

@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -67,9 +67,10 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     files live in shared storage, so a lost executor costs a re-read, not a
     recomputation, and every later use sees exactly the same rows."""
     path = scratch_path(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._written_at = path
+    out._written_at, out._rows = path, seen.get["rows"]
     _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return out
 
@@ -77,6 +78,12 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 _written: dict[str, list[str]] = {}
 
 
+def counted_rows(df: DataFrame) -> int:
+    """Rows of a table; of one that :func:`materialize` wrote, as counted by the write."""
+    rows = getattr(df, "_rows", None)
+    return df.count() if rows is None else rows
+
+
 def discard_all(spark: SparkSession, keep: tuple[str, ...] = ("series", "leaderboard")) -> int:
     """Delete the tables that :func:`materialize` wrote in this application, but those of
     the labels ``keep``, which are read again; for the end of a run, when no result that

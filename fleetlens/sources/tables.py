@@ -40,6 +40,7 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SERIES_TABLES: dict[tuple, DataFrame] = {}
+_LONGEST: dict[tuple, int] = {}
 
 
 def table_version(spark: SparkSession, path: str) -> tuple:
@@ -66,6 +67,15 @@ def event_series(spark: SparkSession, sf_dir: str, reuse: bool = True) -> DataFr
     return out
 
 
+def longest_series(spark: SparkSession, sf_dir: str) -> int:
+    """The largest ``cycle`` of :func:`event_series`, looked up once per table."""
+    df = event_series(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, df._written_at)
+    if key not in _LONGEST:
+        _LONGEST[key] = df.agg(F.max("cycle")).first()[0] or 0
+    return _LONGEST[key]
+
+
 def lineitem_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select("l_orderkey", "l_linenumber", "l_shipdate", *[nan_to_null(F.col(c)).alias(c) for c in LINEITEM_FEATURES])
