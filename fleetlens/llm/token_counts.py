@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import blocks, documents, run_hashes, ship_package, trim, utf8_parts
+from fleetlens.llm.common import BLOCK_BYTES, blocks, documents, run_hashes, ship_package, trim, utf8_parts
 
 #: A document above this many tokens is over the limit.
 TOKEN_LIMIT = 2048
@@ -303,12 +303,15 @@ class TokenCounter:
 
     def count(self, column) -> np.ndarray:
         """Tokens of each text of an Arrow string column; NULL counts as empty."""
-        data, offs = utf8_parts(column)
-        out = np.zeros(len(offs) - 1, dtype=np.int64)
+        data, texts = utf8_parts(column)
+        out = np.zeros(len(texts) - 1, dtype=np.int64)
+        offs = cut_long(data, texts)
+        # the text of each part (that of an empty one does not matter)
+        owner = np.minimum(np.searchsorted(texts, offs[:-1], side="right") - 1, len(out) - 1)
         for i, j in blocks(offs):
             raw = data[offs[i] : offs[j]]
             size = np.diff(offs[i : j + 1])
-            out[i:j] = self._count_block(raw, size) if self.split else self._count_any(raw, size)
+            np.add.at(out, owner[i:j], self._count_block(raw, size) if self.split else self._count_any(raw, size))
         return out
 
     def _count_any(self, raw: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -389,6 +392,19 @@ class TokenCounter:
         return self.counts[at]
 
 
+def cut_long(data: np.ndarray, offs: np.ndarray, limit: int = BLOCK_BYTES) -> np.ndarray:
+    """Offsets with cuts inside texts of more than ``limit`` bytes, in front of a space or
+    line end behind a visible ASCII character: there no split part, special string or
+    composed character goes on, so the parts' tokens are the text's."""
+    more = []
+    for i in np.flatnonzero(np.diff(offs) > limit).tolist():
+        text = data[offs[i] : offs[i + 1]]
+        ends = np.flatnonzero(((text[1:] == 32) | (text[1:] == 10)) & (text[:-1] > 32) & (text[:-1] < 127)) + 1
+        at = np.searchsorted(ends, np.arange(limit, len(text), limit))
+        more.append(offs[i] + np.unique(ends[at[at < len(ends)]]))
+    return np.sort(np.concatenate([offs, *more]), kind="stable") if more else offs
+
+
 def _code_points(raw: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(code points, how many of them each text has) of UTF-8 texts below U+0300."""
     lead = (raw & 0xC0) != 0x80

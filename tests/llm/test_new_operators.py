@@ -41,6 +41,23 @@ def test_counts_equal_the_library(name):
     assert counter.count(pa.array(texts[::-1])).tolist() == want[::-1]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_long_texts_are_cut_where_no_token_goes_on(name):
+    import fleetlens.llm.token_counts as module
+
+    rng = random.Random(9)
+    signs = [*"ab é.'\n\u2003\t ", "<|endoftext|>", "  ", "'re", "\u0301", "word", "1"]
+    texts = ["", "".join(rng.choice(signs) for _ in range(3000)), None, "x" * 500, "".join(rng.choice(signs) for _ in range(2000)), ""]
+    data, offs = module.utf8_parts(pa.array(texts))
+    cuts = module.cut_long(data, offs, 100)
+    assert len(cuts) > len(offs) + 30
+    raw = data.tobytes()
+    parts = [raw[a:b].decode() for a, b in zip(cuts, cuts[1:])]
+    assert sum(library_counts(name, parts)) == sum(library_counts(name, texts))
+    whole = [texts[1] + "\n" + "some words " * 150_000, *texts]
+    assert TokenCounter(tokenizers.path(name)).count(pa.array(whole)).tolist() == library_counts(name, whole)
+
+
 def test_long_sequences_merge_as_short_ones(monkeypatch):
     import fleetlens.llm.token_counts as module
 
