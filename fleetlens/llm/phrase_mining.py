@@ -2,7 +2,7 @@
 
 The occurrences of a length are a relation of (place, item) in sorted runs: a place
 counts the words of a run of texts and leaves one out between pieces, so places sort by
-piece and position, and neighbours in a piece differ by one.  A run holds whole texts,
+piece and position, and neighbours in a piece differ by one.  A run holds whole pieces,
 so the merge join of a relation with itself, one place on, needs no shuffle.  Each
 round counts the joined groups, keeps those that are frequent, semi-joins the groups'
 occurrences to them and persists what is left as the next length's relation.  A
@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import LOWER, Scratch, blocks, byte_class, documents, mix, run_hashes, trim, utf8_parts
+from fleetlens.llm.common import BLOCK_BYTES, LOWER, Scratch, blocks, byte_class, documents, mix, run_hashes, trim, utf8_parts
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -80,12 +80,27 @@ def _keys(words: PieceWords, salts: np.ndarray) -> np.ndarray:
     return mix(words.hash ^ salts[words.row]).view(np.int64)
 
 
+def cut_long(data: np.ndarray, offs: np.ndarray, limit: int = BLOCK_BYTES) -> np.ndarray:
+    """Offsets with cuts inside texts of more than ``limit`` bytes, at signs that end a
+    piece, so no piece is parted."""
+    more = []
+    for i in np.flatnonzero(np.diff(offs) > limit).tolist():
+        ends = np.flatnonzero(_CUT[data[offs[i] : offs[i + 1]]])
+        at = np.searchsorted(ends, np.arange(limit, offs[i + 1] - offs[i], limit))
+        more.append(offs[i] + np.unique(ends[at[at < len(ends)]]))
+    return np.sort(np.concatenate([offs, *more]), kind="stable") if more else offs
+
+
 def _batch_blocks(batch):
     """(words, salts by row, languages by row) of blocks of a batch of (lang, salt, text)."""
-    data, offs = utf8_parts(batch.column(2))
-    salts = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    data, texts = utf8_parts(batch.column(2))
+    salts, langs = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64), batch.column(0)
+    offs = cut_long(data, texts)
+    if len(offs) > len(texts):
+        owner = np.minimum(np.searchsorted(texts, offs[:-1], side="right") - 1, len(salts) - 1)
+        salts, langs = salts[owner], langs.take(pa.array(owner))
     for i, j in blocks(offs):
-        yield PieceWords(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]), salts[i:j], batch.column(0).slice(i, j - i)
+        yield PieceWords(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]), salts[i:j], langs.slice(i, j - i)
 
 
 def _count_words(batches):

@@ -137,6 +137,29 @@ def test_phrases_equal_a_plain_count(spark, options):
     assert len(got) >= 8 and got == plain_phrases(rows, top=options.get("top", 2000))
 
 
+def test_pieces_of_long_texts_stay_whole():
+    import fleetlens.llm.phrase_mining as module
+
+    rng = random.Random(7)
+    texts = ["", "".join(rng.choice(["a ", "b", "É. ", "c, ", "\n", "dd "]) for _ in range(900)), None, "x y " * 200, "z. " * 100, ""]
+    langs, salts = pa.array(list("abcdef")), pa.array(range(6), pa.int64())
+
+    def found(limit):
+        module.cut_long.__defaults__ = (limit,)
+        batch = pa.RecordBatch.from_arrays([langs, salts, pa.array(texts)], names=["lang", "salt", "text"])
+        out = []
+        for words, salt, lang in module._batch_blocks(batch):
+            new = np.append(True, words.piece[1:] != words.piece[:-1])
+            out += zip(words.hash.tolist(), words.pos.tolist(), new.tolist(), salt[words.row].tolist(), lang.take(pa.array(words.row)).to_pylist())
+        return out
+
+    whole = module.cut_long.__defaults__
+    try:
+        assert found(50) == found(1 << 20) and len(found(50)) > 500
+    finally:
+        module.cut_long.__defaults__ = whole
+
+
 def test_no_phrases_without_words(spark):
     docs = spark.createDataFrame([(1, None, "en"), (2, "", None), (3, "one", "en")], "doc_id long, text string, lang string")
     assert mine_phrases(docs).count() == 0 and mine_phrases(docs.where("false")).count() == 0
