@@ -87,8 +87,9 @@ def ranked_values(baseline_long: DataFrame, current_long: DataFrame, buckets: in
     distinct = _both_sides(baseline_long, current_long).groupBy("feature", "value").agg(F.sum("cb").alias("cb"), F.sum("cc").alias("cc"))
     distinct = materialize(distinct, "drift-values")
     counts = sample_sizes(distinct)
-    # features that cannot be compared leave with the join to their counts
     run = prefix_sums(distinct, ["feature"], "value", ["cb", "cc"], buckets=buckets)
+    # as in `counts`
+    run = run.where((F.col("tot_cb") > 0) & (F.col("tot_cc") >= MIN_CURRENT_VALUES))
     both = [(F.col(f"{p}cb") + F.col(f"{p}cc")).alias(f"{p}ca") for p in ("", "cum_", "tot_")]
     return materialize(run.select("*", *both), "drift-ranks"), counts
 

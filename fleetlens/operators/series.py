@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.columns import (
@@ -727,14 +727,13 @@ def feature_matrix(
         # the fill reads the features twice (per-segment edges + the rows).
         # Recomputing means running every window function twice (the costliest
         # per-row work here); writing once to the checkpoint folder costs one
-        # shuffle of the wide rows instead, and also cuts the lineage.  The write also
-        # counts: columns without a gap are not filled, and where every unit ends in
-        # its first segment nothing is carried.
-        seen = Observation()
+        # shuffle of the wide rows instead, and also cuts the lineage.  One aggregate
+        # of the stored columns finds those without a gap, which are not filled, and
+        # whether every unit ends in its first segment, where nothing is carried.
+        feats = materialize(feats, "features")
         some = [c for c in feats.columns if c not in (unit, cycle, _SEG)]
         counts = [F.count_if(F.col(_q(c)).isNull()).alias(f"_{i}") for i, c in enumerate(some)]
-        feats = materialize(feats.observe(seen, F.max(_SEG).alias("_last"), *counts), "features")
-        got = seen.get
+        got = feats.agg(F.max(_SEG).alias("_last"), *counts).first()
         gaps = [c for i, c in enumerate(some) if got[f"_{i}"]]
         longest = 1 if got["_last"] in (None, 0) else None
     if fill != "none" and gaps != []:

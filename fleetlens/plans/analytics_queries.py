@@ -211,6 +211,19 @@ def q_batch_counts(spark, sf_dir):
     return SC.batch_response(_predictions(spark, sf_dir))
 
 
+def q_youden_decisions(spark, sf_dir):
+    """R3 at the threshold that Youden's index picks."""
+    s = scored(spark, sf_dir)
+    return rounded(SC.score_units(s, "score", rul_pred="y_pred", threshold=SC.decision_threshold(s, "youden")))
+
+
+def q_batch_results(spark, sf_dir):
+    """The responses of batches of 40 units, a row for each result."""
+    p = _predictions(spark, sf_dir).withColumn("batch_id", F.floor(F.col("unit_id") / 40))
+    out = SC.batch_results(p).select("*", F.posexplode("results").alias("place", "r")).drop("results")
+    return rounded(out.select(*[c for c in out.columns if c != "r"], "r.*"))
+
+
 # ── payload ingest ─────────────────────────────────────────────────────────
 
 
@@ -445,6 +458,8 @@ REGISTRY = {
     "true_state": q_true_state,
     "fleet_summary": q_fleet_summary,
     "batch_counts": q_batch_counts,
+    "batch_results": q_batch_results,
+    "youden_decisions": q_youden_decisions,
     "payload_flatten": q_payload_flatten,
     "payload_quarantine": q_payload_quarantine,
     "accuracy_monitor": q_accuracy_monitor,

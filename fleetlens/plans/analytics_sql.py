@@ -422,6 +422,29 @@ def q_last_n_mean() -> str:
     )
 
 
+def q_youden_decisions() -> str:
+    pred = _pred_cte().replace("p >= 0.5 AS failure_predicted", "p >= (SELECT t FROM cut) AS failure_predicted").replace("abs(p - 0.5)", "abs(p - (SELECT t FROM cut))")
+    cut = ",\nj AS (SELECT s, CAST(cp AS DOUBLE) / tp_all - CAST(cn AS DOUBLE) / tn_all AS j FROM run),\ncut AS (SELECT s AS t FROM j ORDER BY j DESC, s DESC LIMIT 1)"
+    return (
+        f"WITH {SERIES_CTE}{LABELS_CTE}{SCORED_CTE}{SCORE_COUNTS}{DESC_RUN}{cut}{pred}\n"
+        f"SELECT unit_id, {rd('failure_probability')} AS failure_probability, failure_predicted, risk_level,\n"
+        f"       {rd('rul_estimate')} AS rul_estimate, {rd('confidence_margin')} AS confidence_margin,\n"
+        f"       {_message_case('risk_level')} AS message FROM pred"
+    )
+
+
+def q_batch_results() -> str:
+    counts = ", ".join(f"count(*) FILTER (WHERE risk_level = '{n}') OVER b AS {n.lower()}_count" for n in RISK_LEVELS)
+    return (
+        f"WITH {SERIES_CTE}{LABELS_CTE}{SCORED_CTE}{_pred_cte()}\n"
+        f"SELECT unit_id // 40 AS batch_id, count(*) OVER b AS total_engines, {counts},\n"
+        f"       CAST(row_number() OVER (PARTITION BY unit_id // 40 ORDER BY unit_id) - 1 AS INTEGER) AS place, unit_id,\n"
+        f"       {rd('failure_probability')} AS failure_probability, failure_predicted, risk_level,\n"
+        f"       {rd('rul_estimate')} AS rul_estimate, {rd('confidence_margin')} AS confidence_margin,\n"
+        f"       {_message_case('risk_level')} AS message FROM pred WINDOW b AS (PARTITION BY unit_id // 40)"
+    )
+
+
 def q_true_state() -> str:
     return with_processed(
         "SELECT unit_id, last_rul, CASE WHEN last_rul < 10 THEN 'CRITICAL' WHEN last_rul < 30 THEN 'WARNING'\n"
@@ -521,6 +544,8 @@ ORACLES = {
     "true_state": q_true_state,
     "fleet_summary": q_fleet_summary,
     "batch_counts": q_batch_counts,
+    "batch_results": q_batch_results,
+    "youden_decisions": q_youden_decisions,
     "payload_flatten": q_payload_flatten,
     "payload_quarantine": q_payload_quarantine,
     "accuracy_monitor": q_accuracy_monitor,
