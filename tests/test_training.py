@@ -51,3 +51,48 @@ def test_regressor_leaderboard_and_weights(spark):
     assert abs(w[1] - len(y) / (2 * (y == 1).sum())) < 1e-12
     blocks = TR.fold_blocks(df, "unit_id", 4).groupBy("_block").count().collect()
     assert sorted(r["_block"] for r in blocks) == [0, 1, 2, 3, 4]
+
+
+def test_folds_fit_beside_each_other_on_rows_read_once(spark, monkeypatch):
+    import threading
+
+    df, running, most, lock = _binary(spark, 200), set(), [], threading.Lock()
+    meet = threading.Barrier(2, timeout=120)
+    fit = TR._fit
+
+    def watched(spec, label, rows, n_rows):
+        assert rows.columns[:3] == ["failure_label", "_block", "features"] and rows.count() == n_rows
+        with lock:
+            running.add(threading.get_ident())
+            most.append(len(running))
+        meet.wait()  # a fit alone would wait in vain
+        model = fit(spec, label, rows, n_rows)
+        with lock:
+            running.discard(threading.get_ident())
+        return model
+
+    spec = TR.classifier_specs(0.01)[3:]
+    monkeypatch.setattr(TR, "_fit", watched)
+    beside = TR.leaderboard(spark, df, spec, "failure_label", features=FEATS, folds=2, order="unit_id", parallel=2).collect()
+    assert max(most) == 2 and len(most) == 2
+    assert [r["name"] for r in beside] == ["gradient_boosting"] and 0.5 < beside[0]["roc_auc"] <= 1.0 and beside[0]["time_s"] > 0
+
+
+def test_featured_rows_are_built_once_until_the_table_changes(spark, tmp_path, monkeypatch):
+    from fleetlens.operators import series as S
+    from fleetlens.plans import analytics_queries as Q
+
+    def write(rows):
+        spark.sql(
+            f"select id as event_id, timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, id) as ts, id % 3 as user_id, 'error' as event_type, "
+            f"double(id % 7) as value, concat('{{\"k\":', id % 5, '}}') as props from range({rows})"
+        ).write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+
+    built, build = [], S.feature_matrix
+    monkeypatch.setattr(S, "feature_matrix", lambda *a, **k: built.append(1) or build(*a, **k))
+    write(90)
+    first = Q._featured(spark, str(tmp_path))
+    assert Q._featured(spark, str(tmp_path)) is first and len(built) == 1
+    n = first.count()
+    write(120)
+    assert Q._featured(spark, str(tmp_path)).count() == n + 30 and len(built) == 2
