@@ -465,6 +465,7 @@ def temporal_features(
     ewma_state: DataFrame | None = None,
     keep_state: bool = False,
     longest: int | None = None,
+    keep_key: bool = False,
 ) -> DataFrame:
     """Every feature family in one pass over ``(unit, segment)`` windows.
 
@@ -482,7 +483,8 @@ def temporal_features(
     (``_s0``, ``_s1``, ... by sensor and span, beside the unit).
 
     ``longest`` is the largest ``cycle``, if it is known: where it lies in a unit's first
-    segment nothing is carried between segments.
+    segment nothing is carried between segments.  ``keep_segment`` and ``keep_key`` leave
+    the keys SEG and KEY, by which the rows are dealt, for windows that follow.
     """
     sensors = list(sensor_columns(df) if sensors is None else sensors)
     if entropy_sensors is None:
@@ -505,7 +507,7 @@ def temporal_features(
         )
         rest = temporal_features(
             weighted, sensors, windows=windows, stats=stats, lags=lags, diffs=diffs, spans=(), trend_window=trend_window,
-            entropy_sensors=entropy_sensors, entropy_window=entropy_window, cross=cross, keep_segment=keep_segment, context=context, **shared
+            entropy_sensors=entropy_sensors, entropy_window=entropy_window, cross=cross, keep_segment=keep_segment, context=context, keep_key=keep_key, **shared
         )
         means = [c for c in weighted.columns if c not in df.columns]
         other = [c for c in rest.columns if c not in weighted.columns]
@@ -537,18 +539,22 @@ def temporal_features(
 
     # an input that a join has left hashed by the unit alone would satisfy the windows:
     # deal it by (unit, segment), so that a hot unit is split
-    staged = seg.repartition(_KEY, _SEG).selectExpr(
-        *[_q(c) for c in base_cols], _q(_KEY), _q(_SEG), _q(_OWN), *[f"{e} AS {_q(n)}" for n, e in fams + ewma_local + slope + ent]
+    dealt = seg.repartition(_KEY, _SEG)
+    carried = bool(ewma_local) and (longest is None or longest > size or ewma_state is not None)
+    carries: list[str] = []
+    if carried:
+        # joined in front of the windows, where rows are narrow and sorted for them anyway
+        if ewma_state is not None:
+            ewma_state = ewma_state.withColumn(_KEY, F.struct(unit))
+        carry = _ewma_carry(seg, cycle, sensors, spans, size, ewma_state)
+        carries = [c for c in carry.columns if c not in (_KEY, _SEG)]
+        dealt = dealt.join(carry, [_KEY, _SEG], "left")
+    staged = dealt.selectExpr(
+        *[_q(c) for c in (*base_cols, _KEY, _SEG, _OWN, *carries)], *[f"{e} AS {_q(n)}" for n, e in fams + ewma_local + slope + ent]
     ).where(F.col(_OWN))
     ewm_names: list[str] = []
     state_names: list[str] = []
     if ewma_local:
-        if ewma_state is not None:
-            ewma_state = ewma_state.withColumn(_KEY, F.struct(unit))
-        carried = longest is None or longest > size or ewma_state is not None
-        if carried:
-            carry = _ewma_carry(seg, cycle, sensors, spans, size, ewma_state)
-            staged = staged.join(carry, [_KEY, _SEG], "left")
         means, state = _ewma_finish(sensors, spans, size, carried)
         ewm_names = [n for n, _ in means]
         state_names = [n for n, _ in state] if keep_state else []
@@ -561,6 +567,8 @@ def temporal_features(
     )
     if keep_segment:
         ordered = ordered + [_SEG]
+    if keep_key:
+        ordered = ordered + [_KEY]
     ordered = ordered + state_names
     ent_names = [f"{s}_entropy_{entropy_window}" for s in entropy_sensors]
     staged = _entropy_stages(staged, list(entropy_sensors), entropy_window, ordered)
@@ -688,6 +696,48 @@ def fill_gaps(
     return joined.select(*base_cols)
 
 
+def fill_inside(df: DataFrame, columns: Sequence[str], *, cycle: str = "cycle", direction: str = "both", initial: str | None = None, end: str | None = None) -> DataFrame:
+    """The part of :func:`fill_gaps` that lies inside segments, of rows that
+    :func:`temporal_features` has dealt by KEY and SEG: same windows' order, no exchange.
+
+    It is the whole fill where every unit lies in one segment; else
+    :func:`carry_forward` ends a forward fill.  ``initial`` names a struct column that
+    holds, on a unit's first row here, the last non-null values before it.  ``end`` names
+    a flag to add: the last row of its unit and segment."""
+    nullable = {f.name for f in df.schema.fields if f.nullable}
+    known = {f.name for f in df.schema[initial].dataType.fields} if initial else set()
+    sp = _Spec(_KEY, cycle)
+    out = []
+    for c in df.columns:
+        if c not in columns or c not in nullable:
+            if c != initial:
+                out.append(_q(c))
+            continue
+        first = f"COALESCE({_q(c)}, {_q(initial)}.{_q(c)})" if c in known else _q(c)
+        e = f"COALESCE({_q(c)}, last({first}, true) OVER {sp.prefix()}"
+        if direction == "both":
+            e += f", first({_q(c)}, true) OVER {sp.whole()}"
+        out.append(f"{e}) AS {_q(c)}")
+    if end:
+        out.append(f"lead({_q(cycle)}) OVER {sp.ordered()} IS NULL AS {_q(end)}")
+    return df.selectExpr(*out)
+
+
+def carry_forward(df: DataFrame, columns: Sequence[str], *, unit: str = "unit_id", end: str) -> DataFrame:
+    """Ends a forward fill that :func:`fill_inside` has made inside segments: what is
+    still empty takes the last value of the unit's earlier segments here.  ``df`` is
+    stored and holds SEG and the flag ``end``; only units in several segments are carried."""
+    tagged = df.withColumn(_KEY, F.struct(unit))
+    ends = tagged.where(F.col(end))
+    several = ends.groupBy(_KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(_KEY)
+    if several.isEmpty():
+        return df
+    edges = ends.join(several, _KEY, "left_semi").select(_KEY, _SEG, *[F.col(_q(c)).alias(f"_l{i}") for i, c in enumerate(columns)])
+    carry = _segment_carry(edges, _KEY, len(columns), False)
+    at = {c: i for i, c in enumerate(columns)}
+    return tagged.join(carry, [_KEY, _SEG], "left").selectExpr(*[f"COALESCE({_q(c)}, `_pl{at[c]}`) AS {_q(c)}" if c in at else _q(c) for c in df.columns])
+
+
 def feature_matrix(
     df: DataFrame,
     sensors: Sequence[str] | None = None,

@@ -22,7 +22,10 @@ def round_half_away(c, digits: int = R):
     arithmetic as the SQL oracle's ROUND, so both engines agree on ties; + 0.0
     maps -0.0 to 0.0."""
     scale = float(10**digits)
-    return F.round(c * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
+    x = c * F.lit(scale)
+    # F.round goes through decimal text; ties are exact in a double, so rint needs help there only
+    whole = F.when(F.abs(x - F.rint(x)) == F.lit(0.5), x + F.signum(x) * F.lit(0.5)).otherwise(F.rint(x))
+    return whole / F.lit(scale) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, digits: int = R) -> DataFrame:

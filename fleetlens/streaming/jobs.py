@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +30,8 @@ from fleetlens.session import discard, materialize
 from fleetlens.streaming.state import StateTable, read_version, versions, write_version
 
 AVAILABLE_NOW = {"availableNow": True}
+#: Cycles of a unit that share a join key when its last rows are picked.
+RUN_ROWS = 4096
 
 
 def latest_per_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -204,33 +206,58 @@ class ScoringJob:
     def _score(self, ready: DataFrame, state: DataFrame | None, batch_id: int) -> None:
         unit, cycle, sensors = self.unit, self.cycle, self.sensors
         ranked = S.assign_cycle(ready, unit, self.order, cycle="_rank")
-        rows = ranked.select(unit, (F.coalesce("last_cycle", F.lit(0)) + F.col("_rank")).cast("long").alias(cycle), *self.order, *sensors)
-        context = ewma_state = before = None
+        number = (F.coalesce("last_cycle", F.lit(0)) + F.col("_rank")).cast("long").alias(cycle)
+        rows = ranked.select(unit, number, *self.order, *sensors)
+        numbered = ranked.select(unit, number, *self.order, *sensors, "_rank")
+        context = ewma_state = longest = None
         spans = self.params.get("spans", S.DEFAULT_SPANS)
         states = [f"_s{i}" for i in range(len(sensors) * len(spans))]
+        given = numbered.drop("_rank")
         if state is not None:
             context = state.select(unit, F.explode("tail").alias("_t")).select(unit, "_t.*")
             ewma_state = state.select(unit, "ewma.*") if states else None
-            before = state.select(unit, "filled.*")
-        feats = S.temporal_features(rows, sensors, unit=unit, cycle=cycle, cross=False, context=context, ewma_state=ewma_state, keep_state=bool(states), **self.params)
-        fill = [c for c in feats.columns if c not in (unit, cycle, *self.order, *states)]
-        filled = materialize(S.fill_gaps(feats, fill, unit=unit, cycle=cycle, direction="forward", initial=before), "stream-features")
-        write_version(self.scorer(filled.drop(*states)), self.out_path, batch_id)
-
+            # the last values before a unit's first row here go with that row
+            before = state.select(F.struct(unit).alias("_key"), F.col("filled").alias("_before"))
+            first = numbered.where("_rank = 1").drop("_rank").withColumn("_key", F.struct(unit)).join(before, "_key", "left").drop("_key")
+            given = numbered.where("_rank > 1").drop("_rank").unionByName(first, allowMissingColumns=True)
+        else:
+            longest = rows.agg(F.max(cycle)).first()[0] or 0
+        feats = S.temporal_features(
+            given, sensors, unit=unit, cycle=cycle, cross=False, context=context, ewma_state=ewma_state, keep_state=bool(states), longest=longest,
+            keep_segment=True, keep_key=True, **self.params
+        )
+        fill = [c for c in feats.columns if c not in (unit, cycle, *self.order, *states, S.SEG, S.KEY, "_before")]
+        # filled by the windows' own order and written once; the rest is carried
+        inside = S.fill_inside(feats, fill, cycle=cycle, direction="forward", initial="_before" if state is not None else None, end="_end")
+        stored = materialize(inside.drop(S.KEY), "stream-features", dictionary=False)
+        filled = S.carry_forward(stored, fill, unit=unit, end="_end")
+        write_version(self.scorer(filled.drop(*states, S.SEG, "_end")), self.out_path, batch_id)
+
+        # a unit's last row is the last one of a segment: few rows, no sort of all
+        ends = filled.where("_end").withColumn("_key", F.struct(unit))
+        latest = materialize(ends.groupBy("_key").agg(F.max(cycle).alias("last_cycle")), "stream-ends")
         parts = {"last_order": F.struct(*self.order), "filled": F.struct(*fill)}
         if states:
             parts["ewma"] = F.struct(*states)
-        key = F.struct(unit).alias("_key")
-        last = filled.groupBy(key).agg(F.max(cycle).alias("last_cycle"), F.max_by(F.struct(*[v.alias(k) for k, v in parts.items()]), cycle).alias("_v"))
+        last = ends.join(latest, "_key").where(F.col(cycle) == F.col("last_cycle")).select("_key", "last_cycle", *[v.alias(k) for k, v in parts.items()])
         raw = rows.select(unit, cycle, *sensors)
         if context is not None:
             raw = raw.unionByName(context.select(unit, cycle, *sensors))
-        kept = S.last_n(raw, max(self.need, 1), unit=unit, cycle=cycle)
-        # at most `need` rows a unit
-        tail = kept.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(cycle, *sensors))).alias("tail"))
-        fresh = last.join(tail, "_key").select(f"_key.{unit}", "last_cycle", "_v.*", "tail")
+        # at most `need` rows a unit; numbers have no gaps, so the last ones are known
+        need = max(self.need, 1)
+        runs = F.explode(F.sequence(_run(F.col("last_cycle") - F.lit(need - 1)), _run(F.col("last_cycle")))).alias("_run")
+        near = raw.withColumn("_key", F.struct(unit)).withColumn("_run", _run(F.col(cycle))).join(latest.select("_key", "last_cycle", runs), ["_key", "_run"])
+        kept = near.where(F.col(cycle) > F.col("last_cycle") - F.lit(need))
+        tail = kept.groupBy("_key").agg(F.sort_array(F.collect_list(F.struct(cycle, *sensors))).alias("tail"))
+        fresh = last.join(tail, "_key").select(f"_key.{unit}", "last_cycle", *parts, "tail")
         self.units.upsert(fresh, batch_id)
-        discard(filled)
+        for used in (stored, latest):
+            discard(used)
+
+
+def _run(cycle: Column) -> Column:
+    """The run of RUN_ROWS cycles that a row lies in: a join key no hot unit fills."""
+    return F.floor(cycle / F.lit(RUN_ROWS)).cast("long")
 
 
 def start_scoring(

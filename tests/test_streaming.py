@@ -65,3 +65,42 @@ def test_accuracy_stream_drops_nothing_on_time(spark):
     J.start_accuracy(stream, f"{run}/o", f"{run}/c").awaitTermination()
     got = {r["window_start"].day: (r["n"], r["accuracy"]) for r in J.latest_per_key(spark, f"{run}/o", ["window_start", "window_end"]).collect()}
     assert got == {1: (24, 1.0), 2: (24, 0.0)}
+
+
+def test_batches_over_several_segments_build_features_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # unit 2 reports a value now and then, unit 3 none, and one series has no unit
+    seen = {1: 1.0, 2: 0.04, 3: 0.0, None: 0.5}
+    rows = [(u, t, float(rng.normal(10, 2)) if rng.random() < share else None) for u, share in seen.items() for t in range(170) if u != 3 or t > 100]
+    df = spark.createDataFrame(rows, "unit_id long, t int, value double")
+    params = dict(PARAMS, lags=(1,), seg_rows=16)
+    plans, write = [], J.materialize
+
+    def watched(table, label, *args, **options):
+        if label == "stream-features":
+            plans.append(table._jdf.queryExecution().toString())
+        return write(table, label, *args, **options)
+
+    monkeypatch.setattr(J, "materialize", watched)
+    run = tempfile.mkdtemp(prefix="fleetlens-stream-run-")
+    job = J.ScoringJob(spark, ["value"], _keep, f"{run}/s", f"{run}/o", order=("t",), feature_params=params, compact_every=2)
+    for i, (lo, hi) in enumerate(((0, 70), (70, 75), (75, 170))):
+        job.process(df.where((F.col("t") >= lo) & (F.col("t") < hi)), i)
+    # the windows run once a batch, over rows dealt once
+    assert [p.split("== Physical Plan ==")[1].count("REPARTITION_BY_COL") for p in plans] == [1, 1, 1]
+
+    got = spark.read.parquet(f"{run}/o").drop("batch_id").toPandas().sort_values(["unit_id", "cycle"]).reset_index(drop=True)
+    series = S.assign_cycle(df, "unit_id", ["t"])
+    feats = S.temporal_features(series, ["value"], cross=False, **params)
+    made = [c for c in feats.columns if c not in ("unit_id", "t", "cycle")]
+    exp = S.fill_gaps(feats, made, direction="forward").toPandas().sort_values(["unit_id", "cycle"]).reset_index(drop=True)
+    assert len(got) == len(exp) == len(rows)
+    for c in exp.columns:
+        np.testing.assert_allclose(got[c].to_numpy(float), exp[c].to_numpy(float), atol=1e-9, err_msg=c)
+    state = {r.unit_id: r for r in job.units.read(3).collect()}
+    for unit in seen:
+        mine = exp[exp.unit_id.isna() if unit is None else exp.unit_id == unit]
+        assert state[unit].last_cycle == len(mine)
+        assert [x.cycle for x in state[unit].tail] == list(range(len(mine) - job.need + 1, len(mine) + 1))
+        last = mine.iloc[-1]
+        np.testing.assert_allclose([np.nan if state[unit].filled[c] is None else state[unit].filled[c] for c in made], last[made].to_numpy(float), atol=1e-9)
