@@ -28,14 +28,16 @@ def short_requests(readings: DataFrame, min_readings: int = MIN_READINGS) -> Dat
 
 def _request_features(readings: DataFrame, scaler_params, sensors: Sequence[str], min_readings: int, feature_params: dict) -> tuple[DataFrame, DataFrame]:
     """(features of the accepted requests with their request_id, refused requests)."""
+    # parsed once: the sizes, the numbering's splitters and its rows read them
+    readings = materialize(readings, "check-readings")
     short = short_requests(readings, min_readings)
     ok = readings.join(short.select("request_id"), "request_id", "left_anti")
     ordered = order_readings(ok)
     series = ordered.withColumn("series_id", F.concat_ws("|", F.col("request_id").cast("string"), F.col("unit_id").cast("string")))
     scaled = L.apply_scaler(series.select("series_id", "request_id", "cycle", *sensors), scaler_params)
-    fm = S.feature_matrix(L.placeholder_labels(scaled), list(sensors), unit="series_id", cycle="cycle", numbered=True, **feature_params)
+    fm = S.feature_matrix(L.placeholder_labels(scaled), list(sensors), unit="series_id", cycle="cycle", numbered=True, once=True, **feature_params)
     # read several times (edges, ranks, counts): write once
-    return materialize(fm, "check-features"), short
+    return materialize(fm, "check-features", dictionary=False), short
 
 
 _NOT_FEATURES = ("series_id", "request_id", "cycle", "rul", "failure_label")

@@ -256,3 +256,34 @@ def test_hot_unit_is_dealt_by_segment_under_the_windows(spark):
         assert rows == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_units_of_one_segment_are_filled_by_the_feature_windows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(u, i + 1, float(rng.normal()) if rng.random() < 0.4 else None) for u in (1, 2, None) for i in range(60)]
+    df = spark.createDataFrame(rows, "unit_id int, cycle int, x double")
+    params = dict(windows=(5,), lags=(2,), diffs=(1,), spans=(5,), trend_window=None, entropy_sensors=[], cross=False)
+    plans, write = [], S.materialize
+
+    def watched(table, label="stage", *args, **options):
+        if label == "features":
+            plans.append(table._jdf.queryExecution().toString().split("== Physical Plan ==")[1])
+        return write(table, label, *args, **options)
+
+    monkeypatch.setattr(S, "materialize", watched)
+    read = lambda d: {(r.unit_id, r.cycle): r.asDict() for r in d.collect()}
+    got = S.feature_matrix(df, ["x"], numbered=True, drop_incomplete=False, **params)
+    # stored filled: reading it needs no further exchange
+    assert "Exchange" not in got._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plans[0].count("REPARTITION_BY_COL") == 1
+    # the same rows as from many segments, and as from the two steps
+    short = S.feature_matrix(df, ["x"], numbered=True, drop_incomplete=False, seg_rows=16, **params)
+    steps = S.fill_gaps(S.temporal_features(df, ["x"], **params))
+    one, many, two = read(got), read(short), read(steps)
+    assert len(one) == len(rows) and one.keys() == many.keys() == two.keys()
+    for key, row in one.items():
+        assert list(row) == list(many[key]) == list(two[key])
+        for c, v in row.items():
+            for other in (many[key][c], two[key][c]):
+                assert v == other or abs(v - other) < 1e-9, (key, c)
+    assert read(S.feature_matrix(df, ["x"], numbered=True, once=True, **params)).keys() == {k for k, r in one.items() if None not in [v for c, v in r.items() if c != "unit_id"] and r["unit_id"] is not None}
