@@ -146,7 +146,7 @@ class SentencePieceTokenizer:
         # chunks (spaces, then other signs) are encoded apart, each different one once.
         self.by_chunk = self.model.kind == BPE and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
         self.plain = self.by_chunk and self.rules is None and not self.model.trim and self.model.dummy_prefix
-        self.cache = ChunkCache(_space_runs, lambda chunks: [x.tolist() for x in self._library([c.replace(" ", SPACE) for c in chunks])])
+        self.cache = ChunkCache(chunk_starts(self.model), lambda chunks: self._library([c.replace(" ", SPACE) for c in chunks]))
         self.bytes = [bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode() if k in (NORMAL, USER_DEFINED) else b"" for p, _, k in self.model.pieces]
         self.bytes[self.model.unk_id] = " ⁇ ".encode()
 
@@ -162,16 +162,16 @@ class SentencePieceTokenizer:
             text = " " + text
         return text.replace(" ", SPACE)
 
-    def _library(self, texts: list[str]) -> list[np.ndarray]:
+    def _library(self, texts: list[str]) -> list[list[int]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
-        got = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        got = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         return got
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         texts = [self.normalise(t) for t in texts]
         if not self.by_chunk:
-            return self._library(texts)
+            return [np.array(ids, dtype=np.uint32) for ids in self._library(texts)]
         data, offs = utf8_parts(pa.array([t.replace(SPACE, " ") for t in texts], pa.large_string()))
         return [ids for i, j in blocks(offs) for ids in self.cache.encode(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])]
 
@@ -202,15 +202,47 @@ def _space_runs(text: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.flatnonzero(first)
 
 
+def chunk_starts(model: Model):
+    """How a block of texts is cut into chunks.  Where every unknown sign falls back to its
+    bytes, a merge can only cross two neighbours that stand side by side in a piece: texts
+    are cut between all others (as byte pairs, which rules out some more cuts).  Else
+    neighbouring unknown signs are one id, and texts are cut at runs of spaces alone."""
+    if not model.byte_fallback or sum(k == BYTE for _, _, k in model.pieces) < 256:
+        return _space_runs
+    joined = np.zeros((256, 256), dtype=bool)
+    joined[:, 0x80:0xC0] = True  # inside a sign
+    joined[0x20, 0x20] = True
+    for a, b in {ab for p, _, k in model.pieces if k in (NORMAL, USER_DEFINED, UNUSED) for ab in zip(p, p[1:])}:
+        # "▁" stands for a space, and for itself where a text holds it
+        for x in (" ", SPACE) if a == SPACE else a:
+            for y in (" ", SPACE) if b == SPACE else b:
+                joined[x.encode()[-1], y.encode()[0]] = True
+    apart = ~joined.ravel()
+
+    def starts(text: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        first = np.zeros(len(text), dtype=bool)
+        first[1:] = apart[text[:-1].astype(np.uint16) << 8 | text[1:]]
+        first[edges] = True
+        return np.flatnonzero(first)
+
+    return starts
+
+
 _loaded: dict[int, SentencePieceTokenizer] = {}
 
 
+def tokenizer(data: bytes, threads: int) -> SentencePieceTokenizer:
+    """One tokenizer per Python worker, so its cache lives across tasks.  (A task's own
+    function is sent with copies of the globals it names; this one is imported.)"""
+    if hash(data) not in _loaded:
+        _loaded[hash(data)] = SentencePieceTokenizer(data, threads)
+    return _loaded[hash(data)]
+
+
 def _rows(model, threads: int, verify: bool):
     def run(batches):
         data = model.value
-        if hash(data) not in _loaded:
-            _loaded[hash(data)] = SentencePieceTokenizer(data, threads)
-        tok = _loaded[hash(data)]
+        tok = tokenizer(data, threads)
         if verify:
             import sentencepiece
 

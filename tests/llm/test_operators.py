@@ -3,11 +3,15 @@ import random
 import re
 import struct
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from fleetlens.llm import sp_tokenizer
 from fleetlens.llm.common import Scratch
 from fleetlens.llm.components import components
 from fleetlens.llm.embedding_dedup import near_vectors
@@ -236,6 +240,47 @@ def test_sentencepiece_parity(spark, kind):
         assert len(rows) == len(ODD) and all(r.parity and r.round_trip for r in rows if r.doc_id != 3)
 
 
+def bpe_model(byte_fallback):
+    """A hand-written BPE model whose pieces cross signs, as a protobuf."""
+    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256) if byte_fallback]
+    pieces += [(p, -float(i), 1) for i, p in enumerate(("a.", "a.b", "▁a", "▁▁", "é,", "日本", "bb", "▁", "a", "b", ".", ",", "é", "日", "本"))]
+    body = b"".join(_field(1, _field(1, p.encode()) + bytes([2 << 3 | 5]) + struct.pack("<f", s) + bytes([3 << 3, k])) for p, s, k in pieces)
+    trainer = bytes([3 << 3, 2]) + bytes([(35 << 3 | 0) & 127 | 128, 35 << 3 >> 7, int(byte_fallback)])
+    return body + _field(2, trainer) + _field(3, bytes([3 << 3, 1, 4 << 3, 0, 5 << 3, 1]))
+
+
+@pytest.mark.parametrize("kind", ["file", "fallback", "unknown"])
+def test_sentencepiece_cuts_keep_the_ids(kind):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model = open(tokenizers.path("piece_bpe_32k.model"), "rb").read() if kind == "file" else bpe_model(kind == "fallback")
+    own, other = SentencePieceTokenizer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    rng = random.Random(7)
+    signs = ["a", "b", "the", "Été", "é", ".", ",", "...", '."', " ", "  ", "\n", "\r\r", "\t", "▁", "日", "本", "語", "🙂", "\u00a0", "0", "<0x0A>", "()"]
+    texts = ["", "\n", "\n\n", "a.b", "a. b", "▁▁ ▁a", "é,日本"] + ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(300)]
+    assert [x.tolist() for x in own.encode(texts)] == other.encode(texts)
+    if kind != "unknown":
+        assert [x.tolist() for x in own.encode_column(pa.array(texts))] == other.encode(texts)
+
+
+def test_sentencepiece_learns_words_apart_from_signs():
+    own = SentencePieceTokenizer(open(tokenizers.path("piece_bpe_32k.model"), "rb").read())
+    own.encode(["word other.\nword,\nother!\n;"])
+    known = len(own.cache.keys)
+    own.encode(["other.\nword! word,", "word;\n\nother, other!", "word\nother.\n"])
+    assert len(own.cache.keys) == known
+
+
+def test_sentencepiece_tokenizer_is_kept_across_tasks():
+    model = bpe_model(True)
+    sent = cloudpickle.dumps(sp_tokenizer._rows(SimpleNamespace(value=model), 1, False))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["a.b b", None]})
+    kept = []
+    for _ in range(2):  # each task unpickles its function anew
+        assert sum(b.num_rows for b in cloudpickle.loads(sent)([batch])) == 2
+        kept.append(sp_tokenizer._loaded[hash(model)])
+    assert kept[0] is kept[1]
+
+
 def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     import corpus_pipeline
 
