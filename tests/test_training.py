@@ -96,3 +96,28 @@ def test_featured_rows_are_built_once_until_the_table_changes(spark, tmp_path, m
     n = first.count()
     write(120)
     assert Q._featured(spark, str(tmp_path)).count() == n + 30 and len(built) == 2
+
+
+def test_registered_queries_fit_the_references_models_in_full(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from fleetlens.plans import analytics_queries as Q
+
+    df = _binary(spark, 100).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    seen = []
+
+    def ranked(spark, df, specs, label, *, features, folds, order):
+        seen.extend(specs)
+        return spark.createDataFrame([(s.name, i + 1) for i, s in enumerate(specs)], "name string, rank int")
+
+    monkeypatch.setattr(Q, "_featured", lambda *a: df)
+    monkeypatch.setattr(Q, "_BOARDS", {})
+    monkeypatch.setattr("fleetlens.sources.tables.table_version", lambda *a: ())
+    monkeypatch.setattr(TR, "leaderboard", ranked)
+    Q._leaderboard(spark, "none", "classifier")
+    Q._leaderboard(spark, "none", "regressor")
+    size = lambda s: s.build().getNumTrees() if s.name.startswith("random") else s.build().getMaxIter()
+    full = {"random_forest": 200, "gbt_xgb_like": 300, "gbt_lgbm_like": 300, "gradient_boosting": 200, "gbt_xgb_like_rul": 300, "random_forest_rul": 200}
+    assert {s.name: size(s) for s in seen} == full
+    # the champion is one of these
+    assert Q._leaderboard(spark, "none", "classifier")[1][0].build().getNumTrees() == 200
