@@ -121,3 +121,63 @@ def test_registered_queries_fit_the_references_models_in_full(spark, monkeypatch
     assert {s.name: size(s) for s in seen} == full
     # the champion is one of these
     assert Q._leaderboard(spark, "none", "classifier")[1][0].build().getNumTrees() == 200
+
+
+class _Recorded:
+    """An estimator that keeps the number of tasks it is given."""
+
+    def __init__(self, seen):
+        self.seen = seen
+
+    def setLabelCol(self, _):
+        return self
+
+    setFeaturesCol = setWeightCol = setLabelCol
+
+    def fit(self, rows):
+        self.seen.append([n for n in rows.rdd.glom().map(len).collect()])
+
+
+def test_fits_are_split_no_further_than_their_share_of_the_cores(spark, monkeypatch):
+    seen = []
+    spec = TR.ModelSpec("recorded", "regressor", lambda: _Recorded(seen))
+    rows = TR._assembler(FEATS).transform(_binary(spark, 400)).select("rul", "features").repartition(8)
+    # beside other fits: one task, though the table has 8 partitions
+    TR._fit(spec, "rul", TR._dealt(rows, 400, 0.4), 400)
+    monkeypatch.setattr(TR, "SPREAD_ROWS", 100)
+    TR._fit(spec, "rul", TR._dealt(rows, 400, 8), 400)
+    monkeypatch.setattr(TR, "FIT_TASK_ROWS", 40)
+    # no task holds more than its rows, even of a table with fewer partitions
+    TR._fit(spec, "rul", TR._dealt(rows.coalesce(2), 400, 0.4), 400)
+    assert [len(s) for s in seen] == [1, 4, 10] and all(sum(s) == 400 for s in seen)
+    assert max(seen[2]) <= 60
+
+
+def test_folds_leave_the_cores_to_each_other(spark, monkeypatch):
+    df, seen, fit = _binary(spark, 300), [], TR._fit
+
+    def watched(spec, label, rows, n_rows):
+        seen.append(rows.rdd.getNumPartitions())
+        return fit(spec, label, rows, n_rows)
+
+    monkeypatch.setattr(TR, "_fit", watched)
+    TR.leaderboard(spark, df, TR.regressor_specs(0.01), "rul", features=FEATS, folds=2, order="unit_id").collect()
+    assert seen == [1, 1, 1, 1]
+
+
+def test_champions_are_fitted_once_and_loaded(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from fleetlens.plans import analytics_queries as Q
+
+    df, fitted, fit = _binary(spark, 100).withColumn("ts", F.lit("2024-01-01").cast("timestamp_ntz")), [], TR.fit_champion
+    board = spark.createDataFrame([("random_forest", 1)], "name string, rank int")
+    monkeypatch.setattr(Q, "_featured", lambda *a: df)
+    monkeypatch.setattr(Q, "_CHAMPIONS", {})
+    monkeypatch.setattr(Q, "_leaderboard", lambda *a: (board, TR.classifier_specs(0.02), "failure_label"))
+    monkeypatch.setattr("fleetlens.sources.tables.table_version", lambda *a: ())
+    monkeypatch.setattr(TR, "fit_champion", lambda *a: fitted.append(fit(*a)) or fitted[-1])
+    found = [Q._champion(spark, "none", "classifier")[1] for _ in range(2)]
+    assert len(fitted) == 1
+    importances = [TR.feature_importance(spark, m).collect() for m in [*fitted, *found]]
+    assert importances[0] == importances[1] == importances[2] and len(importances[0]) == len(FEATS)
